@@ -100,7 +100,7 @@ SELECT CAST(event_id AS VARCHAR) AS message_id,
        END AS body,
        CASE WHEN event_id % 10 = 0 THEN 'delayed' WHEN event_id % 4 = 0 THEN 'in_flight'
             ELSE 'available' END AS status,
-       CAST(epoch_ms(ts) AS VARCHAR) AS sent_ms,
+       CAST(epoch_us(ts) // 1000 AS VARCHAR) AS sent_ms,
        CAST(event_id % 4 AS VARCHAR) AS receive_count_attr
 FROM events
 """
