@@ -105,8 +105,12 @@ def ingest_batch(spark: SparkSession, paths, out_root: str, quarantine_root: str
             lake.write.mode("append").parquet(out_root)
     if quarantine_root is not None and not bad.isEmpty():
         quarantine_rows(bad).write.mode("append").parquet(quarantine_root)
+    data_cols = [c for c in df.columns if c not in (CORRUPT, "_file")]
+    dated = F.count(date_field) if date_field in df.columns else F.count(data_cols[0])
+    # a data column must be referenced: Spark refuses scans that read only the corrupt column
     return df.agg(
         F.count_if(F.col(CORRUPT).isNull()).alias("rows_read_ok"),
+        dated.alias("rows_dated"),
         F.count_if(F.col(CORRUPT).isNotNull()).alias("rows_corrupt"),
         F.count_distinct("_file").alias("files"),
     )

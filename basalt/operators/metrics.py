@@ -39,7 +39,8 @@ WIDGETS = [
 ]
 # -----------------------------------------------------------------------------
 
-_EMPTY_DIMS = F.create_map().cast("map<string,string>")
+def _empty_dims() -> Column:
+    return F.create_map().cast("map<string,string>")
 
 
 def point(metric, value, unit: str = "Count", ts="ts", dimensions: Column | None = None) -> Column:
@@ -49,7 +50,7 @@ def point(metric, value, unit: str = "Count", ts="ts", dimensions: Column | None
     t = F.col(ts) if isinstance(ts, str) else ts
     return F.struct(m.alias("metric"), v.cast("double").alias("value"), F.lit(unit).alias("unit"),
                     t.cast("timestamp_ntz").alias("ts"),
-                    (dimensions if dimensions is not None else _EMPTY_DIMS).alias("dimensions"))
+                    (dimensions if dimensions is not None else _empty_dims()).alias("dimensions"))
 
 
 def _explode(df: DataFrame, points: list[Column], keep: list[str] = ()) -> DataFrame:

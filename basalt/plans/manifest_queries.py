@@ -39,7 +39,10 @@ def _manifest(spark, sf_dir):
     return V.manifest(V.table(spark, sf_dir, "events"))
 
 
-ORDER = [F.desc("modified"), F.asc("key"), F.asc("object_id")]
+def _order():
+    return [F.desc("modified"), F.asc("key"), F.asc("object_id")]
+
+
 ORDER_SQL = "modified DESC, key, object_id"
 
 
@@ -122,7 +125,7 @@ SELECT *, CAST(greatest((SELECT count(*) FROM manifest) - 15, 0) AS BIGINT) AS m
 FROM (SELECT * FROM manifest ORDER BY {ORDER_SQL} LIMIT 15)""", **_MV))
 def manifest_limit_with_rest(spark, sf_dir):
     """first 15 and how many more."""
-    return M.limit_with_rest(_manifest(spark, sf_dir), 15, ORDER)
+    return M.limit_with_rest(_manifest(spark, sf_dir), 15, _order())
 
 
 @register("manifest_dedupe_name_size", oracle=V.with_views(f"""
@@ -152,7 +155,7 @@ SELECT *, row_number() OVER (ORDER BY {ORDER_SQL}) + 40 AS row_no,
 FROM (SELECT * FROM manifest ORDER BY {ORDER_SQL} LIMIT 20 OFFSET 40)""", **_MV))
 def manifest_page_3(spark, sf_dir):
     """page 3 of 20 rows, numbered, with the page count."""
-    return M.page(_manifest(spark, sf_dir), 3, 20, ORDER)
+    return M.page(_manifest(spark, sf_dir), 3, 20, _order())
 
 
 @register("manifest_view_columns", oracle=V.with_views(f"""
