@@ -1 +1,94 @@
-"""(filled in below)"""
+"""Streaming queries: each drains a stream with ``availableNow`` into a sink
+under the shared checkpoint folder, then reads the sink back (the batch form
+of the same query is the oracle)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from basalt.operators import messages as M
+from basalt.operators import metrics as X
+from basalt.plans import views as V
+from basalt.plans.message_queries import TARGETS_SQL
+from basalt.plans.metric_queries import FILE_POINTS_SQL
+from basalt.plans.registry import register
+from basalt.plans.sql_queries import write_raw_events
+from basalt.session import scratch_dir
+from basalt.streaming import streams as STR
+
+
+def _events_stream(spark, sf_dir):
+    schema = V.table(spark, sf_dir, "events").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(
+        f"{sf_dir.rstrip('/')}/events*.parquet")
+
+
+@register("stream_ingest_action_counts", oracle="""
+SELECT event_type AS action, year, month, count(*) AS total
+FROM (SELECT event_type, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month FROM events) GROUP BY 1, 2, 3""")
+def stream_ingest_action_counts(spark, sf_dir):
+    """Raw JSONL drained by a file-source stream into the partitioned lake."""
+    root = scratch_dir(spark, "stream-ingest")
+    raw = write_raw_events(spark, sf_dir, f"{root}/raw")
+    q1, q2 = STR.start_ingest(spark, raw, f"{root}/lake", f"{root}/quarantine", f"{root}/_checkpoints",
+                              max_files_per_trigger=2)
+    q1.awaitTermination()
+    q2.awaitTermination()
+    lake = spark.read.parquet(f"{root}/lake")
+    return lake.groupBy("action", "year", "month").agg(F.count(F.lit(1)).alias("total"))
+
+
+@register("stream_rerun_is_idempotent", oracle="SELECT count(*) AS rows FROM events")
+def stream_rerun_is_idempotent(spark, sf_dir):
+    """Running the same ingest twice over the same files adds nothing the second time."""
+    root = scratch_dir(spark, "stream-rerun")
+    raw = write_raw_events(spark, sf_dir, f"{root}/raw")
+    for _ in range(2):
+        for q in STR.start_ingest(spark, raw, f"{root}/lake", f"{root}/quarantine", f"{root}/_checkpoints"):
+            q.awaitTermination()
+    return spark.read.parquet(f"{root}/lake").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("stream_five_minute_stats", oracle=V.with_views("""
+SELECT metric, time_bucket(INTERVAL '5 minutes', ts) AS period_start, round(sum(value), 6) AS sum,
+       round(avg(value), 6) AS average, max(value) AS maximum, count(*) AS samples
+FROM pts GROUP BY 1, 2""", pts=V.with_views(FILE_POINTS_SQL, fe=V.FILE_EVENTS_SQL)))
+def stream_five_minute_stats(spark, sf_dir):
+    """X7 as a stream: watermarked update-mode windows upserted per micro-batch."""
+    root = scratch_dir(spark, "stream-stats")
+    points = X.file_points(V.file_events(_events_stream(spark, sf_dir)))
+    q = STR.start_upserting(STR.five_minute_stats_stream(points, "10 minutes"), f"{root}/stats", f"{root}/_ck")
+    q.awaitTermination()
+    s = STR.latest_versions(spark, f"{root}/stats", ["metric", "period_start"])
+    return s.select("metric", "period_start", F.round("sum", 6).alias("sum"), F.round("average", 6).alias("average"),
+                    "maximum", "samples")
+
+
+@register("stream_dedupe_targets", oracle=V.with_views(
+    "SELECT DISTINCT bucket, key FROM t WHERE resolved", msgs=V.MESSAGES_SQL, t=TARGETS_SQL))
+def stream_dedupe_targets(spark, sf_dir):
+    """M8 as a stream: repeats of a (bucket, key) within the watermark are dropped."""
+    root = scratch_dir(spark, "stream-dedupe")
+    msgs = V.messages(_events_stream(spark, sf_dir)).withColumn("ts", M.sent_time("sent_ms"))
+    targets = M.resolve_target(msgs, "raw-default").where("resolved").select("bucket", "key", "ts", "message_id")
+    deduped = STR.dedupe_within_watermark(targets, ["bucket", "key"], "ts", "45 days")
+    q = (deduped.writeStream.format("parquet").option("checkpointLocation", f"{root}/_ck")
+         .trigger(availableNow=True).start(f"{root}/out"))
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("bucket", "key")
+
+
+@register("stream_cycle_counters", oracle="""
+SELECT count(*) AS received, count(*) FILTER (WHERE event_type <> 'error') AS processed FROM events""")
+def stream_cycle_counters(spark, sf_dir):
+    """A per-micro-batch handler records received / processed counts per cycle."""
+    root = scratch_dir(spark, "stream-cycles")
+
+    def handler(batch, epoch_id):
+        (batch.agg(F.count(F.lit(1)).alias("received"), F.count_if(F.col("event_type") != "error").alias("processed"))
+         .withColumn("cycle", F.lit(epoch_id)).write.mode("append").parquet(f"{root}/cycles"))
+        return True
+
+    STR.start_with_handler(_events_stream(spark, sf_dir), handler, f"{root}/_ck").awaitTermination()
+    return spark.read.parquet(f"{root}/cycles").agg(F.sum("received").cast("bigint").alias("received"),
+                                                    F.sum("processed").cast("bigint").alias("processed"))
