@@ -1 +1,77 @@
-"""(filled in below)"""
+"""Catalog queries (C1-C10): tables written from the given data, registered,
+discovered and described.  Table lists and schemas are checked as rows."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from basalt.operators import catalog as C
+from basalt.plans import views as V
+from basalt.plans.registry import register
+from basalt.session import scratch_dir
+
+
+def _lake(spark, sf_dir):
+    """A small lake: events as a date-partitioned table, orders as a plain one."""
+    root = scratch_dir(spark, "catalog")
+    ev = V.table(spark, sf_dir, "events")
+    (ev.select("*", F.date_format("ts", "yyyy").alias("year"), F.date_format("ts", "MM").alias("month"),
+               F.date_format("ts", "dd").alias("day"))
+     .write.partitionBy("year", "month", "day").parquet(f"{root}/events"))
+    V.table(spark, sf_dir, "orders").write.parquet(f"{root}/orders")
+    return root
+
+
+@register("catalog_auto_register", oracle="""
+SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, count(*) AS rows FROM events GROUP BY 1, 2""")
+def catalog_auto_register(spark, sf_dir):
+    """Register a table from one of its files (schema from the footer,
+    location and partitions from the path), repair partitions, query it."""
+    root = _lake(spark, sf_dir)
+    sample = (spark.read.parquet(f"{root}/events").select(F.input_file_name().alias("f")).limit(1).first()["f"])
+    db = "cat_" + uuid.uuid4().hex[:8]
+    C.create_database(spark, db)
+    C.auto_register(spark, db, "events", sample)
+    return spark.sql(f"SELECT year, month, count(*) AS rows FROM {db}.events GROUP BY year, month")
+
+
+@register("catalog_type_map", oracle="""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
+def catalog_type_map(spark, sf_dir):
+    """Every column cast to its lake type (bigint, double, boolean, timestamp, string)."""
+    out = C.conform(V.table(spark, sf_dir, "orders"))
+    return out.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
+@register("catalog_discover")
+def catalog_discover(spark, sf_dir):
+    """C10 + C7/C8: crawl the lake root; tables created, listed with column counts."""
+    root = _lake(spark, sf_dir)
+    db = "disc_" + uuid.uuid4().hex[:8]
+    actions = C.discover_tables(spark, db, root)
+    detail = C.tables_detail(spark, db)
+    return actions.join(detail, "table").select("table", "action", "columns")
+
+
+@register("catalog_table_schema")
+def catalog_table_schema(spark, sf_dir):
+    """Schema of a discovered table (column, lake type, partition flag)."""
+    root = _lake(spark, sf_dir)
+    db = "schema_" + uuid.uuid4().hex[:8]
+    C.discover_tables(spark, db, root)
+    return C.table_schema(spark, db, "events")
+
+
+@register("catalog_locations", oracle="""
+SELECT key, regexp_replace(regexp_replace(key, '[^/]*$', ''), '/[^/=]+=.*$', '/') AS location
+FROM (SELECT concat('lake/events/year=', strftime(ts, '%Y'), '/month=', strftime(ts, '%m'), '/part-',
+                    CAST(event_id AS VARCHAR), '.parquet') AS key FROM events)""")
+def catalog_locations(spark, sf_dir):
+    """C4/C5 over many keys: table location of each file key, as a column expression."""
+    ev = V.table(spark, sf_dir, "events")
+    keys = ev.select(F.concat(F.lit("lake/events/year="), F.date_format("ts", "yyyy"), F.lit("/month="),
+                              F.date_format("ts", "MM"), F.lit("/part-"), F.col("event_id").cast("string"),
+                              F.lit(".parquet")).alias("key"))
+    return keys.select("key", C.table_location_col("key").alias("location"))

@@ -27,15 +27,18 @@ def with_corrupt(schema: T.StructType, name: str = CORRUPT) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(name, T.StringType())])
 
 
+MICROS_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def read_jsonl(spark: SparkSession, path, schema: T.StructType | None = None,
-               corrupt_column: str = CORRUPT, lineage: bool = True) -> DataFrame:
+               corrupt_column: str = CORRUPT, lineage: bool = True, options: dict | None = None) -> DataFrame:
     """One JSON object per line; bad lines kept in ``corrupt_column``.
 
     With an explicit schema no inference pass runs over the data.  ``lineage``
     adds ``_file`` (full path) from the hidden ``_metadata`` column.
     """
     reader = (spark.read.option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", corrupt_column))
+              .option("columnNameOfCorruptRecord", corrupt_column).options(**(options or {})))
     if schema is not None:
         reader = reader.schema(with_corrupt(schema, corrupt_column))
     df = reader.json(path)
