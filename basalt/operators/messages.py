@@ -49,16 +49,20 @@ def resolve_target(messages: DataFrame, default_bucket: str, body: str = "body")
     routes the message to quarantine (D22).
     """
     b = F.col(body)
-    rec = F.from_json(b, RECORDS_SCHEMA)["Records"]
-    first = F.get(rec, 0)["s3"]
-    kind = body_kind(b)
-    rec_key = F.try_url_decode(first["object"]["key"])
+    first = F.get(F.from_json(b, RECORDS_SCHEMA)["Records"], 0)["s3"]
+    # parse once: the outer projection only reads these columns (a projection
+    # holding from_json is not collapsed into its consumers)
+    parsed = messages.select("*", body_kind(b).alias("body_kind"),
+                             F.try_url_decode(first["object"]["key"]).alias("_rec_key"),
+                             first["bucket"]["name"].alias("_rec_bucket"),
+                             F.get_json_object(b, "$.key").alias("_obj_key"))
+    kind, rec_key = F.col("body_kind"), F.col("_rec_key")
     key = (F.when(rec_key.isNotNull(), rec_key)
-           .when(kind == "object", F.get_json_object(b, "$.key"))
+           .when(kind == "object", F.col("_obj_key"))
            .when(kind == "text", F.trim(b)))
-    bucket = F.when(rec_key.isNotNull(), first["bucket"]["name"]).when(key.isNotNull(), F.lit(default_bucket))
-    return messages.select("*", kind.alias("body_kind"), bucket.alias("bucket"), key.alias("key"),
-                           key.isNotNull().alias("resolved"))
+    bucket = F.when(rec_key.isNotNull(), F.col("_rec_bucket")).when(key.isNotNull(), F.lit(default_bucket))
+    out = parsed.select("*", bucket.alias("bucket"), key.alias("key"))
+    return out.withColumn("resolved", F.col("key").isNotNull()).drop("_rec_key", "_rec_bucket", "_obj_key")
 
 
 def records(messages: DataFrame, body: str = "body") -> DataFrame:

@@ -264,10 +264,10 @@ def null_share(df: DataFrame) -> DataFrame:
         F.coalesce(F.try_divide(F.col("null_cells") * 100.0, F.col("rows") * n_cols), F.lit(0.0)).alias("null_pct"))
 
 
-def quality_score(df: DataFrame) -> DataFrame:
+def quality_score(df: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """100 minus penalties for duplicates, empty and high-cardinality columns, nulls."""
     rows = _row_count(df)
-    summary = column_summary(df)
+    summary = summary if summary is not None else column_summary(df)
     dup = duplicates(df)
     n_empty = empty_columns(df).select(F.count(F.lit(1))).scalar()
     n_high = high_cardinality(summary, rows).select(F.count(F.lit(1))).scalar()
@@ -328,9 +328,13 @@ def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
 
 def report(df: DataFrame, order_by: list[str]) -> DataFrame:
     """The whole analysis as (section, name, value) rows."""
+    from basalt.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
     rows = _row_count(df)
-    summary = column_summary(df)
-    q = quality_score(df)
+    # one row per column, used four times: materialise it once (reliable
+    # checkpoint in the shared folder) instead of re-running the value shuffle
+    summary = column_summary(df).checkpoint()
+    q = quality_score(df, summary)
     sections = [
         q.select(F.explode(F.array(
             F.struct(F.lit("quality").alias("section"), F.lit("score").alias("name"), F.col("score").cast("string").alias("value")),

@@ -145,3 +145,40 @@ def sql_error_text(spark, sf_dir):
     ok, err_ok = sql.execute(spark, sql.count_sql(name))
     _, err = sql.execute(spark, f"SELECT no_such_column FROM {name}")
     return ok.select("total", F.lit(err_ok).alias("ok_error"), F.lit(err is not None).alias("bad_failed"))
+
+
+@register("ingest_quarantine_counts", oracle="""
+SELECT count(*) FILTER (WHERE event_id % 97 <> 0) AS lake_rows, count(*) FILTER (WHERE event_id % 97 = 0) AS quarantined,
+       'unparseable' AS reason, 1 AS attempts
+FROM events""")
+def ingest_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines where every 97th is cut short; the broken lines land in
+    the quarantine table (with reason and attempt), the rest in the lake."""
+    root = scratch_dir(spark, "quarantine")
+    ev = V.table(spark, sf_dir, "events")
+    line = F.to_json(F.struct(
+        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("event_time"),
+        "user_id", F.col("event_type").alias("action")))
+    raw = ev.select(F.when(F.col("event_id") % 97 == 0, F.substring(line, 1, 20)).otherwise(line).alias("value"))
+    raw.write.text(f"{root}/raw")
+    ingest.ingest_batch(spark, f"{root}/raw", f"{root}/lake", quarantine_root=f"{root}/quarantine")
+    lake_rows = spark.read.parquet(f"{root}/lake").select(F.count(F.lit(1))).scalar()
+    q = spark.read.parquet(f"{root}/quarantine")
+    return q.groupBy("reason", "attempts").agg(F.count(F.lit(1)).alias("quarantined")).select(
+        lake_rows.alias("lake_rows"), "quarantined", "reason", "attempts")
+
+
+@register("ingest_output_names", oracle="""
+SELECT key, regexp_replace(regexp_extract(key, '[^/]*$', 0), '\\.jsonl$', '.parquet') AS output_name
+FROM (""" + V.MANIFEST_SQL + """) WHERE suffix(key, '.jsonl')""")
+def ingest_output_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: processed file name of each raw .jsonl key."""
+    m = V.manifest(V.table(spark, sf_dir, "events")).where(F.col("key").endswith(".jsonl"))
+    return m.select("key", ingest.output_name("key").alias("output_name"))
+
+
+@register("ingest_pass_through", oracle="SELECT * FROM events")
+def ingest_pass_through(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without the date field (or with partitioning off) rows pass unchanged."""
+    ev = V.table(spark, sf_dir, "events")
+    return ingest.transform_for_lake(ingest.transform_for_lake(ev, "event_time"), "ts", partition_by_date=False)
