@@ -37,19 +37,30 @@ def histogram(df: DataFrame, column: str, bins: int = HIST_BINS) -> DataFrame:
                           "count")
 
 
-def box_stats(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
+def _quartiles(df: DataFrame, column: str, approx: bool, method: str = "auto") -> Column:
+    """Scalar struct (q0, q1, q2) = 25 / 50 / 75 % of one column."""
+    if approx:
+        clean = normalize(df.select(_q(column).cast("double").alias("v"))).where(F.col("v").isNotNull())
+        q = clean.select(F.percentile_approx("v", [0.25, 0.5, 0.75], 10000).alias("q"))
+        return q.select(F.struct(F.col("q")[0].alias("q0"), F.col("q")[1].alias("q1"),
+                                 F.col("q")[2].alias("q2"))).scalar()
+    from basalt.operators.quantiles import quantile_table
+    t = quantile_table(df, [column], [0.25, 0.5, 0.75], method=method)
+    return t.select(F.struct("q0", "q1", "q2")).scalar()
+
+
+def box_stats(df: DataFrame, column: str, approx: bool = False, quantile_method: str = "auto") -> DataFrame:
     """Quartiles, 1.5 IQR fences, whiskers (extreme values inside the fences)
     and the number of outliers; one row."""
     clean = normalize(df.select(_q(column).cast("double").alias("v"))).where(F.col("v").isNotNull())
-    q = (F.percentile_approx("v", [0.25, 0.5, 0.75], 10000) if approx else F.percentile("v", [0.25, 0.5, 0.75]))
-    qs = clean.select(q.alias("q")).scalar()
-    q1, q3 = qs[0], qs[2]
+    qs = _quartiles(df, column, approx, quantile_method)
+    q1, q3 = qs.getField("q0"), qs.getField("q2")
     iqr = q3 - q1
     lo_f, hi_f = q1 - IQR_FENCE * iqr, q3 + IQR_FENCE * iqr
     inside = (F.col("v") >= lo_f) & (F.col("v") <= hi_f)
     return clean.agg(
         F.lit(column).alias("column"),
-        F.first(q1).alias("q1"), F.first(qs[1]).alias("median"), F.first(q3).alias("q3"),
+        F.first(q1).alias("q1"), F.first(qs.getField("q1")).alias("median"), F.first(q3).alias("q3"),
         F.first(iqr).alias("iqr"), F.first(lo_f).alias("lower_fence"), F.first(hi_f).alias("upper_fence"),
         F.min(F.when(inside, F.col("v"))).alias("lower_whisker"),
         F.max(F.when(inside, F.col("v"))).alias("upper_whisker"),
@@ -57,13 +68,13 @@ def box_stats(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
     )
 
 
-def box_outliers(df: DataFrame, column: str) -> DataFrame:
+def box_outliers(df: DataFrame, column: str, quantile_method: str = "auto") -> DataFrame:
     """The rows outside the 1.5 IQR fences."""
     x = _q(column).cast("double")
-    qs = normalize(df.select(x.alias("v"))).where(F.col("v").isNotNull()) \
-        .select(F.percentile("v", [0.25, 0.75]).alias("q")).scalar()
-    iqr = qs[1] - qs[0]
-    return df.where((x < qs[0] - IQR_FENCE * iqr) | (x > qs[1] + IQR_FENCE * iqr))
+    qs = _quartiles(df, column, False, quantile_method)
+    q1, q3 = qs.getField("q0"), qs.getField("q2")
+    iqr = q3 - q1
+    return df.where((x < q1 - IQR_FENCE * iqr) | (x > q3 + IQR_FENCE * iqr))
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:

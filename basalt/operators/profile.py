@@ -132,37 +132,52 @@ def column_summary(df: DataFrame, approx: bool = False) -> DataFrame:
                     "position"))
 
 
-def numeric_stats(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Min, max, mean (2 dp), median, std (2 dp) of each numeric column."""
+def numeric_stats(df: DataFrame, approx: bool = False, quantile_method: str = "auto") -> DataFrame:
+    """Min, max, mean (2 dp), median, std (2 dp) of each numeric column.
+
+    The exact median comes from :func:`basalt.operators.quantiles.quantile_table`
+    (map-based only when the distinct count is checked small, else a distributed sort)."""
     cols = numeric_columns(df)
     norm = normalize(df.select(*[_q(c) for c in cols]))
     aggs = []
     for c in cols:
         x = _q(c).cast("double")
-        med = F.percentile_approx(x, 0.5, 10000) if approx else F.median(x)
+        extra = [F.percentile_approx(x, 0.5, 10000).cast("double").alias("median")] if approx else []
         aggs.append(F.struct(F.lit(c).alias("column"), F.min(x).alias("min"), F.max(x).alias("max"),
-                             F.round(F.avg(x), 2).alias("mean"), med.cast("double").alias("median"),
-                             F.round(F.stddev_samp(x), 2).alias("std")).alias(c))
+                             F.round(F.avg(x), 2).alias("mean"), F.round(F.stddev_samp(x), 2).alias("std"),
+                             *extra).alias(c))
     wide = norm.agg(*aggs)
-    return wide.select(F.explode(F.array(*[_q(c) for c in cols])).alias("s")).select("s.*")
+    stats = wide.select(F.explode(F.array(*[_q(c) for c in cols])).alias("s")).select("s.*")
+    if not approx:
+        from basalt.operators.quantiles import quantile_table
+        med = quantile_table(df, cols, [0.5], method=quantile_method).select("column", F.col("q0").alias("median"))
+        stats = stats.join(F.broadcast(med), "column", "left")  # one row per column on both sides
+    return stats.select("column", "min", "max", "mean", "median", "std")
 
 
-def describe(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Count, mean, std, min, 25 %, 50 %, 75 %, max of each numeric column."""
+def describe(df: DataFrame, approx: bool = False, quantile_method: str = "auto") -> DataFrame:
+    """Count, mean, std, min, 25 %, 50 %, 75 %, max of each numeric column (exact
+    quartiles through the size-checked :func:`basalt.operators.quantiles.quantile_table`)."""
     cols = numeric_columns(df)
     norm = normalize(df.select(*[_q(c) for c in cols]))
     aggs = []
     for c in cols:
         x = _q(c).cast("double")
-        q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).cast("array<double>") if approx
-             else F.percentile(x, [0.25, 0.5, 0.75]))
+        extra = [F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).cast("array<double>").alias("q")] if approx else []
         aggs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q.alias("q"),
-                             F.max(x).alias("max")).alias(c))
+                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
+                             *extra).alias(c))
     wide = norm.agg(*aggs)
     s = wide.select(F.explode(F.array(*[_q(c) for c in cols])).alias("s")).select("s.*")
+    if approx:
+        s = s.select("*", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"))
+    else:
+        from basalt.operators.quantiles import quantile_table
+        q = quantile_table(df, cols, [0.25, 0.5, 0.75], method=quantile_method)
+        s = s.join(F.broadcast(q.select("column", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
+                                        F.col("q2").alias("p75"))), "column", "left")
     return s.select("column", "count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"),
-                    "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
+                    "min", "p25", "p50", "p75", "max")
 
 
 def top_values(df: DataFrame, k: int = TOP_VALUES, columns: list[str] | None = None) -> DataFrame:
