@@ -8,11 +8,11 @@ and files already ingested are skipped through a ledger anti-join (T6).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basalt.sinks.writers import PARTITION_COLUMNS, write_partitioned
+from basalt.sinks.writers import PARTITION_COLUMNS
 from basalt.sources.readers import CORRUPT, RAW_EVENT_SCHEMA, read_jsonl
 
 
@@ -90,30 +90,35 @@ def ingest_batch(spark: SparkSession, paths, out_root: str, quarantine_root: str
                  partition_by_date: bool = True, ledger: DataFrame | None = None) -> DataFrame:
     """T5: read JSONL files, transform, write partitioned Parquet, quarantine bad rows.
 
-    Returns a one-row summary (rows_written, rows_quarantined, files).  Files
-    named in ``ledger`` (column ``file``) are skipped (T6).
+    Returns a one-row summary (rows_read_ok, rows_dated, rows_corrupt).  The
+    counts are observed while the lake table is written (``DataFrame.observe``),
+    so the raw files are scanned once for the lake and once for the quarantine,
+    not again for the summary.  Files named in ``ledger`` (column ``file``) are
+    skipped (T6).
     """
     df = read_jsonl(spark, paths, schema=schema)
     if ledger is not None:
         df = df.join(ledger.select(F.col("file").alias("_file")).distinct(), "_file", "left_anti")
-    good, bad = split_good_bad(df, date_field)
+    data_cols = [c for c in df.columns if c not in (CORRUPT, "_file")]
+    # a data column must be referenced: Spark refuses scans that read only the corrupt column
+    dated = F.count(date_field) if date_field in df.columns else F.count(data_cols[0])
+    obs = Observation("ingest")
+    observed = df.observe(obs, F.count_if(F.col(CORRUPT).isNull()).alias("rows_read_ok"), dated.alias("rows_dated"),
+                          F.count_if(F.col(CORRUPT).isNotNull()).alias("rows_corrupt"))
+    good, bad = split_good_bad(observed, date_field)
     lake = transform_for_lake(good.drop("_file") if "_file" in good.columns else good, date_field, partition_by_date)
     if partition_by_date and date_field in lake.columns:
-        write_partitioned(lake, out_root, PARTITION_COLUMNS)
+        lake.hint("rebalance", *PARTITION_COLUMNS).write.mode("append").partitionBy(*PARTITION_COLUMNS) \
+            .option("compression", "snappy").parquet(out_root)
     else:
-        if not lake.isEmpty():
-            lake.write.mode("append").parquet(out_root)
-    if quarantine_root is not None and not bad.isEmpty():
-        quarantine_rows(bad).write.mode("append").parquet(quarantine_root)
-    data_cols = [c for c in df.columns if c not in (CORRUPT, "_file")]
-    dated = F.count(date_field) if date_field in df.columns else F.count(data_cols[0])
-    # a data column must be referenced: Spark refuses scans that read only the corrupt column
-    return df.agg(
-        F.count_if(F.col(CORRUPT).isNull()).alias("rows_read_ok"),
-        dated.alias("rows_dated"),
-        F.count_if(F.col(CORRUPT).isNotNull()).alias("rows_corrupt"),
-        F.count_distinct("_file").alias("files"),
-    )
+        lake.write.mode("append").parquet(out_root)
+    if quarantine_root is not None:
+        # one more scan; an empty quarantine batch writes no data files
+        quarantine_rows(split_good_bad(df, date_field)[1]).write.mode("append").parquet(quarantine_root)
+    m = obs.get
+    return spark.createDataFrame([(int(m.get("rows_read_ok", 0)), int(m.get("rows_dated", 0)),
+                                   int(m.get("rows_corrupt", 0)))],
+                                 "rows_read_ok bigint, rows_dated bigint, rows_corrupt bigint")
 
 
 def processing_time(start, end) -> Column:

@@ -28,13 +28,15 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str] | None = None
                       mode: str = "append") -> bool:
     """K2: ``year=YYYY/month=MM/day=DD`` layout, one partition per row's own date.
 
-    Rows are clustered by the partition columns first so each task writes few
-    files; AQE sizes the clustering shuffle.
+    Rows are clustered by the partition columns first (``rebalance`` hint), so
+    each task writes few files; AQE splits a day that holds a large share of
+    the rows over several tasks and merges small ones, instead of a plain hash
+    repartition that would hand a hot day to a single task.
     """
     cols = columns or PARTITION_COLUMNS
     if df.isEmpty():
         return False
-    (df.repartition(*cols).write.mode(mode).partitionBy(*cols)
+    (df.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols)
      .option("compression", "snappy").parquet(path))
     return True
 
