@@ -95,12 +95,16 @@ def previews(messages: DataFrame, body: str = "body", n_keys: int = 3, n_chars:
 
 
 def dedupe_targets(resolved: DataFrame, order: list[str]) -> DataFrame:
-    """M8: one message per (bucket, key), the first in ``order``; a
-    ``min(struct)`` aggregate with a map-side partial step (skew-safe)."""
+    """M8: one message per resolved (bucket, key), the first in ``order``; a
+    ``min(struct)`` aggregate with a map-side partial step (skew-safe).
+
+    Unresolved messages fall into the NULL key group, which is dropped after
+    the aggregate; a filter before it would be pushed into the scan and parse
+    every body a second time."""
     rest = [c for c in resolved.columns if c not in ("bucket", "key") and c not in order]
     agg = (resolved.groupBy("bucket", "key")
-           .agg(F.min(F.struct(*order, *rest)).alias("m")))
-    return agg.select("bucket", "key", "m.*")
+           .agg(F.min(F.struct(*order, *rest)).alias("m"), F.max(F.col("key").isNotNull()).alias("_ok")))
+    return agg.where("_ok").select("bucket", "key", "m.*")
 
 
 def queue_attributes(attrs: DataFrame, attr_col: str = "attributes") -> DataFrame:

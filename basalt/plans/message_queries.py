@@ -85,8 +85,7 @@ SELECT bucket, key, seq, message_id, body_kind, resolved FROM (
     msgs=V.MESSAGES_SQL, t=TARGETS_SQL))
 def message_dedupe(spark, sf_dir):
     """M8: one message per (bucket, key), the earliest kept."""
-    t = _targets(spark, sf_dir).where("resolved")
-    return M.dedupe_targets(t, ["seq"])
+    return M.dedupe_targets(_targets(spark, sf_dir), ["seq"])
 
 
 @register("queue_depth_state", oracle=V.with_views("""
