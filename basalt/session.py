@@ -7,6 +7,8 @@ Settings applied by :func:`configure`:
   chosen at run time from the real shuffle sizes, and a hot key (one user, one
   bucket, one source holding a third of all rows) is split across tasks.
 * Partition column type inference off: ``month=01`` stays the string ``01``.
+* RocksDB state store for streaming state (off-heap, incremental commits), so
+  dedupe keys and open windows do not live on the executor heap.
 * ``spark.sql.legacy.parquet.nanosAsLong``: pandas writes ``TIMESTAMP(NANOS)``,
   which Spark refuses otherwise; such columns arrive as epoch-ns longs and the
   readers convert them once.
@@ -32,6 +34,10 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # stream state (watermark dedupe, open windows) off the JVM heap, committed incrementally
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
