@@ -35,3 +35,42 @@ def test_partition_filter_reaches_scan(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in q._jdf.queryExecution().executedPlan().toString() or \
         "PartitionFilters" in q._jdf.queryExecution().executedPlan().toString()
     assert q.count() == 5
+
+
+BOUNDED_MARKERS = ("Limit", "TakeOrderedAndProject", "_pid")
+AGGREGATES = ("HashAggregate", "SortAggregate", "ObjectHashAggregate")
+
+
+def _depth(line: str) -> int:
+    return len(line) - len(line.lstrip(" :+-"))
+
+
+def _unbounded_global_windows(plan: str) -> list[str]:
+    """Single-partition exchanges (what an unpartitioned window, sort or limit
+    needs) whose input is neither a partial aggregate (one row per task) nor
+    visibly bounded by a limit / top-k / per-partition offsets."""
+    lines = plan.splitlines()
+    bad = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" not in line:
+            continue
+        depth = _depth(line)
+        subtree = []
+        for nxt in lines[i + 1:]:
+            if _depth(nxt) <= depth:
+                break
+            subtree.append(nxt)
+        child = subtree[0].lstrip(" :+-") if subtree else ""
+        if child.startswith(AGGREGATES):
+            continue
+        if not any(m in s for s in subtree for m in BOUNDED_MARKERS):
+            bad.append(line.strip()[:160])
+    return bad
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_global_window_over_unbounded_input(spark, sf_dir, name):
+    if name.startswith(("lake_ingest", "stream_", "io_", "catalog_", "ingest_quarantine")):
+        pytest.skip("writes data when built")
+    plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert _unbounded_global_windows(plan) == []
