@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basalt.operators.metrics import PERIOD_SECONDS
+from basalt.operators.metrics import PERIOD_SECONDS, covering_range
 
 RULE_SCHEMA = "alarm string, metric string, comparison string, threshold double, statistic string"
 GREATER, LESS = "GreaterThanThreshold", "LessThanThreshold"
@@ -70,8 +70,20 @@ def alarm_history(stats: DataFrame, rule_df: DataFrame) -> DataFrame:
                     F.coalesce("prev_breach", F.lit(False)).alias("prev_breach"), state.alias("state"))
 
 
+def evaluation_range(as_of: dt.datetime) -> tuple[dt.datetime, dt.datetime]:
+    """``ts`` range of the points that decide the states at ``as_of``.
+
+    Restrict the points to it (:func:`basalt.operators.metrics.in_range`)
+    before the five-minute statistics: the filter reaches the scan, so the
+    states at one time read two periods of points, not the whole history."""
+    return covering_range(as_of - dt.timedelta(seconds=PERIOD_SECONDS * EVALUATION_PERIODS), as_of)
+
+
 def alarm_states(stats: DataFrame, rule_df: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """The state of every rule at ``as_of`` from the two periods ending there."""
+    """The state of every rule at ``as_of`` from the two periods ending there.
+
+    ``stats`` may cover any span; only periods starting in the two periods
+    before ``as_of`` count (see :func:`evaluation_range` to read no more)."""
     first = as_of - dt.timedelta(seconds=PERIOD_SECONDS * EVALUATION_PERIODS)
     recent = stats.where((F.col("period_start") >= F.lit(first)) & (F.col("period_start") < F.lit(as_of)))
     per = rule_periods(recent, rule_df)
@@ -80,7 +92,7 @@ def alarm_states(stats: DataFrame, rule_df: DataFrame, as_of: dt.datetime) -> Da
                                    F.max_by("value", "period_start").alias("last_value"))
     state = (F.when(F.coalesce("periods_with_data", F.lit(0)) == 0, F.lit(INSUFFICIENT))
              .when(F.col("breaching_periods") == EVALUATION_PERIODS, F.lit(ALARM)).otherwise(F.lit(OK)))
-    return (F.broadcast(rule_df).join(agg, "alarm", "left")
+    return (rule_df.join(F.broadcast(agg), "alarm", "left")  # agg: at most one row per rule
             .select("alarm", "metric", "comparison", "threshold", "statistic",
                     F.coalesce("periods_with_data", F.lit(0)).cast("bigint").alias("periods_with_data"),
                     F.coalesce("breaching_periods", F.lit(0)).cast("bigint").alias("breaching_periods"),

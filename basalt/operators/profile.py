@@ -122,7 +122,8 @@ def column_summary(df: DataFrame, approx: bool = False) -> DataFrame:
                       F.count("value").alias("distinct")))
     meta = _dtypes(df)
     pct = lambda x: F.coalesce(F.round(F.try_divide(x * 100.0, rows), 2), F.lit(0.0))
-    return (F.broadcast(meta).join(stats, "column", "left")
+    # one row per column on both sides; the aggregated side is the one a left join can broadcast
+    return (meta.join(F.broadcast(stats), "column", "left")
             .select("column", "dtype",
                     F.coalesce("non_null", F.lit(0)).cast("bigint").alias("non_null"),
                     (rows - F.coalesce("non_null", F.lit(0))).cast("bigint").alias("nulls"),

@@ -62,7 +62,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
     found = res.select("column", "prob", value.alias("value"))
     # columns without any value still get a (NULL) row per prob
     all_cols = df.sparkSession.createDataFrame([(c, float(p)) for c in cols for p in probs], "column string, prob double")
-    return F.broadcast(all_cols).join(found, ["column", "prob"], "left")
+    return all_cols.join(F.broadcast(found), ["column", "prob"], "left")  # found: <= one row per (column, prob)
 
 
 def quantile_columns(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:

@@ -243,6 +243,12 @@ def alarm_history(spark, sf_dir):
 AS_OF_ALARMS = dt.datetime(2024, 1, 30, 12, 0, 0)
 
 
+def _recent_stats(spark, sf_dir):
+    """Statistics of the periods that decide the states at AS_OF_ALARMS; the ts
+    range is pushed through the point generator into the events scan."""
+    return _stats(X.in_range(_all_points(spark, sf_dir), *A.evaluation_range(AS_OF_ALARMS)))
+
+
 @register("alarm_states", oracle=V.with_views("""
 SELECT r.alarm, r.metric, r.comparison, r.threshold, r.statistic,
        coalesce(a.n, 0) AS periods_with_data, coalesce(a.b, 0) AS breaching_periods, a.last_value,
@@ -254,7 +260,7 @@ FROM rules r LEFT JOIN (
     pts=ALL_POINTS_SQL, st=STATS_SQL, rules=RULES_SQL, rp=RULE_PERIODS_SQL))
 def alarm_states(spark, sf_dir):
     """State of every rule at 2024-01-30 12:00."""
-    return A.alarm_states(_stats(_all_points(spark, sf_dir)), A.rules(spark, TEST_RULES), AS_OF_ALARMS)
+    return A.alarm_states(_recent_stats(spark, sf_dir), A.rules(spark, TEST_RULES), AS_OF_ALARMS)
 
 
 @register("alarm_state_counts", oracle=V.with_views("""
@@ -268,7 +274,7 @@ SELECT state, count(*) AS alarms FROM (
 GROUP BY state""", pts=ALL_POINTS_SQL, st=STATS_SQL, rules=RULES_SQL, rp=RULE_PERIODS_SQL))
 def alarm_state_counts(spark, sf_dir):
     """Rules per state among those named DataLake*."""
-    states = A.alarm_states(_stats(_all_points(spark, sf_dir)), A.rules(spark, TEST_RULES), AS_OF_ALARMS)
+    states = A.alarm_states(_recent_stats(spark, sf_dir), A.rules(spark, TEST_RULES), AS_OF_ALARMS)
     return A.state_counts(states, "DataLake")
 
 

@@ -74,3 +74,24 @@ def test_no_global_window_over_unbounded_input(spark, sf_dir, name):
         pytest.skip("writes data when built")
     plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert _unbounded_global_windows(plan) == []
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_interpreted_lambda_in_plans(spark, sf_dir, name):
+    """Higher-order functions (``filter``/``transform`` with a lambda) run
+    outside whole-stage codegen; none may sit in a registered query's plan."""
+    if name.startswith(("lake_ingest", "stream_", "io_", "catalog_", "ingest_quarantine")):
+        pytest.skip("writes data when built")
+    plan = _plan(entry.queries()[name](spark, sf_dir))
+    assert "lambdafunction" not in plan
+
+
+def test_alarm_states_scan_reads_two_periods(spark, sf_dir):
+    df = entry.queries()["alarm_states"](spark, sf_dir)
+    plan = _plan(df)
+    assert "GreaterThanOrEqual(ts,2024-01-30T11:50)" in plan and "LessThan(ts,2024-01-30T12:00)" in plan
+
+
+def test_time_filter_on_points_reaches_scan(spark, sf_dir):
+    plan = _plan(entry.queries()["metric_last_hours"](spark, sf_dir))
+    assert "GreaterThanOrEqual(ts,2024-01-30T00:00)" in plan

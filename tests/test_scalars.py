@@ -59,3 +59,12 @@ def test_timestamp_text(spark):
     assert df.select(S.timestamp_text("t"), S.timestamp_text("t", True)).first() == ("2024-01-02 03:04:05",
                                                                                      "2024-01-02 03:04")
     assert F is not None
+
+
+def test_covering_range_rounds_up_to_periods():
+    import datetime as dt
+    from basalt.operators.metrics import covering_range
+    d = dt.datetime
+    assert covering_range(d(2024, 1, 30, 11, 50), d(2024, 1, 30, 12, 0)) == (d(2024, 1, 30, 11, 50), d(2024, 1, 30, 12, 0))
+    assert covering_range(d(2024, 1, 30, 11, 51, 0, 1), d(2024, 1, 30, 12, 0, 0, 5)) == \
+        (d(2024, 1, 30, 11, 55), d(2024, 1, 30, 12, 5))
