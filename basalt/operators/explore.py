@@ -113,8 +113,10 @@ def filter_values(df: DataFrame, column: str, values) -> DataFrame:
     ``values`` may be a list (``isin``) or a one-column DataFrame (left semi
     join, for long lists)."""
     if isinstance(values, DataFrame):
+        # a semi join emits each row once whatever the repeats in ``values``,
+        # so no distinct (and no extra shuffle) is needed on that side
         v = values.select(values.columns[0]).withColumnRenamed(values.columns[0], "__v")
-        return df.join(v.distinct(), _q(column) == F.col("__v"), "left_semi")
+        return df.join(v, _q(column) == F.col("__v"), "left_semi")
     vals = list(values)
     if not vals:
         return df

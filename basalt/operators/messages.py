@@ -49,12 +49,13 @@ def resolve_target(messages: DataFrame, default_bucket: str, body: str = "body")
     routes the message to quarantine (D22).
     """
     b = F.col(body)
-    first = F.get(F.from_json(b, RECORDS_SCHEMA)["Records"], 0)["s3"]
-    # parse once: the outer projection only reads these columns (a projection
-    # holding from_json is not collapsed into its consumers)
+    # Streaming path lookups: only the two fields of the first record are read,
+    # the Records array is never materialised (``from_json`` of the whole
+    # schema costs about twice as much).  Parsed once: the outer projection
+    # only reads these columns.
     parsed = messages.select("*", body_kind(b).alias("body_kind"),
-                             F.try_url_decode(first["object"]["key"]).alias("_rec_key"),
-                             first["bucket"]["name"].alias("_rec_bucket"),
+                             F.try_url_decode(F.get_json_object(b, "$.Records[0].s3.object.key")).alias("_rec_key"),
+                             F.get_json_object(b, "$.Records[0].s3.bucket.name").alias("_rec_bucket"),
                              F.get_json_object(b, "$.key").alias("_obj_key"))
     kind, rec_key = F.col("body_kind"), F.col("_rec_key")
     key = (F.when(rec_key.isNotNull(), rec_key)

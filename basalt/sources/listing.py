@@ -34,6 +34,22 @@ def list_lake(spark: SparkSession, raw_root: str, processed_root: str) -> DataFr
     return list_files(spark, raw_root, "raw").unionByName(list_files(spark, processed_root, "processed"))
 
 
+def list_store(spark: SparkSession, raw_root: str, processed_root: str, processed_prefix: str) -> DataFrame:
+    """S8 + F17 with one source per file.
+
+    The raw store is listed whole and the processed store below
+    ``processed_prefix``.  When both are the same root (one bucket for both,
+    as in the shipped settings) the root is listed once and a file is
+    ``processed`` when its key starts with ``processed_prefix``, else ``raw``;
+    listing it twice would count every processed file under both sources."""
+    if raw_root.rstrip("/") != processed_root.rstrip("/"):
+        return list_files(spark, raw_root, "raw").unionByName(
+            list_files(spark, processed_root, "processed", processed_prefix))
+    one = list_files(spark, raw_root, "raw")
+    src = F.when(F.col("key").startswith(processed_prefix), F.lit("processed")).otherwise(F.lit("raw"))
+    return one.withColumn("source", src)
+
+
 def _escape(text: str) -> str:
     out = []
     for ch in text:

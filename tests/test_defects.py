@@ -95,3 +95,62 @@ def test_d26_both_log_formats_parse(spark):
     got = logs.recent_errors(df, dt.datetime(2024, 1, 31), 24).collect()
     assert len(got) == 3
     assert sum(1 for r in got if r["log_ts"] is None) == 1
+
+
+def test_d7_recent_processed_looks_at_every_file(spark):
+    from basalt.operators import manifest
+    base = dt.datetime(2024, 1, 1)
+    # 60 processed keys; the newest sort last by key, beyond the first 50
+    rows = [(f"processed/events/f{i:03d}.parquet", 1024, base + dt.timedelta(hours=i), "processed") for i in range(60)]
+    df = spark.createDataFrame(rows, "key string, size long, modified timestamp, source string")
+    got = [r["key"] for r in manifest.recent_processed(df, 5).collect()]
+    assert got == [f"processed/events/f{i:03d}.parquet" for i in (59, 58, 57, 56, 55)]
+
+
+def test_d11_value_filter_and_search_are_anded(spark):
+    rows = [(1, "red", "apple pie"), (2, "red", "plum"), (3, "blue", "apple"), (4, "red", "Apple tart")]
+    df = spark.createDataFrame(rows, "id long, colour string, text string")
+    got = explore.explore(df, {"colour": ["red"]}, "apple", 1, 20, [F.asc("id")])
+    assert [r["id"] for r in got.collect()] == [1, 4]
+
+
+def test_d14_mean_time_is_weighted_by_samples(spark):
+    from basalt.operators import metrics
+    stats = spark.createDataFrame([("ProcessingTime", 10.0, 10.0, 1), ("ProcessingTime", 20.0, 5.0, 4)],
+                                  "metric string, sum double, average double, samples long")
+    r = metrics.key_figures(stats).first()
+    assert r["mean_time"] == 6.0 and r["mean_time_unweighted"] == 7.5
+
+
+def test_d16_text_result_shows_twenty_data_rows(spark):
+    from basalt.operators import sql
+    df = spark.createDataFrame([(i, None if i == 0 else f"v{i}") for i in range(25)], "n long, v string")
+    rows = sql.as_text(df, order=[F.asc("n")]).collect()
+    assert len(rows) == 20 and rows[0]["v"] == "NULL" and rows[0]["rows_left"] == 5
+
+
+def test_d17_redrive_policy_is_json_text(spark):
+    attrs = spark.createDataFrame([({"ApproximateNumberOfMessages": "7",
+                                     "RedrivePolicy": '{"deadLetterTargetArn":"arn:q","maxReceiveCount":"5"}'},)],
+                                  "attributes map<string,string>")
+    r = messages.queue_attributes(attrs).first()
+    assert r["messages_available"] == 7 and r["messages_in_flight"] == 0 and r["max_receive_count"] == "5"
+
+
+def test_d23_delayed_messages_are_counted_apart(spark):
+    df = spark.createDataFrame([("available",), ("delayed",), ("delayed",), ("in_flight",)], "status string")
+    r = messages.queue_depth(df).first()
+    assert (r["messages_available"], r["messages_in_flight"], r["messages_delayed"]) == (1, 1, 2)
+
+
+def test_d25_shared_store_lists_each_file_once(spark, tmp_path):
+    from basalt.sources import listing
+    for rel in ("raw/events/incoming/a.jsonl", "raw/events/incoming/b.jsonl", "processed/events/c.parquet"):
+        p = tmp_path / rel
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_bytes(b"x")
+    root = str(tmp_path)
+    m = listing.list_store(spark, root, root, "processed/events/")
+    got = sorted((r["key"], r["source"]) for r in m.collect())
+    assert got == [("processed/events/c.parquet", "processed"), ("raw/events/incoming/a.jsonl", "raw"),
+                   ("raw/events/incoming/b.jsonl", "raw")]
