@@ -154,3 +154,14 @@ def test_d25_shared_store_lists_each_file_once(spark, tmp_path):
     got = sorted((r["key"], r["source"]) for r in m.collect())
     assert got == [("processed/events/c.parquet", "processed"), ("raw/events/incoming/a.jsonl", "raw"),
                    ("raw/events/incoming/b.jsonl", "raw")]
+
+
+def test_m1_body_kind_edges(spark):
+    bodies = [("a", '{"k": 1}'), ("b", ' \n {"k": 1}'), ("c", "[1, 2]"), ("d", ' "s"'), ("e", "-3.5"),
+              ("f", "true"), ("g", "true story"), ("h", "raw/x.jsonl"), ("i", "{broken"), ("j", "null"),
+              ("k", '{"k": 1} x'), ("l", "[1, 2] x"), ("m", '"s" x'), ("n", "12 ab"), ("o", '"a\\"b"'), ("p", "1e5")]
+    df = spark.createDataFrame(bodies, "id string, body string")
+    got = {r["id"]: r["k"] for r in df.select("id", messages.body_kind("body").alias("k")).collect()}
+    assert got == {"a": "object", "b": "object", "c": "json", "d": "json", "e": "json", "f": "json",
+                   "g": "text", "h": "text", "i": "text", "j": "json", "k": "text", "l": "text", "m": "text",
+                   "n": "text", "o": "json", "p": "json"}
