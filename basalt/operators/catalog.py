@@ -77,7 +77,7 @@ def register_parquet_table(spark: SparkSession, database: str, table: str, locat
     spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({', '.join(cols)}) USING PARQUET{part} LOCATION '{location}'")
     if partition_keys and repair:
         spark.sql(f"MSCK REPAIR TABLE {full} SYNC PARTITIONS")
-    return spark.catalog.tableExists(table, database)
+    return spark.catalog.tableExists(f"{database}.{table}")
 
 
 def table_location(path: str) -> str:
@@ -164,7 +164,7 @@ def discover_tables(spark: SparkSession, database: str, root: str, drop_missing:
         found.add(name)
         location = f"{base}/{row['folder']}"
         keys = partition_keys_of(row["sample"])
-        existed = spark.catalog.tableExists(name, database)
+        existed = spark.catalog.tableExists(f"{database}.{name}")
         if existed:
             if keys:
                 spark.sql(f"MSCK REPAIR TABLE {_q(database)}.{_q(name)} SYNC PARTITIONS")
