@@ -133,50 +133,69 @@ def column_summary(df: DataFrame, approx: bool = False) -> DataFrame:
                     "position"))
 
 
+def _percentile_method(df: DataFrame, cols: list[str], approx: bool, quantile_method: str) -> str:
+    if approx:
+        return "approx"
+    if quantile_method != "auto":
+        return quantile_method
+    from basalt.operators.quantiles import choose_method
+    return choose_method(df, cols)
+
+
 def numeric_stats(df: DataFrame, approx: bool = False, quantile_method: str = "auto") -> DataFrame:
     """Min, max, mean (2 dp), median, std (2 dp) of each numeric column.
 
     The exact median comes from :func:`basalt.operators.quantiles.quantile_table`
-    (map-based only when the distinct count is checked small, else a distributed sort)."""
+    with the plan picked by its size check, as a separate one-row aggregate:
+    ``percentile`` makes an ``ObjectHashAggregate``, which has no codegen, so
+    the other statistics stay in their own (codegen) hash aggregate."""
     cols = numeric_columns(df)
+    method = _percentile_method(df, cols, approx, quantile_method)
     norm = normalize(df.select(*[_q(c) for c in cols]))
     aggs = []
     for c in cols:
         x = _q(c).cast("double")
-        extra = [F.percentile_approx(x, 0.5, 10000).cast("double").alias("median")] if approx else []
+        extra = []
+        if method == "approx":
+            extra = [F.percentile_approx(x, 0.5, 10000).cast("double").alias("median")]
         aggs.append(F.struct(F.lit(c).alias("column"), F.min(x).alias("min"), F.max(x).alias("max"),
                              F.round(F.avg(x), 2).alias("mean"), F.round(F.stddev_samp(x), 2).alias("std"),
                              *extra).alias(c))
     wide = norm.agg(*aggs)
     stats = wide.select(F.explode(F.array(*[_q(c) for c in cols])).alias("s")).select("s.*")
-    if not approx:
+    if method != "approx":
         from basalt.operators.quantiles import quantile_table
-        med = quantile_table(df, cols, [0.5], method=quantile_method).select("column", F.col("q0").alias("median"))
+        med = quantile_table(df, cols, [0.5], method=method).select("column", F.col("q0").alias("median"))
         stats = stats.join(F.broadcast(med), "column", "left")  # one row per column on both sides
     return stats.select("column", "min", "max", "mean", "median", "std")
 
 
 def describe(df: DataFrame, approx: bool = False, quantile_method: str = "auto") -> DataFrame:
-    """Count, mean, std, min, 25 %, 50 %, 75 %, max of each numeric column (exact
-    quartiles through the size-checked :func:`basalt.operators.quantiles.quantile_table`)."""
+    """Count, mean, std, min, 25 %, 50 %, 75 %, max of each numeric column
+    (exact quartiles from :func:`basalt.operators.quantiles.quantile_table`, plan
+    picked once by its size check; joined as in :func:`numeric_stats`)."""
     cols = numeric_columns(df)
+    method = _percentile_method(df, cols, approx, quantile_method)
+    probs = [0.25, 0.5, 0.75]
     norm = normalize(df.select(*[_q(c) for c in cols]))
     aggs = []
     for c in cols:
         x = _q(c).cast("double")
-        extra = [F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).cast("array<double>").alias("q")] if approx else []
+        extra = []
+        if method == "approx":
+            extra = [F.percentile_approx(x, probs, 10000).cast("array<double>").alias("q")]
         aggs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
                              F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
                              *extra).alias(c))
     wide = norm.agg(*aggs)
     s = wide.select(F.explode(F.array(*[_q(c) for c in cols])).alias("s")).select("s.*")
-    if approx:
-        s = s.select("*", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"))
-    else:
+    if method != "approx":
         from basalt.operators.quantiles import quantile_table
-        q = quantile_table(df, cols, [0.25, 0.5, 0.75], method=quantile_method)
+        q = quantile_table(df, cols, probs, method=method)
         s = s.join(F.broadcast(q.select("column", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
                                         F.col("q2").alias("p75"))), "column", "left")
+    else:
+        s = s.select("*", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"))
     return s.select("column", "count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"),
                     "min", "p25", "p50", "p75", "max")
 

@@ -77,21 +77,32 @@ def quantile_columns(df: DataFrame, columns: list[str], probs: list[float]) -> D
 MAP_PERCENTILE_MAX_DISTINCT = 1_000_000
 
 
+def choose_method(df: DataFrame, columns: list[str], max_distinct: int = MAP_PERCENTILE_MAX_DISTINCT) -> str:
+    """``map`` when every column has at most ``max_distinct`` distinct values, else ``sort``.
+
+    The row count bounds the distinct count, and on a Parquet scan Spark takes
+    it from the file footers; only when it exceeds the limit are the distinct
+    values estimated with HLL (one pass, one number per column to the driver)."""
+    if df.count() <= max_distinct:
+        return "map"
+    cols = list(columns)
+    vals = normalize(df.select(*[_q(c).cast("double").alias(c) for c in cols]))
+    est = vals.agg(*[F.approx_count_distinct(_q(c)).alias(c) for c in cols]).first()
+    return "map" if max(int(est[c] or 0) for c in cols) <= max_distinct else "sort"
+
+
 def quantile_table(df: DataFrame, columns: list[str], probs: list[float],
                    max_distinct: int = MAP_PERCENTILE_MAX_DISTINCT, method: str = "auto") -> DataFrame:
     """(column, q0, q1, ...): exact quantiles, choosing the plan by a size check.
 
-    ``auto`` estimates the distinct values of every column (HLL, one cheap
-    pass, one number per column to the driver).  When all are at most
-    ``max_distinct`` the single-pass map-based ``percentile`` is exact and
-    bounded; otherwise the distributed sort of :func:`exact_quantiles` runs.
-    ``method="map"`` / ``"sort"`` force a plan.
+    ``auto`` asks :func:`choose_method`: when every column has at most
+    ``max_distinct`` values the single-pass map-based ``percentile`` is exact
+    and bounded; otherwise the distributed sort of :func:`exact_quantiles`
+    runs.  ``method="map"`` / ``"sort"`` force a plan.
     """
     cols = list(columns)
     if method == "auto":
-        vals = normalize(df.select(*[_q(c).cast("double").alias(c) for c in cols]))
-        est = vals.agg(*[F.approx_count_distinct(_q(c)).alias(c) for c in cols]).first()
-        method = "map" if max(int(est[c] or 0) for c in cols) <= max_distinct else "sort"
+        method = choose_method(df, cols, max_distinct)
     if method == "sort":
         return quantile_columns(df, cols, probs)
     vals = normalize(df.select(*[_q(c).cast("double").alias(c) for c in cols]))

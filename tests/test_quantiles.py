@@ -28,3 +28,21 @@ def test_auto_switches_to_sort_above_the_bound(spark):
     df = spark.range(500).select((F.col("id") * 1.5).alias("x"))
     auto = quantile_table(df, ["x"], [0.5], max_distinct=10).first()["q0"]
     assert auto == 374.25
+
+
+def test_describe_and_numeric_stats_agree_across_plans(spark):
+    from basalt.operators import profile
+    df = spark.range(2000).select((F.col("id") % 97).alias("a"), (F.col("id") / 3.0).alias("b"),
+                                  F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id")).alias("c"))
+    for fn in (profile.describe, profile.numeric_stats):
+        fused = sorted(map(tuple, fn(df, quantile_method="map").collect()))
+        sort = sorted(map(tuple, fn(df, quantile_method="sort").collect()))
+        assert fused == sort
+
+
+def test_choose_method_by_row_count_then_sketch(spark):
+    from basalt.operators.quantiles import choose_method
+    df = spark.range(500).select((F.col("id") % 20).alias("x"), F.col("id").alias("y"))
+    assert choose_method(df, ["x", "y"]) == "map"                      # 500 rows bound the distinct count
+    assert choose_method(df, ["x"], max_distinct=100) == "map"         # HLL: about 20 distinct values
+    assert choose_method(df, ["x", "y"], max_distinct=100) == "sort"   # y has 500
