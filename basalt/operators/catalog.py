@@ -124,7 +124,7 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
 
 def table_schema(spark: SparkSession, database: str, table: str) -> DataFrame:
     """(column, type, is_partition) of a table."""
-    cols = spark.catalog.listColumns(table, database)
+    cols = spark.catalog.listColumns(f"{database}.{table}")
     rows = [(c.name, c.dataType, bool(c.isPartition)) for c in cols]
     return spark.createDataFrame(rows, "column string, type string, is_partition boolean")
 
@@ -133,7 +133,7 @@ def tables_detail(spark: SparkSession, database: str) -> DataFrame:
     """Every table with its column count and location."""
     rows = []
     for t in spark.catalog.listTables(database):
-        n_cols = len(spark.catalog.listColumns(t.name, database))
+        n_cols = len(spark.catalog.listColumns(f"{database}.{t.name}"))
         desc = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(database)}.{_q(t.name)}")
         loc = desc.where(F.col("col_name") == "Location").select("data_type").first()
         rows.append((t.name, n_cols, loc[0] if loc else None))

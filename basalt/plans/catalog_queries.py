@@ -1,5 +1,6 @@
 """Catalog queries (C1-C10): tables written from the given data, registered,
-discovered and described.  Table lists and schemas are checked as rows."""
+discovered and described.  Table lists and schemas are checked against the
+oracle's own view of the tables (DuckDB ``DESCRIBE``) through the C6 type map."""
 
 from __future__ import annotations
 
@@ -45,7 +46,10 @@ def catalog_type_map(spark, sf_dir):
     return out.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
 
 
-@register("catalog_discover")
+@register("catalog_discover", oracle="""
+SELECT 'events' AS "table", 'created' AS action, CAST((SELECT count(*) FROM (DESCRIBE events)) + 3 AS INTEGER) AS columns
+UNION ALL
+SELECT 'orders', 'created', CAST((SELECT count(*) FROM (DESCRIBE orders)) AS INTEGER)""")
 def catalog_discover(spark, sf_dir):
     """C10 + C7/C8: crawl the lake root; tables created, listed with column counts."""
     root = _lake(spark, sf_dir)
@@ -55,7 +59,23 @@ def catalog_discover(spark, sf_dir):
     return actions.join(detail, "table").select("table", "action", "columns")
 
 
-@register("catalog_table_schema")
+# C6 on DuckDB's own column types of ``events``, then the three partition keys.
+LAKE_SCHEMA_SQL = """
+SELECT column_name AS "column",
+       CASE WHEN column_type IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'HUGEINT', 'UTINYINT', 'USMALLINT',
+                                 'UINTEGER', 'UBIGINT') THEN 'bigint'
+            WHEN column_type IN ('FLOAT', 'DOUBLE') THEN 'double'
+            WHEN column_type = 'BOOLEAN' THEN 'boolean'
+            WHEN column_type LIKE 'TIMESTAMP%' THEN 'timestamp'
+            ELSE 'string' END AS type,
+       false AS is_partition
+FROM (DESCRIBE events)
+UNION ALL
+SELECT * FROM (VALUES ('year', 'string', true), ('month', 'string', true), ('day', 'string', true))
+    p("column", type, is_partition)"""
+
+
+@register("catalog_table_schema", oracle=LAKE_SCHEMA_SQL)
 def catalog_table_schema(spark, sf_dir):
     """Schema of a discovered table (column, lake type, partition flag)."""
     root = _lake(spark, sf_dir)
