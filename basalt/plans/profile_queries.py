@@ -204,23 +204,28 @@ def profile_quality_score_lineitem(spark, sf_dir):
     return P.quality_score(V.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity"))
 
 
-@register("profile_date_like", oracle=V.with_views("""
+DATE_LIKE_SQL = """
 SELECT "column", round(share, 4) AS parsed_share FROM (
   SELECT "column", avg(CASE WHEN try_cast(value AS TIMESTAMP) IS NOT NULL THEN 1.0 ELSE 0.0 END) AS share
   FROM (SELECT "column", value, row_number() OVER (PARTITION BY "column" ORDER BY c_custkey) AS rn
         FROM (""" + "\n UNION ALL\n".join(
     f"""SELECT '{c}' AS "column", c_custkey, {c} AS value FROM ca WHERE {c} IS NOT NULL""" for c in CA_TEXT) + """))
-  WHERE rn <= 100 GROUP BY "column") WHERE share > 0.8""", ca=CA_SQL))
+  WHERE rn <= 100 GROUP BY "column") WHERE share > 0.8"""
+
+
+@register("profile_date_like", oracle=V.with_views(DATE_LIKE_SQL, ca=CA_SQL))
 def profile_date_like(spark, sf_dir):
     """Text columns whose first 100 values (by customer key) parse as dates."""
     return P.date_like(customer_activity(spark, sf_dir), ["c_custkey"])
 
 
-@register("profile_categorical", oracle=V.with_views("\nUNION ALL\n".join(
+CATEGORICAL_SQL = "\nUNION ALL\n".join(
     f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS "distinct",
         round(count(DISTINCT {c}) / count(*), 4) AS ratio FROM ca
-        HAVING count(DISTINCT {c}) / count(*) < 0.05 AND count(DISTINCT {c}) > 1""" for c, _ in CA_COLUMNS),
-    ca=CA_SQL))
+        HAVING count(DISTINCT {c}) / count(*) < 0.05 AND count(DISTINCT {c}) > 1""" for c, _ in CA_COLUMNS)
+
+
+@register("profile_categorical", oracle=V.with_views(CATEGORICAL_SQL, ca=CA_SQL))
 def profile_categorical(spark, sf_dir):
     """Low-cardinality columns."""
     df = customer_activity(spark, sf_dir)
@@ -295,7 +300,24 @@ def profile_sample(spark, sf_dir):
     return P.sample_rows(V.table(spark, sf_dir, "part"), 10, seed=7)
 
 
-@register("profile_report")
+def _report_sql():
+    """P19 in SQL: the sections of the report from the per-operator oracle texts."""
+    q = _quality_sql(CA_COLUMNS, "ca", ["c_custkey"])
+    quality = "\nUNION ALL\n".join(
+        f"SELECT 'quality' AS section, '{k}' AS name, CAST({k} AS VARCHAR) AS value FROM q"
+        for k in ("score", "total_issues", "duplicate_rows", "empty_columns", "high_cardinality_columns"))
+    date_like = DATE_LIKE_SQL
+    categorical = CATEGORICAL_SQL
+    ids = _id_sql(CA_COLUMNS, "ca")
+    return V.with_views(f"""{quality}
+UNION ALL SELECT 'basic', 'rows', CAST(count(*) AS VARCHAR) FROM ca
+UNION ALL SELECT 'basic', 'columns', '{len(CA_COLUMNS)}'
+UNION ALL SELECT 'date_column', "column", CAST(parsed_share AS VARCHAR) FROM ({date_like})
+UNION ALL SELECT 'categorical_column', "column", CAST("distinct" AS VARCHAR) FROM ({categorical})
+UNION ALL SELECT 'id_column', "column", CAST(NULL AS VARCHAR) FROM ({ids})""", ca=CA_SQL, q=q)
+
+
+@register("profile_report", oracle=_report_sql())
 def profile_report(spark, sf_dir):
     """Full analysis of customer_activity as (section, name, value) rows."""
     return P.report(customer_activity(spark, sf_dir), ["c_custkey"])
