@@ -239,9 +239,10 @@ def null_counts(df: DataFrame) -> DataFrame:
                        ).select("s.*", "rows")
 
 
-def empty_columns(df: DataFrame) -> DataFrame:
+def empty_columns(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Columns with no value at all (a 0-row table has none, D10)."""
-    return null_counts(df).where((F.col("nulls") == F.col("rows")) & (F.col("rows") > 0)).select("column")
+    nc = counts if counts is not None else null_counts(df)
+    return nc.where((F.col("nulls") == F.col("rows")) & (F.col("rows") > 0)).select("column")
 
 
 def high_cardinality(summary: DataFrame, rows: Column) -> DataFrame:
@@ -289,9 +290,9 @@ def date_like(df: DataFrame, order_by: list[str], sample: int = DATE_SAMPLE, sha
     return shares.where(F.col("parsed_share") > share).select("column", F.round("parsed_share", 4).alias("parsed_share"))
 
 
-def null_share(df: DataFrame) -> DataFrame:
+def null_share(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Null cells over all cells, in %."""
-    nc = null_counts(df)
+    nc = counts if counts is not None else null_counts(df)
     n_cols = len(df.columns)
     return nc.agg(F.sum("nulls").alias("null_cells"), F.max("rows").alias("rows")).select(
         F.coalesce("null_cells", F.lit(0)).cast("bigint").alias("null_cells"),
@@ -304,9 +305,10 @@ def quality_score(df: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     rows = _row_count(df)
     summary = summary if summary is not None else column_summary(df)
     dup = duplicates(df)
-    n_empty = empty_columns(df).select(F.count(F.lit(1))).scalar()
+    counts = null_counts(df)  # one pass, read by both the empty-column and the null-share terms
+    n_empty = empty_columns(df, counts).select(F.count(F.lit(1))).scalar()
     n_high = high_cardinality(summary, rows).select(F.count(F.lit(1))).scalar()
-    nulls = null_share(df)
+    nulls = null_share(df, counts)
     d = dup.select(F.struct("duplicate_rows", "duplicate_pct")).scalar()  # one scan, one row
     dup_rows, dup_pct = d.getField("duplicate_rows"), d.getField("duplicate_pct")
     dup_pen = F.when(dup_rows > 0, F.least(dup_pct, F.lit(float(DUP_PENALTY_CAP)))).otherwise(F.lit(0.0))
