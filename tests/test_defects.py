@@ -165,3 +165,14 @@ def test_m1_body_kind_edges(spark):
     assert got == {"a": "object", "b": "object", "c": "json", "d": "json", "e": "json", "f": "json",
                    "g": "text", "h": "text", "i": "text", "j": "json", "k": "text", "l": "text", "m": "text",
                    "n": "text", "o": "json", "p": "json"}
+
+
+def test_d25_separate_stores_keep_their_labels(spark, tmp_path):
+    from basalt.sources import listing
+    for rel in ("raw/in/a.jsonl", "proc/processed/events/c.parquet", "proc/other/d.parquet"):
+        p = tmp_path / rel
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_bytes(b"x")
+    m = listing.list_store(spark, str(tmp_path / "raw"), str(tmp_path / "proc"), "processed/events/")
+    got = sorted((r["key"], r["source"]) for r in m.collect())
+    assert got == [("in/a.jsonl", "raw"), ("processed/events/c.parquet", "processed")]
