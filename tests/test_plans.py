@@ -95,3 +95,11 @@ def test_alarm_states_scan_reads_two_periods(spark, sf_dir):
 def test_time_filter_on_points_reaches_scan(spark, sf_dir):
     plan = _plan(entry.queries()["metric_last_hours"](spark, sf_dir))
     assert "GreaterThanOrEqual(ts,2024-01-30T00:00)" in plan
+
+
+@pytest.mark.parametrize("name", ["alarm_states", "profile_column_summary", "profile_describe"])
+def test_bounded_side_is_broadcast(spark, sf_dir, name):
+    """Joins of one-row-per-rule/column tables broadcast the bounded aggregate
+    (the preserved side of a left join cannot be the broadcast side)."""
+    plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
