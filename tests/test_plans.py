@@ -103,3 +103,12 @@ def test_bounded_side_is_broadcast(spark, sf_dir, name):
     (the preserved side of a left join cannot be the broadcast side)."""
     plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_message_bodies_parsed_once_under_a_filter(spark, sf_dir):
+    """The resolved filter must not copy the JSON parses below the parse step."""
+    from basalt.operators import messages
+    msgs = V.messages(V.table(spark, sf_dir, "events"))
+    df = messages.resolve_target(msgs, "b").where("resolved").select("bucket", "key")
+    plan = _plan(df)
+    assert plan.count("jsonObjectKeys") == 1 and plan.count("$.Records[0].s3.object.key") == 1
