@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basalt.llm import bpe, exact_dedup, mixing, token_output
+from basalt.llm import bpe, embedding_dedup, exact_dedup, minhash_dedup, mixing, token_output
 from basalt.llm.common import table
 from basalt.session import scratch_dir
 
@@ -84,3 +84,13 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "tokens")
     token_output.write_tokens(table(spark, sf_dir, "documents"), out, public_tokenizers.path("byte_bpe_50k.json"))
     return token_output.token_digests(spark, out)
+
+
+@query("op7_minhash_dedup")
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_dedup(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+
+
+@query("op9_embedding_dedup")
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_dedup(table(spark, sf_dir, "embeddings"))
