@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basalt.llm import bpe, embedding_dedup, exact_dedup, minhash_dedup, mixing, token_output
+from basalt.llm import bpe, embedding_dedup, exact_dedup, minhash_dedup, mixing, suffix_dedup, token_output
 from basalt.llm.common import table
 from basalt.session import scratch_dir
 
@@ -27,6 +27,11 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep="none", with_text=False)
+
+
 @query("op4_exact_dedup", oracle="""
     SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
            doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
