@@ -9,8 +9,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basalt.llm import bpe, embedding_dedup, exact_dedup, minhash_dedup, mixing, suffix_dedup, token_output
+from basalt.llm import (
+    bpe, embedding_dedup, exact_dedup, license_scan, minhash_dedup, mixing, quality, suffix_dedup, token_output, url_filter,
+)
 from basalt.llm.common import table
 from basalt.session import scratch_dir
 
@@ -27,6 +30,111 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+#: Crawl period of the derived captures (2024) and lead of the derived list, in epoch seconds.
+_YEAR_START, _YEAR, _LEAD = 1_704_067_200, 31_536_000, 15_768_000
+
+
+def captures_and_list(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Dated captures and list entries derived from ``pages``: every page is fetched once
+    and reports one entry, whose kind follows from its URL and whose dates and action
+    follow from a hash of its id."""
+    def drawn(purpose: str, modulo: int):
+        text = F.concat(F.col("page_id").cast("string"), F.lit(f"/{purpose}"))
+        return F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("long") % modulo
+
+    host = url_filter.host_of(F.col("url"))
+    kind = F.when(F.contains("url", F.lit("?")), "prefix").when(host.rlike(r"^(www|m|blog)[.]"), "domain").otherwise("host")
+    key = (F.when(F.col("kind") == "prefix", url_filter.prefix_of(F.col("url")))
+           .when(F.col("kind") == "domain", F.regexp_replace(host, r"^(www|m|blog)[.]", "")).otherwise(host))
+    captures = pages.select("page_id", "url", (drawn("fetch", _YEAR) + _YEAR_START).alias("fetched_at"))
+    entries = pages.select(
+        kind.alias("kind"), "url", F.col("page_id").alias("entry_id"),
+        (drawn("list", _YEAR + _LEAD) + (_YEAR_START - _LEAD)).alias("listed_at"),
+        F.when(drawn("action", 2) == 0, "block").otherwise("allow").alias("action"),
+        F.when(F.contains(host, F.lit("spam")), "spam").when(F.contains(host, F.lit("pills")), "pharmacy")
+        .otherwise("report").alias("category")).withColumn("key", key).drop("url")
+    return captures, entries
+
+
+@query("op1_url_filter", oracle=r"""
+    WITH p AS (
+      SELECT page_id, url, regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1),
+                                          '^.*@', ''), '\.?(:[0-9]*)?$', '') AS h0,
+             split_part(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/', 2) AS seg,
+             ('0x' || substr(md5(page_id || '/fetch'), 1, 7))::BIGINT % 31536000 + 1704067200 AS fetched_at,
+             ('0x' || substr(md5(page_id || '/list'), 1, 7))::BIGINT % 47304000 + 1688299200 AS listed_at,
+             ('0x' || substr(md5(page_id || '/action'), 1, 7))::BIGINT % 2 AS act
+      FROM pages),
+    c AS (SELECT *, nullif(lower(h0), '') AS host FROM p),
+    e AS (
+      SELECT page_id AS entry_id, listed_at, CASE WHEN act = 0 THEN 'block' ELSE 'allow' END AS action,
+             CASE WHEN contains(host, 'spam') THEN 'spam' WHEN contains(host, 'pills') THEN 'pharmacy'
+                  ELSE 'report' END AS category,
+             CASE WHEN contains(url, '?') THEN 'prefix' WHEN regexp_matches(host, '^(www|m|blog)[.]') THEN 'domain'
+                  ELSE 'host' END AS kind,
+             CASE WHEN contains(url, '?') THEN host || '/' || seg
+                  ELSE regexp_replace(host, CASE WHEN regexp_matches(host, '^(www|m|blog)[.]') THEN '^(www|m|blog)[.]'
+                                                 ELSE '^$' END, '') END AS key
+      FROM c),
+    v AS (
+      SELECT *, lead(listed_at) OVER (PARTITION BY kind, key ORDER BY listed_at, entry_id) AS valid_to
+      FROM e WHERE key IS NOT NULL AND key <> ''),
+    k AS (
+      SELECT page_id, 'prefix' AS kind, host || '/' || seg AS key FROM c
+      UNION SELECT page_id, 'host', host FROM c
+      UNION SELECT page_id, 'domain', array_to_string(list_slice(string_split(host, '.'), i, 1000), '.')
+      FROM (SELECT page_id, host, unnest(range(1, greatest(len(string_split(host, '.')), 2))) AS i FROM c)),
+    best AS (
+      SELECT c.page_id, arg_max({'kind': v.kind, 'key': v.key, 'action': v.action, 'category': v.category,
+                                 'listed_at': v.listed_at},
+                                CASE v.kind WHEN 'prefix' THEN 200 WHEN 'host' THEN 190
+                                     ELSE len(string_split(v.key, '.')) END) AS e
+      FROM c JOIN k USING (page_id) JOIN v ON v.kind = k.kind AND v.key = k.key
+       AND v.listed_at <= c.fetched_at AND (v.valid_to IS NULL OR c.fetched_at < v.valid_to)
+      GROUP BY c.page_id)
+    SELECT c.page_id, c.url, c.fetched_at, c.host, coalesce(e.action, 'allow') <> 'block' AS allowed,
+           e.kind AS kind, e.key AS key, e.category AS category, e.listed_at AS listed_at
+    FROM c LEFT JOIN best USING (page_id)""")
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(*captures_and_list(table(spark, sf_dir, "pages")))
+
+
+def _license_oracle() -> str:
+    """Every window against every template, by the exact containment."""
+    rows = ", ".join(f"('{n}', {len(license_scan.template_words(t))}, {license_scan.template_shingles(t)!r})"
+                     for n, t in sorted(license_scan.TEMPLATES.items()))
+    sizes = license_scan.CLASSES
+    bounds = ", ".join(f"({low}, {size})" for low, size in zip((0, *sizes[:-1]), sizes, strict=True))
+    return rf"""
+    WITH notices(license, n_words, phrases) AS (VALUES {rows}),
+    classes(low, size) AS (VALUES {bounds}),
+    d AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{license_scan._UPPER}', '{license_scan._LOWER}'),
+                                        '[a-z0-9]+') AS w
+      FROM documents),
+    s AS (SELECT doc_id, w, size, low, unnest(range(0, len(w), size)) AS first_word FROM d, classes),
+    g AS (
+      SELECT doc_id, size, low, first_word,
+             list_distinct([array_to_string(list_slice(w, i, i + {license_scan.SHINGLE - 1}), ' ') FOR i IN
+                            range(first_word + 1, least(first_word + 2 * size, len(w)) - {license_scan.SHINGLE - 2})]) AS have
+      FROM s),
+    m AS (
+      SELECT doc_id, license, first_word, len(list_intersect(have, phrases))::DOUBLE / len(phrases) AS share
+      FROM g JOIN notices ON n_words > low AND n_words <= size)
+    SELECT doc_id, license, max(share) AS containment, min(first_word)::INTEGER AS first_word, count(*) AS n_windows
+    FROM m WHERE share >= {license_scan.CONTAINMENT} GROUP BY ALL"""
+
+
+@query("op2_license_scan", oracle=_license_oracle())
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op3_suffix_dedup")
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep="none", with_text=False)
