@@ -83,3 +83,12 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     return (index.join(chains, ["bucket", "key", "text_sha256"])
             .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     "text_sha256"))
+
+
+def keep_exact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """The rows of ``df`` that stay, with all their columns; of rows that repeat an
+    id and its text one stays."""
+    marks = materialize(exact_dedup(df, id_col, text_col, **kw).where("kept").select("doc_id"), "exact-kept")
+    out = df.join(marks.withColumnRenamed("doc_id", "__kept"), F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi")
+    repeated = not marks.groupBy("doc_id").count().where("count > 1").isEmpty()
+    return out.dropDuplicates([id_col, text_col]) if repeated else out

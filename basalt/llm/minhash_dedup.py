@@ -207,3 +207,9 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     return (signed.select("doc_id", "n_shingles").join(final, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
+    """The rows of ``df`` whose document stands for its group, with all their columns."""
+    kept = near_dedup(df, id_col=id_col, **kw).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    return df.join(kept, F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi")
