@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from basalt.llm.common import prepare, text_of
 
-#: Words kept in a worker's memo, which starts anew when full, and their greatest length.
-MEMO_WORDS, MEMO_LENGTH = 300_000, 48
+#: Words in one generation of a worker's memo, and their greatest length.
+MEMO_WORDS, MEMO_LENGTH = 500_000, 48
 #: Keys per bucket of the minimal perfect hash, on average.
 BUCKET_KEYS = 2
 
@@ -117,6 +117,28 @@ def merge(piece: bytes, rank_of: dict[bytes, int]) -> list[int]:
     return out
 
 
+class Memo:
+    """A bounded memo in two generations: when the young one is full it becomes
+    the old one, and entries still in use move up.  Holds at most twice
+    MEMO_WORDS entries; long keys are not kept."""
+
+    def __init__(self) -> None:
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def find(self, key: str, make):
+        """The entry of a key, which ``make(key)`` gives if it is not known."""
+        value = self.young.get(key) or self.old.get(key) or make(key)
+        if len(key) <= MEMO_LENGTH:
+            self.young[key] = value
+        return value
+
+    def age(self) -> None:
+        """Call between documents: changes generations when the young one is full."""
+        if len(self.young) >= MEMO_WORDS:
+            self.old, self.young = self.young, {}
+
+
 class Bpe:
     """Encoder and decoder for one rank file and pre-token pattern."""
 
@@ -130,8 +152,7 @@ class Bpe:
         self.rank_of = dict(zip(tokens, ids, strict=True))
         self.token_of = dict(zip(ids, tokens, strict=True))
         self.split = regex.compile(pattern).findall
-        self.words: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.memo = Memo()
 
     def _piece(self, piece: str) -> list[int]:
         raw = piece.encode()
@@ -141,30 +162,14 @@ class Bpe:
     def _word(self, word: str) -> tuple[tuple[int, ...], str]:
         out: list[int] = []
         for piece in self.split(word):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = self._piece(piece)
-                if len(piece) <= MEMO_LENGTH:
-                    if len(self.pieces) >= MEMO_WORDS:
-                        self.pieces.clear()
-                    self.pieces[piece] = ids
-            out += ids
+            out += self._piece(piece)
         return tuple(out), " ".join(map(str, out))
 
-    def _known(self, word: str) -> tuple[tuple[int, ...], str]:
-        got = self.words.get(word)
-        if got is None:
-            got = self._word(word)
-            if len(word) <= MEMO_LENGTH:
-                if len(self.words) >= MEMO_WORDS:
-                    self.words.clear()
-                self.words[word] = got
-        return got
-
     def encode_with_text(self, text: str) -> tuple[list[int], str]:
         """The ids, and the same in decimal joined by blanks."""
-        get = self.words.get
-        found = [get(w) or self._known(w) for w in words(text)]
+        self.memo.age()
+        get, find, make = self.memo.young.get, self.memo.find, self._word
+        found = [get(w) or find(w, make) for w in words(text)]
         return list(chain.from_iterable([f[0] for f in found])), " ".join([f[1] for f in found])
 
     def encode(self, text: str) -> list[int]:
@@ -206,9 +211,9 @@ def coder(path: str, pattern: str) -> Bpe:
 
 
 def encode_documents(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-                     with_ids: bool = True) -> DataFrame:
-    """One row per input row: doc_id, n_tokens, ids_sha256, decoded_sha256 and, if
-    ``with_ids``, ids (array of int) and decoded (binary).
+                     with_ids: bool = True, with_bytes: bool = False) -> DataFrame:
+    """One row per input row: doc_id, n_tokens, ids_sha256, decoded_sha256; also ids
+    (array of int) if ``with_ids`` and decoded (binary) if ``with_bytes``.
 
     Texts are encoded whole, without special tokens; null counts as empty (no
     ids, empty bytes).  ``path`` is a rank file that every executor can read
@@ -219,8 +224,11 @@ def encode_documents(df: DataFrame, path: str, pattern: str, id_col: str = "doc_
               ("decoded_sha256", pa.string())]
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if with_ids:
-        fields += [("ids", pa.list_(pa.int32())), ("decoded", pa.binary())]
-        schema += ", ids array<int>, decoded binary"
+        fields.append(("ids", pa.list_(pa.int32())))
+        schema += ", ids array<int>"
+    if with_bytes:
+        fields.append(("decoded", pa.binary()))
+        schema += ", decoded binary"
     out_schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +241,8 @@ def encode_documents(df: DataFrame, path: str, pattern: str, id_col: str = "doc_
                 ids, decimal = c.encode_with_text(text)
                 raw = c.decode(ids)
                 row = [doc_id, len(ids), hashlib.sha256(decimal.encode()).hexdigest(), hashlib.sha256(raw).hexdigest()]
-                for col, v in zip(cols, row + [ids, raw] if with_ids else row, strict=True):
+                row += [ids] * with_ids + [raw] * with_bytes
+                for col, v in zip(cols, row, strict=True):
                     col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, (_, t) in zip(cols, fields, strict=True)],
                                              schema=out_schema)
