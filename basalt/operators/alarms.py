@@ -6,9 +6,9 @@ is in ALARM when the last two periods both breach.  A missing period counts
 as not breaching; with no data in either period the state is
 INSUFFICIENT_DATA.
 
-Rules are a handful of rows and are broadcast.  The two-period test is an
-equi-join of each (rule, period) with the (rule, period - 5 min) row, not a
-window: no task has to hold a metric's whole history.
+Rules are a handful of rows and are broadcast.  The two-period test is one
+aggregate over (rule, period): each row also stands as the predecessor of the
+next period, so no task has to hold a metric's whole history.
 """
 
 from __future__ import annotations
@@ -60,14 +60,25 @@ def rule_periods(stats: DataFrame, rule_df: DataFrame) -> DataFrame:
 
 
 def alarm_history(stats: DataFrame, rule_df: DataFrame) -> DataFrame:
-    """Per rule and period with data: value, breach, previous period's breach, state."""
+    """Per rule and period with data: value, breach, previous period's breach, state.
+
+    Every (rule, period) row is emitted twice, as itself and as the predecessor
+    of the next period, and both meet in one aggregate: the series is computed
+    once and no task holds a metric's history."""
     cur = rule_periods(stats, rule_df)
-    prev = cur.select("alarm", (F.col("period_start") + F.expr(f"INTERVAL {PERIOD_SECONDS} SECONDS")).alias("period_start"),
-                      F.col("breach").alias("prev_breach"))
-    h = cur.join(prev, ["alarm", "period_start"], "left")
-    state = F.when(F.col("breach") & F.coalesce("prev_breach", F.lit(False)), F.lit(ALARM)).otherwise(F.lit(OK))
-    return h.select("alarm", "metric", "period_start", "value", "breach",
-                    F.coalesce("prev_breach", F.lit(False)).alias("prev_breach"), state.alias("state"))
+    none = F.lit(None)
+    later = F.col("period_start") + F.expr(f"INTERVAL {PERIOD_SECONDS} SECONDS")
+    pair = F.inline(F.array(
+        F.struct(F.col("period_start").alias("at"), F.lit(True).alias("here"), F.col("value").alias("v"),
+                 F.col("breach").alias("b"), none.cast("boolean").alias("before")),
+        F.struct(later.alias("at"), F.lit(False).alias("here"), none.cast("double").alias("v"),
+                 none.cast("boolean").alias("b"), F.col("breach").alias("before"))))
+    both = cur.select("alarm", "metric", pair)
+    h = (both.groupBy("alarm", "metric", F.col("at").alias("period_start"))
+         .agg(F.max("here").alias("here"), F.max("v").alias("value"), F.max("b").alias("breach"),
+              F.coalesce(F.max("before"), F.lit(False)).alias("prev_breach")).where("here"))
+    state = F.when(F.col("breach") & F.col("prev_breach"), F.lit(ALARM)).otherwise(F.lit(OK))
+    return h.select("alarm", "metric", "period_start", "value", "breach", "prev_breach", state.alias("state"))
 
 
 def evaluation_range(as_of: dt.datetime) -> tuple[dt.datetime, dt.datetime]:

@@ -2,7 +2,9 @@
 
 DDL runs on the driver (it is metadata), but every piece of information it
 needs comes from Spark: schemas from Parquet footers, partitions from
-``MSCK REPAIR TABLE``, table folders from a distributed file listing.
+``MSCK REPAIR TABLE``, table folders from a listing of one level.  Tables are
+registered with the types of their files, so every column can be read back;
+the five lake types (C6) are what schemas show.
 """
 
 from __future__ import annotations
@@ -20,9 +22,13 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> bool:
     """Create the database when absent; True when it exists afterwards."""
-    loc = f" LOCATION '{location}'" if location else ""
+    loc = f" LOCATION {_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(database)}{loc}")
     return spark.catalog.databaseExists(database)
 
@@ -50,6 +56,11 @@ def lake_columns(schema: T.StructType, exclude: tuple = ()) -> list[tuple[str, s
     return [(f.name, lake_type(f.dataType)) for f in schema.fields if f.name not in exclude]
 
 
+def file_columns(schema: T.StructType, exclude: tuple = ()) -> list[tuple[str, str]]:
+    """(name, type as stored) for every column of a file schema."""
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields if f.name not in exclude]
+
+
 def conform(df: DataFrame) -> DataFrame:
     """C6 applied to data: cast each column to its lake type (complex types -> JSON text)."""
     out = []
@@ -74,7 +85,7 @@ def register_parquet_table(spark: SparkSession, database: str, table: str, locat
     cols += [f"{_q(p)} string" for p in partition_keys]
     part = f" PARTITIONED BY ({', '.join(_q(p) for p in partition_keys)})" if partition_keys else ""
     full = f"{_q(database)}.{_q(table)}"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({', '.join(cols)}) USING PARQUET{part} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({', '.join(cols)}) USING PARQUET{part} LOCATION {_text(location)}")
     if partition_keys and repair:
         spark.sql(f"MSCK REPAIR TABLE {full} SYNC PARTITIONS")
     return spark.catalog.tableExists(f"{database}.{table}")
@@ -113,7 +124,7 @@ def auto_register(spark: SparkSession, database: str, table: str, file_path: str
     schema = spark.read.parquet(file_path).schema
     keys = partition_keys_of(file_path)
     location = table_location(file_path)
-    cols = lake_columns(schema, exclude=tuple(keys))
+    cols = file_columns(schema, exclude=tuple(keys))
     return register_parquet_table(spark, database, table, location, cols, keys)
 
 
@@ -123,9 +134,10 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
 
 
 def table_schema(spark: SparkSession, database: str, table: str) -> DataFrame:
-    """(column, type, is_partition) of a table."""
-    cols = spark.catalog.listColumns(f"{database}.{table}")
-    rows = [(c.name, c.dataType, bool(c.isPartition)) for c in cols]
+    """(column, lake type, is_partition) of a table."""
+    schema = spark.table(f"{_q(database)}.{_q(table)}").schema
+    keys = {c.name for c in spark.catalog.listColumns(f"{database}.{table}") if c.isPartition}
+    rows = [(f.name, lake_type(f.dataType), f.name in keys) for f in schema.fields]
     return spark.createDataFrame(rows, "column string, type string, is_partition boolean")
 
 
@@ -140,49 +152,74 @@ def tables_detail(spark: SparkSession, database: str) -> DataFrame:
     return spark.createDataFrame(rows, "table string, columns int, location string")
 
 
+def _level(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(name, is a folder) of the entries of one folder, hidden ones left out."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    entries = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    found = [(e.getPath().getName(), e.isDirectory()) for e in entries]
+    return sorted(x for x in found if not x[0].startswith(("_", ".")))
+
+
+def _layout(spark: SparkSession, path: str) -> tuple[list[str], bool]:
+    """Partition keys of a table folder, and whether it holds a Parquet file, from the
+    first branch of the folder tree only."""
+    keys: list[str] = []
+    while True:
+        entries = _level(spark, path)
+        if any(not folder and name.endswith(".parquet") for name, folder in entries):
+            return keys, True
+        below = [name for name, folder in entries if folder]
+        if not below:
+            return keys, False
+        if "=" in below[0]:
+            keys.append(below[0].split("=", 1)[0])
+        path = f"{path}/{below[0]}"
+
+
+def _plain(location: str | None) -> str:
+    return re.sub(r"/+", "/", re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:", "", location or "")).rstrip("/")
+
+
 def discover_tables(spark: SparkSession, database: str, root: str, drop_missing: bool = True) -> DataFrame:
-    """One table per first-level folder under ``root`` (crawler).
+    """One table per first-level folder under ``root`` that holds Parquet files (crawler).
 
-    The folders come from Spark's parallel listing of the Parquet files; only
-    the distinct folder names (one per table) reach the driver.  Existing
-    tables are refreshed (``MSCK REPAIR .. SYNC PARTITIONS``), new ones are
-    created with the merged schema, tables whose folder is gone are dropped.
+    Only the first level of ``root`` and one branch of each table folder are
+    listed.  Existing tables are refreshed (``MSCK REPAIR .. SYNC PARTITIONS``),
+    new ones are created with the schema of their files, tables under this root
+    whose folder is gone are dropped; tables elsewhere are left alone.
     Returns (table, action) rows.
     """
     create_database(spark, database)
     base = root.rstrip("/")
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.parquet").load(base).select("path"))
-    tail = F.regexp_replace("path", r"^.*?" + re.escape(base.split(":", 1)[-1].lstrip("/")) + "/", "")
-    folders = (files.select(F.substring_index(tail, "/", 1).alias("folder"), tail.alias("rel"))
-               .where(F.col("rel").contains("/"))
-               .groupBy("folder").agg(F.min("rel").alias("sample")))
     actions = []
     found = set()
-    for row in folders.collect():  # one row per table folder
-        name = re.sub(r"[^A-Za-z0-9_]", "_", row["folder"]).lower()
+    for folder, is_folder in _level(spark, base):  # one entry per table folder
+        keys, holds_files = _layout(spark, f"{base}/{folder}") if is_folder else ([], False)
+        if not holds_files:
+            continue
+        name = re.sub(r"[^A-Za-z0-9_]", "_", folder).lower()
         found.add(name)
-        location = f"{base}/{row['folder']}"
-        keys = partition_keys_of(row["sample"])
-        existed = spark.catalog.tableExists(f"{database}.{name}")
-        if existed:
+        location = f"{base}/{folder}"
+        if spark.catalog.tableExists(f"{database}.{name}"):
             if keys:
                 spark.sql(f"MSCK REPAIR TABLE {_q(database)}.{_q(name)} SYNC PARTITIONS")
             spark.catalog.refreshTable(f"{database}.{name}")
             actions.append((name, "updated"))
         else:
             schema = spark.read.option("mergeSchema", True).parquet(location).schema
-            register_parquet_table(spark, database, name, location, lake_columns(schema, tuple(keys)), keys)
+            register_parquet_table(spark, database, name, location, file_columns(schema, tuple(keys)), keys)
             actions.append((name, "created"))
     if drop_missing:
-        for t in spark.catalog.listTables(database):
-            if t.name not in found and t.tableType == "EXTERNAL":
-                spark.sql(f"DROP TABLE IF EXISTS {_q(database)}.{_q(t.name)}")
-                actions.append((t.name, "dropped"))
+        below = _plain(base) + "/"
+        for row in tables_detail(spark, database).collect():  # one row per table
+            if row["table"] not in found and _plain(row["location"]).startswith(below):
+                spark.sql(f"DROP TABLE IF EXISTS {_q(database)}.{_q(row['table'])}")
+                actions.append((row["table"], "dropped"))
     return spark.createDataFrame(actions, "table string, action string")
 
 
 __all__ = ["PARTITION_COLUMNS", "auto_register", "conform", "create_database", "discover_tables",
-           "lake_columns", "lake_type", "list_tables", "partition_keys_col", "partition_keys_of",
+           "file_columns", "lake_columns", "lake_type", "list_tables", "partition_keys_col", "partition_keys_of",
            "register_parquet_table", "table_location", "table_location_col", "table_schema",
            "tables_detail"]

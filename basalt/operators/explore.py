@@ -37,26 +37,26 @@ def histogram(df: DataFrame, column: str, bins: int = HIST_BINS) -> DataFrame:
                           "count")
 
 
-def _quartiles(df: DataFrame, column: str, approx: bool, method: str = "auto") -> Column:
+def _quartiles(df: DataFrame, column: str, approx: bool) -> Column:
     """Scalar struct (q0, q1, q2) = 25 / 50 / 75 % of one column."""
     if approx:
         clean = normalize(df.select(_q(column).cast("double").alias("v"))).where(F.col("v").isNotNull())
         q = clean.select(F.percentile_approx("v", [0.25, 0.5, 0.75], 10000).alias("q"))
         return q.select(F.struct(F.col("q")[0].alias("q0"), F.col("q")[1].alias("q1"),
                                  F.col("q")[2].alias("q2"))).scalar()
-    from basalt.operators.quantiles import quantile_table
-    t = quantile_table(df, [column], [0.25, 0.5, 0.75], method=method)
+    from basalt.operators.quantiles import quantile_columns
+    t = quantile_columns(df, [column], [0.25, 0.5, 0.75])
     return t.select(F.struct("q0", "q1", "q2")).scalar()
 
 
-def box_stats(df: DataFrame, column: str, approx: bool = False, quantile_method: str = "auto") -> DataFrame:
-    """Quartiles, 1.5 IQR fences, whiskers (extreme values inside the fences)
+def box_stats(df: DataFrame, column: str, approx: bool = False, fence: float = IQR_FENCE) -> DataFrame:
+    """Quartiles, IQR fences, whiskers (extreme values inside the fences)
     and the number of outliers; one row."""
     clean = normalize(df.select(_q(column).cast("double").alias("v"))).where(F.col("v").isNotNull())
-    qs = _quartiles(df, column, approx, quantile_method)
+    qs = _quartiles(df, column, approx)
     q1, q3 = qs.getField("q0"), qs.getField("q2")
     iqr = q3 - q1
-    lo_f, hi_f = q1 - IQR_FENCE * iqr, q3 + IQR_FENCE * iqr
+    lo_f, hi_f = q1 - fence * iqr, q3 + fence * iqr
     inside = (F.col("v") >= lo_f) & (F.col("v") <= hi_f)
     return clean.agg(
         F.lit(column).alias("column"),
@@ -68,13 +68,13 @@ def box_stats(df: DataFrame, column: str, approx: bool = False, quantile_method:
     )
 
 
-def box_outliers(df: DataFrame, column: str, quantile_method: str = "auto") -> DataFrame:
-    """The rows outside the 1.5 IQR fences."""
-    x = _q(column).cast("double")
-    qs = _quartiles(df, column, False, quantile_method)
+def box_outliers(df: DataFrame, column: str, fence: float = IQR_FENCE) -> DataFrame:
+    """The rows outside the IQR fences (NaN is missing, not an outlier)."""
+    x = F.nanvl(_q(column).cast("double"), F.lit(None).cast("double"))
+    qs = _quartiles(df, column, False)
     q1, q3 = qs.getField("q0"), qs.getField("q2")
     iqr = q3 - q1
-    return df.where((x < q1 - IQR_FENCE * iqr) | (x > q3 + IQR_FENCE * iqr))
+    return df.where((x < q1 - fence * iqr) | (x > q3 + fence * iqr))
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -99,9 +99,12 @@ def value_counts(df: DataFrame, column: str, k: int = VALUE_COUNT_TOP) -> DataFr
     return counts.orderBy(F.desc("count"), F.asc("value")).limit(k)
 
 
-def distinct_values(df: DataFrame, column: str, cap: int = DISTINCT_CAP) -> DataFrame:
-    """Up to ``cap`` distinct non-null values (smallest first) and whether more exist."""
+def distinct_values(df: DataFrame, column: str, cap: int | None = None) -> DataFrame:
+    """The distinct non-null values and whether more exist; with ``cap`` the smallest
+    ``cap`` of them (``DISTINCT_CAP`` is what the view shows)."""
     d = df.where(_q(column).isNotNull()).select(_q(column).alias("value")).distinct()
+    if cap is None:
+        return d.withColumn("more_values", F.lit(False))
     first = d.orderBy("value").limit(cap + 1)
     more = first.select((F.count(F.lit(1)) > cap).alias("m")).scalar()
     return first.orderBy("value").limit(cap).withColumn("more_values", more)

@@ -3,11 +3,13 @@
 Batch and stream share :func:`transform_for_lake`, so a streaming micro-batch
 and a batch run write the same rows.  Every row is filed under its own date
 (D1), bad lines go to a quarantine table instead of failing the file (D5),
-and files already ingested are skipped through a ledger anti-join (T6).
+and files already ingested are skipped through a ledger before they are read (T6).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,15 +49,18 @@ def output_name(file_col="_file") -> Column:
     return F.regexp_replace(F.substring_index(c, "/", -1), r"\.jsonl$", ".parquet")
 
 
+def is_bad(df: DataFrame, date_field: str = "event_time", corrupt: str = CORRUPT) -> Column:
+    """Whether a row goes to the quarantine: it did not parse, or its date did not."""
+    bad = F.col(corrupt).isNotNull()
+    if date_field in df.columns:
+        bad = bad | (F.col(date_field).isNotNull() & parse_time(date_field).isNull())
+    return bad
+
+
 def split_good_bad(df: DataFrame, date_field: str = "event_time", corrupt: str = CORRUPT):
     """Rows that parsed (and have a usable date when one is required) vs. the rest."""
-    has_date = date_field in df.columns
-    bad_cond = F.col(corrupt).isNotNull()
-    if has_date:
-        bad_cond = bad_cond | (F.col(date_field).isNotNull() & parse_time(date_field).isNull())
-    good = df.where(~bad_cond).drop(corrupt)
-    bad = df.where(bad_cond)
-    return good, bad
+    bad = is_bad(df, date_field, corrupt)
+    return df.where(~bad).drop(corrupt), df.where(bad)
 
 
 def quarantine_rows(bad: DataFrame, reason: str = "unparseable", corrupt: str = CORRUPT,
@@ -70,11 +75,25 @@ def quarantine_rows(bad: DataFrame, reason: str = "unparseable", corrupt: str =
     )
 
 
-def unprocessed(files: DataFrame, ledger: DataFrame | None, key: str = "file") -> DataFrame:
-    """Files not yet in the ledger (left anti join on the file id)."""
-    if ledger is None:
-        return files
-    return files.join(ledger.select(key).distinct(), key, "left_anti")
+LEDGER_SCHEMA = "file string, attempt int, status string"
+DONE, FAILED, SET_ASIDE = "done", "failed", "set aside"
+
+
+def file_name(path) -> Column:
+    """One normal form of a file path: without scheme, with single slashes."""
+    c = F.col(path) if isinstance(path, str) else path
+    return F.regexp_replace(F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.-]*:", ""), "/+", "/")
+
+
+def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Listed files (column ``path``) that the ledger has neither done nor set aside."""
+    settled = ledger.where(F.col("status").isin(DONE, SET_ASIDE)).select(F.col("file").alias("_file")).distinct()
+    return files.join(settled, file_name("path") == F.col("_file"), "left_anti")
+
+
+def read_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """Every attempt on every file (file, attempt, status)."""
+    return spark.read.schema(LEDGER_SCHEMA).parquet(root)
 
 
 def pending(raw: DataFrame, processed: DataFrame) -> DataFrame:
@@ -87,38 +106,101 @@ def pending(raw: DataFrame, processed: DataFrame) -> DataFrame:
 
 def ingest_batch(spark: SparkSession, paths, out_root: str, quarantine_root: str | None = None,
                  schema: T.StructType | None = RAW_EVENT_SCHEMA, date_field: str = "event_time",
-                 partition_by_date: bool = True, ledger: DataFrame | None = None) -> DataFrame:
+                 partition_by_date: bool = True, ledger_root: str | None = None, max_attempts: int = 3) -> DataFrame:
     """T5: read JSONL files, transform, write partitioned Parquet, quarantine bad rows.
 
-    Returns a one-row summary (rows_read_ok, rows_dated, rows_corrupt).  The
-    counts are observed while the lake table is written (``DataFrame.observe``),
-    so the raw files are scanned once for the lake and once for the quarantine,
-    not again for the summary.  Files named in ``ledger`` (column ``file``) are
-    skipped (T6).
+    Returns a one-row summary (files_read, rows_read_ok, rows_dated, rows_corrupt),
+    counted by the conditions that route the rows, while the lake table is
+    written.  The raw files are read once; a second time only when they hold bad
+    rows, for the quarantine.
+
+    With ``ledger_root`` (T6, T7) the files are listed and those the ledger has
+    settled are not read at all.  A batch that fails is tried again file by file,
+    up to ``max_attempts`` times each; every attempt is a ledger row, and a file
+    that cannot be read is set aside in the quarantine instead of failing the run.
+    The ledger is written after the data, so a run that dies repeats its files.
     """
-    df = read_jsonl(spark, paths, schema=schema)
-    if ledger is not None:
-        df = df.join(ledger.select(F.col("file").alias("_file")).distinct(), "_file", "left_anti")
-    data_cols = [c for c in df.columns if c not in (CORRUPT, "_file")]
-    # a data column must be referenced: Spark refuses scans that read only the corrupt column
-    dated = F.count(date_field) if date_field in df.columns else F.count(data_cols[0])
-    obs = Observation("ingest")
-    observed = df.observe(obs, F.count_if(F.col(CORRUPT).isNull()).alias("rows_read_ok"), dated.alias("rows_dated"),
-                          F.count_if(F.col(CORRUPT).isNotNull()).alias("rows_corrupt"))
-    good, bad = split_good_bad(observed, date_field)
-    lake = transform_for_lake(good.drop("_file") if "_file" in good.columns else good, date_field, partition_by_date)
+    def write(files) -> tuple[int, int, int]:
+        return _write_batch(spark, files, out_root, quarantine_root, schema, date_field, partition_by_date)
+
+    if ledger_root is None:
+        return _summary_row(spark, None, write(paths))
+    log: list[tuple[str, int, str]] = []
+    spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(ledger_root)  # the folder exists from here on
+    ledger = read_ledger(spark, ledger_root)
+    new = [r["path"] for r in unprocessed(_listed(spark, paths), ledger).collect()]  # names of one batch of files
+    totals, read = _with_retries(new, write, max_attempts, log) if new else ((0, 0, 0), 0)
+    if log:
+        rows = spark.createDataFrame(log, LEDGER_SCHEMA).withColumn("file", file_name("file"))
+        if quarantine_root is not None:
+            aside = rows.where(F.col("status") == SET_ASIDE)
+            aside.select("file", F.lit(None).cast("string").alias("raw"), F.lit("unreadable").alias("reason"),
+                         F.col("attempt").alias("attempts")).write.mode("append").parquet(quarantine_root)
+        rows.coalesce(1).write.mode("append").parquet(ledger_root)
+    return _summary_row(spark, read, totals)
+
+
+def _listed(spark: SparkSession, paths) -> DataFrame:
+    """Files to ingest (column ``path``): a list of files as it is, folders by listing them."""
+    if isinstance(paths, str):
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path"))
+    return spark.createDataFrame([(x,) for x in paths], "path string")
+
+
+def _with_retries(files: list[str], write: Callable, max_attempts: int, log: list) -> tuple[tuple[int, int, int], int]:
+    """All files at once; when that fails, one by one with up to ``max_attempts`` tries each."""
+    try:
+        done = write(files)
+        log += [(f, 1, DONE) for f in files]
+        return done, len(files)
+    except Exception as exc:  # noqa: BLE001 - any reason that a batch cannot be read or written
+        if len(files) == 1 and max_attempts == 1:
+            log.append((files[0], 1, SET_ASIDE))
+            return (0, 0, 0), 0
+        last = exc
+    totals, read = (0, 0, 0), 0
+    for f in files:
+        for attempt in range(1, max_attempts + 1):
+            try:
+                done = write([f])
+            except Exception as exc:  # noqa: BLE001
+                last = exc
+                log.append((f, attempt, SET_ASIDE if attempt == max_attempts else FAILED))
+                continue
+            totals, read = tuple(a + b for a, b in zip(totals, done, strict=True)), read + 1
+            log.append((f, attempt, DONE))
+            break
+    if not read and len(files) > 1:
+        raise RuntimeError("no file of the batch could be ingested") from last
+    return totals, read
+
+
+def _write_batch(spark, files, out_root, quarantine_root, schema, date_field, partition_by_date) -> tuple[int, int, int]:
+    """Write the lake rows and, if there are any, the bad ones: (good, dated, bad) rows."""
+    df = read_jsonl(spark, files, schema=schema)
+    bad = is_bad(df, date_field)
+    dated = F.count_if(~bad & F.col(date_field).isNotNull()) if date_field in df.columns else F.count_if(~bad)
+    obs = Observation()
+    observed = df.observe(obs, F.count_if(~bad).alias("good"), dated.alias("dated"), F.count_if(bad).alias("bad"))
+    lake = transform_for_lake(split_good_bad(observed, date_field)[0].drop("_file"), date_field, partition_by_date)
     if partition_by_date and date_field in lake.columns:
         lake.hint("rebalance", *PARTITION_COLUMNS).write.mode("append").partitionBy(*PARTITION_COLUMNS) \
             .option("compression", "snappy").parquet(out_root)
     else:
         lake.write.mode("append").parquet(out_root)
-    if quarantine_root is not None:
-        # one more scan; an empty quarantine batch writes no data files
+    try:
+        m = obs.get
+    except AssertionError:  # no files: Spark dropped the observation together with the empty plan
+        m = {}
+    good, n_dated, n_bad = (int(m.get(k) or 0) for k in ("good", "dated", "bad"))
+    if n_bad and quarantine_root is not None:
         quarantine_rows(split_good_bad(df, date_field)[1]).write.mode("append").parquet(quarantine_root)
-    m = obs.get
-    return spark.createDataFrame([(int(m.get("rows_read_ok", 0)), int(m.get("rows_dated", 0)),
-                                   int(m.get("rows_corrupt", 0)))],
-                                 "rows_read_ok bigint, rows_dated bigint, rows_corrupt bigint")
+    return good, n_dated, n_bad
+
+
+def _summary_row(spark: SparkSession, files: int | None, counts: tuple[int, int, int]) -> DataFrame:
+    return spark.createDataFrame([(files, *counts)],
+                                 "files_read bigint, rows_read_ok bigint, rows_dated bigint, rows_corrupt bigint")
 
 
 def processing_time(start, end) -> Column:

@@ -12,6 +12,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basalt.session import written
+
 ERROR_MARK = "ERROR"
 # Leading time stamp: "yyyy-MM-dd HH:mm:ss", optionally followed by ",SSS" (D26).
 STAMP_PATTERN = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})"
@@ -37,10 +39,22 @@ def recent_errors(lines: DataFrame, as_of: dt.datetime, hours: float = 24, line_
     return e.where((F.col("log_ts") > F.lit(cutoff)) | F.col("log_ts").isNull())
 
 
-def last_errors(errors: DataFrame, n: int, order_col: str = "line_no") -> DataFrame:
-    """L4: the last ``n`` errors in log order, numbered 1..n (oldest first)."""
-    top = errors.orderBy(F.desc(order_col)).limit(n)
-    return top.withColumn("n", F.row_number().over(Window.orderBy(F.asc(order_col))))
+def last_errors(errors: DataFrame, n: int, order_col: str | list[str] = "line_no") -> DataFrame:
+    """L4: the last ``n`` errors in the order of ``order_col``, numbered 1..n (oldest
+    first).  For lines read from files use :func:`log_order`."""
+    keys = [order_col] if isinstance(order_col, str) else list(order_col)
+    top = errors.orderBy(*[F.col(c).desc_nulls_first() for c in keys]).limit(n)
+    return top.withColumn("n", F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_last() for c in keys])))
+
+
+LOG_ORDER = ["log_ts", "file", "line"]
+
+
+def log_order(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """Lines of several log files with the columns of their order (``LOG_ORDER``): time
+    stamp, then file, then text; lines without a stamp come last.  File splits are not
+    read in any promised order, so a position in the scan would not do."""
+    return lines.withColumn("log_ts", log_time(line_col))
 
 
 def error_count(lines: DataFrame, as_of: dt.datetime, hours: float = 24, line_col: str = "line") -> DataFrame:
@@ -48,24 +62,20 @@ def error_count(lines: DataFrame, as_of: dt.datetime, hours: float = 24, line_co
     return recent_errors(lines, as_of, hours, line_col).agg(F.count(F.lit(1)).alias("errors"))
 
 
-def with_line_numbers(lines: DataFrame) -> DataFrame:
-    """An increasing line key for files read with ``spark.read.text`` (file order
-    inside each file; files ordered by path)."""
-    return lines.withColumn("line_no", F.monotonically_increasing_id())
-
-
 def number_rows(df: DataFrame, order_col: str, name: str = "n") -> DataFrame:
     """Number rows 1..N by ``order_col`` without a single-task window.
 
-    Rows are range-partitioned on the key; per-partition counts (one row per
-    partition) give each partition's offset, and rows are numbered inside
-    their own partition.  The range exchange is shared by both branches, so
-    partition ids agree.
+    Rows are range-partitioned and sorted by the key and written once with the
+    position Spark's ``monotonically_increasing_id`` documents (partition in the
+    upper 31 bits, row in the lower 33), so both are data.  Per-partition counts
+    (one row per partition) give each partition's offset.
     """
-    parts = df.repartitionByRange(order_col).withColumn("_pid", F.spark_partition_id())
-    counts = parts.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(
+    placed = written(df.repartitionByRange(order_col).sortWithinPartitions(order_col)
+                     .withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    placed = placed.withColumn("_pid", F.shiftright("_at", 33))
+    counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_at").alias("_first"))
+    offsets = counts.select("_pid", "_first", F.coalesce(F.sum("_cnt").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    local = F.row_number().over(Window.partitionBy("_pid").orderBy(order_col))
-    return (parts.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, local + F.col("_off")).drop("_pid", "_off"))
+    return (placed.join(F.broadcast(offsets), "_pid")  # one row per partition
+            .withColumn(name, (F.col("_at") - F.col("_first") + F.col("_off") + 1).cast("bigint"))
+            .drop("_pid", "_off", "_first", "_at"))

@@ -171,8 +171,9 @@ def size_by_source(df: DataFrame) -> DataFrame:
 def files_on(df: DataFrame, as_of) -> DataFrame:
     """processed files modified on ``as_of``."""
     d = parse_date(as_of) if isinstance(as_of, str) else as_of
-    return (df.where(F.col("source") == "processed")
-            .agg(F.count_if(F.to_date("modified") == F.lit(d)).alias("files_today")))
+    start = dt.datetime(d.year, d.month, d.day)
+    day = (F.col("modified") >= F.lit(start)) & (F.col("modified") < F.lit(start + dt.timedelta(days=1)))
+    return df.where((F.col("source") == "processed") & day).agg(F.count(F.lit(1)).alias("files_today"))
 
 
 def recent_processed(df: DataFrame, n: int = 5) -> DataFrame:

@@ -45,47 +45,49 @@ def body_kind(body="body") -> Column:
     Spark's JSON functions stop after the first complete value, so ``true
     story`` or ``{"k": 1} x`` would pass as JSON.  A body is therefore JSON only
     when it is a whole scalar (checked by the grammar alone, no parse) or when
-    it starts with ``{`` / ``[``, ends with the matching bracket and parses.
-    The bracket test also skips the parse -- and its exception -- for most
-    text bodies.  Left lenient: a valid prefix followed by more brackets
-    (``{"k": 1}}``)."""
+    it starts with ``{`` / ``[``, ends with the matching bracket and is the only
+    value inside an array and inside an object put around it: whatever follows
+    the first value (``{"k": 1}}``, ``{}{}``, ``{}]}``) breaks one of the two.
+    The bracket test skips the parses for most text bodies."""
     b = F.col(body) if isinstance(body, str) else body
     lead = F.regexp_extract(b, "^" + _WS + "(.)", 1)
     last = F.regexp_extract(b, "(.)" + _WS + "$", 1)
-    is_object = (lead == "{") & (last == "}") & F.json_object_keys(b).isNotNull()
-    is_array = (lead == "[") & (last == "]") & F.try_parse_json(b).isNotNull()
+    whole = ((F.json_array_length(F.concat(F.lit("["), b, F.lit("]"))) == 1)
+             & F.json_object_keys(F.concat(F.lit('{"v":'), b, F.lit("}"))).isNotNull())
+    is_object = (lead == "{") & (last == "}") & F.json_object_keys(b).isNotNull() & whole
+    is_array = (lead == "[") & (last == "]") & F.try_parse_json(b).isNotNull() & whole
     return (F.when(is_object, F.lit("object"))
             .when(is_array | b.rlike(_JSON_SCALAR), F.lit("json"))
             .otherwise(F.lit("text")))
 
 
 def resolve_target(messages: DataFrame, default_bucket: str, body: str = "body") -> DataFrame:
-    """M2: bucket and key of the file a message points at.
+    """M2: bucket and key of every file a message points at, one row per target.
 
-    ``Records[0].s3`` when present (key URL-decoded, D18); a JSON object with a
-    ``key`` field uses it with the default bucket; a text body is the key
-    itself (trimmed).  Other JSON leaves the key NULL, and ``resolved`` false
-    routes the message to quarantine (D22).
+    Each of ``Records[].s3`` is a target of its own (key URL-decoded, D18;
+    ``record_no`` counts from 0).  Without records, a JSON object with a ``key``
+    field uses it with the default bucket, and a text body is the key itself
+    (trimmed).  Other JSON leaves the key NULL, and ``resolved`` false routes
+    the message to quarantine (D22).
 
     The body is parsed once.  The parse results come out of an ``inline``
     generator: a later filter on ``resolved`` stops above it, where a plain
     projection would let Catalyst copy every JSON parse into the pushed-down
-    filter and parse each body twice (2.5x slower).  Only the two fields of
-    the first record are read by path; the Records array is never built.
+    filter.  The records array is only built for bodies that name one.
     """
     b = F.col(body)
-    parts = F.struct(body_kind(b).alias("body_kind"),
-                     F.try_url_decode(F.get_json_object(b, "$.Records[0].s3.object.key")).alias("_rec_key"),
-                     F.get_json_object(b, "$.Records[0].s3.bucket.name").alias("_rec_bucket"),
-                     F.get_json_object(b, "$.key").alias("_obj_key"))
+    kind = body_kind(b)
+    recs = F.when(b.contains('"Records"') & (kind == "object"), F.from_json(b, RECORDS_SCHEMA)["Records"])
+    parts = F.struct(kind.alias("body_kind"), F.get_json_object(b, "$.key").alias("_obj_key"), recs.alias("_records"))
     parsed = messages.select("*", F.inline(F.array(parts)))
-    kind, rec_key = F.col("body_kind"), F.col("_rec_key")
-    key = (F.when(rec_key.isNotNull(), rec_key)
-           .when(kind == "object", F.col("_obj_key"))
+    each = parsed.select("*", F.posexplode_outer("_records").alias("record_no", "_rec"))
+    rec_key = F.try_url_decode(F.col("_rec.s3.object.key"))
+    kind = F.col("body_kind")
+    key = (F.when(rec_key.isNotNull(), rec_key).when(kind == "object", F.col("_obj_key"))
            .when(kind == "text", F.trim(b)))
-    bucket = F.when(rec_key.isNotNull(), F.col("_rec_bucket")).when(key.isNotNull(), F.lit(default_bucket))
-    out = parsed.select("*", bucket.alias("bucket"), key.alias("key"))
-    return out.withColumn("resolved", F.col("key").isNotNull()).drop("_rec_key", "_rec_bucket", "_obj_key")
+    bucket = F.when(rec_key.isNotNull(), F.col("_rec.s3.bucket.name")).when(key.isNotNull(), F.lit(default_bucket))
+    out = each.select("*", bucket.alias("bucket"), key.alias("key"))
+    return out.withColumn("resolved", F.col("key").isNotNull()).drop("_records", "_rec", "_obj_key")
 
 
 def records(messages: DataFrame, body: str = "body") -> DataFrame:
@@ -112,7 +114,7 @@ def receive_count(attr="receive_count_attr") -> Column:
 
 def previews(messages: DataFrame, body: str = "body", n_keys: int = 3, n_chars: int = 100) -> DataFrame:
     """First keys of JSON bodies, text preview, short id."""
-    return messages.select("*", json_key_preview(body, n_keys).alias("key_preview"),
+    return messages.select("*", F.when(body_kind(body) == "object", json_key_preview(body, n_keys)).alias("key_preview"),
                            text_preview(body, n_chars).alias("body_preview"),
                            short_id("message_id").alias("short_id"))
 

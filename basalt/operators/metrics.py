@@ -201,12 +201,14 @@ def widget_series(stats: DataFrame, widgets: list[tuple[str, str, str]] = WIDGET
 
 
 def operations_by_type(points: DataFrame, values: list[str] = STORAGE_OPERATION_VALUES) -> DataFrame:
-    """Storage operations per period, one column per operation (fixed pivot values)."""
+    """Storage operations per period, one column per operation of ``values`` and
+    ``other`` for all further ones, so no point is left out."""
     p = points.where(F.col("metric") == STORAGE_OPERATIONS)
     w = F.window(F.col("ts").cast("timestamp"), PERIOD)
-    return (p.withColumn("op", F.col("dimensions")["Operation"])
+    op = F.col("dimensions")["Operation"]
+    return (p.withColumn("op", F.when(op.isin(values), op).otherwise(F.lit("other")))
             .groupBy(w.start.cast("timestamp_ntz").alias("period_start"))
-            .pivot("op", values).agg(F.sum("value")))
+            .pivot("op", [*values, "other"]).agg(F.sum("value")))
 
 
 def cycle_counters(items: DataFrame, cycle: str = "cycle", success: str = "success") -> DataFrame:

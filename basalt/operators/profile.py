@@ -2,20 +2,20 @@
 
 Plan shape
 ----------
-Per-column counts (non-null, null, distinct, top values) come from one
-unpivot of the table into ``(column, value)`` followed by a single
-``groupBy(column, value).count()``.  That is one shuffle for all columns,
-with a map-side partial count, so a value that fills a third of a column is
-reduced to one row per task before it moves.  Several exact
-``count_distinct`` in one ``agg`` would instead copy every row once per
-column through an ``Expand``.
+Per-column counts (rows, non-null, distinct) come from one unpivot of the
+table into ``(column, value)`` followed by a single ``groupBy``.  Values keep
+their type (a whole-number, a floating and a text slot), so 0.0 and -0.0 are
+one value as in Spark itself; texts longer than ``LONG_TEXT`` bytes are keyed
+by their SHA-256, so the shuffle never carries whole documents.  That is one
+scan and one shuffle for all columns, with a map-side partial count: a value
+that fills a third of a column is one row per task before it moves.
 
 Top-k per column uses ``row_number() <= k``; Spark inserts a partial
 ``WindowGroupLimit`` before the shuffle, so at most k rows per column and
 task are exchanged, whatever the column's cardinality.
 
 ``approx=True`` swaps exact distinct counts and quantiles for HLL++ and
-``percentile_approx`` sketches (fixed-size state) for very large tables.
+``percentile_approx`` sketches (fixed-size state) when the caller asks for it.
 
 NaN in float columns counts as null, as in pandas (``nanvl(c, NULL)``).
 """
@@ -37,12 +37,12 @@ HIGH_CARD_MIN_ROWS = 100       # ... and more rows than this
 CATEGORICAL_RATIO = 0.05       # P17: distinct / rows below this, distinct > 1
 ID_MIN_ROWS = 10               # P18: rows above this
 ID_NAMES = ["id", "uuid", "key"]
-DATE_SAMPLE = 100              # P16: first non-null values looked at
 DATE_SHARE = 0.8               # P16: share that must parse
 DUP_PENALTY_CAP = 20           # P14 penalties
 EMPTY_COLUMN_PENALTY = 5
 HIGH_CARD_PENALTY = 2
 NULL_PENALTY_CAP = 30
+LONG_TEXT = 64                 # P7: longer texts are counted by their digest
 # Byte widths of fixed-size types for P2.
 FIXED_WIDTH = {"tinyint": 1, "boolean": 1, "smallint": 2, "int": 4, "float": 4, "date": 4,
                "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
@@ -104,98 +104,115 @@ def _dtypes(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, dtype string, position int")
 
 
-def column_summary(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Per column: dtype, non-null, null, null %, distinct, distinct % (D10: 0 on empty)."""
-    rows = _row_count(df)
+def _typed_slots(f: T.StructField) -> tuple[Column, Column, Column]:
+    """A column's value in its (whole number, floating, text) slot; the others are null."""
+    c, t = _q(f.name), f.dataType
+    none = [F.lit(None).cast(x) for x in ("bigint", "double", "string")]
+    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        return c.cast("bigint"), none[1], none[2]
+    if isinstance(t, T.DateType):
+        return F.unix_date(c).cast("bigint"), none[1], none[2]
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")), none[1], none[2]
+    if isinstance(t, (T.FloatType, T.DoubleType)):
+        return none[0], F.nanvl(c.cast("double"), none[1]), none[2]
+    if isinstance(t, T.BinaryType):
+        text = F.hex(c)
+    elif isinstance(t, (T.StructType, T.ArrayType, T.MapType)):
+        text = F.when(c.isNotNull(), F.to_json(F.struct(c)))
+    else:
+        text = c.cast("string")
+    # a digest is longer than any text that is kept as it is
+    return none[0], none[1], F.when(F.octet_length(text) > LONG_TEXT, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
+
+
+def column_counts(df: DataFrame) -> DataFrame:
+    """(column, rows, non_null, distinct) of every column: one scan, one shuffle."""
+    slots = []
+    for f in df.schema.fields:
+        whole, floating, text = _typed_slots(f)
+        slots.append(F.struct(F.lit(f.name).alias("column"), whole.alias("w"), floating.alias("f"), text.alias("t")))
+    counts = (df.select(F.inline(F.array(*slots))).groupBy("column", "w", "f", "t").agg(F.count(F.lit(1)).alias("n")))
+    some = F.coalesce(F.col("w").isNotNull() | F.col("f").isNotNull() | F.col("t").isNotNull(), F.lit(False))
+    return counts.groupBy("column").agg(F.sum("n").alias("rows"), F.sum(F.when(some, F.col("n")).otherwise(0)).alias("non_null"),
+                                        F.count_if(some).alias("distinct"))
+
+
+def _summary(df: DataFrame, approx: bool = False) -> DataFrame:
+    """P7 with the number of rows next to each column."""
     if approx:
         norm = normalize(df)
-        aggs = []
+        aggs = [F.count(F.lit(1)).alias("::rows")]
         for c in df.columns:
             aggs += [F.count(_q(c)).alias(f"nn::{c}"), F.approx_count_distinct(_q(c)).alias(f"d::{c}")]
         wide = norm.agg(*aggs)
-        stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`nn::{c}`").alias("non_null"),
+        stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col("`::rows`").alias("rows"),
+                                             F.col(f"`nn::{c}`").alias("non_null"),
                                              F.col(f"`d::{c}`").alias("distinct")) for c in df.columns]))
         stats = wide.select(stack.alias("s")).select("s.*")
     else:
-        stats = (value_counts_long(df).groupBy("column")
-                 .agg(F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
-                      F.count("value").alias("distinct")))
-    meta = _dtypes(df)
+        stats = column_counts(df)
+    zero = F.lit(0)
+    rows, non_null, distinct = (F.coalesce(c, zero) for c in ("rows", "non_null", "distinct"))
     pct = lambda x: F.coalesce(F.round(F.try_divide(x * 100.0, rows), 2), F.lit(0.0))
     # one row per column on both sides; the aggregated side is the one a left join can broadcast
-    return (meta.join(F.broadcast(stats), "column", "left")
-            .select("column", "dtype",
-                    F.coalesce("non_null", F.lit(0)).cast("bigint").alias("non_null"),
-                    (rows - F.coalesce("non_null", F.lit(0))).cast("bigint").alias("nulls"),
-                    pct(rows - F.coalesce("non_null", F.lit(0))).alias("null_pct"),
-                    F.coalesce("distinct", F.lit(0)).cast("bigint").alias("distinct"),
-                    pct(F.coalesce("distinct", F.lit(0))).alias("distinct_pct"),
-                    "position"))
+    return (_dtypes(df).join(F.broadcast(stats), "column", "left")
+            .select("column", "dtype", non_null.cast("bigint").alias("non_null"), (rows - non_null).cast("bigint").alias("nulls"),
+                    pct(rows - non_null).alias("null_pct"), distinct.cast("bigint").alias("distinct"),
+                    pct(distinct).alias("distinct_pct"), "position", rows.cast("bigint").alias("rows")))
 
 
-def _percentile_method(df: DataFrame, cols: list[str], approx: bool, quantile_method: str) -> str:
-    if approx:
-        return "approx"
-    if quantile_method != "auto":
-        return quantile_method
-    from basalt.operators.quantiles import choose_method
-    return choose_method(df, cols)
+def column_summary(df: DataFrame, approx: bool = False) -> DataFrame:
+    """Per column: dtype, non-null, null, null %, distinct, distinct % (D10: 0 on empty)."""
+    return _summary(df, approx).drop("rows")
 
 
-def numeric_stats(df: DataFrame, approx: bool = False, quantile_method: str = "auto") -> DataFrame:
+def numeric_stats(df: DataFrame, approx: bool = False) -> DataFrame:
     """Min, max, mean (2 dp), median, std (2 dp) of each numeric column.
 
-    The exact median comes from :func:`basalt.operators.quantiles.quantile_table`
-    with the plan picked by its size check, as a separate one-row aggregate:
-    ``percentile`` makes an ``ObjectHashAggregate``, which has no codegen, so
-    the other statistics stay in their own (codegen) hash aggregate."""
+    The exact median comes from the distributed sort of
+    :func:`basalt.operators.quantiles.quantile_columns`; the other statistics are
+    one hash aggregate in codegen."""
     cols = numeric_columns(df)
-    method = _percentile_method(df, cols, approx, quantile_method)
     norm = normalize(df.select(*[_q(c) for c in cols]))
     aggs = []
     for c in cols:
         x = _q(c).cast("double")
-        extra = []
-        if method == "approx":
-            extra = [F.percentile_approx(x, 0.5, 10000).cast("double").alias("median")]
+        extra = [F.percentile_approx(x, 0.5, 10000).cast("double").alias("median")] if approx else []
         aggs.append(F.struct(F.lit(c).alias("column"), F.min(x).alias("min"), F.max(x).alias("max"),
                              F.round(F.avg(x), 2).alias("mean"), F.round(F.stddev_samp(x), 2).alias("std"),
                              *extra).alias(c))
     wide = norm.agg(*aggs)
     stats = wide.select(F.explode(F.array(*[_q(c) for c in cols])).alias("s")).select("s.*")
-    if method != "approx":
-        from basalt.operators.quantiles import quantile_table
-        med = quantile_table(df, cols, [0.5], method=method).select("column", F.col("q0").alias("median"))
+    if not approx:
+        from basalt.operators.quantiles import quantile_columns
+        med = quantile_columns(df, cols, [0.5]).select("column", F.col("q0").alias("median"))
         stats = stats.join(F.broadcast(med), "column", "left")  # one row per column on both sides
     return stats.select("column", "min", "max", "mean", "median", "std")
 
 
-def describe(df: DataFrame, approx: bool = False, quantile_method: str = "auto") -> DataFrame:
+def describe(df: DataFrame, approx: bool = False) -> DataFrame:
     """Count, mean, std, min, 25 %, 50 %, 75 %, max of each numeric column
-    (exact quartiles from :func:`basalt.operators.quantiles.quantile_table`, plan
-    picked once by its size check; joined as in :func:`numeric_stats`)."""
+    (exact quartiles from the distributed sort; joined as in :func:`numeric_stats`)."""
     cols = numeric_columns(df)
-    method = _percentile_method(df, cols, approx, quantile_method)
     probs = [0.25, 0.5, 0.75]
     norm = normalize(df.select(*[_q(c) for c in cols]))
     aggs = []
     for c in cols:
         x = _q(c).cast("double")
-        extra = []
-        if method == "approx":
-            extra = [F.percentile_approx(x, probs, 10000).cast("array<double>").alias("q")]
+        extra = [F.percentile_approx(x, probs, 10000).cast("array<double>").alias("q")] if approx else []
         aggs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
                              F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
                              *extra).alias(c))
     wide = norm.agg(*aggs)
     s = wide.select(F.explode(F.array(*[_q(c) for c in cols])).alias("s")).select("s.*")
-    if method != "approx":
-        from basalt.operators.quantiles import quantile_table
-        q = quantile_table(df, cols, probs, method=method)
+    if approx:
+        s = s.select("*", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"))
+    else:
+        from basalt.operators.quantiles import quantile_columns
+        q = quantile_columns(df, cols, probs)
         s = s.join(F.broadcast(q.select("column", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
                                         F.col("q2").alias("p75"))), "column", "left")
-    else:
-        s = s.select("*", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"))
     return s.select("column", "count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"),
                     "min", "p25", "p50", "p75", "max")
 
@@ -245,48 +262,44 @@ def empty_columns(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     return nc.where((F.col("nulls") == F.col("rows")) & (F.col("rows") > 0)).select("column")
 
 
-def high_cardinality(summary: DataFrame, rows: Column) -> DataFrame:
+def high_cardinality(df: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """Distinct / rows > 0.95 on more than 100 rows."""
-    return summary.where((F.try_divide(F.col("distinct"), rows) > HIGH_CARD_RATIO) & (rows > HIGH_CARD_MIN_ROWS)) \
-        .select("column")
+    s, rows = summary if summary is not None else _summary(df), F.col("rows")
+    return s.where((F.try_divide(F.col("distinct"), rows) > HIGH_CARD_RATIO) & (rows > HIGH_CARD_MIN_ROWS)).select("column")
 
 
-def categorical(summary: DataFrame, rows: Column) -> DataFrame:
+def categorical(df: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """Distinct / rows < 0.05 with more than one distinct value."""
-    ratio = F.try_divide(F.col("distinct"), rows)
-    return (summary.where((ratio < CATEGORICAL_RATIO) & (F.col("distinct") > 1))
+    s = summary if summary is not None else _summary(df)
+    ratio = F.try_divide(F.col("distinct"), F.col("rows"))
+    return (s.where((ratio < CATEGORICAL_RATIO) & (F.col("distinct") > 1))
             .select("column", "distinct", F.round(ratio, 4).alias("ratio")))
 
 
-def id_columns(summary: DataFrame, rows: Column, legacy_id_rule: bool = False) -> DataFrame:
+def id_columns(df: DataFrame, summary: DataFrame | None = None, legacy_id_rule: bool = False) -> DataFrame:
     """Columns whose values are all distinct, on more than 10 rows, with an id-like name.
 
     The reference's precedence (``A and B and C or D``) makes every column whose
     name contains ``id`` an id column (D9); ``legacy_id_rule=True`` keeps that.
     """
+    s, rows = summary if summary is not None else _summary(df), F.col("rows")
     name = F.lower("column")
     c_rule = name.isin(*ID_NAMES)
     d_rule = name.contains("id")
     unique = (F.col("distinct") == rows) & (rows > ID_MIN_ROWS)
     cond = (unique & c_rule) | d_rule if legacy_id_rule else unique & (c_rule | d_rule)
-    return summary.where(cond).select("column")
+    return s.where(cond).select("column")
 
 
-def date_like(df: DataFrame, order_by: list[str], sample: int = DATE_SAMPLE, share: float = DATE_SHARE) -> DataFrame:
-    """Text columns whose first ``sample`` non-null values (in ``order_by`` order)
-    parse as timestamps in more than ``share`` of cases."""
+def date_like(df: DataFrame, share: float = DATE_SHARE) -> DataFrame:
+    """Text columns whose non-null values parse as timestamps in more than
+    ``share`` of cases; all values are judged, in one aggregate without a shuffle of values."""
     cols = text_columns(df)
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, parsed_share double")
-    from pyspark.sql import Window
-    long = (df.select(*[_q(c) for c in order_by], *[_q(c).alias(f"v::{c}") for c in cols])
-            .unpivot(order_by, [F.col(f"`v::{c}`") for c in cols], "column", "value")
-            .where(F.col("value").isNotNull())
-            .withColumn("column", F.regexp_replace("column", "^v::", "")))
-    w = Window.partitionBy("column").orderBy(*[F.asc(c) for c in order_by])
-    first = long.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= sample)
-    shares = first.groupBy("column").agg(F.avg(F.try_to_timestamp("value").isNotNull().cast("double"))
-                                         .alias("parsed_share"))
+    wide = df.agg(*[F.avg(F.when(_q(c).isNotNull(), F.try_to_timestamp(_q(c)).isNotNull().cast("double"))).alias(c)
+                    for c in cols])
+    shares = wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), _q(c).alias("parsed_share")) for c in cols])))
     return shares.where(F.col("parsed_share") > share).select("column", F.round("parsed_share", 4).alias("parsed_share"))
 
 
@@ -301,26 +314,29 @@ def null_share(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
 
 
 def quality_score(df: DataFrame, summary: DataFrame | None = None) -> DataFrame:
-    """100 minus penalties for duplicates, empty and high-cardinality columns, nulls."""
-    rows = _row_count(df)
-    summary = summary if summary is not None else column_summary(df)
-    dup = duplicates(df)
-    counts = null_counts(df)  # one pass, read by both the empty-column and the null-share terms
-    n_empty = empty_columns(df, counts).select(F.count(F.lit(1))).scalar()
-    n_high = high_cardinality(summary, rows).select(F.count(F.lit(1))).scalar()
-    nulls = null_share(df, counts)
-    d = dup.select(F.struct("duplicate_rows", "duplicate_pct")).scalar()  # one scan, one row
+    """100 minus penalties for duplicates, empty and high-cardinality columns, nulls.
+
+    Two scans: the column summary (rows, nulls and distinct values of all columns)
+    and the duplicate rows; both are folded to one row."""
+    summary = summary if summary is not None else _summary(df)
+    rows, distinct = F.col("rows"), F.col("distinct")
+    per = summary.agg(
+        F.count_if((F.col("nulls") == rows) & (rows > 0)).alias("n_empty"),
+        F.count_if((F.try_divide(distinct, rows) > HIGH_CARD_RATIO) & (rows > HIGH_CARD_MIN_ROWS)).alias("n_high"),
+        F.coalesce(F.try_divide(F.sum("nulls") * 100.0, F.sum("rows")), F.lit(0.0)).alias("null_pct"))
+    d = duplicates(df).select(F.struct("duplicate_rows", "duplicate_pct")).scalar()  # one scan, one row
     dup_rows, dup_pct = d.getField("duplicate_rows"), d.getField("duplicate_pct")
     dup_pen = F.when(dup_rows > 0, F.least(dup_pct, F.lit(float(DUP_PENALTY_CAP)))).otherwise(F.lit(0.0))
+    n_empty, n_high = F.col("n_empty"), F.col("n_high")
     score = (F.lit(100.0) - dup_pen - n_empty * EMPTY_COLUMN_PENALTY - n_high * HIGH_CARD_PENALTY
              - F.least(F.col("null_pct"), F.lit(float(NULL_PENALTY_CAP))))
     issues = (dup_rows > 0).cast("int") + (n_empty > 0).cast("int") + (n_high > 0).cast("int")
-    return nulls.select(dup_rows.alias("duplicate_rows"), dup_pct.alias("duplicate_pct"),
-                        n_empty.cast("bigint").alias("empty_columns"),
-                        n_high.cast("bigint").alias("high_cardinality_columns"),
-                        F.round("null_pct", 4).alias("null_pct"),
-                        issues.alias("total_issues"),
-                        F.greatest(F.lit(0.0), F.round(score, 1)).alias("score"))
+    return per.select(dup_rows.alias("duplicate_rows"), dup_pct.alias("duplicate_pct"),
+                      n_empty.cast("bigint").alias("empty_columns"),
+                      n_high.cast("bigint").alias("high_cardinality_columns"),
+                      F.round("null_pct", 4).alias("null_pct"),
+                      issues.alias("total_issues"),
+                      F.greatest(F.lit(0.0), F.round(score, 1)).alias("score"))
 
 
 def basic_info(df: DataFrame) -> DataFrame:
@@ -354,41 +370,44 @@ def head(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
 
 
 def tail(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
-    """Last n rows by an explicit key (top-k on the reversed key)."""
-    return df.orderBy(*[F.desc(c) for c in order_by]).limit(n)
+    """Last n rows by an explicit key (top-k on the reversed key), in key order."""
+    last = df.orderBy(*[F.desc(c) for c in order_by]).limit(n)
+    return last.orderBy(*[F.asc(c) for c in order_by])
 
 
-def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """P5: n random rows (seeded); a top-k on a random key, so no full sort."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_rows(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:
+    """P5: n random rows: a top-k on the MD5 of seed and key, so no full sort, and the
+    same rows whatever the partitioning or engine."""
+    text = F.concat_ws("/", F.lit(str(seed)), *[F.coalesce(_q(c).cast("string"), F.lit("")) for c in key])
+    return df.orderBy(F.md5(text), *[_q(c) for c in key]).limit(n)
 
 
-def report(df: DataFrame, order_by: list[str]) -> DataFrame:
-    """The whole analysis as (section, name, value) rows."""
-    from basalt.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    rows = _row_count(df)
-    # one row per column, used four times: materialise it once (reliable
-    # checkpoint in the shared folder) instead of re-running the value shuffle
-    summary = column_summary(df).checkpoint()
+def report(df: DataFrame) -> DataFrame:
+    """The whole analysis as (section, name, value) rows.
+
+    The per-column counts and the duplicates are computed once each and written
+    to the shared folder; every section derives from them (dates: one more
+    aggregate over the text columns)."""
+    from basalt.session import written
+    summary = written(_summary(df), "report")
     q = quality_score(df, summary)
+
+    def rows(section: str, frame: DataFrame, name, value) -> DataFrame:
+        return frame.select(F.lit(section).alias("section"), name.alias("name"), value.cast("string").alias("value"))
+
+    quality = q.select(F.inline(F.array(*[F.struct(F.lit(k).alias("name"), F.col(k).cast("string").alias("value")) for k in (
+        "score", "total_issues", "duplicate_rows", "empty_columns", "high_cardinality_columns")])))
+    column = F.col("column")
+    per_column = summary.select("column", F.inline(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.col(k).cast("string").alias("v")) for k in ("dtype", "non_null", "nulls", "distinct")])))
+    none = F.lit(None)
     sections = [
-        q.select(F.explode(F.array(
-            F.struct(F.lit("quality").alias("section"), F.lit("score").alias("name"), F.col("score").cast("string").alias("value")),
-            F.struct(F.lit("quality").alias("section"), F.lit("total_issues").alias("name"), F.col("total_issues").cast("string").alias("value")),
-            F.struct(F.lit("quality").alias("section"), F.lit("duplicate_rows").alias("name"), F.col("duplicate_rows").cast("string").alias("value")),
-            F.struct(F.lit("quality").alias("section"), F.lit("empty_columns").alias("name"), F.col("empty_columns").cast("string").alias("value")),
-            F.struct(F.lit("quality").alias("section"), F.lit("high_cardinality_columns").alias("name"), F.col("high_cardinality_columns").cast("string").alias("value")),
-        )).alias("s")).select("s.*"),
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit("basic").alias("section"), F.lit("rows").alias("name"),
-                                                      F.col("n").cast("string").alias("value")),
-        df.sparkSession.range(1).select(F.lit("basic").alias("section"), F.lit("columns").alias("name"),
-                                        F.lit(str(len(df.columns))).alias("value")),
-        date_like(df, order_by).select(F.lit("date_column").alias("section"), F.col("column").alias("name"),
-                                       F.col("parsed_share").cast("string").alias("value")),
-        categorical(summary, rows).select(F.lit("categorical_column").alias("section"), F.col("column").alias("name"),
-                                          F.col("distinct").cast("string").alias("value")),
-        id_columns(summary, rows).select(F.lit("id_column").alias("section"), F.col("column").alias("name"),
-                                         F.lit(None).cast("string").alias("value")),
+        rows("quality", quality, F.col("name"), F.col("value")),
+        rows("basic", summary.agg(F.coalesce(F.max("rows"), F.lit(0)).alias("n")), F.lit("rows"), F.col("n")),
+        rows("basic", summary.agg(F.count(F.lit(1)).alias("n")), F.lit("columns"), F.col("n")),
+        rows("column", per_column, F.concat_ws(".", column, "k"), F.col("v")),
+        rows("date_column", date_like(df), column, F.col("parsed_share")),
+        rows("categorical_column", categorical(df, summary), column, F.col("distinct")),
+        rows("id_column", id_columns(df, summary), column, none),
     ]
     return reduce(DataFrame.unionByName, sections)

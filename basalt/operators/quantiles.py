@@ -3,21 +3,21 @@
 Spark's exact ``percentile`` keeps a value -> count map per group and merges
 the maps of a global aggregate in one task: memory grows with the number of
 distinct values.  Here the exact order statistics come from a distributed
-sort instead:
+sort at every size:
 
 1. unpivot to ``(column, v)`` and range-partition on ``(column, v, row id)``;
    the row id splits a value that fills a third of a column across many
    partitions, so no partition is larger than its share;
-2. sort inside each partition; a row's index inside its partition is
-   ``monotonically_increasing_id() - (partition id << 33)``;
+2. sort inside each partition and write once to the shared scratch folder with
+   the documented ``monotonically_increasing_id`` (partition number above 33
+   bits of row number), so partition and place are data from here on;
 3. per (column, partition) counts -- a few rows per partition -- give each
    partition's offset in the column's global order;
-4. global rank = offset + local index; only the rows at the ranks a quantile
+4. global rank = offset + place; only the rows at the ranks a quantile
    needs (two per quantile) survive a join with that bounded target set;
 5. linear interpolation as in ``percentile`` / ``quantile_cont``.
 
-One shuffle of the values (shared by every column and every quantile) and a
-few small aggregates; no task holds more than one range partition.
+One shuffle of the values, shared by every column and every quantile.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basalt.operators.profile import _q, normalize
+from basalt.session import written
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
@@ -36,9 +37,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
     vals = normalize(df.select(*[_q(c).cast("double").alias(c) for c in cols]))
     long = (vals.unpivot([], [_q(c) for c in cols], "column", "v").where(F.col("v").isNotNull())
             .withColumn("_tb", F.monotonically_increasing_id()))
-    ordered = (long.repartitionByRange("column", "v", "_tb").sortWithinPartitions("column", "v", "_tb")
-               .withColumn("_pid", F.spark_partition_id().cast("bigint"))
-               .withColumn("_idx", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid"), 33)))
+    ordered = written(long.repartitionByRange("column", "v", "_tb").sortWithinPartitions("column", "v", "_tb")
+                      .select("column", "v", F.monotonically_increasing_id().alias("_idx")), "quantiles")
+    ordered = ordered.withColumn("_pid", F.shiftright("_idx", 33))
     counts = ordered.groupBy("column", "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_idx").alias("_first"))
     before = Window.partitionBy("column").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("column", "_pid", "_first",
@@ -72,40 +73,3 @@ def quantile_columns(df: DataFrame, columns: list[str], probs: list[float]) -> D
     return q.groupBy("column").agg(*aggs)
 
 
-# Above this many distinct values (HLL estimate) in a column, the value->count
-# map of ``percentile`` is not trusted to fit one task; the sort path is used.
-MAP_PERCENTILE_MAX_DISTINCT = 1_000_000
-
-
-def choose_method(df: DataFrame, columns: list[str], max_distinct: int = MAP_PERCENTILE_MAX_DISTINCT) -> str:
-    """``map`` when every column has at most ``max_distinct`` distinct values, else ``sort``.
-
-    The row count bounds the distinct count, and on a Parquet scan Spark takes
-    it from the file footers; only when it exceeds the limit are the distinct
-    values estimated with HLL (one pass, one number per column to the driver)."""
-    if df.count() <= max_distinct:
-        return "map"
-    cols = list(columns)
-    vals = normalize(df.select(*[_q(c).cast("double").alias(c) for c in cols]))
-    est = vals.agg(*[F.approx_count_distinct(_q(c)).alias(c) for c in cols]).first()
-    return "map" if max(int(est[c] or 0) for c in cols) <= max_distinct else "sort"
-
-
-def quantile_table(df: DataFrame, columns: list[str], probs: list[float],
-                   max_distinct: int = MAP_PERCENTILE_MAX_DISTINCT, method: str = "auto") -> DataFrame:
-    """(column, q0, q1, ...): exact quantiles, choosing the plan by a size check.
-
-    ``auto`` asks :func:`choose_method`: when every column has at most
-    ``max_distinct`` values the single-pass map-based ``percentile`` is exact
-    and bounded; otherwise the distributed sort of :func:`exact_quantiles`
-    runs.  ``method="map"`` / ``"sort"`` force a plan.
-    """
-    cols = list(columns)
-    if method == "auto":
-        method = choose_method(df, cols, max_distinct)
-    if method == "sort":
-        return quantile_columns(df, cols, probs)
-    vals = normalize(df.select(*[_q(c).cast("double").alias(c) for c in cols]))
-    wide = vals.agg(*[F.percentile(_q(c), [float(p) for p in probs]).alias(c) for c in cols])
-    rows = [F.struct(F.lit(c).alias("column"), *[_q(c)[i].alias(f"q{i}") for i in range(len(probs))]) for c in cols]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

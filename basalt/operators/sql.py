@@ -19,9 +19,13 @@ def execute(spark: SparkSession, query: str, database: str | None = None) -> tup
     Analysis errors surface here; run-time errors surface when the result is used.
     """
     try:
-        if database:
-            spark.catalog.setCurrentDatabase(database)
-        return spark.sql(query), None
+        before = spark.catalog.currentDatabase()
+        try:
+            if database:
+                spark.catalog.setCurrentDatabase(database)
+            return spark.sql(query), None  # names are resolved here; later queries keep their database
+        finally:
+            spark.catalog.setCurrentDatabase(before)
     except Exception as exc:  # the reference returns the error text
         return None, f"{type(exc).__name__}: {exc}"
 
@@ -49,11 +53,13 @@ def latest_events_sql(table: str, n: int = 5) -> str:
             f"ORDER BY event_time DESC, user_id, action LIMIT {int(n)}")
 
 
-def as_text(df: DataFrame, cap: int = TEXT_ROW_CAP, order: list | None = None) -> DataFrame:
-    """Q8: the first ``cap`` data rows as text (NULL shown as ``NULL``, D16) and
-    ``rows_left`` = rows not shown."""
+def as_text(df: DataFrame, cap: int | None = None, order: list | None = None) -> DataFrame:
+    """Q8: data rows as text (NULL shown as ``NULL``, D16) and ``rows_left`` = rows not
+    shown; all rows, or the first ``cap`` (``TEXT_ROW_CAP`` is what the view shows)."""
     total = df.select(F.count(F.lit(1))).scalar()
     shown = df.orderBy(*order) if order else df
     cols = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NULL_TEXT)).alias(c) for c in df.columns]
+    if cap is None:
+        return shown.select(*cols).withColumn("rows_left", F.lit(0).cast("bigint"))
     return (shown.limit(cap).select(*cols)
             .withColumn("rows_left", F.greatest(total - F.lit(cap), F.lit(0)).cast("bigint")))

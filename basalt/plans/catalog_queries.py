@@ -33,11 +33,53 @@ def catalog_auto_register(spark, sf_dir):
     root = _lake(spark, sf_dir)
     sample = (spark.read.parquet(f"{root}/events").select(F.input_file_name().alias("f")).limit(1).first()["f"])
     db = "cat_" + uuid.uuid4().hex[:8]
-    C.create_database(spark, db)
+    C.create_database(spark, db, f"{root}/_db")
     C.auto_register(spark, db, "events", sample)
     return spark.sql(f"SELECT year, month, count(*) AS rows FROM {db}.events GROUP BY year, month")
 
 
+@register("catalog_registered_rows", oracle="""
+SELECT l_orderkey, l_linenumber, l_quantity, CAST(l_shipdate AS DATE) AS day,
+       CAST(l_extendedprice AS DECIMAL(12, 2)) AS price, l_returnflag AS flag FROM lineitem""")
+def catalog_registered_rows(spark, sf_dir):
+    """A table with date, decimal and struct columns, registered from one file and read back by value."""
+    root = scratch_dir(spark, "registered")
+    (V.table(spark, sf_dir, "lineitem")
+     .select("l_orderkey", "l_linenumber", "l_quantity", F.col("l_shipdate").cast("date").alias("day"),
+             F.col("l_extendedprice").cast("decimal(12,2)").alias("price"), F.struct(F.col("l_returnflag").alias("flag")).alias("s"))
+     .write.parquet(f"{root}/items"))
+    db = "reg_" + uuid.uuid4().hex[:8]
+    C.create_database(spark, db, f"{root}/_db")
+    C.auto_register(spark, db, "items", spark.read.parquet(f"{root}/items").inputFiles()[0])
+    return spark.sql(f"SELECT l_orderkey, l_linenumber, l_quantity, day, price, s.flag AS flag FROM {db}.items")
+
+
+@register("catalog_two_roots", oracle="""
+SELECT 'customer' AS "table" UNION ALL SELECT 'events' UNION ALL SELECT 'orders'""")
+def catalog_two_roots(spark, sf_dir):
+    """Discovering a second root leaves the tables of the first alone; the list of all tables."""
+    first, second = _lake(spark, sf_dir), scratch_dir(spark, "catalog2")
+    V.table(spark, sf_dir, "customer").write.parquet(f"{second}/customer")
+    db = "two_" + uuid.uuid4().hex[:8]
+    C.create_database(spark, db, f"{second}/_db")
+    C.discover_tables(spark, db, first)
+    C.discover_tables(spark, db, second)
+    return C.list_tables(spark, db)
+
+
+@register("catalog_partition_keys", oracle="""
+SELECT key, 'year,month' AS partition_keys
+FROM (SELECT concat('lake/events/year=', strftime(ts, '%Y'), '/month=', strftime(ts, '%m'), '/part-',
+                    CAST(event_id AS VARCHAR), '.parquet') AS key FROM events)""")
+def catalog_partition_keys(spark, sf_dir):
+    """C5 over many keys: partition names of each file key, as a column expression."""
+    ev = V.table(spark, sf_dir, "events")
+    keys = ev.select(F.concat(F.lit("lake/events/year="), F.date_format("ts", "yyyy"), F.lit("/month="),
+                              F.date_format("ts", "MM"), F.lit("/part-"), F.col("event_id").cast("string"),
+                              F.lit(".parquet")).alias("key"))
+    return keys.select("key", F.array_join(C.partition_keys_col("key"), ",").alias("partition_keys"))
+
+
 @register("catalog_type_map", oracle="""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
 def catalog_type_map(spark, sf_dir):

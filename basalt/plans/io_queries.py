@@ -52,9 +52,21 @@ def io_json_documents_flattened(spark, sf_dir):
             .groupBy("doc").agg(F.concat(F.lit("["), F.array_join(F.transform(
                 F.array_sort(F.collect_list(F.struct("i", "j"))), lambda s: s["j"]), ","), F.lit("]")).alias("value")))
     docs.repartition("doc").write.partitionBy("doc").text(out)
-    read = spark.read.option("multiLine", True).option("recursiveFileLookup", True).json(out)
-    return readers.flatten(read).select("`event.id`", "`event.type`", "`user.id`", "`measures.value`",
-                                        "`measures.props.k`")
+    return readers.flatten(readers.read_json_document(spark, f"{out}/*", DOCUMENT_SCHEMA)).select(
+        "`event.id`", "`event.type`", "`user.id`", "`measures.value`", "`measures.props.k`")
+
+
+DOCUMENT_SCHEMA = (
+    "event struct<id:bigint,type:string>, user struct<id:bigint>, measures struct<value:double,props:struct<k:bigint>>")
+
+
+@register("io_csv_documents", oracle="SELECT doc_id, text, lang FROM documents")
+def io_csv_documents(spark, sf_dir):
+    """Whole texts with quotes, commas and line breaks exported as CSV and read back."""
+    out = scratch_dir(spark, "csvdocs")
+    docs = V.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    sinks.write_csv(docs, out)
+    return readers.read_csv(spark, out, docs.schema)
 
 
 @register("io_csv_roundtrip", oracle="SELECT * FROM orders")
@@ -66,15 +78,14 @@ def io_csv_roundtrip(spark, sf_dir):
     return readers.read_csv(spark, out, orders.schema)
 
 
-@register("io_csv_inferred", oracle="SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+@register("io_csv_inferred", oracle="SELECT * FROM orders")
 def io_csv_inferred(spark, sf_dir):
-    """CSV read with schema inference (numeric and text columns)."""
+    """CSV read with schema inference (numbers, texts and times)."""
     out = scratch_dir(spark, "csvinf")
-    sinks.write_csv(V.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"),
-                    out)
+    orders = V.table(spark, sf_dir, "orders")
+    sinks.write_csv(orders, out)
     df = readers.read_csv(spark, out)
-    return df.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
-                     F.col("o_custkey").cast("bigint").alias("o_custkey"), "o_orderstatus", "o_totalprice")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in orders.schema.fields])
 
 
 @register("io_parquet_roundtrip", oracle="SELECT * FROM lineitem")
@@ -157,6 +168,31 @@ def io_log_files(spark, sf_dir):
     return L.error_lines(readers.read_logs(spark, out)).agg(F.count(F.lit(1)).alias("errors"))
 
 
+@register("io_log_files_last", oracle=V.with_views("""
+SELECT line, row_number() OVER (ORDER BY log_ts NULLS LAST, line) AS n FROM (
+  SELECT line, log_ts FROM (SELECT line, try_strptime(nullif(regexp_extract(line,
+    '^(\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2})', 1), ''), '%Y-%m-%d %H:%M:%S') AS log_ts FROM logs
+    WHERE contains(line, 'ERROR')) WHERE log_ts IS NOT NULL ORDER BY log_ts DESC, line DESC LIMIT 5)""", logs=V.LOG_LINES_SQL))
+def io_log_files_last(spark, sf_dir):
+    """S12 + L4: the last 5 dated errors of several log files, in time order."""
+    out = scratch_dir(spark, "logs")
+    V.log_lines(V.table(spark, sf_dir, "events")).select(F.col("line").alias("value")).repartition(5).write.text(out)
+    dated = L.log_order(L.error_lines(readers.read_logs(spark, out))).where(F.col("log_ts").isNotNull())
+    return L.last_errors(dated, 5, ["log_ts", "line"]).select("line", "n")
+
+
+@register("io_text_previews", oracle="SELECT doc_id, text, 'utf-8' AS encoding, CAST(strlen(text) AS BIGINT) AS size FROM documents")
+def io_text_previews(spark, sf_dir):
+    """One text file per document, read whole with its encoding and size."""
+    out = scratch_dir(spark, "texts")
+    docs = V.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
+    docs.repartition("doc_id").write.partitionBy("doc_id").option("lineSep", "\n").text(out)
+    files = readers.read_text_files(spark, f"{out}/*")
+    one = F.expr("substr(preview, 1, length(preview) - 1)")  # without the line end that the writer adds
+    return files.select(F.regexp_extract("path", "doc_id=([0-9]+)", 1).cast("bigint").alias("doc_id"), one.alias("text"),
+                        "encoding", (F.col("size") - 1).alias("size"))
+
+
 SNAPSHOT_SQL = V.with_views(f"""
 WITH m AS (SELECT count(*) FILTER (WHERE source = 'raw') AS raw_files,
                   CAST(coalesce(sum(size) FILTER (WHERE source = 'raw'), 0) AS BIGINT) AS raw_size_bytes,
@@ -196,3 +232,11 @@ def io_snapshot_export(spark, sf_dir):
     snap = _snapshot(spark, sf_dir)
     path = sinks.export_snapshot(snap, scratch_dir(spark, "snapshot"), "json")
     return spark.read.schema(snap.schema).json(path)
+
+
+@register("io_snapshot_export_csv", oracle=SNAPSHOT_SQL)
+def io_snapshot_export_csv(spark, sf_dir):
+    """K5: the snapshot exported as CSV and read back with its schema."""
+    snap = _snapshot(spark, sf_dir)
+    path = sinks.export_snapshot(snap, scratch_dir(spark, "snapshot"), "csv")
+    return readers.read_csv(spark, path, snap.schema)

@@ -12,17 +12,23 @@ _MS = {"msgs": V.MESSAGES_SQL}
 DEFAULT_BUCKET = "raw-default"
 KIND_SQL = ("CASE WHEN json_valid(body) AND json_type(body) = 'OBJECT' THEN 'object' "
             "WHEN json_valid(body) THEN 'json' ELSE 'text' END")
-REC_KEY_SQL = "CASE WHEN json_valid(body) THEN json_extract_string(body, '$.Records[0].s3.object.key') END"
-REC_BUCKET_SQL = "CASE WHEN json_valid(body) THEN json_extract_string(body, '$.Records[0].s3.bucket.name') END"
-KEY_SQL = (f"CASE WHEN ({REC_KEY_SQL}) IS NOT NULL THEN url_decode({REC_KEY_SQL}) "
-           f"WHEN ({KIND_SQL}) = 'object' THEN json_extract_string(body, '$.key') "
-           f"WHEN ({KIND_SQL}) = 'text' THEN trim(body) END")
+# One row per record of a body; a body without records has one row with a NULL record.
+RECORDS_SQL = f"""
+SELECT message_id, body, body_kind, n_records, i, recs[i + 1] AS rec FROM (
+  SELECT *, unnest(range(len(recs))) AS i FROM (
+    SELECT message_id, body, body_kind, len(found) AS n_records,
+           CASE WHEN len(found) > 0 THEN found ELSE [NULL] END AS recs
+    FROM (SELECT message_id, body, {KIND_SQL} AS body_kind,
+                 CASE WHEN json_valid(body) THEN json_extract(body, '$.Records[*]') ELSE [] END AS found FROM msgs)))"""
 TARGETS_SQL = f"""
-SELECT message_id, CAST(message_id AS BIGINT) AS seq, {KIND_SQL} AS body_kind,
-       CASE WHEN ({REC_KEY_SQL}) IS NOT NULL THEN {REC_BUCKET_SQL}
-            WHEN ({KEY_SQL}) IS NOT NULL THEN '{DEFAULT_BUCKET}' END AS bucket,
-       {KEY_SQL} AS key, ({KEY_SQL}) IS NOT NULL AS resolved
-FROM msgs"""
+SELECT message_id, CAST(message_id AS BIGINT) AS seq, CASE WHEN n_records > 0 THEN CAST(i AS INTEGER) END AS record_no,
+       body_kind, CASE WHEN rec_key IS NOT NULL THEN json_extract_string(rec, '$.s3.bucket.name')
+                       WHEN key IS NOT NULL THEN '{DEFAULT_BUCKET}' END AS bucket,
+       key, key IS NOT NULL AS resolved
+FROM (SELECT *, CASE WHEN rec_key IS NOT NULL THEN url_decode(rec_key)
+                     WHEN body_kind = 'object' THEN json_extract_string(body, '$.key')
+                     WHEN body_kind = 'text' THEN trim(body) END AS key
+      FROM (SELECT *, json_extract_string(rec, '$.s3.object.key') AS rec_key FROM ({RECORDS_SQL})))"""
 
 
 def _msgs(spark, sf_dir):
@@ -31,8 +37,8 @@ def _msgs(spark, sf_dir):
 
 def _targets(spark, sf_dir):
     r = M.resolve_target(_msgs(spark, sf_dir), DEFAULT_BUCKET)
-    return r.select("message_id", F.col("message_id").cast("bigint").alias("seq"), "body_kind", "bucket", "key",
-                    "resolved")
+    return r.select("message_id", F.col("message_id").cast("bigint").alias("seq"), "record_no", "body_kind", "bucket",
+                    "key", "resolved")
 
 
 @register("message_body_kind", oracle=V.with_views(f"SELECT message_id, {KIND_SQL} AS body_kind FROM msgs", **_MS))
@@ -48,12 +54,11 @@ def message_targets(spark, sf_dir):
 
 
 @register("message_records", oracle=V.with_views(f"""
-SELECT message_id, CAST(coalesce(CASE WHEN json_valid(body) THEN json_array_length(body, '$.Records') END, 0) AS INTEGER)
-         AS record_count,
-       {REC_BUCKET_SQL} AS record_bucket, {REC_KEY_SQL} AS record_key
-FROM msgs""", **_MS))
+SELECT message_id, CAST(n_records AS INTEGER) AS record_count, json_extract_string(rec, '$.s3.bucket.name') AS record_bucket,
+       json_extract_string(rec, '$.s3.object.key') AS record_key
+FROM ({RECORDS_SQL})""", **_MS))
 def message_records(spark, sf_dir):
-    """M3: records per message, expanded (one record per message here)."""
+    """M3: records per message (none, one or several), expanded."""
     return M.records(_msgs(spark, sf_dir)).select("message_id", "record_count", "record_bucket", "record_key")
 
 
@@ -80,12 +85,13 @@ def message_previews(spark, sf_dir):
 
 
 @register("message_dedupe", oracle=V.with_views("""
-SELECT bucket, key, seq, message_id, body_kind, resolved FROM (
-  SELECT *, row_number() OVER (PARTITION BY bucket, key ORDER BY seq) AS rn FROM t WHERE resolved) WHERE rn = 1""",
+SELECT bucket, key, seq, record_no, message_id, body_kind, resolved FROM (
+  SELECT *, row_number() OVER (PARTITION BY bucket, key ORDER BY seq, record_no NULLS FIRST) AS rn FROM t WHERE resolved)
+WHERE rn = 1""",
     msgs=V.MESSAGES_SQL, t=TARGETS_SQL))
 def message_dedupe(spark, sf_dir):
     """M8: one message per (bucket, key), the earliest kept."""
-    return M.dedupe_targets(_targets(spark, sf_dir), ["seq"])
+    return M.dedupe_targets(_targets(spark, sf_dir), ["seq", "record_no"])
 
 
 @register("queue_depth_state", oracle=V.with_views("""

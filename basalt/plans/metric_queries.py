@@ -203,10 +203,11 @@ def metric_widgets(spark, sf_dir):
 SELECT time_bucket(INTERVAL '5 minutes', ts) AS period_start,
        sum(count::DOUBLE) FILTER (WHERE operation = 'PUT') AS PUT,
        sum(count::DOUBLE) FILTER (WHERE operation = 'GET') AS GET,
-       sum(count::DOUBLE) FILTER (WHERE operation = 'DELETE') AS DELETE
+       sum(count::DOUBLE) FILTER (WHERE operation = 'DELETE') AS DELETE,
+       sum(count::DOUBLE) FILTER (WHERE operation NOT IN ('PUT', 'GET', 'DELETE')) AS other
 FROM ops GROUP BY 1""", ops=STORAGE_OPS_SQL))
 def metric_operations_pivot(spark, sf_dir):
-    """PUT / GET / DELETE per period."""
+    """PUT / GET / DELETE and all other operations per period."""
     p = X.storage_points(_storage_ops(spark, sf_dir))
     return X.operations_by_type(p)
 

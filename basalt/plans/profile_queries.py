@@ -42,16 +42,16 @@ CA_TEXT = [c for c, t in CA_COLUMNS if t == "string"]
 
 
 def documents_labelled(spark, sf_dir):
-    d = V.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    d = V.table(spark, sf_dir, "documents")
     lab = V.table(spark, sf_dir, "labels")
     return d.join(lab, "doc_id", "left")
 
 
 DL_SQL = """
-SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """
-DL_COLUMNS = [("doc_id", "bigint"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"),
+DL_COLUMNS = [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"),
               ("quality", "int"), ("toxic", "int")]
 
 
@@ -86,6 +86,11 @@ def _numeric_sql(cols, base):
   round(stddev_samp({c}::DOUBLE), 2) AS std FROM {base}""" for c in cols)
 
 
+LI_COLUMNS = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+              ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"),
+              ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "date")]
+
+
 @register("profile_numeric_stats", oracle=V.with_views(_numeric_sql(CA_NUMERIC, "ca"), ca=CA_SQL))
 def profile_numeric_stats(spark, sf_dir):
     """Min, max, mean, median, std per numeric column."""
@@ -129,10 +134,10 @@ def profile_text_length(spark, sf_dir):
 @register("profile_duplicates", oracle="""
 SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows,
        coalesce(round(sum(n - 1) * 100.0::DOUBLE / nullif(sum(n), 0), 2), 0.0::DOUBLE) AS duplicate_pct
-FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_returnflag, l_linestatus, l_quantity)""")
+FROM (SELECT count(*) AS n FROM lineitem GROUP BY ALL)""".replace("GROUP BY ALL", "GROUP BY " + ", ".join(c for c, _ in LI_COLUMNS)))
 def profile_duplicates(spark, sf_dir):
-    """Duplicate rows of lineitem's (flag, status, quantity) projection."""
-    return P.duplicates(V.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity"))
+    """Duplicate rows of lineitem, over all columns."""
+    return P.duplicates(V.table(spark, sf_dir, "lineitem"))
 
 
 @register("profile_empty_columns", oracle=V.with_views("\nUNION ALL\n".join(
@@ -149,7 +154,7 @@ def profile_empty_columns(spark, sf_dir):
 def profile_high_cardinality(spark, sf_dir):
     """Columns with distinct / rows > 0.95 (more than 100 rows)."""
     df = customer_activity(spark, sf_dir)
-    return P.high_cardinality(P.column_summary(df), df.select(F.count(F.lit(1))).scalar())
+    return P.high_cardinality(df)
 
 
 def _null_share_sql(columns, base):
@@ -193,30 +198,24 @@ def profile_quality_score(spark, sf_dir):
     return P.quality_score(customer_activity(spark, sf_dir))
 
 
-LI_DUP_COLUMNS = [("l_returnflag", "string"), ("l_linestatus", "string"), ("l_quantity", "double")]
-
-
-@register("profile_quality_score_lineitem", oracle=V.with_views(
-    _quality_sql(LI_DUP_COLUMNS, "li", []),
-    li="SELECT l_returnflag, l_linestatus, l_quantity FROM lineitem"))
+@register("profile_quality_score_lineitem", oracle=_quality_sql(LI_COLUMNS, "lineitem", []))
 def profile_quality_score_lineitem(spark, sf_dir):
-    """P14 on a frame with many duplicate rows (penalty capped at 20)."""
-    return P.quality_score(V.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity"))
+    """P14 on the whole of lineitem."""
+    return P.quality_score(V.table(spark, sf_dir, "lineitem"))
 
 
 DATE_LIKE_SQL = """
 SELECT "column", round(share, 4) AS parsed_share FROM (
   SELECT "column", avg(CASE WHEN try_cast(value AS TIMESTAMP) IS NOT NULL THEN 1.0 ELSE 0.0 END) AS share
-  FROM (SELECT "column", value, row_number() OVER (PARTITION BY "column" ORDER BY c_custkey) AS rn
-        FROM (""" + "\n UNION ALL\n".join(
-    f"""SELECT '{c}' AS "column", c_custkey, {c} AS value FROM ca WHERE {c} IS NOT NULL""" for c in CA_TEXT) + """))
-  WHERE rn <= 100 GROUP BY "column") WHERE share > 0.8"""
+  FROM (""" + "\n UNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", {c} AS value FROM ca WHERE {c} IS NOT NULL""" for c in CA_TEXT) + """)
+  GROUP BY "column") WHERE share > 0.8"""
 
 
 @register("profile_date_like", oracle=V.with_views(DATE_LIKE_SQL, ca=CA_SQL))
 def profile_date_like(spark, sf_dir):
-    """Text columns whose first 100 values (by customer key) parse as dates."""
-    return P.date_like(customer_activity(spark, sf_dir), ["c_custkey"])
+    """Text columns whose values parse as dates."""
+    return P.date_like(customer_activity(spark, sf_dir))
 
 
 CATEGORICAL_SQL = "\nUNION ALL\n".join(
@@ -229,7 +228,7 @@ CATEGORICAL_SQL = "\nUNION ALL\n".join(
 def profile_categorical(spark, sf_dir):
     """Low-cardinality columns."""
     df = customer_activity(spark, sf_dir)
-    return P.categorical(P.column_summary(df), df.select(F.count(F.lit(1))).scalar())
+    return P.categorical(df)
 
 
 def _id_sql(columns, base, legacy=False):
@@ -247,7 +246,7 @@ def _id_sql(columns, base, legacy=False):
 def profile_id_columns(spark, sf_dir):
     """Id columns (unique, > 10 rows, id-like name)."""
     df = documents_labelled(spark, sf_dir)
-    return P.id_columns(P.column_summary(df), df.select(F.count(F.lit(1))).scalar())
+    return P.id_columns(df)
 
 
 CONV_COLUMNS = [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), ("text", "string")]
@@ -257,7 +256,7 @@ CONV_COLUMNS = [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), (
 def profile_id_columns_legacy(spark, sf_dir):
     """P18 with the reference's precedence (D9): any name containing 'id'."""
     df = V.table(spark, sf_dir, "conversations")
-    return P.id_columns(P.column_summary(df), df.select(F.count(F.lit(1))).scalar(), legacy_id_rule=True)
+    return P.id_columns(df, legacy_id_rule=True)
 
 
 @register("profile_basic_info", oracle="""
@@ -294,10 +293,11 @@ def profile_tail(spark, sf_dir):
     return P.tail(V.table(spark, sf_dir, "lineitem"), 10, ["l_orderkey", "l_linenumber"])
 
 
-@register("profile_sample")
+@register("profile_sample", oracle="""
+SELECT * FROM part ORDER BY md5('7/' || CAST(p_partkey AS VARCHAR)), p_partkey LIMIT 10""")
 def profile_sample(spark, sf_dir):
-    """P5: 10 random parts (seeded; engine-dependent, so rows-only)."""
-    return P.sample_rows(V.table(spark, sf_dir, "part"), 10, seed=7)
+    """P5: 10 random parts, by the MD5 of seed and key."""
+    return P.sample_rows(V.table(spark, sf_dir, "part"), 10, ["p_partkey"], seed=7)
 
 
 def _report_sql():
@@ -309,18 +309,22 @@ def _report_sql():
     date_like = DATE_LIKE_SQL
     categorical = CATEGORICAL_SQL
     ids = _id_sql(CA_COLUMNS, "ca")
+    columns = "\nUNION ALL\n".join(
+        f"SELECT 'column', concat(\"column\", '.{k}'), CAST(\"{k}\" AS VARCHAR) FROM sm"
+        for k in ("dtype", "non_null", "nulls", "distinct"))
     return V.with_views(f"""{quality}
 UNION ALL SELECT 'basic', 'rows', CAST(count(*) AS VARCHAR) FROM ca
 UNION ALL SELECT 'basic', 'columns', '{len(CA_COLUMNS)}'
+UNION ALL {columns}
 UNION ALL SELECT 'date_column', "column", CAST(parsed_share AS VARCHAR) FROM ({date_like})
 UNION ALL SELECT 'categorical_column', "column", CAST("distinct" AS VARCHAR) FROM ({categorical})
-UNION ALL SELECT 'id_column', "column", CAST(NULL AS VARCHAR) FROM ({ids})""", ca=CA_SQL, q=q)
+UNION ALL SELECT 'id_column', "column", CAST(NULL AS VARCHAR) FROM ({ids})""", ca=CA_SQL, q=q, sm=_summary_sql(CA_COLUMNS, "ca"))
 
 
 @register("profile_report", oracle=_report_sql())
 def profile_report(spark, sf_dir):
     """Full analysis of customer_activity as (section, name, value) rows."""
-    return P.report(customer_activity(spark, sf_dir), ["c_custkey"])
+    return P.report(customer_activity(spark, sf_dir))
 
 
 # ---- exploration ------------------------------------------------------------------
@@ -340,36 +344,36 @@ def explore_histogram(spark, sf_dir):
 
 
 @register("explore_box_stats", oracle="""
-WITH q AS (SELECT quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.5) AS med,
-                  quantile_cont(o_totalprice, 0.75) AS q3 FROM orders),
+WITH q AS (SELECT quantile_cont(n_chars, 0.25) AS q1, quantile_cont(n_chars, 0.5) AS med,
+                  quantile_cont(n_chars, 0.75) AS q3 FROM documents),
      f AS (SELECT q1, med, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lf, q3 + 1.5 * (q3 - q1) AS uf FROM q)
-SELECT 'o_totalprice' AS "column", q1, med AS median, q3, iqr, lf AS lower_fence, uf AS upper_fence,
-       min(o_totalprice) FILTER (WHERE o_totalprice BETWEEN lf AND uf) AS lower_whisker,
-       max(o_totalprice) FILTER (WHERE o_totalprice BETWEEN lf AND uf) AS upper_whisker,
-       count(*) FILTER (WHERE NOT (o_totalprice BETWEEN lf AND uf)) AS outliers
-FROM orders, f GROUP BY q1, med, q3, iqr, lf, uf""")
+SELECT 'n_chars' AS "column", q1, med AS median, q3, iqr, lf AS lower_fence, uf AS upper_fence,
+       min(n_chars) FILTER (WHERE n_chars BETWEEN lf AND uf) AS lower_whisker,
+       max(n_chars) FILTER (WHERE n_chars BETWEEN lf AND uf) AS upper_whisker,
+       count(*) FILTER (WHERE NOT (n_chars BETWEEN lf AND uf)) AS outliers
+FROM documents, f GROUP BY q1, med, q3, iqr, lf, uf""")
 def explore_box_stats(spark, sf_dir):
-    """Box-plot numbers of o_totalprice."""
-    return E.box_stats(V.table(spark, sf_dir, "orders"), "o_totalprice")
+    """Box-plot numbers of n_chars."""
+    return E.box_stats(V.table(spark, sf_dir, "documents"), "n_chars")
 
 
 @register("explore_box_outliers", oracle="""
-WITH q AS (SELECT quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.75) AS q3 FROM orders)
-SELECT orders.* FROM orders, q
-WHERE o_totalprice < q1 - 1.5 * (q3 - q1) OR o_totalprice > q3 + 1.5 * (q3 - q1)""")
+WITH q AS (SELECT quantile_cont(n_chars, 0.25) AS q1, quantile_cont(n_chars, 0.75) AS q3 FROM documents)
+SELECT documents.* FROM documents, q
+WHERE n_chars < q1 - 1.5 * (q3 - q1) OR n_chars > q3 + 1.5 * (q3 - q1)""")
 def explore_box_outliers(spark, sf_dir):
-    """Rows outside the fences of o_totalprice."""
-    return E.box_outliers(V.table(spark, sf_dir, "orders"), "o_totalprice")
+    """Rows outside the fences of n_chars."""
+    return E.box_outliers(V.table(spark, sf_dir, "documents"), "n_chars")
 
 
-CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+CORR_COLS = LI_NUMERIC
 
 
 @register("explore_correlation", oracle="\nUNION ALL\n".join(
     [f"""SELECT '{a}' AS column_a, '{b}' AS column_b, round(corr({a}, {b}), 10) AS corr FROM lineitem"""
      for a in CORR_COLS for b in CORR_COLS]))
 def explore_correlation(spark, sf_dir):
-    """Correlation matrix of four lineitem measures."""
+    """Correlation matrix of all numeric lineitem columns."""
     m = E.correlation_matrix(V.table(spark, sf_dir, "lineitem"), CORR_COLS)
     return m.withColumn("corr", F.round("corr", 10))
 

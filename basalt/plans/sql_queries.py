@@ -30,7 +30,7 @@ def lake_table(spark: SparkSession, sf_dir: str) -> str:
     out_dir = f"{root}/processed/events"
     ingest.ingest_batch(spark, raw_dir, out_dir, quarantine_root=f"{root}/quarantine/events")
     db = "lake_" + uuid.uuid4().hex[:8]
-    catalog.create_database(spark, db)
+    catalog.create_database(spark, db, f"{root}/db")
     catalog.register_parquet_table(
         spark, db, "events", out_dir,
         [("event_time", "timestamp"), ("user_id", "bigint"), ("action", "string")],
@@ -120,9 +120,10 @@ def sql_latest_events(spark, sf_dir):
 @register("sql_sample_rows", oracle=V.with_views("""
 SELECT event_time, user_id, action, event_id FROM lake_events ORDER BY event_id LIMIT 10""", **_PE))
 def sql_sample_rows(spark, sf_dir):
-    """Q2 (with an order, so the sample repeats)."""
+    """Q2 (over an ordered view, so the sample repeats)."""
     name = _events_view(spark, sf_dir)
-    return spark.sql(f"SELECT * FROM (SELECT * FROM {name} ORDER BY event_id) LIMIT 10")
+    spark.sql(f"SELECT * FROM {name} ORDER BY event_id").createOrReplaceTempView(f"{name}_ordered")
+    return spark.sql(sql.sample_rows_sql(f"{name}_ordered", 10))
 
 
 @register("sql_result_as_text", oracle=V.with_views("""
@@ -170,6 +171,44 @@ def ingest_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         lake_rows.alias("lake_rows"), "quarantined", "reason", "attempts")
 
 
+@register("ingest_with_ledger", oracle="""
+SELECT 1 AS run, 3 AS files_read, count(*) AS rows_read_ok FROM events
+UNION ALL SELECT 2, 0, 0
+UNION ALL SELECT 3, 1, count(DISTINCT event_type) FROM events""")
+def ingest_with_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest three files, run again (nothing to read), add a file, run again (only that one)."""
+    root = scratch_dir(spark, "ledger")
+    raw = V.table(spark, sf_dir, "events").select(
+        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("event_time"),
+        "user_id", F.col("event_type").alias("action"))
+    raw.repartition(3).write.json(f"{root}/raw")
+
+    def run(n: int) -> DataFrame:
+        files = f"{root}/raw/*.json"
+        out = ingest.ingest_batch(spark, files, f"{root}/lake", f"{root}/quarantine", ledger_root=f"{root}/ledger")
+        return out.select(F.lit(n).alias("run"), "files_read", "rows_read_ok")
+
+    runs = [run(1), run(2)]
+    last = raw.groupBy("action").agg(F.max("event_time").alias("event_time"), F.count(F.lit(1)).alias("user_id"))
+    last.coalesce(1).write.mode("append").json(f"{root}/raw")
+    runs.append(run(3))
+    return runs[0].unionByName(runs[1]).unionByName(runs[2]).withColumn("files_read", F.col("files_read").cast("int"))
+
+
+@register("ingest_retries", oracle="""
+SELECT attempt, CASE WHEN attempt = 3 THEN 'set aside' ELSE 'failed' END AS status, lake_rows
+FROM (SELECT unnest([1, 2, 3]) AS attempt), (SELECT count(*) AS lake_rows FROM events)""")
+def ingest_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch with a file that cannot be read: three attempts, then it is set aside; the rest is ingested."""
+    root = scratch_dir(spark, "retries")
+    raw = write_raw_events(spark, sf_dir, f"{root}/raw")
+    files = [r["path"] for r in ingest._listed(spark, f"{raw}/*.json").collect()] + [f"{root}/raw/gone.json"]
+    ingest.ingest_batch(spark, files, f"{root}/lake", f"{root}/quarantine", ledger_root=f"{root}/ledger")
+    lake_rows = spark.read.parquet(f"{root}/lake").select(F.count(F.lit(1))).scalar()
+    bad = ingest.read_ledger(spark, f"{root}/ledger").where(F.col("file").endswith("/gone.json"))
+    return bad.select("attempt", "status", lake_rows.alias("lake_rows"))
+
+
 @register("ingest_output_names", oracle="""
 SELECT key, regexp_replace(regexp_extract(key, '[^/]*$', 0), '\\.jsonl$', '.parquet') AS output_name
 FROM (""" + V.MANIFEST_SQL + """) WHERE suffix(key, '.jsonl')""")

@@ -18,9 +18,11 @@ from basalt.streaming import streams as STR
 
 
 def _events_stream(spark, sf_dir):
-    schema = V.table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(
-        f"{sf_dir.rstrip('/')}/events*.parquet")
+    """``events`` as a stream of 6 files that are not in time order, one per micro-batch."""
+    events = V.table(spark, sf_dir, "events")
+    folder = scratch_dir(spark, "events-files")
+    events.repartition(6, F.xxhash64("event_id")).write.parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 @register("stream_ingest_action_counts", oracle="""
@@ -54,12 +56,11 @@ SELECT metric, time_bucket(INTERVAL '5 minutes', ts) AS period_start, round(sum(
        round(avg(value), 6) AS average, max(value) AS maximum, count(*) AS samples
 FROM pts GROUP BY 1, 2""", pts=V.with_views(FILE_POINTS_SQL, fe=V.FILE_EVENTS_SQL)))
 def stream_five_minute_stats(spark, sf_dir):
-    """X7 as a stream: watermarked update-mode windows upserted per micro-batch."""
+    """X7 as a stream: mergeable parts per micro-batch, files out of time order, compacted on the way."""
     root = scratch_dir(spark, "stream-stats")
     points = X.file_points(V.file_events(_events_stream(spark, sf_dir)))
-    q = STR.start_upserting(STR.five_minute_stats_stream(points, "10 minutes"), f"{root}/stats", f"{root}/_ck")
-    q.awaitTermination()
-    s = STR.latest_versions(spark, f"{root}/stats", ["metric", "period_start"])
+    STR.start_five_minute_stats(points, f"{root}/stats", f"{root}/_ck", compact_every=4).awaitTermination()
+    s = STR.five_minute_stats(spark, f"{root}/stats")
     return s.select("metric", "period_start", F.round("sum", 6).alias("sum"), F.round("average", 6).alias("average"),
                     "maximum", "samples")
 
@@ -67,15 +68,12 @@ def stream_five_minute_stats(spark, sf_dir):
 @register("stream_dedupe_targets", oracle=V.with_views(
     "SELECT DISTINCT bucket, key FROM t WHERE resolved", msgs=V.MESSAGES_SQL, t=TARGETS_SQL))
 def stream_dedupe_targets(spark, sf_dir):
-    """M8 as a stream: repeats of a (bucket, key) within the watermark are dropped."""
+    """M8 as a stream: a ledger of seen keys, one row per (bucket, key) over all micro-batches."""
     root = scratch_dir(spark, "stream-dedupe")
-    msgs = V.messages(_events_stream(spark, sf_dir)).withColumn("ts", M.sent_time("sent_ms"))
-    targets = M.resolve_target(msgs, "raw-default").where("resolved").select("bucket", "key", "ts", "message_id")
-    deduped = STR.dedupe_within_watermark(targets, ["bucket", "key"], "ts", "45 days")
-    q = (deduped.writeStream.format("parquet").option("checkpointLocation", f"{root}/_ck")
-         .trigger(availableNow=True).start(f"{root}/out"))
-    q.awaitTermination()
-    return spark.read.parquet(f"{root}/out").select("bucket", "key")
+    msgs = V.messages(_events_stream(spark, sf_dir))
+    targets = M.resolve_target(msgs, "raw-default").where("resolved").select("bucket", "key", "message_id")
+    STR.start_deduping(targets, ["bucket", "key"], ["message_id"], f"{root}/out", f"{root}/_ck").awaitTermination()
+    return STR.read_table(spark, f"{root}/out", targets.schema).select("bucket", "key")
 
 
 @register("stream_cycle_counters", oracle="""

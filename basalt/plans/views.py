@@ -71,12 +71,19 @@ FROM events
 def messages(events: DataFrame) -> DataFrame:
     """Queue messages: (message_id, body, status, sent_ms, receive_count_attr)."""
     key = F.concat(F.lit("raw/events/incoming/f"), _user(), F.lit(".jsonl"))
+    def record(name: str):
+        return F.concat(F.lit('{"s3":{"bucket":{"name":"b'), (F.col("user_id") % 3).cast("string"),
+                        F.lit('"},"object":{"key":"raw/events/incoming/' + name), _user(), F.lit('.jsonl"}}}'))
+
     body = (F.when(F.col("event_type") == "error", F.concat(F.lit("  "), key, F.lit(" ")))
+            .when((F.col("event_type") == "signup") & (F.col("event_id") % 5 == 0),
+                  F.concat(F.lit('{"key":"'), key, F.lit('"}}')))
             .when(F.col("event_type") == "signup",
                   F.concat(F.lit('{"key":"'), key, F.lit('","kind":"custom"}')))
-            .otherwise(F.concat(F.lit('{"Records":[{"s3":{"bucket":{"name":"b'),
-                                (F.col("user_id") % 3).cast("string"),
-                                F.lit('"},"object":{"key":"'), key, F.lit('"}}}]}'))))
+            .when(F.col("event_type") == "view",
+                  F.concat(F.lit('{"Records":['), record("f"), F.lit(","), record("g"), F.lit("]}")))
+            .when((F.col("event_type") == "purchase") & (F.col("event_id") % 3 == 0), F.lit('{"Records":[]}'))
+            .otherwise(F.concat(F.lit('{"Records":['), record("f"), F.lit("]}"))))
     status = (F.when((F.col("event_id") % 10) == 0, "delayed")
               .when((F.col("event_id") % 4) == 0, "in_flight")
               .otherwise("available"))
@@ -93,8 +100,16 @@ MESSAGES_SQL = """
 SELECT CAST(event_id AS VARCHAR) AS message_id,
        CASE WHEN event_type = 'error'
             THEN concat('  raw/events/incoming/f', CAST(user_id AS VARCHAR), '.jsonl ')
+            WHEN event_type = 'signup' AND event_id % 5 = 0
+            THEN concat('{"key":"raw/events/incoming/f', CAST(user_id AS VARCHAR), '.jsonl"}}')
             WHEN event_type = 'signup'
             THEN concat('{"key":"raw/events/incoming/f', CAST(user_id AS VARCHAR), '.jsonl","kind":"custom"}')
+            WHEN event_type = 'view'
+            THEN concat('{"Records":[{"s3":{"bucket":{"name":"b', CAST(user_id % 3 AS VARCHAR),
+                        '"},"object":{"key":"raw/events/incoming/f', CAST(user_id AS VARCHAR), '.jsonl"}}},',
+                        '{"s3":{"bucket":{"name":"b', CAST(user_id % 3 AS VARCHAR),
+                        '"},"object":{"key":"raw/events/incoming/g', CAST(user_id AS VARCHAR), '.jsonl"}}}]}')
+            WHEN event_type = 'purchase' AND event_id % 3 = 0 THEN '{"Records":[]}'
             ELSE concat('{"Records":[{"s3":{"bucket":{"name":"b', CAST(user_id % 3 AS VARCHAR),
                         '"},"object":{"key":"raw/events/incoming/f', CAST(user_id AS VARCHAR), '.jsonl"}}}]}')
        END AS body,

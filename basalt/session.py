@@ -20,11 +20,10 @@ only chosen when that setting is missing, which is the case in unit tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -69,6 +68,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="basalt-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     sc = spark.sparkContext
@@ -83,10 +84,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/basalt/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for os-level checks in tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def path_exists(path: str) -> bool:
-    return os.path.exists(local_path(path))
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared checkpoint folder and read back: its rows,
+    also what depends on the partitioning, are then fixed data."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

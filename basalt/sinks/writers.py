@@ -7,21 +7,37 @@ on the driver.  Partitioned writes sort by partition columns inside each task
 
 from __future__ import annotations
 
-import json
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from basalt.sources.readers import CSV_DIALECT
+
 PARTITION_COLUMNS = ["year", "month", "day"]
 
 
+def counting(df: DataFrame):
+    """``df`` with its rows counted when it runs, and a function that gives the count
+    afterwards (0 when the plan was empty and never ran)."""
+    obs = Observation()
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+    def rows() -> int:
+        try:
+            return int(obs.get.get("rows", 0))
+        except AssertionError:  # Spark dropped the observation together with an empty plan
+            return 0
+    return observed, rows
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "append") -> bool:
-    """K1: Parquet (snappy); an empty frame writes nothing and returns False."""
-    if df.isEmpty():
-        return False
-    df.write.mode(mode).option("compression", "snappy").parquet(path)
-    return True
+    """K1: Parquet (snappy); an empty frame writes no rows and returns False.
+
+    The rows are counted while they are written, so the input runs once."""
+    counted, rows = counting(df)
+    counted.write.mode(mode).option("compression", "snappy").parquet(path)
+    return rows() > 0
 
 
 def write_partitioned(df: DataFrame, path: str, columns: list[str] | None = None,
@@ -34,25 +50,26 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str] | None = None
     repartition that would hand a hot day to a single task.
     """
     cols = columns or PARTITION_COLUMNS
-    if df.isEmpty():
-        return False
-    (df.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols)
+    counted, rows = counting(df)
+    (counted.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols)
      .option("compression", "snappy").parquet(path))
-    return True
+    return rows() > 0
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """K3: CSV with a header line."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """K3: CSV with a header line; quotes inside a value are doubled."""
+    df.write.mode(mode).options(**CSV_DIALECT).option("header", True).csv(path)
     return path
 
 
 def export_filtered_csv(full: DataFrame, filtered: DataFrame, path: str) -> str | None:
-    """K4: export the filtered frame only when the filter removed rows."""
-    counts = full.select(F.count(F.lit(1)).alias("n")).first()["n"], filtered.count()
-    if counts[1] >= counts[0]:
-        return None
-    return write_csv(filtered, path)
+    """K4: export the filtered frame; None when the filter removed no row.
+
+    The filter runs once: its rows are counted while they are written.  ``full``
+    is only counted (from the footers of a Parquet scan)."""
+    counted, rows = counting(filtered)
+    write_csv(counted, path)
+    return path if rows() < full.count() else None
 
 
 def export_snapshot(snapshot: DataFrame, path: str, fmt: str = "json") -> str:
@@ -60,7 +77,7 @@ def export_snapshot(snapshot: DataFrame, path: str, fmt: str = "json") -> str:
     if fmt == "json":
         snapshot.coalesce(1).write.mode("overwrite").json(path)
     elif fmt == "csv":
-        snapshot.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+        snapshot.coalesce(1).write.mode("overwrite").options(**CSV_DIALECT).option("header", True).csv(path)
     else:
         raise ValueError(f"unknown export format {fmt!r}")
     return path
@@ -70,10 +87,6 @@ def save_result(df: DataFrame, result_root: str, run_id: str | None = None) -> s
     """K6: keep a SQL result as CSV files under ``result_root/run_id``."""
     rid = run_id or uuid.uuid4().hex
     out = f"{result_root.rstrip('/')}/{rid}"
-    df.write.mode("error").option("header", True).csv(out)
+    df.write.mode("error").options(**CSV_DIALECT).option("header", True).csv(out)
     return out
 
-
-def snapshot_json(row: dict) -> str:
-    """Text of a one-row snapshot (for logs)."""
-    return json.dumps(row, default=str, sort_keys=True)

@@ -49,7 +49,7 @@ def read_jsonl(spark: SparkSession, path, schema: T.StructType | None = None,
     return df
 
 
-def read_json_document(spark: SparkSession, path, schema: T.StructType | None = None) -> DataFrame:
+def read_json_document(spark: SparkSession, path, schema: T.StructType | str | None = None) -> DataFrame:
     """A JSON array of objects or a single object per file."""
     reader = spark.read.option("multiLine", True)
     if schema is not None:
@@ -74,11 +74,27 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*cols)
 
 
-def read_csv(spark: SparkSession, path, schema: T.StructType | None = None, header: bool = True) -> DataFrame:
-    """CSV with a header line; inference only when no schema is given."""
-    reader = spark.read.option("header", header)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+# CSV dialect of readers and writers: quotes inside a value are doubled, blanks are kept.
+CSV_DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def read_csv(spark: SparkSession, path, schema: T.StructType | None = None, header: bool = True,
+             multi_line: bool = True, corrupt_column: str | None = None) -> DataFrame:
+    """CSV with a header line; inference only when no schema is given.
+
+    Doubled quotes and line breaks inside quotes are read as part of the value.
+    ``multi_line=False`` lets Spark split large files that hold no line break in
+    a value.  With a schema, ``corrupt_column`` keeps the text of rows that do
+    not fit it."""
+    # a missing value is an empty field without quotes; "" in quotes is an empty text
+    reader = (spark.read.options(**CSV_DIALECT).option("header", header).option("multiLine", multi_line)
+              .option("nullValue", "\u0000"))
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    if corrupt_column:
+        schema = with_corrupt(schema, corrupt_column)
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    return reader.schema(schema).csv(path)
 
 
 def read_parquet(spark: SparkSession, path, nanos_columns: list[str] | tuple = (),
@@ -87,13 +103,14 @@ def read_parquet(spark: SparkSession, path, nanos_columns: list[str] | tuple = (
     df = spark.read.option("mergeSchema", merge_schema).parquet(path)
     for c in nanos_columns:
         if c in df.columns and isinstance(df.schema[c].dataType, T.LongType):
-            df = df.withColumn(c, F.timestamp_micros(F.floor(F.col(c) / 1000)))
+            df = df.withColumn(c, F.timestamp_micros(F.expr(f"`{c}` div 1000")))
     return df
 
 
-def read_text_files(spark: SparkSession, path, preview_chars: int = 2000, hex_bytes: int = 500,
+def read_text_files(spark: SparkSession, path, preview_chars: int | None = None, hex_bytes: int | None = None,
                     recursive: bool = True) -> DataFrame:
-    """One row per file: byte length, encoding used, text preview or hex dump.
+    """One row per file: byte length, encoding used, text or hex dump, whole
+    unless ``preview_chars`` / ``hex_bytes`` limit what is shown.
 
     UTF-8 first, then latin-1 (D13: latin-1 accepts any byte, so it is the last
     text option); files with NUL bytes are shown as hex of their first bytes.
@@ -109,8 +126,9 @@ def read_text_files(spark: SparkSession, path, preview_chars: int = 2000, hex_by
     return raw.select(
         "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"),
         encoding.alias("encoding"),
-        F.substring(text, 1, preview_chars).alias("preview"),
-        F.when(encoding == "binary", F.lower(F.hex(F.substring("content", 1, hex_bytes)))).alias("hex_head"),
+        (text if preview_chars is None else F.substring(text, 1, preview_chars)).alias("preview"),
+        F.when(encoding == "binary", F.lower(F.hex(
+            F.col("content") if hex_bytes is None else F.substring("content", 1, hex_bytes)))).alias("hex_head"),
     )
 
 
@@ -136,6 +154,6 @@ def read_dataset(spark: SparkSession, path: str, fmt: str | None = None, **kw) -
 
 
 def read_logs(spark: SparkSession, path) -> DataFrame:
-    """Log files as lines, with the file and line number for stable ordering."""
+    """Log files as lines with their file."""
     return (spark.read.text(path)
             .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file")))

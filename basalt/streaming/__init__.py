@@ -1,4 +1,4 @@
 from basalt.streaming.streams import (  # noqa: F401
-    dedupe_within_watermark, five_minute_stats_stream, latest_versions, raw_event_stream, start_ingest,
-    start_upserting, start_with_handler,
+    five_minute_stats, raw_event_stream, read_table, start_deduping, start_five_minute_stats, start_ingest,
+    start_with_handler,
 )

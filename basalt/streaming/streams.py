@@ -10,8 +10,11 @@
   reference's "stop after N empty polls"); a processing-time trigger polls.
 * Parquet output uses the file sink, whose ``_spark_metadata`` log makes the
   write exactly-once; readers of the folder only see committed files.
-* Windowed series run in update mode with a watermark, so state for closed
-  windows is dropped; each micro-batch upserts its changed windows.
+* Series and dedupe give the batch result for any order of files: files need
+  not arrive in event-time order, so nothing is dropped behind a watermark.
+  Each micro-batch writes mergeable parts (sum, count, max per window) or its
+  new keys under its own batch id, by overwriting, so a batch that is run
+  again after a failure replaces its own rows.
 """
 
 from __future__ import annotations
@@ -75,41 +78,89 @@ def start_with_handler(stream: DataFrame, handler: Callable[[DataFrame, int], bo
     return _trigger(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), trigger).start()
 
 
-def dedupe_within_watermark(stream: DataFrame, keys: list[str], event_time: str = "ts",
-                            delay: str = "1 hour") -> DataFrame:
-    """M8 (stream): drop repeats of a key seen within ``delay`` of event time;
-    state older than the watermark is evicted."""
-    s = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))  # watermarks need TIMESTAMP
-    return s.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
-
-
-def five_minute_stats_stream(points: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """X7 (stream): Sum / Average / Maximum / samples per metric and 5-minute window."""
-    ts = F.col("ts").cast("timestamp")
-    w = F.window("event_ts", X.PERIOD)
-    return (points.withColumn("event_ts", ts).withWatermark("event_ts", delay)
-            .groupBy("metric", w.alias("w"))
-            .agg(F.sum("value").alias("sum"), F.avg("value").alias("average"), F.max("value").alias("maximum"),
-                 F.count(F.lit(1)).alias("samples"))
-            .select("metric", F.col("w.start").cast("timestamp_ntz").alias("period_start"),
-                    "sum", "average", "maximum", "samples"))
-
-
-def start_upserting(agg_stream: DataFrame, table_dir: str, checkpoint: str,
-                    trigger: str | None = "availableNow") -> StreamingQuery:
-    """Write an update-mode aggregate as versioned rows (one append per micro-batch,
-    tagged with the batch id); :func:`latest_versions` reads the current value."""
-    def upsert(batch: DataFrame, epoch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(epoch_id)).write.mode("append").parquet(f"{table_dir}/batch={epoch_id}")
-
-    return _trigger(agg_stream.writeStream.outputMode("update").foreachBatch(upsert)
-                    .option("checkpointLocation", checkpoint), trigger).start()
-
-
-def latest_versions(spark: SparkSession, table_dir: str, keys: list[str]) -> DataFrame:
-    """Current rows of an upserted table: per key the row of the latest batch
-    (a partial-aggregating ``max(struct)``, no window)."""
-    v = spark.read.parquet(table_dir)
-    rest = [c for c in v.columns if c not in keys and c not in ("_batch", "batch")]
-    return (v.groupBy(*keys).agg(F.max(F.struct("_batch", *rest)).alias("_r"))
-            .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
+def _batch_dir(table_dir: str, epoch_id: int) -> str:
+    return f"{table_dir}/batch={epoch_id}"
+
+
+def start_deduping(stream: DataFrame, keys: list[str], order: list[str], table_dir: str, checkpoint: str,
+                   trigger: str | None = "availableNow") -> StreamingQuery:
+    """M8 (stream): the first row of each key over the whole stream, in a ledger table.
+
+    A batch is reduced to one row per key (a min aggregate with a map-side part,
+    so a hot key ships one row per task) and anti-joined with the keys of earlier
+    batches; there is no state that expires.  :func:`read_table` reads the result."""
+    spark = stream.sparkSession
+    rest = [c for c in stream.columns if c not in keys]
+    ordered = [*order, *[c for c in rest if c not in order]]
+    schema = stream.select(*keys, *rest).schema
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        first = (batch.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("_r"))
+                 .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
+        if epoch_id > 0:
+            seen = read_table(spark, table_dir, schema).where(F.col("batch") < epoch_id).select(*keys)
+            first = first.join(seen, keys, "left_anti")
+        first.write.mode("overwrite").parquet(_batch_dir(table_dir, epoch_id))
+
+    return _trigger(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), trigger).start()
+
+
+def read_table(spark: SparkSession, table_dir: str, schema: T.StructType) -> DataFrame:
+    """The rows of a table written batch by batch, with the ``batch`` they came in."""
+    df = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(table_dir)
+    return df
+
+
+STAT_PARTS = T.StructType([
+    T.StructField("metric", T.StringType()), T.StructField("period_start", T.TimestampNTZType()),
+    T.StructField("sum", T.DoubleType()), T.StructField("maximum", T.DoubleType()), T.StructField("samples", T.LongType()),
+])
+
+
+def stat_parts(points: DataFrame) -> DataFrame:
+    """Mergeable five-minute parts of points: sum, maximum and samples per metric and period."""
+    w = F.window(F.col("ts").cast("timestamp"), X.PERIOD)
+    return (points.groupBy("metric", w.alias("w"))
+            .agg(F.sum("value").alias("sum"), F.max("value").alias("maximum"), F.count(F.lit(1)).alias("samples"))
+            .select("metric", F.col("w.start").cast("timestamp_ntz").alias("period_start"), "sum", "maximum", "samples"))
+
+
+def merge_parts(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("metric", "period_start").agg(
+        F.sum("sum").alias("sum"), F.max("maximum").alias("maximum"), F.sum("samples").alias("samples"))
+
+
+def start_five_minute_stats(points: DataFrame, table_dir: str, checkpoint: str, compact_every: int = 100,
+                            trigger: str | None = "availableNow") -> StreamingQuery:
+    """X7 (stream): each micro-batch appends its parts; late points merge like any other.
+
+    Every ``compact_every`` batches the parts so far are merged into one snapshot
+    next to them, so a reader opens at most that many batches."""
+    spark = points.sparkSession
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        stat_parts(batch).write.mode("overwrite").parquet(_batch_dir(f"{table_dir}/parts", epoch_id))
+        if (epoch_id + 1) % compact_every == 0:
+            merged = merge_parts(_live_parts(spark, table_dir, epoch_id + 1))
+            merged.write.mode("overwrite").parquet(_batch_dir(f"{table_dir}/merged", epoch_id + 1))
+
+    # an empty snapshot first, so that readers always find the folder
+    spark.createDataFrame([], STAT_PARTS).write.mode("overwrite").parquet(_batch_dir(f"{table_dir}/merged", 0))
+    return _trigger(points.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), trigger).start()
+
+
+def _live_parts(spark: SparkSession, table_dir: str, below: int | None = None) -> DataFrame:
+    """The newest snapshot and the parts written after it (snapshot n covers the batches below n)."""
+    merged = read_table(spark, f"{table_dir}/merged", STAT_PARTS)
+    if below is not None:
+        merged = merged.where(F.col("batch") < below)
+    upto = F.coalesce(merged.agg(F.max("batch")).scalar(), F.lit(0))
+    parts = read_table(spark, f"{table_dir}/parts", STAT_PARTS)
+    return merged.where(F.col("batch") == upto).unionByName(parts.where(F.col("batch") >= upto)).drop("batch")
+
+
+def five_minute_stats(spark: SparkSession, table_dir: str) -> DataFrame:
+    """The series written by :func:`start_five_minute_stats`: Sum / Average / Maximum / samples."""
+    m = merge_parts(_live_parts(spark, table_dir))
+    return m.select("metric", "period_start", "sum", (F.col("sum") / F.col("samples")).alias("average"), "maximum",
+                    "samples")

@@ -38,10 +38,8 @@ def test_d5_bad_line_goes_to_quarantine(spark, tmp_path):
 def test_d9_id_rule_precedence(spark):
     rows = [(i, i % 3, f"n{i}") for i in range(20)]
     df = spark.createDataFrame(rows, "id long, width_id long, name string")
-    rows_c = df.select(F.count(F.lit(1))).scalar()
-    summary = profile.column_summary(df)
-    fixed = {r[0] for r in profile.id_columns(summary, rows_c).collect()}
-    legacy = {r[0] for r in profile.id_columns(summary, rows_c, legacy_id_rule=True).collect()}
+    fixed = {r[0] for r in profile.id_columns(df).collect()}
+    legacy = {r[0] for r in profile.id_columns(df, legacy_id_rule=True).collect()}
     assert fixed == {"id"}
     assert legacy == {"id", "width_id"}
 
@@ -125,7 +123,7 @@ def test_d14_mean_time_is_weighted_by_samples(spark):
 def test_d16_text_result_shows_twenty_data_rows(spark):
     from basalt.operators import sql
     df = spark.createDataFrame([(i, None if i == 0 else f"v{i}") for i in range(25)], "n long, v string")
-    rows = sql.as_text(df, order=[F.asc("n")]).collect()
+    rows = sql.as_text(df, sql.TEXT_ROW_CAP, order=[F.asc("n")]).collect()
     assert len(rows) == 20 and rows[0]["v"] == "NULL" and rows[0]["rows_left"] == 5
 
 

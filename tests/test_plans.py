@@ -5,13 +5,17 @@ import pytest
 import __spark_entry__ as entry
 from basalt.operators import profile
 from basalt.plans import views as V
+from basalt.plans.registry import QUERIES, load_all
+
+load_all()
+REFERENCE = sorted(QUERIES)
 
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", REFERENCE)
 def test_no_python_udf_in_plans(spark, sf_dir, name):
     if name.startswith("lake_ingest") or name.startswith("stream_") or name.startswith("io_") or \
             name.startswith("catalog_"):
@@ -32,8 +36,8 @@ def test_partition_filter_reaches_scan(spark, tmp_path):
                                     "'01' AS day")
     df.write.partitionBy("year", "month", "day").parquet(str(tmp_path / "t"))
     q = read_partition(spark, str(tmp_path / "t"), "2024", "02")
-    assert "PartitionFilters: [isnotnull(year" in q._jdf.queryExecution().executedPlan().toString() or \
-        "PartitionFilters" in q._jdf.queryExecution().executedPlan().toString()
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "month" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert q.count() == 5
 
 
@@ -68,7 +72,7 @@ def _unbounded_global_windows(plan: str) -> list[str]:
     return bad
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", REFERENCE)
 def test_no_global_window_over_unbounded_input(spark, sf_dir, name):
     if name.startswith(("lake_ingest", "stream_", "io_", "catalog_", "ingest_quarantine")):
         pytest.skip("writes data when built")
@@ -76,7 +80,7 @@ def test_no_global_window_over_unbounded_input(spark, sf_dir, name):
     assert _unbounded_global_windows(plan) == []
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", REFERENCE)
 def test_no_interpreted_lambda_in_plans(spark, sf_dir, name):
     """Higher-order functions (``filter``/``transform`` with a lambda) run
     outside whole-stage codegen; none may sit in a registered query's plan."""
@@ -111,4 +115,4 @@ def test_message_bodies_parsed_once_under_a_filter(spark, sf_dir):
     msgs = V.messages(V.table(spark, sf_dir, "events"))
     df = messages.resolve_target(msgs, "b").where("resolved").select("bucket", "key")
     plan = _plan(df)
-    assert plan.count("jsonObjectKeys") == 1 and plan.count("$.Records[0].s3.object.key") == 1
+    assert plan.count("from_json") == 1

@@ -1,12 +1,13 @@
-"""The distributed sort-based exact quantiles equal Spark's map-based percentile,
-also with a hot value (a third of all rows) and an empty column."""
+"""The distributed exact quantiles equal Spark's map-based percentile, also with a
+hot value (a third of all rows) and an empty column."""
 
 from pyspark.sql import functions as F
 
-from basalt.operators.quantiles import quantile_table
+from basalt.operators import profile
+from basalt.operators.quantiles import quantile_columns
 
 
-def test_sort_path_equals_map_path(spark):
+def test_quantiles_equal_percentile(spark):
     n = 3000
     df = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise((F.col("id") * 37 % 1001).cast("double")).alias("hot"),
@@ -16,33 +17,27 @@ def test_sort_path_equals_map_path(spark):
     ).repartition(6)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
     cols = ["hot", "lin", "empty", "nan"]
-    a = {r["column"]: tuple(r[f"q{i}"] for i in range(len(probs)))
-         for r in quantile_table(df, cols, probs, method="sort").collect()}
-    b = {r["column"]: tuple(r[f"q{i}"] for i in range(len(probs)))
-         for r in quantile_table(df, cols, probs, method="map").collect()}
-    assert a == b
-    assert a["empty"] == (None,) * len(probs)
+    got = {r["column"]: tuple(r[f"q{i}"] for i in range(len(probs))) for r in quantile_columns(df, cols, probs).collect()}
+    want = profile.normalize(df).agg(*[F.percentile(c, probs).alias(c) for c in cols]).first()
+    assert got == {c: tuple(want[c] or (None,) * len(probs)) for c in cols}
 
 
-def test_auto_switches_to_sort_above_the_bound(spark):
-    df = spark.range(500).select((F.col("id") * 1.5).alias("x"))
-    auto = quantile_table(df, ["x"], [0.5], max_distinct=10).first()["q0"]
-    assert auto == 374.25
-
-
-def test_describe_and_numeric_stats_agree_across_plans(spark):
-    from basalt.operators import profile
+def test_describe_and_numeric_stats_have_the_quartiles(spark):
     df = spark.range(2000).select((F.col("id") % 97).alias("a"), (F.col("id") / 3.0).alias("b"),
                                   F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id")).alias("c"))
-    for fn in (profile.describe, profile.numeric_stats):
-        fused = sorted(map(tuple, fn(df, quantile_method="map").collect()))
-        sort = sorted(map(tuple, fn(df, quantile_method="sort").collect()))
-        assert fused == sort
-
-
-def test_choose_method_by_row_count_then_sketch(spark):
-    from basalt.operators.quantiles import choose_method
-    df = spark.range(500).select((F.col("id") % 20).alias("x"), F.col("id").alias("y"))
-    assert choose_method(df, ["x", "y"]) == "map"                      # 500 rows bound the distinct count
-    assert choose_method(df, ["x"], max_distinct=100) == "map"         # HLL: about 20 distinct values
-    assert choose_method(df, ["x", "y"], max_distinct=100) == "sort"   # y has 500
+    want = df.agg(*[F.percentile(c, [0.25, 0.5, 0.75]).alias(c) for c in df.columns]).first()
+    for r in profile.describe(df).collect():
+        assert [r["p25"], r["p50"], r["p75"]] == want[r["column"]]
+    assert {r["column"]: r["median"] for r in profile.numeric_stats(df).collect()} == {c: want[c][1] for c in df.columns}
+
+
+def test_box_outliers_leave_out_nan(spark):
+    from basalt.operators import explore
+    df = spark.createDataFrame([(float(x),) for x in range(20)] + [(500.0,), (float("nan"),), (None,)], "x double")
+    assert [r["x"] for r in explore.box_outliers(df, "x").collect()] == [500.0]
+    assert explore.box_stats(df, "x").first()["outliers"] == 1
+
+
+def test_zero_and_negative_zero_are_one_value(spark):
+    df = spark.createDataFrame([(0.0, "a" * 100), (-0.0, "a" * 100), (1.0, "a" * 99 + "b")], "x double, t string")
+    assert {r["column"]: r["distinct"] for r in profile.column_summary(df).collect()} == {"x": 2, "t": 2}
