@@ -11,9 +11,11 @@
    min-aggregate with a map-side part.
 4. A sketch filter drops pairs far below the threshold (its margin is six
    standard deviations); the rest is confirmed on the full sets.
-5. Links are contracted to components.  A bucket may still hold members of
-   several components; every such pair that has not been compared is tested in
-   a second pass, so the star loses no link that a bucket holds.
+5. Links are contracted to components.  A bucket may still hold strays: members
+   outside its representative's component.  A second pass tests them, so the star
+   loses no link that a bucket holds: per component, its strays are compared with
+   its members and with each other, in bounded blocks inside the tasks, which emit
+   links and never pairs.
 
 With 30 bands of 5 rows a pair at similarity 0.8 meets in no bucket with a
 probability below 7e-6, at 0.85 below 3e-8.
@@ -22,17 +24,20 @@ probability below 7e-6, at 0.85 below 3e-8.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basalt.llm.common import components, materialize, prepare, text_of
 
 BANDS, ROWS, SKETCH_BITS = 30, 5, 512
 #: XOR population count up to which a pair is confirmed on the full sets.  At the
-#: threshold of 0.8 it is 54 on average; six deviations of samples and sketch stay below 120.
-MAX_FLIPS = 120
+#: threshold of 0.8 it is 54 on average; six deviations of samples and sketch stay below 104.
+MAX_FLIPS = 104
+#: Sets of one side of a block comparison.
+BLOCK = 512
 #: Shingles hashed at once, which bounds a task's memory on very long texts.
 CHUNK = 4096
 
@@ -120,23 +125,31 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
             raw = [shingle_set(t, k).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["cid", "shingles"])
 
-    wanted = docs.join(ids, docs["doc_id"] == ids["cid"], "left_semi").dropDuplicates(["doc_id"])
+    # the same join at every size: a broadcast of the ids would grow with the data
+    wanted = docs.join(ids.hint("merge"), docs["doc_id"] == ids["cid"], "left_semi").dropDuplicates(["doc_id"])
     return wanted.mapInArrow(run, "cid long, shingles binary")
 
 
+def _similar(x, y, percent: int) -> bool:
+    """Whether two sorted sets have 100 * intersection >= percent * union."""
+    import numpy as np
+
+    if len(x) > len(y):
+        x, y = y, x
+    if 100 * len(x) < percent * len(y):
+        return False
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            keep = [_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+                    for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     joined = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("x")), "a")
@@ -144,14 +157,63 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _flips(x: str, y: str) -> Column:
+    """Population count of the XOR of two sketches."""
+    words = [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(SKETCH_BITS // 64)]
+    return reduce(Column.__add__, words)
+
+
 def _likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs whose odd sketches differ in at most MAX_FLIPS bits."""
     sketches = reps.select("cid", "sketch")
-    flips = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(1, SKETCH_BITS // 64)),
-                F.bit_count(F.col("sa")[0].bitwiseXOR(F.col("sb")[0])))
     return (pairs.join(sketches.select(F.col("cid").alias("a"), F.col("sketch").alias("sa")), "a")
             .join(sketches.select(F.col("cid").alias("b"), F.col("sketch").alias("sb")), "b")
-            .where(flips <= MAX_FLIPS).select("a", "b").distinct())
+            .where(_flips("sa", "sb") <= MAX_FLIPS).select("a", "b"))
+
+
+def _near_component(strays: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of strays (component, cid, own) with the members (component, cid) of their
+    component and with its other strays, where their own components differ.
+
+    Both sides are dealt to blocks of about BLOCK sets by a hash; a task compares one
+    block of strays with one of the others, the most similar sketches first, and emits
+    one link for each stray and component it joins.
+    """
+    others = (members.join(strays.select("component").distinct(), "component", "left_semi")
+              .select("component", "cid", F.col("component").alias("own")).unionByName(strays))
+    counts = (strays.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nx"))
+              .join(others.groupBy("component").agg(F.count("*").alias("m")).where("m > 1"), "component")
+              .select("component", "nx", F.ceil(F.col("m") / BLOCK).cast("int").alias("nm")))
+
+    def dealt(df: DataFrame, side: int, own: str, other: str, names: tuple[str, str]) -> DataFrame:
+        return (df.join(counts, "component")
+                .select("component", "cid", "own", F.lit(side).alias("side"), F.pmod(F.xxhash64("cid"), own).cast("int").alias(names[0]),
+                        F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(names[1])))
+
+    both = dealt(strays, 0, "nx", "nm", ("bx", "bm")).unionByName(dealt(others, 1, "nm", "nx", ("bm", "bx")))
+
+    def run(t: pa.Table) -> pa.Table:
+        import numpy as np
+
+        side, cid, own = (t.column(c).to_numpy() for c in ("side", "cid", "own"))
+        sketch = np.array(t.column("sketch").to_pylist(), np.int64).view(np.uint64).reshape(len(cid), -1)
+        held = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
+        there = np.flatnonzero(side == 1)
+        found = []
+        for i in np.flatnonzero(side == 0):
+            flips = np.bitwise_count(sketch[there] ^ sketch[i]).sum(axis=1)
+            joined = {own[i]}
+            for k in np.argsort(flips, kind="stable"):
+                j = there[k]
+                if flips[k] > MAX_FLIPS:
+                    break
+                if own[j] not in joined and _similar(held[i], held[j], percent):
+                    joined.add(own[j])
+                    found.append((cid[i], cid[j]))
+        return pa.table({"a": pa.array([min(x) for x in found], pa.int64()), "b": pa.array([max(x) for x in found], pa.int64())})
+
+    return (both.join(sets, "cid").select("component", "bx", "bm", "side", "cid", "own", "sketch", "shingles")
+            .groupBy("component", "bx", "bm").applyInArrow(run, "a long, b long"))
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
@@ -182,24 +244,20 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     shared = materialize(bands.join(buckets, "key").select("key", "cid", "rep"), "near-buckets")
     stars = shared.where("cid <> rep").select(F.least("cid", "rep").alias("a"), F.greatest("cid", "rep").alias("b")).distinct()
     first = materialize(_likely(stars, reps), "near-pairs")
-    ids = first.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    sets = materialize(_sets(docs, ids, shingle_words), "near-sets")
+    plain = _sets(docs, shared.select("cid").distinct(), shingle_words)
+    sets = materialize(plain.join(reps.select("cid", "sketch"), "cid"), "near-sets")
     links = materialize(_confirm(first, sets, percent), "near-links")
     grouped = materialize(components(links), "near-components")
 
     # second pass: members of a bucket that are not in its representative's component
     label = grouped.select(F.col("id").alias("cid"), F.col("component").alias("own"))
     rep_label = grouped.select(F.col("id").alias("rep"), F.col("component").alias("of_rep"))
-    placed = (shared.join(label, "cid", "left").join(rep_label, "rep", "left")
-              .select("key", "cid", "rep", F.coalesce("own", "cid").alias("own"), F.coalesce("of_rep", "rep").alias("of_rep")))
-    strays = placed.where("own <> of_rep").select("key", F.col("cid").alias("x"), F.col("own").alias("x_own"))
-    across = (placed.where("cid <> rep").select("key", F.col("cid").alias("y"), F.col("own").alias("y_own"))
-              .join(strays, "key").where("x_own <> y_own")
-              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    second = materialize(_likely(across, reps).join(first, ["a", "b"], "left_anti"), "near-pairs")
-    ids = second.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(sets, "cid", "left_anti")
-    more = materialize(_sets(docs, materialize(ids, "near-ids"), shingle_words), "near-sets")
-    late = materialize(_confirm(second, sets.unionByName(more), percent), "near-links")
+    strays = materialize(
+        shared.where("cid <> rep").join(label, "cid", "left").join(rep_label, "rep", "left")
+        .select(F.coalesce("of_rep", "rep").alias("component"), "cid", F.coalesce("own", "cid").alias("own"))
+        .where("own <> component").distinct(), "near-strays")
+    members = grouped.select("component", F.col("id").alias("cid")).distinct()
+    late = materialize(_near_component(strays, members, sets, percent), "near-links")
     if not late.isEmpty():
         grouped = components(late.unionByName(grouped.select(F.col("id").alias("a"), F.col("component").alias("b"))))
     final = known.join(grouped.select(F.col("id").alias("cid"), "component"), "cid", "left") \
