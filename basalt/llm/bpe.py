@@ -179,7 +179,7 @@ class Bpe:
         return b"".join(map(self.token_of.__getitem__, ids))
 
 
-_ODD_SPACE = re.compile(r" \s")
+ODD_SPACE = re.compile(r" \s")
 
 
 def words(text: str) -> list[str]:
@@ -192,7 +192,7 @@ def words(text: str) -> list[str]:
     """
     if not text:
         return []
-    if _ODD_SPACE.search(text) is None:
+    if ODD_SPACE.search(text) is None:
         parts = text.split(" ")
         out = [" " + p for p in parts]
         out[0] = parts[0]

@@ -12,17 +12,21 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basalt.llm.bpe import MEMO_LENGTH, MEMO_WORDS, words
+from basalt.llm.bpe import MEMO_LENGTH, Memo, words
 from basalt.llm.common import materialize, prepare, text_of
 
 END_ID = 2
+#: A blank with white space after it (RE2; all characters that Unicode or Python call white space).
+ODD_SPACE = r" [\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 STRIPE_BYTES, INDEX_ROWS = 16 << 20, 2_000
 ORC_OPTIONS = {
     "compression": "zstd", "orc.stripe.size": str(STRIPE_BYTES), "orc.row.index.stride": str(INDEX_ROWS),
@@ -34,10 +38,12 @@ FILE_SCHEMA = "doc_id long, seq long, ids array<int>"
 class WordEncoder:
     """The tokenizers library behind a bounded memo of words.
 
-    The library encodes each distinct word (with its leading blank) of a batch
-    once; a word's ids are kept as little-endian 32-bit bytes.  Words end where
-    the byte-level pattern always ends a pre-token, so the joined ids are those
-    of the whole text.
+    Texts are cut at blanks and the words of a batch numbered by Arrow's
+    dictionary encoding; the library encodes each distinct new word (with its
+    leading blank) once, and the ids of the texts are gathered from those of the
+    words.  Words end where the byte-level pattern always ends a pre-token, so the
+    gathered ids are those of the whole text; texts in which other white space
+    follows a blank are cut by the stricter rule of :func:`basalt.llm.bpe.words`.
     """
 
     def __init__(self, path: str) -> None:
@@ -46,23 +52,52 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.memo: dict[str, bytes] = {}
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        self.memo = Memo()
+
+    def _ids(self, found: list[str]) -> list[bytes]:
+        """The ids of each word, as little-endian 32-bit bytes."""
+        young, old = self.memo.young, self.memo.old
+        known = {w: young.get(w) for w in found}
+        rest = [w for w, ids in known.items() if ids is None]
+        new = []
+        for w in rest:
+            if (ids := old.get(w)) is None:
+                new.append(w)
+            else:
+                known[w] = young[w] = ids
+        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            ids = known[w] = array("I", e.ids).tobytes()
+            if len(w) <= MEMO_LENGTH:
+                young[w] = ids
+        return [known[w] for w in found]
+
+    def encode_batch(self, texts: pa.Array, end_id: int) -> pa.ListArray:
+        """The ids of each text and ``end_id``."""
         import numpy as np
 
-        cut = [words(t) for t in texts]
-        memo = self.memo
-        new = list({w: None for ws in cut for w in ws if w not in memo})
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        fresh = {w: np.asarray(e.ids, "<u4").tobytes() for w, e in zip(new, found, strict=True)}
-        out = []
-        for ws in cut:
-            out.append(b"".join([memo[w] if w in memo else fresh[w] for w in ws]))
-        if len(memo) + len(fresh) > MEMO_WORDS:
-            memo.clear()
-        memo.update(x for x in fresh.items() if len(x[0]) <= MEMO_LENGTH)
-        return out
+        n = len(texts)
+        strict = pc.match_substring_regex(texts, ODD_SPACE)
+        odd = {int(i): words(texts[int(i)].as_py()) for i in np.flatnonzero(strict.to_numpy(zero_copy_only=False))}
+        parts = pc.split_pattern(pc.if_else(strict, "", texts), " ")
+        stops = parts.offsets.to_numpy()
+        flat = parts.flatten()
+        coded = flat.dictionary_encode()
+        first = flat.take(pa.array(stops[:-1])).to_pylist()
+        heads = self._ids([w for w in first if w])
+        tail = iter(heads)
+        units = self._ids(pc.binary_join_element_wise("", coded.dictionary, " ").to_numpy(zero_copy_only=False).tolist())
+        rare = {i: b"".join(self._ids(ws)) for i, ws in odd.items()}
+        units += [rare[i] if i in rare else next(tail) if w else b"" for i, w in enumerate(first)]
+        units.append(np.asarray([end_id], "<u4").tobytes())
+        at = coded.indices.to_numpy().astype(np.int64)
+        at[stops[:-1]] = len(units) - 1 - n + np.arange(n)  # the first part has no blank before it
+        at = np.insert(at, stops[1:], len(units) - 1)
+        self.memo.age()
+        lengths = np.zeros(len(units) + 1, np.int32)
+        np.cumsum([len(u) // 4 for u in units], out=lengths[1:])
+        lists = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.frombuffer(b"".join(units), "<u4").astype(np.int32)))
+        out = lists.take(pa.array(at))
+        return pa.ListArray.from_arrays(out.offsets.take(pa.array(stops + np.arange(n + 1))), out.flatten())
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -89,15 +124,13 @@ def write_tokens(df: DataFrame, out: str, tokenizer: str, id_col: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        enc, seq, end = encoder(tokenizer), 0, np.asarray([end_id], "<u4").tobytes()
+        enc, seq = encoder(tokenizer), 0
         for batch in batches:
             n = batch.num_rows
-            raw = [ids + end for ids in enc.encode_batch(batch.column(1).to_pylist())]
-            offsets = np.zeros(n + 1, np.int32)
-            np.cumsum([len(x) // 4 for x in raw], out=offsets[1:])
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(raw), "<u4").astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.arange(seq, seq + n)), ids],
-                                             names=["doc_id", "seq", "ids"])
+            if n:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(np.arange(seq, seq + n)), enc.encode_batch(batch.column(1), end_id)],
+                    names=["doc_id", "seq", "ids"])
             seq += n
 
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("t"))

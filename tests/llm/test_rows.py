@@ -163,3 +163,15 @@ def test_components_of_paths_stars_and_cycles(spark):
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(21), 0), **dict.fromkeys(range(100, 140), 100), **dict.fromkeys(range(300, 303), 300)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_word_encoder_joins_to_the_whole_encoding():
+    import pyarrow as pa
+
+    rng, own = random.Random(7), token_output.WordEncoder(P.path("byte_bpe_50k.json"))
+    parts = [" ", "  ", "\n", "\t", "a", "the", "'s", "'ll", "é", "12", "!", "\xa0", "日本", "\x1c", "\x85", "​", "😀", " the",
+             "\r\n", "A", "<|endoftext|>", "."]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    for i in range(0, len(texts), 500):
+        got = own.encode_batch(pa.array(texts[i:i + 500]), 2).to_pylist()
+        assert got == [own.tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts[i:i + 500]]
