@@ -348,8 +348,8 @@ WITH q AS (SELECT quantile_cont(n_chars, 0.25) AS q1, quantile_cont(n_chars, 0.5
                   quantile_cont(n_chars, 0.75) AS q3 FROM documents),
      f AS (SELECT q1, med, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lf, q3 + 1.5 * (q3 - q1) AS uf FROM q)
 SELECT 'n_chars' AS "column", q1, med AS median, q3, iqr, lf AS lower_fence, uf AS upper_fence,
-       min(n_chars) FILTER (WHERE n_chars BETWEEN lf AND uf) AS lower_whisker,
-       max(n_chars) FILTER (WHERE n_chars BETWEEN lf AND uf) AS upper_whisker,
+       min(n_chars::DOUBLE) FILTER (WHERE n_chars BETWEEN lf AND uf) AS lower_whisker,
+       max(n_chars::DOUBLE) FILTER (WHERE n_chars BETWEEN lf AND uf) AS upper_whisker,
        count(*) FILTER (WHERE NOT (n_chars BETWEEN lf AND uf)) AS outliers
 FROM documents, f GROUP BY q1, med, q3, iqr, lf, uf""")
 def explore_box_stats(spark, sf_dir):
