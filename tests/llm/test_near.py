@@ -220,3 +220,39 @@ def test_embedding_links_match_brute_force(spark, block):
 def test_embedding_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_dedup.near_dedup(df).collect() == []
+
+
+def sparse_pairs(n, hot):
+    """Unit vectors of which the share ``hot`` is one topic (cosine 0.5 in it), and 400 of
+    them with a partner at cosine 0.951, as rows 0-399 and 400-799."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((n, 64))
+    x[rng.random(n) < hot] += rng.standard_normal(64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.standard_normal((400, 64))
+    side -= (side * x[:400]).sum(axis=1, keepdims=True) * x[:400]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    x[400:800] = 0.951 * x[:400] + np.sqrt(1 - 0.951 ** 2) * side
+    return x
+
+
+@pytest.mark.parametrize("hot", [0, 1 / 3])
+@pytest.mark.parametrize("n, block", [(30_000, 64), (30_000, 8)])
+def test_embedding_passes_follow_the_rows(n, block, hot):
+    x = sparse_pairs(n, hot)
+    forest = embedding_dedup.forest_for(x[np.random.default_rng(1).permutation(n)[:8000]], n, block, 0.95, 0.002, 5)
+    assert len(forest.planes) > 8
+    met = np.zeros(400, bool)
+    for one in zip(*forest[1:], strict=True):
+        place = np.empty(n, int)
+        place[np.argsort(embedding_dedup._key(x, *one), kind="stable")] = np.arange(n)
+        met |= np.abs(place[:400] // block - place[400:800] // block) <= 1
+    assert met.mean() >= 0.99
+
+
+def test_embedding_sparse_pairs_beside_a_hot_topic(spark):
+    x = sparse_pairs(6000, 1 / 3)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    for block in (16, 1024):  # 375 blocks by passes, 6 blocks by all pairs
+        got = {r["vec_id"]: r["component_id"] for r in embedding_dedup.near_dedup(df, block=block).collect()}
+        assert sum(got[i + 400] == got[i] for i in range(400)) >= (396 if block == 16 else 400)
