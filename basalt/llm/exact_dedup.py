@@ -13,6 +13,10 @@
    grouping itself: texts that collide on a key form separate chain entries.
    Copies are combined map-side, so a group of any size ships one row a task.
 4. Index entries look up their chain entry by an equi-join (AQE splits hot keys).
+
+The grouping of step 3 decides which texts are equal.  The bucket is a function
+of the key and changes no row: no owner task works through a key range, and the
+index serves only as the list of ids.
 """
 
 from __future__ import annotations
