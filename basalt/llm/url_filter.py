@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_SECONDS = 30 * 86_400
-#: Specificity of the kinds of key; longer domains are more specific than shorter ones.
+#: Specificity of the kinds of key; longer prefixes and domains are more specific than shorter ones.
 KINDS = {"prefix": 200, "host": 190, "domain": 0}
 _AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
@@ -31,10 +31,22 @@ def host_of(url: Column) -> Column:
 
 
 def prefix_of(url: Column) -> Column:
-    """Host and first path segment, the key of a prefix entry."""
+    """Host and first path segment, the shortest key of a prefix entry."""
     return F.concat_ws("/", host_of(url), F.split_part(F.regexp_extract(url, _PATH, 1), F.lit("/"), F.lit(2)))
 
 
+def _prefixes(url: Column, host: Column, depth: int) -> Column:
+    """Keys of the prefix entries that cover ``url``, as far as ``depth`` slashes: the host
+    with each number of whole path segments, with and without a slash after them."""
+    if depth <= 1:
+        return F.array(prefix_of(url))
+    parts = F.split(F.regexp_extract(url, _PATH, 1), "/")
+    n = F.least(F.greatest(F.size(parts) - 1, F.lit(1)), F.lit(depth))
+    whole = F.transform(F.sequence(F.lit(1), n),
+                        lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(parts, F.lit(2), i), "/")))
+    return F.array_union(whole, F.transform(F.slice(whole, F.lit(1), n - 1), lambda p: F.concat(p, F.lit("/"))))
+
+
 def intervals(entries: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Entries (kind, key, listed_at, action, category, entry_id) with ``valid_to``.
 
@@ -65,17 +77,23 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
     """One row per capture: page_id, url, fetched_at, host, allowed, kind, key, category, listed_at.
 
     ``fetched_at`` is in epoch seconds.  A capture is refused when the most
-    specific entry active at its time blocks it (prefix, then host, then the
-    longest domain); kind, key, category and listed_at name that entry, null if
+    specific entry active at its time blocks it (the longest prefix, then host, then
+    the longest domain).  A prefix key is a host and whole path segments of any
+    number (``host/a/b``); it covers the path that they name and all below it, with
+    a slash at its end (``host/a/``) only what is below; one that ends inside a
+    segment does not cover that segment; ``host/`` covers an empty
+    first segment.  Kind, key, category and listed_at name that entry, null if
     none is active.  Captures without URL, host or time match nothing and are
     allowed.  Captures repeated in all three columns are reported once.
     """
     rows = captures.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                            F.col(time_col).cast("long").alias("fetched_at")).distinct()
     rows = rows.withColumn("host", F.nullif(host_of(F.col("url")), F.lit("")))
-    keys = F.array_union(
-        F.array(F.struct(F.lit("prefix").alias("kind"), prefix_of(F.col("url")).alias("key")),
-                F.struct(F.lit("host").alias("kind"), F.col("host").alias("key"))),
+    deepest = entries.where("kind = 'prefix'").agg(F.max(F.size(F.split("key", "/")) - 1)).first()[0] or 1
+    keys = F.concat(
+        F.transform(_prefixes(F.col("url"), F.col("host"), deepest),
+                    lambda p: F.struct(F.lit("prefix").alias("kind"), p.alias("key"))),
+        F.array(F.struct(F.lit("host").alias("kind"), F.col("host").alias("key"))),
         F.transform(_domains(F.col("host")), lambda d: F.struct(F.lit("domain").alias("kind"), d.alias("key"))))
     asked = (rows.where("host is not null and fetched_at is not null")
              .select("page_id", "url", "fetched_at", F.explode(keys).alias("k"))
@@ -91,7 +109,7 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
               .withColumn("bucket", F.explode(F.sequence("first", "last"))).drop("first", "last"))
     active = (asked.join(pieces, ["kind", "key", "bucket"])
               .where("listed_at <= fetched_at and (valid_to is null or fetched_at < valid_to)"))
-    rank = F.when(F.col("kind") == "prefix", KINDS["prefix"]).when(F.col("kind") == "host", KINDS["host"]) \
+    rank = F.when(F.col("kind") == "prefix", KINDS["prefix"] + F.length("key")).when(F.col("kind") == "host", KINDS["host"]) \
         .otherwise(KINDS["domain"] + F.size(F.split("key", r"\.")))
     best = (active.groupBy("page_id", "url", "fetched_at")
             .agg(F.max(F.struct(rank.alias("rank"), "kind", "key", "action", "category", "listed_at")).alias("e"))

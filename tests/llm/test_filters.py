@@ -37,6 +37,21 @@ def test_url_filter_uses_the_entries_of_the_time(spark, bucket):
                    12: (True, None)}
 
 
+def test_url_filter_prefixes_of_every_depth(spark):
+    entries = [("prefix", "h.com/a", 0, "block", "one", 1), ("prefix", "h.com/a/b", 0, "allow", "two", 2),
+               ("prefix", "h.com/a/b/c", 0, "block", "three", 3), ("prefix", "h.com/d/e/", 0, "block", "below", 4),
+               ("prefix", "h.com/", 0, "block", "empty", 5), ("host", "h.com", 0, "allow", "host", 6)]
+    entries = spark.createDataFrame(entries, "kind string, key string, listed_at long, action string, category string, entry_id long")
+    wanted = {"/a": "one", "/a/x": "one", "/a/b": "two", "/a/b/": "two", "/a/b/x?y/z": "two", "/a/b/c": "three",
+              "/a/b/c/d/e/f#g": "three", "/a/bc": "one", "/d/e": "host", "/d/e/": "below", "/d/e/f/g": "below", "/d/ef/g": "host",
+              "": "empty", "/": "empty", "?q": "empty", "//a/b": "empty", "/ab": "host"}
+    captures = spark.createDataFrame([(i, f"http://H.com{path}", 9) for i, path in enumerate(wanted)],
+                                     "page_id long, url string, fetched_at long")
+    rows = url_filter.filter_urls(captures, entries).collect()
+    assert {r["url"].removeprefix("http://H.com"): r["category"] for r in rows} == wanted
+    assert all(r["allowed"] == (r["category"] in ("two", "host")) for r in rows)
+
+
 def test_url_filter_of_empty_tables(spark):
     entries = spark.createDataFrame([], "kind string, key string, listed_at long, action string, category string, entry_id long")
     none = spark.createDataFrame([], "page_id long, url string, fetched_at long")
