@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHINGLE, CONTAINMENT, MISS = 5, 0.8, 1e-6
+#: Classes by length; longer templates add classes that double.
 CLASSES = (8, 16, 128)
 
 #: Fixed texts: notices as they are commonly written.
@@ -58,6 +59,13 @@ def template_shingles(text: str) -> list[str]:
     return sorted({" ".join(w[i:i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)})
 
 
+def classes_for(longest: int, classes: tuple[int, ...] = CLASSES) -> tuple[int, ...]:
+    """``classes``, doubled until the last holds a template of ``longest`` words."""
+    while classes[-1] < longest:
+        classes += (2 * classes[-1],)
+    return classes
+
+
 def bands_for(size: int, templates: list[str]) -> int:
     """Bands that a class of ``size`` words needs to miss a match with probability MISS."""
     least = 1.0
@@ -106,13 +114,14 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of the first and ``n_windows`` the number.  Words are runs of [a-z0-9] after
     lower-casing A-Z.  Null, empty and short texts match nothing; rows that repeat
     an id are the same document and are reported together.  Templates need at
-    least five words and at most as many as the largest class.
+    least five words; those longer than the largest class get classes of their own.
     """
     spark = df.sparkSession
     templates = TEMPLATES if templates is None else templates
     sizes = {name: len(template_words(text)) for name, text in templates.items()}
-    if any(n < SHINGLE or n > max(classes) for n in sizes.values()):
-        raise ValueError(f"templates must have {SHINGLE} to {max(classes)} words")
+    if any(n < SHINGLE for n in sizes.values()):
+        raise ValueError(f"templates must have at least {SHINGLE} words")
+    classes = classes_for(max(sizes.values(), default=0), tuple(classes))
     docs = df.select(F.col(id_col).alias("doc_id"),
                      F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _UPPER, _LOWER).alias("t"))
     docs = _once(docs, "words", F.regexp_extract_all("t", F.lit("[a-z0-9]+"), F.lit(0))).drop("t")

@@ -80,6 +80,20 @@ def test_license_scan_limits(spark, empty):
         license_scan.scan_licenses(empty, templates={"short": "too short"})
 
 
+def test_license_scan_of_whole_licenses(spark):
+    body = {n: " ".join(f"{'clause' if i % 3 else 'term'}{i * 7919 % 9973}" for i in range(n)) for n in (129, 600, 1500)}
+    filler = "some words that are no notice at all " * 40
+    rows = [(n, f"{filler}{text}. {filler}") for n, text in body.items()]
+    rows += [(7, body[1500].replace("term", "Term", 40)), (8, " ".join(body[1500].split()[:1000])), (9, filler)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    templates = {str(n): text for n, text in body.items()} | {"mit": license_scan.TEMPLATES["mit"]}
+    got = {(r["doc_id"], r["license"]): r["containment"] for r in license_scan.scan_licenses(df, templates=templates).collect()}
+    assert license_scan.classes_for(1500) == (8, 16, 128, 256, 512, 1024, 2048)
+    # the words of a shorter body start the longer ones
+    assert got == dict.fromkeys([(129, "129"), (600, "129"), (600, "600"), (1500, "129"), (1500, "600"), (1500, "1500"),
+                                 (7, "129"), (7, "600"), (7, "1500"), (8, "129"), (8, "600")], 1.0)
+
+
 def test_tree_rules_are_the_paths_of_the_tree():
     text = ("DecisionTreeClassificationModel: uid=x, depth=2\n  If (feature 0 <= 1.5)\n   If (feature 1 <= 2.0)\n    Predict: 0.0\n"
             "   Else (feature 1 > 2.0)\n    Predict: 1.0\n  Else (feature 0 > 1.5)\n   Predict: 1.0\n")
