@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basalt.llm import (
-    bpe, embedding_dedup, exact_dedup, license_scan, minhash_dedup, mixing, quality, suffix_dedup, token_output, url_filter,
+    bpe, embedding_dedup, exact_dedup, fill_middle, license_scan, minhash_dedup, mixing, quality, suffix_dedup, token_output,
+    url_filter, warc,
 )
 from basalt.llm.common import table
 from basalt.session import scratch_dir
@@ -207,3 +208,48 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_embedding_dedup")
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_dedup(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_fill_middle", oracle=r"""
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    u AS (SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS units FROM d),
+    c AS (
+      SELECT doc_id, t, units, len(units)::BIGINT AS n,
+             ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS c1,
+             ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS c2,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                    OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+                  WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+      FROM u),
+    p AS (
+      SELECT *, array_to_string(units[:least(c1, c2)], '') AS pre,
+             array_to_string(units[least(c1, c2) + 1:greatest(c1, c2)], '') AS mid,
+             array_to_string(units[greatest(c1, c2) + 1:], '') AS suf
+      FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                            ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM p""")
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restore().cast("binary"), 256).alias("restored_sha256"))
+
+
+@query("op13_warc", oracle=r"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages)
+    SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+           array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             ((('0x' || substr(h, 10 * (i // 8) + 1, 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INTEGER + 1, 1)
+             FOR i IN range(32)], '') AS payload_digest,
+           CASE WHEN page_id IS NOT DISTINCT FROM max(page_id) OVER g THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id IS DISTINCT FROM max(page_id) OVER g THEN max(page_id) OVER g END AS refers_to
+    FROM p WINDOW g AS (PARTITION BY html)""")
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_dir(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), out)
+    return warc.record_report(spark, out)
