@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basalt.llm import (
-    bpe, embedding_dedup, exact_dedup, fill_middle, license_scan, minhash_dedup, mixing, quality, suffix_dedup, token_output,
-    url_filter, warc,
+    bpe, conversation_repair, embedding_dedup, exact_dedup, fill_middle, license_scan, minhash_dedup, mixing, quality, suffix_dedup,
+    token_output, url_filter, warc,
 )
 from basalt.llm.common import table
 from basalt.session import scratch_dir
@@ -240,6 +240,25 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(fill_middle.restore().cast("binary"), 256).alias("restored_sha256"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with planted faults, drawn by a hash of conv_id and turn (nulls: one space): a row in
+    twenty each is dropped, emptied, stripped of sentence ends, repeated, or given to the user."""
+    space = F.lit(" ")
+    draw = F.crc32(F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"),
+                            F.coalesce(F.col("turn").cast("string"), space)).cast("binary")) % 20
+    rows = conversation_repair.turns_of(conversations).withColumn("draw", draw).where("draw <> 0")
+    text = F.when(F.col("draw") == 1, "").when(F.col("draw") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.when(F.col("draw") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.select("conv_id", "turn", F.when(F.col("draw") == 4, "user").otherwise(F.col("role")).alias("role"),
+                       text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_digests(damaged(conversations), conversations)
+
+
 @query("op13_warc", oracle=r"""
     WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages)
     SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
