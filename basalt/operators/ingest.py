@@ -8,13 +8,15 @@ and files already ingested are skipped through a ledger before they are read (T6
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basalt.sinks.writers import PARTITION_COLUMNS
+from basalt.session import written
+from basalt.sinks.commits import StagedRun, recover
+from basalt.sinks.writers import PARTITION_COLUMNS, observed
 from basalt.sources.readers import CORRUPT, RAW_EVENT_SCHEMA, read_jsonl
 
 
@@ -106,7 +108,8 @@ def pending(raw: DataFrame, processed: DataFrame) -> DataFrame:
 
 def ingest_batch(spark: SparkSession, paths, out_root: str, quarantine_root: str | None = None,
                  schema: T.StructType | None = RAW_EVENT_SCHEMA, date_field: str = "event_time",
-                 partition_by_date: bool = True, ledger_root: str | None = None, max_attempts: int = 3) -> DataFrame:
+                 partition_by_date: bool = True, ledger_root: str | None = None, max_attempts: int = 3,
+                 max_files: int = 10_000) -> DataFrame:
     """T5: read JSONL files, transform, write partitioned Parquet, quarantine bad rows.
 
     Returns a one-row summary (files_read, rows_read_ok, rows_dated, rows_corrupt),
@@ -114,32 +117,54 @@ def ingest_batch(spark: SparkSession, paths, out_root: str, quarantine_root: str
     written.  The raw files are read once; a second time only when they hold bad
     rows, for the quarantine.
 
+    Lake rows, quarantine rows and ledger rows of a run are one commit
+    (:mod:`basalt.sinks.commits`): a run that dies at any point and is started again
+    gives every row once.  :func:`read_lake` reads with the same guarantee.
+
     With ``ledger_root`` (T6, T7) the files are listed and those the ledger has
-    settled are not read at all.  A batch that fails is tried again file by file,
-    up to ``max_attempts`` times each; every attempt is a ledger row, and a file
-    that cannot be read is set aside in the quarantine instead of failing the run.
-    The ledger is written after the data, so a run that dies repeats its files.
+    settled are not read at all; the rest is ingested by ``max_files`` at a time, each
+    such batch a commit of its own.  A batch that fails is halved until the file at
+    fault stands alone, which is tried up to ``max_attempts`` times; every such
+    attempt is a ledger row.  A file that cannot be read is then set aside in the
+    quarantine.  When a readable file cannot be written, the fault is not the file's: the rest
+    of the batch is committed, the file stays unsettled and the error is raised.
     """
-    def write(files) -> tuple[int, int, int]:
-        return _write_batch(spark, files, out_root, quarantine_root, schema, date_field, partition_by_date)
+    log_root = ledger_root or out_root
+    recover(spark, log_root)
+
+    def stage(run: StagedRun, files) -> tuple[int, int, int]:
+        return _stage_batch(run, spark, files, out_root, quarantine_root, schema, date_field, partition_by_date)
 
     if ledger_root is None:
-        return _summary_row(spark, None, write(paths))
-    log: list[tuple[str, int, str]] = []
+        run = StagedRun(spark, log_root)
+        try:
+            counts = stage(run, paths)
+        except Exception:
+            run.discard()
+            raise
+        run.commit()
+        return _summary_row(spark, None, counts)
     spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(ledger_root)  # the folder exists from here on
-    ledger = read_ledger(spark, ledger_root)
-    new = [r["path"] for r in unprocessed(_listed(spark, paths), ledger).collect()]  # names of one batch of files
-    totals, read = _with_retries(new, write, max_attempts, log) if new else ((0, 0, 0), 0)
-    if log:
-        rows = spark.createDataFrame(log, LEDGER_SCHEMA).withColumn("file", file_name("file"))
-        if quarantine_root is not None:
-            aside = rows.where(F.col("status") == SET_ASIDE)
-            aside.select("file", F.lit(None).cast("string").alias("raw"), F.lit("unreadable").alias("reason"),
-                         F.col("attempt").alias("attempts")).write.mode("append").parquet(quarantine_root)
-        rows.coalesce(1).write.mode("append").parquet(ledger_root)
+    new = written(unprocessed(_listed(spark, paths), read_ledger(spark, ledger_root)).select("path"), "pending")
+    totals, read = (0, 0, 0), 0
+    for files in _in_batches(new, max_files):
+        run, log = StagedRun(spark, log_root), []
+        done, n, error = _with_retries(files, lambda f, run=run: stage(run, f),
+                                       lambda f: _readable(spark, f, schema), max_attempts, log)
+        _stage_log(run, spark, log, ledger_root, quarantine_root)
+        run.commit()
+        if error is not None:
+            raise error
+        totals, read = tuple(a + b for a, b in zip(totals, done, strict=True)), read + n
     return _summary_row(spark, read, totals)
 
 
+def read_lake(spark: SparkSession, out_root: str, ledger_root: str | None = None) -> DataFrame:
+    """The lake table with every committed run in place and no other."""
+    recover(spark, ledger_root or out_root)
+    return spark.read.parquet(out_root)
+
+
 def _listed(spark: SparkSession, paths) -> DataFrame:
     """Files to ingest (column ``path``): a list of files as it is, folders by listing them."""
     if isinstance(paths, str):
@@ -147,57 +172,99 @@ def _listed(spark: SparkSession, paths) -> DataFrame:
     return spark.createDataFrame([(x,) for x in paths], "path string")
 
 
-def _with_retries(files: list[str], write: Callable, max_attempts: int, log: list) -> tuple[tuple[int, int, int], int]:
-    """All files at once; when that fails, one by one with up to ``max_attempts`` tries each."""
+def _in_batches(files: DataFrame, size: int) -> Iterator[list[str]]:
+    """Names of at most ``size`` files at a time; the driver fetches one partition of names after the other."""
+    batch: list[str] = []
+    for row in files.toLocalIterator():
+        batch.append(row["path"])
+        if len(batch) == size:
+            yield batch
+            batch = []
+    if batch:
+        yield batch
+
+
+def _readable(spark: SparkSession, file: str, schema: T.StructType | None) -> bool:
     try:
-        done = write(files)
-        log += [(f, 1, DONE) for f in files]
-        return done, len(files)
-    except Exception as exc:  # noqa: BLE001 - any reason that a batch cannot be read or written
-        if len(files) == 1 and max_attempts == 1:
-            log.append((files[0], 1, SET_ASIDE))
-            return (0, 0, 0), 0
-        last = exc
-    totals, read = (0, 0, 0), 0
-    for f in files:
-        for attempt in range(1, max_attempts + 1):
-            try:
-                done = write([f])
-            except Exception as exc:  # noqa: BLE001
-                last = exc
-                log.append((f, attempt, SET_ASIDE if attempt == max_attempts else FAILED))
-                continue
-            totals, read = tuple(a + b for a, b in zip(totals, done, strict=True)), read + 1
-            log.append((f, attempt, DONE))
-            break
-    if not read and len(files) > 1:
-        raise RuntimeError("no file of the batch could be ingested") from last
-    return totals, read
-
-
-def _write_batch(spark, files, out_root, quarantine_root, schema, date_field, partition_by_date) -> tuple[int, int, int]:
-    """Write the lake rows and, if there are any, the bad ones: (good, dated, bad) rows."""
+        read_jsonl(spark, [file], schema=schema).write.format("noop").mode("overwrite").save()
+    except Exception:  # noqa: BLE001 - any reason that a file cannot be read
+        return False
+    return True
+
+
+def _with_retries(files: list[str], stage: Callable, readable: Callable, max_attempts: int, log: list,
+                  ) -> tuple[tuple[int, int, int], int, Exception | None]:
+    """All files at once; a failing batch in halves, a single file up to ``max_attempts`` times.
+
+    Returns the counts, the files read, and the error of a file that can be read but not written."""
+    if len(files) > 1:
+        try:
+            done = stage(files)
+            log += [(f, 1, DONE) for f in files]
+            return done, len(files), None
+        except Exception:  # noqa: BLE001 - any reason that a batch cannot be read or written
+            middle = len(files) // 2
+            one = _with_retries(files[:middle], stage, readable, max_attempts, log)
+            two = _with_retries(files[middle:], stage, readable, max_attempts, log)
+            return tuple(a + b for a, b in zip(one[0], two[0], strict=True)), one[1] + two[1], one[2] or two[2]
+    (file,) = files
+    for attempt in range(1, max_attempts + 1):
+        try:
+            done = stage([file])
+        except Exception as exc:  # noqa: BLE001
+            last = attempt == max_attempts
+            aside = last and not readable(file)
+            log.append((file, attempt, SET_ASIDE if aside else FAILED))
+            if last:
+                return (0, 0, 0), 0, None if aside else exc
+        else:
+            log.append((file, attempt, DONE))
+            return done, 1, None
+    raise ValueError("max_attempts is less than 1")
+
+
+def _stage_batch(run: StagedRun, spark, files, out_root, quarantine_root, schema, date_field,
+                 partition_by_date) -> tuple[int, int, int]:
+    """Stage the lake rows and, if there are any, the bad ones: (good, dated, bad) rows."""
     df = read_jsonl(spark, files, schema=schema)
     bad = is_bad(df, date_field)
     dated = F.count_if(~bad & F.col(date_field).isNotNull()) if date_field in df.columns else F.count_if(~bad)
+    counts = [F.count_if(~bad).alias("good"), dated.alias("dated"), F.count_if(bad).alias("bad")]
     obs = Observation()
-    observed = df.observe(obs, F.count_if(~bad).alias("good"), dated.alias("dated"), F.count_if(bad).alias("bad"))
-    lake = transform_for_lake(split_good_bad(observed, date_field)[0].drop("_file"), date_field, partition_by_date)
+    lake = transform_for_lake(split_good_bad(df.observe(obs, *counts), date_field)[0].drop("_file"), date_field, partition_by_date)
+    lake_part = run.folder(out_root)
     if partition_by_date and date_field in lake.columns:
-        lake.hint("rebalance", *PARTITION_COLUMNS).write.mode("append").partitionBy(*PARTITION_COLUMNS) \
-            .option("compression", "snappy").parquet(out_root)
+        lake.hint("rebalance", *PARTITION_COLUMNS).write.partitionBy(*PARTITION_COLUMNS) \
+            .option("compression", "snappy").parquet(lake_part)
     else:
-        lake.write.mode("append").parquet(out_root)
-    try:
-        m = obs.get
-    except AssertionError:  # no files: Spark dropped the observation together with the empty plan
-        m = {}
-    good, n_dated, n_bad = (int(m.get(k) or 0) for k in ("good", "dated", "bad"))
+        lake.write.parquet(lake_part)
+    # without an observation no row reached the lake: all are bad, or there are none
+    m = observed(obs) or df.agg(*counts).first().asDict()
+    good, n_dated, n_bad = (int(m[k] or 0) for k in ("good", "dated", "bad"))
+    parts = [(out_root, lake_part)]
     if n_bad and quarantine_root is not None:
-        quarantine_rows(split_good_bad(df, date_field)[1]).write.mode("append").parquet(quarantine_root)
+        bad_part = run.folder(quarantine_root)
+        quarantine_rows(split_good_bad(df, date_field)[1]).write.parquet(bad_part)
+        parts.append((quarantine_root, bad_part))
+    for part in parts:
+        run.add(*part)
     return good, n_dated, n_bad
 
 
+def _stage_log(run: StagedRun, spark: SparkSession, log: list, ledger_root: str, quarantine_root: str | None) -> None:
+    """Stage the ledger rows of a batch and, in the quarantine, the files set aside."""
+    rows = spark.createDataFrame(log, LEDGER_SCHEMA).withColumn("file", file_name("file")).coalesce(1)
+    if quarantine_root is not None and any(status == SET_ASIDE for _, _, status in log):
+        aside = run.folder(quarantine_root)
+        rows.where(F.col("status") == SET_ASIDE).select(
+            "file", F.lit(None).cast("string").alias("raw"), F.lit("unreadable").alias("reason"),
+            F.col("attempt").alias("attempts")).write.parquet(aside)
+        run.add(quarantine_root, aside)
+    part = run.folder(ledger_root)
+    rows.write.parquet(part)
+    run.add(ledger_root, part)
+
+
 def _summary_row(spark: SparkSession, files: int | None, counts: tuple[int, int, int]) -> DataFrame:
     return spark.createDataFrame([(files, *counts)],
                                  "files_read bigint, rows_read_ok bigint, rows_dated bigint, rows_corrupt bigint")

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -17,18 +19,24 @@ from basalt.sources.readers import CSV_DIALECT
 PARTITION_COLUMNS = ["year", "month", "day"]
 
 
+def observed(obs: Observation) -> dict | None:
+    """The values of an observation after its query ran; None when Spark dropped the node
+    that observes, because the plan was empty or turned out empty at run time."""
+    try:
+        return obs.get
+    except (AssertionError, Py4JJavaError, PySparkException):
+        return None
+
+
 def counting(df: DataFrame):
     """``df`` with its rows counted when it runs, and a function that gives the count
-    afterwards (0 when the plan was empty and never ran)."""
+    afterwards (0 when the plan was or turned out empty)."""
     obs = Observation()
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    watched = df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
     def rows() -> int:
-        try:
-            return int(obs.get.get("rows", 0))
-        except AssertionError:  # Spark dropped the observation together with an empty plan
-            return 0
-    return observed, rows
+        return int((observed(obs) or {}).get("rows", 0))
+    return watched, rows
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "append") -> bool:
