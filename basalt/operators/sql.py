@@ -6,6 +6,10 @@ service to submit to or poll.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +34,18 @@ def execute(spark: SparkSession, query: str, database: str | None = None) -> tup
         return None, f"{type(exc).__name__}: {exc}"
 
 
+@contextmanager
+def named(df: DataFrame, prefix: str = "t") -> Iterator[str]:
+    """A session view of ``df`` under a name of its own for the time of the block; queries
+    made inside keep working after it, since their names are resolved when they are made."""
+    name = f"{prefix}_{uuid.uuid4().hex[:8]}"
+    df.createOrReplaceTempView(name)
+    try:
+        yield name
+    finally:
+        df.sparkSession.catalog.dropTempView(name)
+
+
 # Q2-Q7: the query texts of the docs, over a table of (event_time ns, user_id, action).
 def sample_rows_sql(table: str, n: int = 10) -> str:
     return f"SELECT * FROM {table} LIMIT {int(n)}"

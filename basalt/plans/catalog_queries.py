@@ -101,6 +101,27 @@ def catalog_discover(spark, sf_dir):
     return actions.join(detail, "table").select("table", "action", "columns")
 
 
+@register("catalog_rediscover_changed", oracle="""
+SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_totalprice,
+       CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority
+FROM orders""")
+def catalog_rediscover_changed(spark, sf_dir):
+    """The files of a known table gain a column and a wider type; the table follows and is read by value."""
+    root = scratch_dir(spark, "changed")
+    orders = V.table(spark, sf_dir, "orders")
+    old = orders.where("o_orderkey % 2 = 0").select("o_orderkey", F.col("o_custkey").cast("int"), "o_totalprice")
+    new = orders.where("o_orderkey % 2 = 1").select("o_orderkey", F.col("o_custkey").cast("long"), "o_totalprice", "o_orderpriority")
+    db = "chg_" + uuid.uuid4().hex[:8]
+    C.create_database(spark, db, f"{root}/_db")
+    old.write.parquet(f"{root}/lake/orders")
+    C.discover_tables(spark, db, f"{root}/lake")
+    new.write.mode("append").parquet(f"{root}/lake/orders")
+    (change,) = C.discover_tables(spark, db, f"{root}/lake").collect()
+    if change["action"] != "altered":
+        raise RuntimeError(f"the table does not follow its files: {change}")
+    return spark.table(f"{db}.orders")
+
+
 # C6 on DuckDB's own column types of ``events``, then the three partition keys.
 LAKE_SCHEMA_SQL = """
 SELECT column_name AS "column",

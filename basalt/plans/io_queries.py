@@ -153,8 +153,8 @@ def io_filtered_export(spark, sf_dir):
 @register("io_sql_result_saved", oracle="SELECT event_type AS action, count(*) AS total FROM events GROUP BY 1")
 def io_sql_result_saved(spark, sf_dir):
     """K6: a SQL result kept as CSV under a result folder and read back."""
-    V.processed_events(V.table(spark, sf_dir, "events")).createOrReplaceTempView("io_lake_events")
-    df, err = Q.execute(spark, Q.count_per_action_sql("io_lake_events"))
+    with Q.named(V.processed_events(V.table(spark, sf_dir, "events"))) as events:
+        df, err = Q.execute(spark, Q.count_per_action_sql(events))
     path = sinks.save_result(df, scratch_dir(spark, "results"))
     return spark.read.option("header", True).schema("action string, total bigint").csv(path)
 

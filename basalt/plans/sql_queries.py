@@ -11,6 +11,8 @@ from basalt.operators import catalog, ingest, sql
 from basalt.plans import views as V
 from basalt.plans.registry import register
 from basalt.session import scratch_dir
+from basalt.sinks.commits import StagedRun
+from basalt.sources.readers import RAW_EVENT_SCHEMA
 
 
 def write_raw_events(spark: SparkSession, sf_dir: str, folder: str) -> str:
@@ -72,10 +74,8 @@ def date_partition_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.transform_for_lake(ev).select("event_id", "year", "month", "day")
 
 
-def _events_view(spark: SparkSession, sf_dir: str) -> str:
-    name = "lake_events_" + uuid.uuid4().hex[:8]
-    V.processed_events(V.table(spark, sf_dir, "events")).createOrReplaceTempView(name)
-    return name
+def _events_view(spark: SparkSession, sf_dir: str):
+    return sql.named(V.processed_events(V.table(spark, sf_dir, "events")), "lake_events")
 
 
 _PE = {"lake_events": V.PROCESSED_EVENTS_SQL}
@@ -84,28 +84,32 @@ _PE = {"lake_events": V.PROCESSED_EVENTS_SQL}
 @register("sql_count", oracle=V.with_views("SELECT count(*) AS total FROM lake_events", **_PE))
 def sql_count(spark, sf_dir):
     """Q3."""
-    return spark.sql(sql.count_sql(_events_view(spark, sf_dir)))
+    with _events_view(spark, sf_dir) as events:
+        return spark.sql(sql.count_sql(events))
 
 
 @register("sql_action_counts_ordered", oracle=V.with_views(
     "SELECT action, count(*) AS total FROM lake_events GROUP BY action", **_PE))
 def sql_action_counts_ordered(spark, sf_dir):
     """Q4."""
-    return spark.sql(sql.count_per_action_sql(_events_view(spark, sf_dir), ordered=True))
+    with _events_view(spark, sf_dir) as events:
+        return spark.sql(sql.count_per_action_sql(events, ordered=True))
 
 
 @register("sql_action_counts", oracle=V.with_views(
     "SELECT action, count(*) AS total FROM lake_events GROUP BY action", **_PE))
 def sql_action_counts(spark, sf_dir):
     """Q7."""
-    return spark.sql(sql.count_per_action_sql(_events_view(spark, sf_dir), ordered=False))
+    with _events_view(spark, sf_dir) as events:
+        return spark.sql(sql.count_per_action_sql(events, ordered=False))
 
 
 @register("sql_events_per_user", oracle=V.with_views(
     "SELECT user_id, count(*) AS events FROM lake_events GROUP BY user_id", **_PE))
 def sql_events_per_user(spark, sf_dir):
     """Q5."""
-    return spark.sql(sql.events_per_user_sql(_events_view(spark, sf_dir)))
+    with _events_view(spark, sf_dir) as events:
+        return spark.sql(sql.events_per_user_sql(events))
 
 
 @register("sql_latest_events", oracle=V.with_views("""
@@ -113,7 +117,8 @@ SELECT make_timestamp(event_time // 1000) AS event_ts, user_id, action FROM lake
 ORDER BY event_time DESC, user_id, action LIMIT 5""", **_PE))
 def sql_latest_events(spark, sf_dir):
     """Q6: epoch-ns -> timestamp, latest 5."""
-    df = spark.sql(sql.latest_events_sql(_events_view(spark, sf_dir), 5))
+    with _events_view(spark, sf_dir) as events:
+        df = spark.sql(sql.latest_events_sql(events, 5))
     return df.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
 
 
@@ -121,9 +126,9 @@ def sql_latest_events(spark, sf_dir):
 SELECT event_time, user_id, action, event_id FROM lake_events ORDER BY event_id LIMIT 10""", **_PE))
 def sql_sample_rows(spark, sf_dir):
     """Q2 (over an ordered view, so the sample repeats)."""
-    name = _events_view(spark, sf_dir)
-    spark.sql(f"SELECT * FROM {name} ORDER BY event_id").createOrReplaceTempView(f"{name}_ordered")
-    return spark.sql(sql.sample_rows_sql(f"{name}_ordered", 10))
+    ordered = V.processed_events(V.table(spark, sf_dir, "events")).orderBy("event_id")
+    with sql.named(ordered, "lake_events") as events:
+        return spark.sql(sql.sample_rows_sql(events, 10))
 
 
 @register("sql_result_as_text", oracle=V.with_views("""
@@ -135,7 +140,8 @@ SELECT COALESCE(CAST(user_id AS VARCHAR), 'NULL') AS user_id,
 FROM shown""", **_PE))
 def sql_result_as_text(spark, sf_dir):
     """Q8: first 20 data rows as text plus rows left over."""
-    df = spark.sql(sql.events_per_user_sql(_events_view(spark, sf_dir)))
+    with _events_view(spark, sf_dir) as events:
+        df = spark.sql(sql.events_per_user_sql(events))
     return sql.as_text(df, 20, order=[F.desc("events"), F.asc("user_id")])
 
 
@@ -144,9 +150,9 @@ SELECT count(*) AS total, CAST(NULL AS VARCHAR) AS ok_error, true AS bad_failed
 def sql_error_text(spark, sf_dir):
     """Q1: a failing query comes back as error text, next to a succeeding one
     (the text itself is engine-specific; the check is that it is there)."""
-    name = _events_view(spark, sf_dir)
-    ok, err_ok = sql.execute(spark, sql.count_sql(name))
-    _, err = sql.execute(spark, f"SELECT no_such_column FROM {name}")
+    with _events_view(spark, sf_dir) as events:
+        ok, err_ok = sql.execute(spark, sql.count_sql(events))
+        _, err = sql.execute(spark, f"SELECT no_such_column FROM {events}")
     return ok.select("total", F.lit(err_ok).cast("string").alias("ok_error"), F.lit(err is not None).alias("bad_failed"))
 
 
@@ -209,6 +215,39 @@ def ingest_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select("attempt", "status", lake_rows.alias("lake_rows"))
 
 
+@register("ingest_bad_and_missing_files", oracle="""
+SELECT 'unparseable' AS reason, count(*) AS rows FROM events WHERE event_id % 97 = 0
+UNION ALL SELECT 'unreadable', 2""")
+def ingest_bad_and_missing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch without one good row: files of broken lines, and files that are not there."""
+    root = scratch_dir(spark, "all-bad")
+    ev = V.table(spark, sf_dir, "events").where("event_id % 97 = 0")
+    broken = ev.select(F.substring(F.to_json(F.struct("user_id", F.col("event_type").alias("action"))), 1, 12).alias("value"))
+    broken.repartition(3, "value").write.text(f"{root}/raw")
+    listed = [r["path"] for r in ingest._listed(spark, f"{root}/raw/*.txt").collect()]  # at most three files
+    ingest.ingest_batch(spark, [*listed, f"{root}/raw/gone1", f"{root}/raw/gone2"], f"{root}/lake", f"{root}/quarantine",
+                        ledger_root=f"{root}/ledger")
+    return spark.read.parquet(f"{root}/quarantine").groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("ingest_interrupted_run", oracle="""
+SELECT event_type AS action, count(*) AS total FROM events GROUP BY 1""")
+def ingest_interrupted_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run stops before its commit record, one right after it; the next run gives every row once."""
+    root = scratch_dir(spark, "interrupted")
+    raw = write_raw_events(spark, sf_dir, f"{root}/raw")
+    files = [r["path"] for r in ingest._listed(spark, f"{raw}/*.json").collect()]  # one per task of the writer
+    roots = (f"{root}/lake", f"{root}/quarantine")
+    for recorded in (False, True):
+        run = StagedRun(spark, f"{root}/ledger")
+        ingest._stage_batch(run, spark, files[:1], *roots, RAW_EVENT_SCHEMA, "event_time", True)
+        ingest._stage_log(run, spark, [(files[0], 1, ingest.DONE)], f"{root}/ledger", roots[1])
+        if recorded:
+            run.record()
+    ingest.ingest_batch(spark, files, *roots, ledger_root=f"{root}/ledger")
+    return ingest.read_lake(spark, roots[0], f"{root}/ledger").groupBy("action").agg(F.count(F.lit(1)).alias("total"))
+
+
 @register("ingest_output_names", oracle="""
 SELECT key, regexp_replace(regexp_extract(key, '[^/]*$', 0), '\\.jsonl$', '.parquet') AS output_name
 FROM (""" + V.MANIFEST_SQL + """) WHERE suffix(key, '.jsonl')""")
