@@ -77,19 +77,47 @@ def box_outliers(df: DataFrame, column: str, fence: float = IQR_FENCE) -> DataFr
     return df.where((x < q1 - fence * iqr) | (x > q3 + fence * iqr))
 
 
+#: Pairs of one aggregate row; with six sums each they stay within the fields that generated code takes.
+CORR_BLOCK = 8
+
+
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every pair (both orders and the diagonal),
-    from one aggregate pass; (column_a, column_b, corr)."""
+    """Pearson correlation of every pair (both orders and the diagonal), over the rows
+    where both are present; (column_a, column_b, corr), null where a column does not vary.
+
+    Two scans: the column means, then the moments of all pairs about them.  Each row is
+    generated once per (column, block of ``CORR_BLOCK`` columns) of the upper triangle and adds to
+    six sums per pair there.  The plan has that many aggregates for any number of columns,
+    all in generated code and merged map-side; one ``corr`` per pair would be interpreted from
+    about 16 pairs on."""
+    k = len(columns)
     norm = normalize(df.select(*[_q(c).cast("double").alias(c) for c in columns]))
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = norm.agg(*[F.corr(_q(a), _q(b)).alias(f"{a}||{b}") for a, b in pairs])
-    cells = []
-    for a, b in pairs:
-        v = F.col(f"`{a}||{b}`")
-        cells.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), v.alias("corr")))
-        if a != b:
-            cells.append(F.struct(F.lit(b).alias("column_a"), F.lit(a).alias("column_b"), v.alias("corr")))
-    return wide.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    means = norm.agg(F.array(*[F.avg(_q(c)) for c in columns]).alias("m")).scalar()
+    cells = [(i, j) for i in range(k) for j in range(i - i % CORR_BLOCK, k, CORR_BLOCK)]
+    n_blocks = -(-k // CORR_BLOCK)
+    row = norm.withColumn("__m", means).select(
+        F.array(*[_q(c) - F.get("__m", F.lit(i)) for i, c in enumerate(columns)]).alias("v"),
+        F.explode(F.array(*[F.lit(i * n_blocks + j // CORR_BLOCK) for i, j in cells])).alias("cell"))
+    i, first = F.floor(F.col("cell") / n_blocks).cast("int"), (F.col("cell") % n_blocks) * CORR_BLOCK
+    block = row.select("cell", F.get("v", i).alias("x"), *[F.get("v", first + t).alias(f"y{t}") for t in range(CORR_BLOCK)])
+    sums, corrs = [], []
+    for t in range(CORR_BLOCK):
+        xy = F.col("x") * F.col(f"y{t}")
+        x, y = (F.when(xy.isNotNull(), F.col(c)) for c in ("x", f"y{t}"))
+        sums += [F.count(xy).alias(f"n{t}"), F.sum(xy).alias(f"xy{t}"), F.sum(x).alias(f"sx{t}"), F.sum(y).alias(f"sy{t}"),
+                 F.sum(x * x).alias(f"xx{t}"), F.sum(y * y).alias(f"yy{t}")]
+        n, sxy, sx, sy, sxx, syy = (F.col(f"{name}{t}") for name in ("n", "xy", "sx", "sy", "xx", "yy"))
+        var_x, var_y = sxx - F.try_divide(sx * sx, n), syy - F.try_divide(sy * sy, n)
+        varies = (var_x > sxx * 1e-13) & (var_y > syy * 1e-13)  # less is rounding of values that are all equal
+        corr = F.try_divide(sxy - F.try_divide(sx * sy, n), F.sqrt(var_x) * F.sqrt(var_y))
+        corrs.append(F.struct((first + t).alias("j"), F.when(varies, F.greatest(F.least(corr, F.lit(1.0)), F.lit(-1.0))).alias("corr")))
+    pairs = block.groupBy("cell").agg(*sums).select(i.alias("i"), F.inline(F.array(*corrs)))
+    upper = pairs.where((F.col("j") >= F.col("i")) & (F.col("j") < k))
+    ends = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+    names = F.array(*[F.lit(c) for c in columns])
+    return (upper.select("corr", F.explode(ends).alias("e"))
+            .select(F.get(names, F.col("e.i")).alias("column_a"), F.get(names, F.col("e.j")).alias("column_b"), "corr"))
 
 
 def value_counts(df: DataFrame, column: str, k: int = VALUE_COUNT_TOP) -> DataFrame:
