@@ -17,11 +17,11 @@ from basalt.session import scratch_dir
 from basalt.streaming import streams as STR
 
 
-def _events_stream(spark, sf_dir):
-    """``events`` as a stream of 6 files that are not in time order, one per micro-batch."""
+def _events_stream(spark, sf_dir, files=6):
+    """``events`` as a stream of files that are not in time order, one per micro-batch."""
     events = V.table(spark, sf_dir, "events")
     folder = scratch_dir(spark, "events-files")
-    events.repartition(6, F.xxhash64("event_id")).write.parquet(folder)
+    events.repartition(files, F.xxhash64("event_id")).write.parquet(folder)
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
@@ -68,7 +68,7 @@ def stream_five_minute_stats(spark, sf_dir):
 @register("stream_dedupe_targets", oracle=V.with_views(
     "SELECT DISTINCT bucket, key FROM t WHERE resolved", msgs=V.MESSAGES_SQL, t=TARGETS_SQL))
 def stream_dedupe_targets(spark, sf_dir):
-    """M8 as a stream: a ledger of seen keys, one row per (bucket, key) over all micro-batches."""
+    """M8 as a stream: keys seen are streaming state, one row per (bucket, key) over all micro-batches."""
     root = scratch_dir(spark, "stream-dedupe")
     msgs = V.messages(_events_stream(spark, sf_dir))
     targets = M.resolve_target(msgs, "raw-default").where("resolved").select("bucket", "key", "message_id")
@@ -90,3 +90,24 @@ def stream_cycle_counters(spark, sf_dir):
     STR.start_with_handler(_events_stream(spark, sf_dir), handler, f"{root}/_ck").awaitTermination()
     return spark.read.parquet(f"{root}/cycles").agg(F.sum("received").cast("bigint").alias("received"),
                                                     F.sum("processed").cast("bigint").alias("processed"))
+
+
+@register("stream_worker_outcomes", oracle="""
+SELECT outcome, attempts, count(*) AS messages FROM (
+  SELECT unnest(CASE WHEN event_id % 10 = 0 THEN ['rejected', 'rejected', 'set aside']
+                     WHEN event_id % 10 = 5 THEN ['rejected', 'accepted'] ELSE ['accepted'] END) AS outcome,
+         unnest(CASE WHEN event_id % 10 = 0 THEN [1, 2, 3] WHEN event_id % 10 = 5 THEN [1, 2] ELSE [1] END) AS attempts
+  FROM events) GROUP BY ALL""")
+def stream_worker_outcomes(spark, sf_dir):
+    """A callback per message that refuses every tenth one always and every tenth one once; only
+    refused messages come back, and those refused three times are set aside."""
+    root = scratch_dir(spark, "stream-worker")
+    stream = _events_stream(spark, sf_dir).select("event_id")
+
+    def handler(message: dict) -> bool:
+        return message["event_id"] % 10 != 0 and (message["event_id"] % 10 != 5 or message["attempts"] > 0)
+
+    STR.drain(lambda: STR.start_worker(stream, handler, f"{root}/out", f"{root}/_ck"))
+    STR.retry_rejected(spark, handler, f"{root}/out", stream.schema)
+    calls = STR.read_outcomes(spark, f"{root}/out", stream.schema)
+    return calls.groupBy("outcome", "attempts").agg(F.count(F.lit(1)).alias("messages"))

@@ -12,13 +12,15 @@
   write exactly-once; readers of the folder only see committed files.
 * Series and dedupe give the batch result for any order of files: files need
   not arrive in event-time order, so nothing is dropped behind a watermark.
-  Each micro-batch writes mergeable parts (sum, count, max per window) or its
-  new keys under its own batch id, by overwriting, so a batch that is run
+  Each micro-batch writes mergeable parts (sum, count, max per window), its
+  new keys (told from the keys in the state store) or the outcome of each message
+  under its own batch id, by overwriting, so a batch that is run
   again after a failure replaces its own rows.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,31 +80,142 @@ def start_with_handler(stream: DataFrame, handler: Callable[[DataFrame, int], bo
     return _trigger(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), trigger).start()
 
 
+ACCEPTED, REJECTED, SET_ASIDE = "accepted", "rejected", "set aside"
+
+
+def outcomes(messages: DataFrame, handler: Callable[[dict], bool], max_attempts: int) -> DataFrame:
+    """``handler`` called once per message (a dict of its columns), with an outcome per row.
+
+    ``messages`` has the column ``attempts`` (earlier calls), which the handler sees too.  True accepts the message;
+    False or an exception rejects it, and the last allowed rejection sets it aside.
+    The calls run in the tasks, as a stream over Arrow batches."""
+    schema = T.StructType([*messages.schema.fields, T.StructField("outcome", T.StringType())])
+
+    def call(row: dict) -> bool:
+        try:
+            return bool(handler(row))
+        except Exception:  # noqa: BLE001 - whatever the handler raises, the message is not handled
+            return False
+
+    def run(batches):
+        for pdf in batches:
+            taken = [call(row) for row in pdf.to_dict("records")]
+            pdf["attempts"] = pdf["attempts"] + 1
+            pdf["outcome"] = [ACCEPTED if ok else SET_ASIDE if n >= max_attempts else REJECTED
+                              for ok, n in zip(taken, pdf["attempts"], strict=True)]
+            yield pdf
+
+    return messages.mapInPandas(run, schema)
+
+
+def start_worker(stream: DataFrame, handler: Callable[[dict], bool], table_dir: str, checkpoint: str, max_attempts: int = 3,
+                 trigger: str | None = "availableNow") -> StreamingQuery:
+    """A worker loop with a callback per message and an acknowledgement per message.
+
+    Each micro-batch holds the new messages and those the batch before rejected; its outcomes are
+    one write under the batch's own id.  So accepted messages are not handled again, also
+    after a restart; rejected ones come back with the next batch until ``max_attempts``, and a batch
+    that failed as a whole replaces its outcomes.  :func:`read_outcomes` reads the
+    result, :func:`retry_rejected` handles what is left when the stream has nothing new.
+    A task that is lost is run again, so a message may be handled more than once, but never none."""
+    spark = stream.sparkSession
+    schema = _outcome_schema(stream.schema)
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        todo = batch.withColumn("attempts", F.lit(0))
+        if epoch_id > 0:
+            todo = todo.unionByName(_rejected(spark, table_dir, schema, epoch_id - 1)[0])
+        outcomes(todo, handler, max_attempts).write.mode("overwrite").parquet(_round_dir(table_dir, epoch_id, 0))
+
+    return _trigger(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), trigger).start()
+
+
+def _outcome_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("attempts", T.IntegerType()), T.StructField("outcome", T.StringType())])
+
+
+def _round_dir(table_dir: str, batch: int, number: int) -> str:
+    return f"{table_dir}/batch={batch}/round={number}"
+
+
+def _rejected(spark: SparkSession, table_dir: str, schema: T.StructType, batch: int) -> tuple[DataFrame, int]:
+    """What the last round of ``batch`` rejected (without outcome), and the number of that round."""
+    rows = _rounds(spark, table_dir, schema).where(F.col("batch") == batch)
+    last = rows.agg(F.max("round").alias("n")).first()["n"]  # one number
+    if last is None:
+        last = 0
+    return rows.where((F.col("round") == last) & (F.col("outcome") == REJECTED)).drop("batch", "round", "outcome"), last
+
+
+def _rounds(spark: SparkSession, table_dir: str, schema: T.StructType) -> DataFrame:
+    parts = [T.StructField("batch", T.LongType()), T.StructField("round", T.LongType())]
+    return spark.read.schema(T.StructType([*schema.fields, *parts])).parquet(table_dir)
+
+
+def read_outcomes(spark: SparkSession, table_dir: str, schema: T.StructType) -> DataFrame:
+    """Every call of a worker's handler: the message, ``attempts`` so far, ``outcome``, batch and round.
+    A message that is not done yet is ``rejected`` in its last row."""
+    return _rounds(spark, table_dir, _outcome_schema(schema))
+
+
+def retry_rejected(spark: SparkSession, handler: Callable[[dict], bool], table_dir: str, schema: T.StructType,
+                   max_attempts: int = 3) -> int:
+    """Handle what the newest batch of a stopped worker rejected, in rounds until all is accepted or
+    set aside; returns the number of rounds.  A round is one write, and a round that died is run again."""
+    whole = _outcome_schema(schema)
+    batch = _rounds(spark, table_dir, whole).agg(F.max("batch").alias("n")).first()["n"]
+    rounds = 0
+    while batch is not None:
+        left, last = _rejected(spark, table_dir, whole, batch)
+        if left.isEmpty():
+            break
+        outcomes(left, handler, max_attempts).write.mode("overwrite").parquet(_round_dir(table_dir, batch, last + 1))
+        rounds += 1
+    return rounds
+
+
 def _batch_dir(table_dir: str, epoch_id: int) -> str:
     return f"{table_dir}/batch={epoch_id}"
 
 
 def start_deduping(stream: DataFrame, keys: list[str], order: list[str], table_dir: str, checkpoint: str,
                    trigger: str | None = "availableNow") -> StreamingQuery:
-    """M8 (stream): the first row of each key over the whole stream, in a ledger table.
-
-    A batch is reduced to one row per key (a min aggregate with a map-side part,
-    so a hot key ships one row per task) and anti-joined with the keys of earlier
-    batches; there is no state that expires.  :func:`read_table` reads the result."""
-    spark = stream.sparkSession
+    """M8 (stream): the first row of each key over the whole stream, in a table written batch by batch.
+
+    The keys seen are streaming state: one row per key (arrival time and row that came first, and the
+    time of its last row), merged map-side and looked up in the state store, so a batch reads its own
+    rows only, however long the stream has run, and nothing expires.  ``current_timestamp`` is one value
+    per micro-batch and part of its offsets, so a batch that is run again has the same one; a key is new
+    where its first and last row arrived together.  Of rows that arrive together the
+    least by ``order`` (then the other columns) is first.  :func:`read_table` reads the result."""
     rest = [c for c in stream.columns if c not in keys]
     ordered = [*order, *[c for c in rest if c not in order]]
-    schema = stream.select(*keys, *rest).schema
+    arrived = stream.withColumn("_arrived", F.current_timestamp())
+    seen = arrived.groupBy(*keys).agg(F.min(F.struct("_arrived", *ordered)).alias("_first"), F.max("_arrived").alias("_last"))
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        first = (batch.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("_r"))
-                 .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
-        if epoch_id > 0:
-            seen = read_table(spark, table_dir, schema).where(F.col("batch") < epoch_id).select(*keys)
-            first = first.join(seen, keys, "left_anti")
-        first.write.mode("overwrite").parquet(_batch_dir(table_dir, epoch_id))
-
-    return _trigger(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), trigger).start()
+        new = batch.where(F.col("_first._arrived") == F.col("_last"))
+        new.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest]).write.mode("overwrite").parquet(_batch_dir(table_dir, epoch_id))
+
+    writer = seen.writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
+
+
+def drain(start: Callable[[], StreamingQuery], max_empty_polls: int = 1, poll_interval: float = 0.0) -> int:
+    """Run a query that stops when nothing is left (``availableNow``) again and again until
+    ``max_empty_polls`` polls in a row found nothing new; returns the rows read.
+
+    Offsets live in the query's checkpoint, so every poll goes on where the last one ended,
+    and ``maxFilesPerTrigger`` on the source bounds each fetch (S11)."""
+    rows = empty = 0
+    while empty < max_empty_polls:
+        query = start()
+        query.awaitTermination()
+        got = sum(p["numInputRows"] for p in query.recentProgress)
+        rows, empty = rows + got, 0 if got else empty + 1
+        if not got and empty < max_empty_polls:
+            time.sleep(poll_interval)
+    return rows
 
 
 def read_table(spark: SparkSession, table_dir: str, schema: T.StructType) -> DataFrame:
