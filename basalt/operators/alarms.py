@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basalt.operators.metrics import PERIOD_SECONDS, covering_range
@@ -40,23 +40,31 @@ def rules(spark: SparkSession, rows=None) -> DataFrame:
     return spark.createDataFrame(rows or DEFAULT_RULES, RULE_SCHEMA)
 
 
-def _stat_value():
+def statistic_of(total: Column, average: Column, maximum: Column, samples: Column) -> Column:
+    """The value that a rule's ``statistic`` names."""
     s = F.col("statistic")
-    return (F.when(s == "Sum", F.col("sum")).when(s == "Average", F.col("average"))
-            .when(s == "Maximum", F.col("maximum")).when(s == "SampleCount", F.col("samples").cast("double")))
+    return (F.when(s == "Sum", total).when(s == "Average", average)
+            .when(s == "Maximum", maximum).when(s == "SampleCount", samples.cast("double")))
 
 
-def _breach():
-    v, t, c = F.col("value"), F.col("threshold"), F.col("comparison")
-    return (F.when(c == GREATER, v > t).when(c == LESS, v < t)
-            .when(c == "GreaterThanOrEqualToThreshold", v >= t).when(c == "LessThanOrEqualToThreshold", v <= t))
+def breaches(value: Column) -> Column:
+    """Whether a value breaches the rule's ``threshold`` by its ``comparison``."""
+    t, c = F.col("threshold"), F.col("comparison")
+    return (F.when(c == GREATER, value > t).when(c == LESS, value < t)
+            .when(c == "GreaterThanOrEqualToThreshold", value >= t).when(c == "LessThanOrEqualToThreshold", value <= t))
+
+
+def state_of(breach: Column, prev_breach: Column) -> Column:
+    """ALARM where two periods in a row breach."""
+    return F.when(breach & prev_breach, F.lit(ALARM)).otherwise(F.lit(OK))
 
 
 def rule_periods(stats: DataFrame, rule_df: DataFrame) -> DataFrame:
     """Each rule's statistic per period, with its breach flag."""
     joined = stats.join(F.broadcast(rule_df), "metric")
     return joined.select("alarm", "metric", "comparison", "threshold", "statistic", "period_start",
-                         _stat_value().alias("value")).withColumn("breach", _breach())
+                         statistic_of(*[F.col(c) for c in ("sum", "average", "maximum", "samples")]).alias("value")
+                         ).withColumn("breach", breaches(F.col("value")))
 
 
 def alarm_history(stats: DataFrame, rule_df: DataFrame) -> DataFrame:
@@ -77,8 +85,13 @@ def alarm_history(stats: DataFrame, rule_df: DataFrame) -> DataFrame:
     h = (both.groupBy("alarm", "metric", F.col("at").alias("period_start"))
          .agg(F.max("here").alias("here"), F.max("v").alias("value"), F.max("b").alias("breach"),
               F.coalesce(F.max("before"), F.lit(False)).alias("prev_breach")).where("here"))
-    state = F.when(F.col("breach") & F.col("prev_breach"), F.lit(ALARM)).otherwise(F.lit(OK))
-    return h.select("alarm", "metric", "period_start", "value", "breach", "prev_breach", state.alias("state"))
+    return h.select("alarm", "metric", "period_start", "value", "breach", "prev_breach",
+                    state_of(F.col("breach"), F.col("prev_breach")).alias("state"))
+
+
+def states_from_history(history: DataFrame, rule_df: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """:func:`alarm_states` from a history (:func:`alarm_history`, or the one a stream keeps)."""
+    return _states(history, rule_df, as_of)
 
 
 def evaluation_range(as_of: dt.datetime) -> tuple[dt.datetime, dt.datetime]:
@@ -95,9 +108,16 @@ def alarm_states(stats: DataFrame, rule_df: DataFrame, as_of: dt.datetime) -> Da
 
     ``stats`` may cover any span; only periods starting in the two periods
     before ``as_of`` count (see :func:`evaluation_range` to read no more)."""
+    return _states(rule_periods(_deciding(stats, as_of), rule_df), rule_df, as_of)
+
+
+def _deciding(periods: DataFrame, as_of: dt.datetime) -> DataFrame:
     first = as_of - dt.timedelta(seconds=PERIOD_SECONDS * EVALUATION_PERIODS)
-    recent = stats.where((F.col("period_start") >= F.lit(first)) & (F.col("period_start") < F.lit(as_of)))
-    per = rule_periods(recent, rule_df)
+    return periods.where((F.col("period_start") >= F.lit(first)) & (F.col("period_start") < F.lit(as_of)))
+
+
+def _states(per: DataFrame, rule_df: DataFrame, as_of: dt.datetime) -> DataFrame:
+    per = _deciding(per, as_of)
     agg = per.groupBy("alarm").agg(F.count(F.lit(1)).alias("periods_with_data"),
                                    F.count_if(F.col("breach")).alias("breaching_periods"),
                                    F.max_by("value", "period_start").alias("last_value"))

@@ -58,7 +58,7 @@ def _storage_ops(spark, sf_dir):
     return e.select("event_id", "ts", op.alias("operation"), (F.col("event_id") % 5 + 1).alias("count"))
 
 
-def _all_points(spark, sf_dir):
+def all_points(spark, sf_dir):
     cols = ["event_id", "metric", "value", "unit", "ts"]
     return (_file_points(spark, sf_dir).select(*cols)
             .unionByName(X.queue_points(_queue_activity(spark, sf_dir), keep=["event_id"]).select(*cols)))
@@ -129,7 +129,7 @@ def _stats(points):
 @register("metric_five_minute_stats", oracle=V.with_views(STATS_SQL, pts=ALL_POINTS_SQL))
 def metric_five_minute_stats(spark, sf_dir):
     """5-minute Sum / Average / Maximum per metric."""
-    return _stats(_all_points(spark, sf_dir))
+    return _stats(all_points(spark, sf_dir))
 
 
 @register("metric_five_minute_by_status", oracle=V.with_views("""
@@ -183,7 +183,7 @@ SELECT metric, ts, value, unit FROM (
 WHERE rn = 1""", pts=ALL_POINTS_SQL))
 def metric_latest(spark, sf_dir):
     """X11: latest point per metric."""
-    return X.latest_points(_all_points(spark, sf_dir))
+    return X.latest_points(all_points(spark, sf_dir))
 
 
 _WIDGET_VALUES = ", ".join(f"('{w}', '{m}', '{s}')" for w, m, s in X.WIDGETS)
@@ -196,7 +196,7 @@ FROM ({STATS_SQL}) s JOIN (VALUES {_WIDGET_VALUES}) w(widget, metric, stat) ON s
     pts=ALL_POINTS_SQL))
 def metric_widgets(spark, sf_dir):
     """Per widget, its statistic of each 5-minute period."""
-    return X.widget_series(_stats(_all_points(spark, sf_dir)))
+    return X.widget_series(_stats(all_points(spark, sf_dir)))
 
 
 @register("metric_operations_pivot", oracle=V.with_views("""
@@ -238,7 +238,7 @@ FROM rp c LEFT JOIN rp p ON c.alarm = p.alarm AND c.period_start = p.period_star
     pts=ALL_POINTS_SQL, st=STATS_SQL, rules=RULES_SQL, rp=RULE_PERIODS_SQL))
 def alarm_history(spark, sf_dir):
     """Every rule's state per period (two consecutive breaching periods -> ALARM)."""
-    return A.alarm_history(_stats(_all_points(spark, sf_dir)), A.rules(spark, TEST_RULES))
+    return A.alarm_history(_stats(all_points(spark, sf_dir)), A.rules(spark, TEST_RULES))
 
 
 AS_OF_ALARMS = dt.datetime(2024, 1, 30, 12, 0, 0)
@@ -247,7 +247,7 @@ AS_OF_ALARMS = dt.datetime(2024, 1, 30, 12, 0, 0)
 def _recent_stats(spark, sf_dir):
     """Statistics of the periods that decide the states at AS_OF_ALARMS; the ts
     range is pushed through the point generator into the events scan."""
-    return _stats(X.in_range(_all_points(spark, sf_dir), *A.evaluation_range(AS_OF_ALARMS)))
+    return _stats(X.in_range(all_points(spark, sf_dir), *A.evaluation_range(AS_OF_ALARMS)))
 
 
 @register("alarm_states", oracle=V.with_views("""

@@ -6,12 +6,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from basalt.operators import alarms as A
 from basalt.operators import messages as M
 from basalt.operators import metrics as X
 from basalt.plans import views as V
 from basalt.plans.message_queries import TARGETS_SQL
-from basalt.plans.metric_queries import FILE_POINTS_SQL
-from basalt.plans.registry import register
+from basalt.plans.metric_queries import AS_OF_ALARMS, FILE_POINTS_SQL, TEST_RULES, all_points
+from basalt.plans.registry import ORACLE, register
 from basalt.plans.sql_queries import write_raw_events
 from basalt.session import scratch_dir
 from basalt.streaming import streams as STR
@@ -111,3 +112,25 @@ def stream_worker_outcomes(spark, sf_dir):
     STR.retry_rejected(spark, handler, f"{root}/out", stream.schema)
     calls = STR.read_outcomes(spark, f"{root}/out", stream.schema)
     return calls.groupBy("outcome", "attempts").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def _alarm_stream(spark, sf_dir):
+    root = scratch_dir(spark, "stream-alarms")
+    points = all_points(spark, sf_dir)  # as 6 files that are not in time order
+    points.repartition(6, F.xxhash64("event_id", "metric")).write.parquet(f"{root}/points")
+    stream = spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/points")
+    rules = A.rules(spark, TEST_RULES)
+    STR.start_alarms(stream, rules, f"{root}/alarms", f"{root}/_ck").awaitTermination()
+    return STR.read_alarm_history(spark, f"{root}/alarms").withColumn("value", F.round("value", 6)), rules
+
+
+@register("stream_alarm_history", oracle=ORACLE["alarm_history"])
+def stream_alarm_history(spark, sf_dir):
+    """X14 as a stream: states per rule and period, kept up to date while files arrive out of time order."""
+    return _alarm_stream(spark, sf_dir)[0]
+
+
+@register("stream_alarm_states", oracle=ORACLE["alarm_states"])
+def stream_alarm_states(spark, sf_dir):
+    """X16 from the history that the stream keeps."""
+    return A.states_from_history(*_alarm_stream(spark, sf_dir), AS_OF_ALARMS)

@@ -23,11 +23,12 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from basalt.operators import alarms as A
 from basalt.operators import ingest
 from basalt.operators import metrics as X
 from basalt.sinks.writers import PARTITION_COLUMNS
@@ -224,6 +225,57 @@ def read_table(spark: SparkSession, table_dir: str, schema: T.StructType) -> Dat
     return df
 
 
+def start_alarms(points: DataFrame, rule_df: DataFrame, table_dir: str, checkpoint: str,
+                 trigger: str | None = "availableNow") -> StreamingQuery:
+    """X14 (stream): alarm states as points arrive, late and disordered ones included.
+
+    State is one small row per (rule, five-minute period): the sums of the period and of the
+    one before it, since every point counts as itself and as the predecessor of the next
+    period.  A batch writes, under its own id, the periods that its points changed, with
+    value, breach and state; :func:`read_alarm_history` takes the newest of each.
+    ``rule_df`` is joined by broadcast (one row per rule)."""
+    start = F.window(F.col("ts").cast("timestamp"), X.PERIOD).start.cast("timestamp_ntz")
+    later = F.col("at") + F.expr(f"INTERVAL {A.PERIOD_SECONDS} SECONDS")
+    matched = points.select("metric", "value", start.alias("at")).join(F.broadcast(rule_df), "metric")
+    rule = ["alarm", "metric", "comparison", "threshold", "statistic"]
+    twice = matched.select(*rule, "value", F.inline(F.array(
+        F.struct(F.col("at").alias("period_start"), F.lit(True).alias("here")),
+        F.struct(later.alias("period_start"), F.lit(False).alias("here")))))
+    sides = [("cur", F.col("here")), ("prev", ~F.col("here"))]
+    sums = twice.groupBy(*rule, "period_start").agg(*[f for name, side in sides for f in (
+        F.sum(F.when(side, F.col("value"))).alias(f"{name}_sum"), F.max(F.when(side, F.col("value"))).alias(f"{name}_max"),
+        F.count_if(side).alias(f"{name}_n"))])
+
+    def value(name: str) -> Column:
+        total, n = F.col(f"{name}_sum"), F.col(f"{name}_n")
+        return F.when(n > 0, A.statistic_of(total, F.try_divide(total, n), F.col(f"{name}_max"), n))
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        prev = F.coalesce(A.breaches(value("prev")), F.lit(False))
+        (batch.where("cur_n > 0")
+         .select("alarm", "metric", "period_start", value("cur").alias("value"), A.breaches(value("cur")).alias("breach"),
+                 prev.alias("prev_breach"))
+         .withColumn("state", A.state_of(F.col("breach"), F.col("prev_breach")))
+         .write.mode("overwrite").parquet(_batch_dir(table_dir, epoch_id)))
+
+    writer = sums.writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
+
+
+HISTORY = T.StructType([
+    T.StructField("alarm", T.StringType()), T.StructField("metric", T.StringType()), T.StructField("period_start", T.TimestampNTZType()),
+    T.StructField("value", T.DoubleType()), T.StructField("breach", T.BooleanType()), T.StructField("prev_breach", T.BooleanType()),
+    T.StructField("state", T.StringType()),
+])
+
+
+def read_alarm_history(spark: SparkSession, table_dir: str) -> DataFrame:
+    """The history that :func:`start_alarms` keeps: each (rule, period) as of the last batch that changed it."""
+    keys, rest = ["alarm", "metric", "period_start"], ["value", "breach", "prev_breach", "state"]
+    newest = read_table(spark, table_dir, HISTORY).groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r"))
+    return newest.select(*keys, "r.*")
+
+
 STAT_PARTS = T.StructType([
     T.StructField("metric", T.StringType()), T.StructField("period_start", T.TimestampNTZType()),
     T.StructField("sum", T.DoubleType()), T.StructField("maximum", T.DoubleType()), T.StructField("samples", T.LongType()),

@@ -99,3 +99,33 @@ def test_drain_goes_on_until_nothing_comes(spark, tmp_path):
 
     assert S.drain(start, max_empty_polls=2) == 8 and len(polls) == 4
     assert len(_calls(spark, out)) == 8
+
+
+def test_stream_alarms_equal_the_batch_for_any_order(spark, tmp_path):
+    import datetime as dt
+    import random
+
+    from basalt.operators import alarms as A
+    from basalt.operators import metrics as X
+
+    rng = random.Random(9)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(m, float(rng.randint(0, 12)), base + dt.timedelta(seconds=rng.randint(0, 7200))) for m in ("a", "b") for _ in range(60)]
+    rules = A.rules(spark, [("sum", "a", A.GREATER, 8.0, "Sum"), ("low", "a", A.LESS, 5.0, "Average"),
+                            ("max", "b", "GreaterThanOrEqualToThreshold", 9.0, "Maximum"), ("n", "b", A.GREATER, 1.0, "SampleCount"),
+                            ("none", "c", A.GREATER, 0.0, "Sum")])
+    schema = "metric string, value double, ts timestamp_ntz"
+    rng.shuffle(rows)
+    raw, out, ck = (str(tmp_path / x) for x in ("raw", "out", "ck"))
+    for i in range(4):  # a restart before every batch; each holds points of all times
+        part = rows[30 * i:30 * i + 30]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(raw)
+        stream = spark.readStream.schema(schema).parquet(raw)
+        S.start_alarms(stream, rules, out, ck).awaitTermination()
+        stats = X.five_minute_stats(spark.createDataFrame(rows[:30 * i + 30], schema))
+        want = {tuple(r) for r in A.alarm_history(stats, rules).collect()}
+        history = S.read_alarm_history(spark, out)
+        assert {tuple(r) for r in history.collect()} == want
+        at = base + dt.timedelta(hours=1)
+        assert sorted(map(tuple, A.states_from_history(history, rules, at).collect()), key=str) == sorted(
+            map(tuple, A.alarm_states(stats, rules, at).collect()), key=str)
