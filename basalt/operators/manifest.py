@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basalt.functions import scalars as S
@@ -115,7 +115,8 @@ def limit_with_rest(df: DataFrame, n: int, order: list[Column] | None = None) ->
 def page(df: DataFrame, page_no: int, page_size: int, order: list[Column]) -> DataFrame:
     """one page of a sorted listing, numbered from the page start, with page count.
 
-    Offset + limit first, so the numbering window only sees ``page_size`` rows.
+    Offset + limit first, so the numbering window only sees ``page_size`` rows.  For pages far
+    down a long listing see :func:`write_page_index`.
     """
     if page_no < 1 or page_size < 1:
         raise ValueError("page numbers and sizes start at 1")
@@ -127,6 +128,48 @@ def page(df: DataFrame, page_no: int, page_size: int, order: list[Column]) -> Da
             .withColumn("total_pages", F.ceil(total / F.lit(page_size)).cast("bigint")))
 
 
+#: Rows of one file of a page index: what a page reads at most, once or twice.
+PAGE_FILE_ROWS = 100_000
+
+
+def write_page_index(df: DataFrame, order: list[Column], path: str, file_rows: int = PAGE_FILE_ROWS) -> None:
+    """F18 for deep pages: the rows in order, as files of at most ``file_rows``, and the rank each file starts at.
+
+    One range sort, written once; after it any page is a seek (:func:`read_page`), where offset and limit
+    would bring all rows before the page to one task.  ``order`` should tell all rows apart."""
+    (df.repartitionByRange(*order).sortWithinPartitions(*order).write.option("maxRecordsPerFile", file_rows)
+     .parquet(f"{path}/rows"))
+    rows = df.sparkSession.read.schema(df.schema).parquet(f"{path}/rows")
+    name = F.col("file")
+    files = (rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+             .select("file", "n", F.regexp_extract(name, r"^part-(\d+)", 1).cast("long").alias("task"),
+                     F.regexp_extract(name, r"-c(\d+)\.", 1).cast("long").alias("part")))  # one row per file
+    before = Window.orderBy("task", "part").rowsBetween(Window.unboundedPreceding, -1)
+    (files.select("file", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+     .coalesce(1).write.parquet(f"{path}/files"))
+
+
+def read_page(spark: SparkSession, path: str, page_no: int, page_size: int) -> DataFrame:
+    """One page of :func:`write_page_index` (rows, row_no, total_rows, total_pages): the index names the one or
+    few files that hold it, and only those are read."""
+    if page_no < 1 or page_size < 1:
+        raise ValueError("page numbers and sizes start at 1")
+    start = (page_no - 1) * page_size
+    files = spark.read.schema("file string, n long, start long").parquet(f"{path}/files")
+    total = files.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    held = files.where((F.col("start") < start + page_size) & (F.col("start") + F.col("n") > start)).orderBy("start").collect()
+    schema = spark.read.parquet(f"{path}/rows").schema  # of one footer
+    if held:
+        rows = spark.read.schema(schema).parquet(*[f"{path}/rows/{r['file']}" for r in held])
+        file, at = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+        first = F.element_at(F.create_map(*[F.lit(x) for r in held for x in (r["file"], r["start"])]), file)
+        rows = rows.select("*", (first + at + 1).alias("row_no")).where(F.col("row_no").between(start + 1, start + page_size))
+    else:
+        rows = spark.createDataFrame([], schema).withColumn("row_no", F.lit(None).cast("bigint"))
+    return (rows.withColumn("total_rows", F.lit(total).cast("bigint"))
+            .withColumn("total_pages", F.lit(-(-total // page_size)).cast("bigint")))
+
+
 def select_view(df: DataFrame, columns: list[str]) -> DataFrame:
     """column subset and order for a view."""
     return df.select(*columns)

@@ -181,15 +181,20 @@ def io_log_files_last(spark, sf_dir):
     return L.last_errors(dated, 5, ["log_ts", "line"]).select("line", "n")
 
 
-@register("io_text_previews", oracle="SELECT doc_id, text, 'utf-8' AS encoding, CAST(strlen(text) AS BIGINT) AS size FROM documents")
+@register("io_text_previews", oracle="""
+SELECT doc_id // 1000 AS folder, string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id) AS text, 'utf-8' AS encoding,
+       CAST(sum(strlen(coalesce(text, ''))) + count(*) - 1 AS BIGINT) AS size
+FROM documents GROUP BY 1""")
 def io_text_previews(spark, sf_dir):
-    """One text file per document, read whole with its encoding and size."""
+    """A text file per thousand documents, read whole with its encoding and size."""
     out = scratch_dir(spark, "texts")
-    docs = V.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
-    docs.repartition("doc_id").write.partitionBy("doc_id").option("lineSep", "\n").text(out)
+    docs = V.table(spark, sf_dir, "documents").select(
+        F.expr("doc_id div 1000").alias("folder"), "doc_id", F.coalesce("text", F.lit("")).alias("value"))
+    (docs.repartition("folder").sortWithinPartitions("folder", "doc_id").drop("doc_id")
+     .write.partitionBy("folder").option("lineSep", "\n").text(out))
     files = readers.read_text_files(spark, f"{out}/*")
     one = F.expr("substr(preview, 1, length(preview) - 1)")  # without the line end that the writer adds
-    return files.select(F.regexp_extract("path", "doc_id=([0-9]+)", 1).cast("bigint").alias("doc_id"), one.alias("text"),
+    return files.select(F.regexp_extract("path", "folder=([0-9]+)", 1).cast("bigint").alias("folder"), one.alias("text"),
                         "encoding", (F.col("size") - 1).alias("size"))
 
 

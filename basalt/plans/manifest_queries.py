@@ -9,6 +9,7 @@ from basalt.operators import ingest
 from basalt.operators import manifest as M
 from basalt.plans import views as V
 from basalt.plans.registry import register
+from basalt.session import scratch_dir
 
 _MV = {"manifest": V.MANIFEST_SQL}
 
@@ -158,6 +159,21 @@ def manifest_page_3(spark, sf_dir):
     return M.page(_manifest(spark, sf_dir), 3, 20, _order())
 
 
+@register("manifest_deep_page", oracle="""
+WITH n AS (SELECT count(*) AS rows FROM lineitem)
+SELECT *, (SELECT rows FROM n) AS total_rows, CAST(ceil((SELECT rows FROM n) / 50.0) AS BIGINT) AS total_pages
+FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate,
+                                   l_discount, l_tax) AS row_no FROM lineitem)
+WHERE row_no > 50 * ((SELECT rows FROM n) // 60) AND row_no <= 50 * ((SELECT rows FROM n) // 60 + 1)""")
+def manifest_deep_page(spark, sf_dir):
+    """A page of 50 rows far down lineitem (five sixths of it), by a page index that is written once."""
+    path = scratch_dir(spark, "pages")
+    rows = V.table(spark, sf_dir, "lineitem")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_discount", "l_tax"]
+    M.write_page_index(rows, [F.col(c).asc() for c in order], path)
+    return M.read_page(spark, path, rows.count() // 60 + 1, 50)
+
+
 @register("manifest_view_columns", oracle=V.with_views(f"""
 SELECT {NAME_SQL} AS name, key, {human_size_sql('size')} AS size_text, source FROM manifest""", **_MV))
 def manifest_view_columns(spark, sf_dir):
