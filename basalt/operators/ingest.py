@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basalt.session import written
-from basalt.sinks.commits import StagedRun, recover
+from basalt.sinks.commits import StagedRun, files_below, recover
 from basalt.sinks.writers import PARTITION_COLUMNS, observed
 from basalt.sources.readers import CORRUPT, RAW_EVENT_SCHEMA, read_jsonl
 
@@ -77,7 +77,7 @@ def quarantine_rows(bad: DataFrame, reason: str = "unparseable", corrupt: str =
     )
 
 
-LEDGER_SCHEMA = "file string, attempt int, status string"
+LEDGER_SCHEMA = "file string, attempt int, status string, stamp string"
 DONE, FAILED, SET_ASIDE = "done", "failed", "set aside"
 
 
@@ -87,10 +87,14 @@ def file_name(path) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.-]*:", ""), "/+", "/")
 
 
-def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Listed files (column ``path``) that the ledger has neither done nor set aside."""
-    settled = ledger.where(F.col("status").isin(DONE, SET_ASIDE)).select(F.col("file").alias("_file")).distinct()
-    return files.join(settled, file_name("path") == F.col("_file"), "left_anti")
+def unprocessed(files: DataFrame, ledger: DataFrame, by_stamp: bool = False) -> DataFrame:
+    """Listed files (column ``path``) that the ledger has neither done nor set aside; with
+    ``by_stamp`` also those whose ``stamp`` (time and size) is not one it has settled."""
+    settled = ledger.where(F.col("status").isin(DONE, SET_ASIDE)).select(F.col("file").alias("_file"), F.col("stamp").alias("_stamp")).distinct()
+    same = file_name("path") == F.col("_file")
+    if by_stamp:
+        same = same & (F.col("stamp").isNull() | F.col("_stamp").isNull() | (F.col("stamp") == F.col("_stamp")))
+    return files.join(settled, same, "left_anti")
 
 
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
@@ -109,7 +113,7 @@ def pending(raw: DataFrame, processed: DataFrame) -> DataFrame:
 def ingest_batch(spark: SparkSession, paths, out_root: str, quarantine_root: str | None = None,
                  schema: T.StructType | None = RAW_EVENT_SCHEMA, date_field: str = "event_time",
                  partition_by_date: bool = True, ledger_root: str | None = None, max_attempts: int = 3,
-                 max_files: int = 10_000) -> DataFrame:
+                 max_files: int = 10_000, replace_changed: bool = False) -> DataFrame:
     """T5: read JSONL files, transform, write partitioned Parquet, quarantine bad rows.
 
     Returns a one-row summary (files_read, rows_read_ok, rows_dated, rows_corrupt),
@@ -128,12 +132,19 @@ def ingest_batch(spark: SparkSession, paths, out_root: str, quarantine_root: str
     attempt is a ledger row.  A file that cannot be read is then set aside in the
     quarantine.  When a readable file cannot be written, the fault is not the file's: the rest
     of the batch is committed, the file stays unsettled and the error is raised.
+
+    With ``replace_changed`` the lake rows carry their file (``SOURCE_COLUMN``), and a file that was
+    written again since it was ingested is ingested again in place of its earlier rows: the lake files
+    that hold such rows are written anew without them, and the old ones go by the same
+    commit.
     """
     log_root = ledger_root or out_root
     recover(spark, log_root)
+    if replace_changed and ledger_root is None:
+        raise ValueError("changed files are known by the ledger")
 
     def stage(run: StagedRun, files) -> tuple[int, int, int]:
-        return _stage_batch(run, spark, files, out_root, quarantine_root, schema, date_field, partition_by_date)
+        return _stage_batch(run, spark, files, out_root, quarantine_root, schema, date_field, partition_by_date, replace_changed)
 
     if ledger_root is None:
         run = StagedRun(spark, log_root)
@@ -145,13 +156,19 @@ def ingest_batch(spark: SparkSession, paths, out_root: str, quarantine_root: str
         run.commit()
         return _summary_row(spark, None, counts)
     spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(ledger_root)  # the folder exists from here on
-    new = written(unprocessed(_listed(spark, paths), read_ledger(spark, ledger_root)).select("path"), "pending")
+    ledger = read_ledger(spark, ledger_root)
+    new = written(unprocessed(_listed(spark, paths), ledger, replace_changed).select("path", "stamp"), "pending")
     totals, read = (0, 0, 0), 0
-    for files in _in_batches(new, max_files):
-        run, log = StagedRun(spark, log_root), []
-        done, n, error = _with_retries(files, lambda f, run=run: stage(run, f),
+    for batch in _in_batches(new, max_files):
+        run, log, stamps = StagedRun(spark, log_root), [], dict(batch)
+        done, n, error = _with_retries([f for f, _ in batch], lambda f, run=run: stage(run, f),
                                        lambda f: _readable(spark, f, schema), max_attempts, log)
-        _stage_log(run, spark, log, ledger_root, quarantine_root)
+        if replace_changed:
+            again = [f for f, _, status in log if status == DONE]
+            _stage_replaced(run, spark, again, ledger, out_root, SOURCE_COLUMN)
+            if quarantine_root is not None:
+                _stage_replaced(run, spark, again, ledger, quarantine_root, "file")
+        _stage_log(run, spark, log, ledger_root, quarantine_root, stamps)
         run.commit()
         if error is not None:
             raise error
@@ -159,6 +176,34 @@ def ingest_batch(spark: SparkSession, paths, out_root: str, quarantine_root: str
     return _summary_row(spark, read, totals)
 
 
+#: The file that a lake row came from, where files can be replaced.
+SOURCE_COLUMN = "source_file"
+
+
+def _stage_replaced(run: StagedRun, spark: SparkSession, files: list[str], ledger: DataFrame, root: str, column: str) -> None:
+    """Stage the table files that hold rows of ``files`` from an earlier run again without those rows.
+
+    The names are those of one batch; only table files that hold such rows are read whole."""
+    named = spark.createDataFrame([(f,) for f in files], "path string").select(file_name("path").alias("_f"))
+    earlier = named.join(ledger.where(F.col("status") == DONE).select(F.col("file").alias("_f")).distinct(), "_f", "left_semi")
+    if not files_below(spark, root) or earlier.isEmpty():
+        return
+    table = spark.read.option("mergeSchema", True).parquet(root)
+    if column not in table.columns:
+        return
+    ours = file_name(column) == F.col("_f")
+    holding = [r["p"] for r in table.join(F.broadcast(earlier), ours, "left_semi")  # at most the names of one batch
+               .select(F.col("_metadata.file_path").alias("p")).distinct().collect()]
+    if not holding:
+        return
+    part = run.folder(root)
+    rest = spark.read.schema(table.schema).option("basePath", root).parquet(*holding).join(F.broadcast(earlier), ours, "left_anti")
+    by = [c for c in PARTITION_COLUMNS if c in table.columns and f"/{c}=" in holding[0]]
+    (rest.write.partitionBy(*by) if by else rest.write).parquet(part)
+    run.add(root, part)
+    run.replace(holding)
+
+
 def read_lake(spark: SparkSession, out_root: str, ledger_root: str | None = None) -> DataFrame:
     """The lake table with every committed run in place and no other."""
     recover(spark, ledger_root or out_root)
@@ -166,17 +211,18 @@ def read_lake(spark: SparkSession, out_root: str, ledger_root: str | None = None
 
 
 def _listed(spark: SparkSession, paths) -> DataFrame:
-    """Files to ingest (column ``path``): a list of files as it is, folders by listing them."""
+    """Files to ingest (``path``, ``stamp``): a list of files as it is, folders by listing them with time and size."""
     if isinstance(paths, str):
-        return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path"))
-    return spark.createDataFrame([(x,) for x in paths], "path string")
+        stamp = F.concat_ws(":", F.unix_micros("modificationTime"), "length")
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path", stamp.alias("stamp")))
+    return spark.createDataFrame([(x, None) for x in paths], "path string, stamp string")
 
 
-def _in_batches(files: DataFrame, size: int) -> Iterator[list[str]]:
+def _in_batches(files: DataFrame, size: int) -> Iterator[list[tuple[str, str | None]]]:
     """Names of at most ``size`` files at a time; the driver fetches one partition of names after the other."""
-    batch: list[str] = []
+    batch: list[tuple[str, str | None]] = []
     for row in files.toLocalIterator():
-        batch.append(row["path"])
+        batch.append((row["path"], row["stamp"]))
         if len(batch) == size:
             yield batch
             batch = []
@@ -224,14 +270,16 @@ def _with_retries(files: list[str], stage: Callable, readable: Callable, max_att
 
 
 def _stage_batch(run: StagedRun, spark, files, out_root, quarantine_root, schema, date_field,
-                 partition_by_date) -> tuple[int, int, int]:
+                 partition_by_date, with_source: bool = False) -> tuple[int, int, int]:
     """Stage the lake rows and, if there are any, the bad ones: (good, dated, bad) rows."""
     df = read_jsonl(spark, files, schema=schema)
     bad = is_bad(df, date_field)
     dated = F.count_if(~bad & F.col(date_field).isNotNull()) if date_field in df.columns else F.count_if(~bad)
     counts = [F.count_if(~bad).alias("good"), dated.alias("dated"), F.count_if(bad).alias("bad")]
     obs = Observation()
-    lake = transform_for_lake(split_good_bad(df.observe(obs, *counts), date_field)[0].drop("_file"), date_field, partition_by_date)
+    good_rows = split_good_bad(df.observe(obs, *counts), date_field)[0]
+    good_rows = good_rows.withColumn(SOURCE_COLUMN, file_name("_file")).drop("_file") if with_source else good_rows.drop("_file")
+    lake = transform_for_lake(good_rows, date_field, partition_by_date)
     lake_part = run.folder(out_root)
     if partition_by_date and date_field in lake.columns:
         lake.hint("rebalance", *PARTITION_COLUMNS).write.partitionBy(*PARTITION_COLUMNS) \
@@ -251,9 +299,10 @@ def _stage_batch(run: StagedRun, spark, files, out_root, quarantine_root, schema
     return good, n_dated, n_bad
 
 
-def _stage_log(run: StagedRun, spark: SparkSession, log: list, ledger_root: str, quarantine_root: str | None) -> None:
+def _stage_log(run: StagedRun, spark: SparkSession, log: list, ledger_root: str, quarantine_root: str | None,
+               stamps: dict[str, str | None] | None = None) -> None:
     """Stage the ledger rows of a batch and, in the quarantine, the files set aside."""
-    rows = spark.createDataFrame(log, LEDGER_SCHEMA).withColumn("file", file_name("file")).coalesce(1)
+    rows = spark.createDataFrame([(*row, (stamps or {}).get(row[0])) for row in log], LEDGER_SCHEMA).withColumn("file", file_name("file")).coalesce(1)
     if quarantine_root is not None and any(status == SET_ASIDE for _, _, status in log):
         aside = run.folder(quarantine_root)
         rows.where(F.col("status") == SET_ASIDE).select(

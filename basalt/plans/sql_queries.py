@@ -11,14 +11,17 @@ from basalt.operators import catalog, ingest, sql
 from basalt.plans import views as V
 from basalt.plans.registry import register
 from basalt.session import scratch_dir
-from basalt.sinks.commits import StagedRun
+from basalt.sinks.commits import StagedRun, file_system, files_below
 from basalt.sources.readers import RAW_EVENT_SCHEMA
 
 
 def write_raw_events(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """Raw zone made from ``events``: JSON Lines with ISO-8601 times carrying an offset."""
-    ev = V.table(spark, sf_dir, "events")
-    raw = ev.select(
+    return write_raw(V.table(spark, sf_dir, "events"), folder)
+
+
+def write_raw(events: DataFrame, folder: str) -> str:
+    raw = events.select(
         F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("event_time"),
         "user_id", F.col("event_type").alias("action"))
     raw.write.mode("overwrite").json(folder)
@@ -248,6 +251,31 @@ def ingest_interrupted_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.read_lake(spark, roots[0], f"{root}/ledger").groupBy("action").agg(F.count(F.lit(1)).alias("total"))
 
 
+@register("ingest_changed_file", oracle="""
+SELECT event_type AS action, count(*) AS total FROM events WHERE event_id % 2 = 1 OR event_id % 4 = 0 GROUP BY 1""")
+def ingest_changed_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two raw files are ingested, one is written again with other rows; they replace its earlier ones."""
+    root = scratch_dir(spark, "changed-file")
+    ev = V.table(spark, sf_dir, "events")
+
+    def put(name: str, rows: DataFrame) -> None:
+        folder = write_raw(rows.coalesce(1), f"{root}/made/{uuid.uuid4().hex}")
+        (made,) = files_below(spark, folder)
+        fs, target = file_system(spark, f"{root}/raw/{name}")
+        fs.mkdirs(target.getParent())
+        fs.delete(target, False)
+        fs.rename(file_system(spark, f"{folder}/{made}")[1], target)
+
+    put("even.json", ev.where("event_id % 2 = 0"))
+    put("odd.json", ev.where("event_id % 2 = 1"))
+    for again in (True, False):
+        ingest.ingest_batch(spark, f"{root}/raw", f"{root}/lake", f"{root}/quarantine", ledger_root=f"{root}/ledger",
+                            replace_changed=True)
+        if again:
+            put("even.json", ev.where("event_id % 4 = 0"))
+    return ingest.read_lake(spark, f"{root}/lake", f"{root}/ledger").groupBy("action").agg(F.count(F.lit(1)).alias("total"))
+
+
 @register("ingest_output_names", oracle="""
 SELECT key, regexp_replace(regexp_extract(key, '[^/]*$', 0), '\\.jsonl$', '.parquet') AS output_name
 FROM (""" + V.MANIFEST_SQL + """) WHERE suffix(key, '.jsonl')""")

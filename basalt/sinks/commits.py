@@ -5,8 +5,8 @@ begin with an underscore are hidden from Spark's readers.  :meth:`StagedRun.comm
 
 1. writes one small record that names all staged folders and moves it into
    ``<log>/_commits`` by a rename: from here on the run has happened;
-2. moves the files into their tables (Spark gives every file a name of its own, so a file
-   that is already there needs no second move);
+2. removes the files that the run replaces, if any, and moves its own into their tables (Spark
+   gives every file a name of its own, so a file that is already there needs no second move);
 3. removes the record and the staging folders.
 
 A driver that dies before 1 leaves nothing that any reader sees; one that dies later is
@@ -24,14 +24,14 @@ from pyspark.sql import SparkSession
 STAGING, COMMITS = "_staging", "_commits"
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _files_below(spark: SparkSession, folder: str) -> list[str]:
+def files_below(spark: SparkSession, folder: str) -> list[str]:
     """Paths below ``folder``, relative to it, without hidden files."""
-    fs, root = _fs(spark, folder)
+    fs, root = file_system(spark, folder)
     if not fs.exists(root):
         return []
     base = fs.makeQualified(root).toString().rstrip("/") + "/"
@@ -45,10 +45,10 @@ def _files_below(spark: SparkSession, folder: str) -> list[str]:
 
 def move_files(spark: SparkSession, folder: str, root: str) -> int:
     """Move the files below ``folder`` to the same relative paths below ``root``; those already moved stay."""
-    fs, _ = _fs(spark, root)
+    fs, _ = file_system(spark, root)
     path = spark._jvm.org.apache.hadoop.fs.Path
     moved = 0
-    for relative in _files_below(spark, folder):
+    for relative in files_below(spark, folder):
         source, target = path(f"{folder}/{relative}"), path(f"{root}/{relative}")
         if fs.exists(target):
             continue
@@ -60,11 +60,13 @@ def move_files(spark: SparkSession, folder: str, root: str) -> int:
 
 
 def _remove(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     fs.delete(p, True)
 
 
 def _publish(spark: SparkSession, record_path: str, record: dict) -> None:
+    for path in record["replaced"]:
+        _remove(spark, path)
     for root, folder in record["folders"]:
         move_files(spark, folder, root)
     _remove(spark, record_path)
@@ -73,7 +75,7 @@ def _publish(spark: SparkSession, record_path: str, record: dict) -> None:
 
 
 def _records(spark: SparkSession, log_root: str) -> list[str]:
-    fs, p = _fs(spark, f"{log_root.rstrip('/')}/{COMMITS}")
+    fs, p = file_system(spark, f"{log_root.rstrip('/')}/{COMMITS}")
     if not fs.exists(p):
         return []
     return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().endswith(".json"))
@@ -95,6 +97,7 @@ class StagedRun:
     def __init__(self, spark: SparkSession, log_root: str) -> None:
         self.spark, self.log_root, self.run = spark, log_root.rstrip("/"), uuid.uuid4().hex
         self.folders: list[tuple[str, str]] = []
+        self.replaced: list[str] = []
         self.staging: set[str] = set()
         self._n = 0
 
@@ -107,12 +110,16 @@ class StagedRun:
     def add(self, root: str, folder: str) -> None:
         self.folders.append((root.rstrip("/"), folder))
 
+    def replace(self, files: list[str]) -> None:
+        """Table files whose rows this run has staged anew, or leaves out: they go when it is committed."""
+        self.replaced += files
+
     def record(self) -> tuple[str, dict]:
         """Write the commit record: a complete file under another name, then one rename."""
-        content = {"run": self.run, "folders": self.folders, "staging": sorted(self.staging)}
+        content = {"run": self.run, "folders": self.folders, "replaced": self.replaced, "staging": sorted(self.staging)}
         final = f"{self.log_root}/{COMMITS}/{self.run}.json"
-        fs, target = _fs(self.spark, final)
-        _, draft = _fs(self.spark, f"{self.log_root}/{COMMITS}/.{self.run}.draft")
+        fs, target = file_system(self.spark, final)
+        _, draft = file_system(self.spark, f"{self.log_root}/{COMMITS}/.{self.run}.draft")
         fs.mkdirs(target.getParent())
         out = fs.create(draft, True)
         out.write(json.dumps(content).encode())

@@ -83,9 +83,9 @@ def test_every_row_once_after_a_death_at_any_step(roots, monkeypatch, module, na
 def test_rename_half_done_is_completed(roots, monkeypatch):
     for i in range(6):
         roots.file(f"{i}.jsonl", range(3 * i, 3 * i + 3))
-    real = commits._files_below
+    real = commits.files_below
     with monkeypatch.context() as m:
-        m.setattr(commits, "_files_below", lambda spark, folder: real(spark, folder)[:1])
+        m.setattr(commits, "files_below", lambda spark, folder: real(spark, folder)[:1])
         _dies_at(m, commits, "_remove", 1)
         with pytest.raises(Dead):
             roots.ingest()
@@ -161,3 +161,46 @@ def test_writers_of_empty_frames_return_false(spark, tmp_path, empty):
     assert writers.write_partitioned(df, str(tmp_path / "parts")) is False
     assert writers.write_parquet(df, str(tmp_path / "plain")) is False
     assert writers.write_partitioned(spark.createDataFrame([("a", "1", "2", "3")], df.schema), str(tmp_path / "parts")) is True
+
+
+def test_a_file_written_again_replaces_its_rows(roots):
+    roots.file("a.jsonl", range(6), bad=2)
+    roots.file("b.jsonl", range(6, 10), bad=1)
+    roots.ingest(replace_changed=True)
+    roots.file("a.jsonl", [0, 1, 50], bad=1)  # rows gone, a row added, one bad line less
+    s = roots.ingest(replace_changed=True)
+    assert (s["files_read"], s["rows_read_ok"]) == (1, 3)
+    assert roots.users() == [0, 1, 6, 7, 8, 9, 50]
+    assert roots.quarantined() == [("a.jsonl", "unparseable"), ("b.jsonl", "unparseable")]
+    assert roots.ingest(replace_changed=True)["files_read"] == 0
+    assert {r["source_file"].rsplit("/", 1)[1] for r in ingest.read_lake(roots.spark, roots.lake, roots.ledger).collect()} == {"a.jsonl", "b.jsonl"}
+
+
+def test_a_file_written_again_without_good_rows(roots):
+    roots.file("a.jsonl", range(3))
+    roots.file("b.jsonl", range(3, 5))
+    roots.ingest(replace_changed=True)
+    roots.file("a.jsonl", bad=1)
+    roots.ingest(replace_changed=True)
+    assert roots.users() == [3, 4] and roots.quarantined() == [("a.jsonl", "unparseable")]
+
+
+@pytest.mark.parametrize(("name", "call"), [("move_files", 1), ("move_files", 2), ("_remove", 1), ("_remove", 2)])
+def test_replacing_survives_a_death(roots, monkeypatch, name, call):
+    roots.file("a.jsonl", range(6))
+    roots.file("b.jsonl", range(6, 10))
+    roots.ingest(replace_changed=True)
+    roots.file("a.jsonl", [0, 60])
+    with monkeypatch.context() as m:
+        _dies_at(m, commits, name, call)
+        with pytest.raises(Dead):
+            roots.ingest(replace_changed=True)
+    assert roots.users() == [0, 6, 7, 8, 9, 60]
+    assert roots.ingest(replace_changed=True)["files_read"] == 0
+
+
+def test_without_replacing_a_changed_file_stays_settled(roots):
+    roots.file("a.jsonl", range(2))
+    roots.ingest()
+    roots.file("a.jsonl", range(5))
+    assert roots.ingest()["files_read"] == 0 and roots.users() == [0, 1]
