@@ -128,6 +128,22 @@ def io_file_listing(spark, sf_dir):
     return Mf.type_stats(m)
 
 
+@register("io_listing_by_folder", oracle="""
+SELECT concat('event_type=', event_type, '/day=', strftime(ts, '%Y-%m-%d')) AS folder, 1 AS files,
+       CAST(sum(strlen(concat(event_id, ',', user_id)) + 1) AS BIGINT) AS size
+FROM events GROUP BY 1""")
+def io_listing_by_folder(spark, sf_dir):
+    """A store of one text file per event type and day, listed folder group by folder group."""
+    root = scratch_dir(spark, "folders")
+    ev = V.table(spark, sf_dir, "events").select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"),
+                                                 F.concat_ws(",", "event_id", "user_id").alias("value"))
+    ev.repartition("event_type", "day").write.partitionBy("event_type", "day").text(f"{root}/raw")
+    files = listing.write_listing(spark, f"{root}/raw", f"{root}/listing", depth=2)
+    m = listing.list_written(files, f"{root}/raw", "raw")
+    return m.groupBy(F.regexp_replace("key", "/[^/]*$", "").alias("folder")).agg(
+        F.count(F.lit(1)).cast("int").alias("files"), F.sum("size").alias("size"))
+
+
 @register("io_partition_scan", oracle="""
 SELECT event_type, count(*) AS n FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15' GROUP BY 1""")
 def io_partition_scan(spark, sf_dir):
