@@ -99,14 +99,18 @@ def outcomes(messages: DataFrame, handler: Callable[[dict], bool], max_attempts:
             return False
 
     def run(batches):
-        for pdf in batches:
-            taken = [call(row) for row in pdf.to_dict("records")]
-            pdf["attempts"] = pdf["attempts"] + 1
-            pdf["outcome"] = [ACCEPTED if ok else SET_ASIDE if n >= max_attempts else REJECTED
-                              for ok, n in zip(taken, pdf["attempts"], strict=True)]
-            yield pdf
-
-    return messages.mapInPandas(run, schema)
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = batch.to_pylist()  # values as Python has them: nulls are None, whole numbers int
+            calls = [row["attempts"] + 1 for row in rows]
+            taken = [call(row) for row in rows]
+            outcome = [ACCEPTED if ok else SET_ASIDE if n >= max_attempts else REJECTED for ok, n in zip(taken, calls, strict=True)]
+            columns = [pa.array(calls, pa.int32()) if name == "attempts" else column
+                       for name, column in zip(batch.schema.names, batch.columns, strict=True)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(outcome, pa.string())], names=[*batch.schema.names, "outcome"])
+
+    return messages.mapInArrow(run, schema)
 
 
 def start_worker(stream: DataFrame, handler: Callable[[dict], bool], table_dir: str, checkpoint: str, max_attempts: int = 3,

@@ -129,3 +129,12 @@ def test_stream_alarms_equal_the_batch_for_any_order(spark, tmp_path):
         at = base + dt.timedelta(hours=1)
         assert sorted(map(tuple, A.states_from_history(history, rules, at).collect()), key=str) == sorted(
             map(tuple, A.alarm_states(stats, rules, at).collect()), key=str)
+
+
+def test_handler_sees_plain_values(spark):
+    df = spark.createDataFrame([(None, 1), ("a", None)], SCHEMA).withColumn("attempts", F.lit(0))
+
+    def handler(m):
+        return m["n"] is None if m["k"] == "a" else type(m["n"]) is int and m["k"] is None and m["attempts"] == 0
+
+    assert [r["outcome"] for r in S.outcomes(df, handler, 3).collect()] == ["accepted", "accepted"]
