@@ -15,8 +15,9 @@ are built per candidate group:
    with one context are done.
 3. For keys with several different contexts, one representative of each is cut
    from its text.  Tasks join the contexts of whole groups in document order,
-   build their suffix array by prefix doubling up to ``length`` bytes, and take
-   the longest previous factor from the neighbours in suffix order.
+   build their suffix array and LCP values by prefix doubling, and take each
+   start's longest previous factor from the previous and the next smaller
+   position in suffix order: ``length`` bytes or more repeat.
 4. A key with more than ``GROUP_LIMIT`` contexts is not collected: its windows
    are shipped one by one as digests and compared as neighbours in sort order.
 5. The repeated starts of a document are united and its bytes removed.
@@ -170,7 +171,7 @@ def _classified(occurrences: DataFrame) -> DataFrame:
 def _contexts(docs: DataFrame, edges: DataFrame, length: int) -> DataFrame:
     """Cut the representatives' contexts from their texts: (key, kind, c2, doc_id, rid, s0,
     settled, context); kind 1 is one window of a crowded key, by digest."""
-    wanted = edges.groupBy(F.col("rid").alias("r")).agg(
+    wanted = edges.groupBy(F.col("doc_id").alias("d"), F.col("rid").alias("r")).agg(
         F.collect_list(F.struct("h", (F.col("n") > GROUP_LIMIT).alias("crowded"), "s0", "s1", "repeated")).alias("cuts"))
     schema = pa.schema([("key", pa.int64()), ("kind", pa.int8()), ("c2", pa.int64()), ("doc_id", pa.int64()),
                         ("rid", pa.int64()), ("s0", pa.int32()), ("settled", pa.bool_()), ("context", pa.binary())])
@@ -202,83 +203,104 @@ def _contexts(docs: DataFrame, edges: DataFrame, length: int) -> DataFrame:
                         rows, size = [], 0
             yield flush(rows)
 
-    joined = docs.join(wanted, docs["rid"] == wanted["r"]).select("doc_id", "rid", "t", "cuts")
+    joined = docs.join(wanted, same_row(docs, wanted)).select("doc_id", "rid", "t", "cuts")
     return joined.mapInArrow(run, "key long, kind byte, c2 long, doc_id long, rid long, s0 int, settled boolean, context binary")
 
 
 def suffix_order(contexts: list[bytes], length: int) -> tuple:
-    """Sort the window starts of all contexts by the ``length`` bytes that follow.
+    """Suffix array of the joined contexts and the LCP of each suffix with the one before.
 
-    Returns (starts in suffix order, truncated LCP with the start before).
-    Prefix doubling: ranks of 8, 16, ... bytes, then ``length`` as a sum of such
-    powers.  Ties keep text order.  Starts are offsets in the joined contexts;
-    only those with ``length`` bytes left in their context are sorted.
+    Prefix doubling: ranks of 8, 16, ... bytes until ``length`` is reached, so
+    suffixes are ordered by at least ``length`` bytes and equal windows by what
+    follows them.  The LCP comes from the same ranks, largest size first, then
+    byte by byte.  Only starts with ``length`` bytes left in their context are
+    listed; an LCP of ``length`` or more lies inside both contexts.
     """
     import numpy as np
 
-    text = np.frombuffer(b"".join(contexts) + bytes(length), np.uint8)
+    text = np.frombuffer(b"".join(contexts) + bytes(4 * length + 16), np.uint8)
     u = text.astype(np.uint64)
     for step in (1, 2, 4):
         u = (u[:-step] << np.uint64(8 * step)) | u[step:]
-    ranks = {8: np.unique(u, return_inverse=True)[1].astype(np.int64)}
-    size = 8
-    while 2 * size <= length:
-        r = ranks[size]
-        ranks[2 * size] = np.unique(r[:-size] * len(r) + r[size:], return_inverse=True)[1].astype(np.int64)
-        size *= 2
+    ranks = {8: np.unique(u, return_inverse=True)[1].astype(np.int32)}
+    top = 8
+    while top < length:
+        r = ranks[top].astype(np.int64)
+        ranks[2 * top] = np.unique(r[:-top] * len(r) + r[top:], return_inverse=True)[1].astype(np.int32)
+        top *= 2
     ends = np.cumsum([len(c) for c in contexts])
     starts = np.concatenate([np.arange(e - len(c), e - length + 1) for c, e in zip(contexts, ends, strict=True)])
-    value, done = np.zeros(len(starts), np.int64), 0
-    while done < length:
-        size = max((s for s in ranks if s <= length - done), default=8)
-        at = min(done, length - size)  # fewer than 8 bytes left: overlap with bytes already compared
-        part = ranks[size][starts + at]
-        size = length - done if at < done else size
-        value = np.unique(value * (len(text) + 1) + part, return_inverse=True)[1].astype(np.int64)
-        done += size
-    order = np.argsort(value, kind="stable")
-    same = np.concatenate([[False], value[order][1:] == value[order][:-1]])
-    return starts[order], np.where(same, length, 0)
-
-
-def previous_factors(order, lcp) -> tuple:
+    order = starts[np.argsort(ranks[top][starts], kind="stable")]
+    one, two = order[:-1], order[1:]
+    common = np.zeros(len(one), np.int64)
+    for size in sorted(ranks, reverse=True):
+        common += size * (ranks[size][one + common] == ranks[size][two + common])
+    same = common < top
+    for _ in range(7):
+        same = same & (text[one + common] == text[two + common])
+        common += same
+    return order, np.concatenate([[0], np.minimum(common, top)]).astype(np.int64)
+
+
+def nearest_smaller(order, lcp, least: int) -> tuple:
+    """For each place of the suffix array the nearest earlier place with a smaller
+    start, and the LCP with it; (-1, 0) where none has ``least`` bytes in common.
+
+    Minima of 1, 2, 4, ... neighbours let every place skip its larger
+    neighbours in blocks, largest block first.
+    """
+    import numpy as np
+
+    n = len(order)
+    cuts = np.flatnonzero(np.concatenate([lcp < least, [True]]))
+    widest = int(np.diff(cuts).max()) if len(cuts) > 1 else 0  # places in a row that share ``least`` bytes
+    lows, shared = [order], [lcp]
+    while 1 << len(lows) < widest:
+        half = 1 << len(lows) - 1
+        lows.append(np.minimum(lows[-1][:-half], lows[-1][half:]))
+        shared.append(np.minimum(shared[-1][:-half], shared[-1][half:]))
+    place, common = np.arange(n), np.full(n, np.iinfo(np.int64).max)
+    for k in reversed(range(len(lows))):
+        back = place - (1 << k)
+        at = np.maximum(back, 0)
+        block = shared[k][np.minimum(at + 1, len(shared[k]) - 1)]
+        skip = (back >= 0) & (lows[k][np.minimum(at, len(lows[k]) - 1)] > order) & (block >= least)
+        common = np.where(skip, np.minimum(common, block), common)
+        place = np.where(skip, back, place)
+    common = np.minimum(common, lcp[place])
+    found = (place > 0) & (common >= least)
+    return np.where(found, place - 1, -1), np.where(found, common, 0)
+
+
+def previous_factors(order, lcp, least: int = 1) -> tuple:
     """Longest previous factor of each start in suffix order, and who is its source.
 
-    The longest earlier match of a start is with the nearest smaller start before
-    or after it in suffix order.  Returns (LPF by place in the order, places that
-    are the nearest smaller start of some place with a positive LPF).  Where ties
-    stand in text order, the nearest smaller start is the neighbour itself; the
-    others are found with a stack.
+    The longest earlier match of a start is with the nearest smaller start
+    before or after it in suffix order.  Returns (LPF by place in the order, 0
+    below ``least``; places that are such a nearest smaller start).
     """
     import numpy as np
 
     n = len(order)
     lpf, source = np.zeros(n, np.int64), np.zeros(n, bool)
-    plain = np.zeros(n, bool)
-    if n:
-        plain[1:] = (order[1:] > order[:-1]) & (lcp[1:] == lcp.max()) & (lcp.max() > 0)
-        lpf[plain] = lcp[plain]
-        source[np.flatnonzero(plain) - 1] = True
-    if not plain[1:].all() and lcp[1:][~plain[1:]].any():
-        for step in (1, -1):
-            places = range(n) if step > 0 else range(n - 1, -1, -1)
-            stack: list[tuple[int, int]] = []  # (place, smallest LCP down to the entry below)
-            for i in places:
-                edge = i if step > 0 else i + 1
-                low = int(lcp[edge]) if edge < n else 0
-                while stack and order[stack[-1][0]] > order[i]:
-                    low = min(low, stack.pop()[1])
-                if stack and low > 0 and low >= lpf[i]:
-                    lpf[i] = low
-                    source[stack[-1][0]] = True
-                stack.append((i, low if stack else 0))
+    near = np.concatenate([lcp[1:] >= least, [False]]) if n else source
+    places = np.flatnonzero(near | (lcp >= least))  # a suffix that shares less with both neighbours has no match
+    if not len(places):
+        return lpf, source
+    start, shared = order[places], np.where(lcp >= least, lcp, 0)[places]
+    prev, with_prev = nearest_smaller(start, shared, least)
+    back, with_next = nearest_smaller(start[::-1], np.concatenate([[0], shared[:0:-1]]), least)
+    after, with_next = len(places) - 1 - back[::-1], with_next[::-1]
+    lpf[places] = np.maximum(with_prev, with_next)
+    source[places[prev[with_prev > 0]]] = True
+    source[places[after[with_next > 0]]] = True
     return lpf, source
 
 
 def _sorted_groups(contexts: DataFrame, length: int, keep: str) -> DataFrame:
     """Repeated starts (rid, s0, s1) among the contexts that share a key."""
     ordered = contexts.repartition("key").sortWithinPartitions("key", "kind", "c2", "doc_id", "rid", "s0")
-    schema = pa.schema([("rid", pa.int64()), ("s0", pa.int32()), ("s1", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("s0", pa.int32()), ("s1", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -286,10 +308,10 @@ def _sorted_groups(contexts: DataFrame, length: int, keep: str) -> DataFrame:
         def sort(group: list[dict]) -> list[tuple]:
             texts = [g["context"] for g in group]
             order, lcp = suffix_order(texts, length)
-            lpf, source = previous_factors(order, lcp)
+            lpf, source = previous_factors(order, lcp, length)
             hit = lpf >= length
             if keep == "none":
-                hit = hit | (source & _next_long(lcp, length))
+                hit = hit | source
             at = np.sort(order[hit])
             ends = np.cumsum([len(t) for t in texts])
             owner = np.searchsorted(ends, at, side="right")
@@ -300,11 +322,11 @@ def _sorted_groups(contexts: DataFrame, length: int, keep: str) -> DataFrame:
                     if keep == "none" and g["settled"]:
                         continue
                     shift = g["s0"] - (ends[owner[run_[0]]] - len(g["context"]))
-                    out.append((g["rid"], int(at[run_[0]] + shift), int(at[run_[-1]] + shift)))
+                    out.append((g["doc_id"], g["rid"], int(at[run_[0]] + shift), int(at[run_[-1]] + shift)))
             return out
 
         def batch_of(rows: Iterable[tuple]) -> pa.RecordBatch:
-            cols = list(zip(*rows, strict=True)) or [()] * 3
+            cols = list(zip(*rows, strict=True)) or [()] * len(schema)
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
         group: list[dict] = []
@@ -315,9 +337,9 @@ def _sorted_groups(contexts: DataFrame, length: int, keep: str) -> DataFrame:
                 if row["kind"] == 1:
                     same = last is not None and last["kind"] == 1 and (last["key"], last["c2"]) == (row["key"], row["c2"])
                     if same:
-                        out.append((row["rid"], row["s0"], row["s0"]))
+                        out.append((row["doc_id"], row["rid"], row["s0"], row["s0"]))
                         if keep == "none" and not last["marked"]:
-                            out.append((last["rid"], last["s0"], last["s0"]))
+                            out.append((last["doc_id"], last["rid"], last["s0"], last["s0"]))
                     last = {**row, "marked": same}
                     continue
                 if size > SORT_BYTES and row["key"] != group[-1]["key"]:
@@ -331,22 +353,21 @@ def _sorted_groups(contexts: DataFrame, length: int, keep: str) -> DataFrame:
         if group:
             yield batch_of(sort(group))
 
-    return ordered.mapInArrow(run, "rid long, s0 int, s1 int")
-
-
-def _next_long(lcp, length: int):
-    import numpy as np
-
-    return np.concatenate([lcp[1:] >= length, [False]])
+    return ordered.mapInArrow(run, "doc_id long, rid long, s0 int, s1 int")
 
 
 def row_key(text: Column) -> Column:
-    """Internal key of a row: rows that agree in id and text behave alike."""
+    """Internal key of a row beside its id: rows that agree in id and text behave alike."""
     return F.xxhash64("doc_id", text)
 
 
+def same_row(docs: DataFrame, found: DataFrame) -> Column:
+    """Rows are named by id and row key, so that equal keys of other documents do no harm."""
+    return (docs["rid"] == found["r"]) & docs["doc_id"].eqNullSafe(found["d"])
+
+
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str = "none") -> DataFrame:
-    """(rid, s0, s1): every window of ``length`` bytes that starts in s0..s1 repeats.
+    """(doc_id, rid, s0, s1): every window of ``length`` bytes that starts in s0..s1 repeats.
 
     ``docs`` has doc_id, rid, t.  keep="first" spares the first occurrence in
     order of (id, row key, offset); keep="none" reports all of them.
@@ -356,7 +377,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, kee
     crowds = candidates.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     contexts = _contexts(docs, candidates.join(crowds, "h"), length)
     found = materialize(_sorted_groups(contexts, length, keep), "suffix-ranges")
-    return marked.where("repeated" if keep == "none" else "later").select("rid", "s0", "s1").unionByName(found)
+    return marked.where("repeated" if keep == "none" else "later").select("doc_id", "rid", "s0", "s1").unionByName(found)
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -374,7 +395,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     prepare(df.sparkSession)
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("t"))
     docs = docs.select("doc_id", row_key(F.col("t")).alias("rid"), "t")
-    ranges = (repeated_ranges(docs, length, gram, keep).groupBy(F.col("rid").alias("r"))
+    ranges = (repeated_ranges(docs, length, gram, keep).groupBy(F.col("doc_id").alias("d"), F.col("rid").alias("r"))
               .agg(F.collect_set(F.struct("s0", "s1")).alias("cuts")))
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
               ("kept_sha256", pa.string())]
@@ -403,5 +424,5 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             cols = list(zip(*rows, strict=True)) or [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
-    joined = docs.join(ranges, docs["rid"] == ranges["r"], "left").select("doc_id", "t", "cuts")
+    joined = docs.join(ranges, same_row(docs, ranges), "left").select("doc_id", "t", "cuts")
     return joined.mapInArrow(run, ddl)

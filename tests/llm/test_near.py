@@ -160,12 +160,68 @@ def test_suffix_order_and_previous_factors():
             starts += range(at, at + len(c) - length + 1)
             at += len(c)
         order, lcp = suffix_dedup.suffix_order(contexts, length)
-        assert order.tolist() == sorted(starts, key=lambda s: (joined[s:s + length], s))
-        lpf, source = suffix_dedup.previous_factors(order, lcp)
-        first = {}
-        for s in sorted(starts):
+        assert sorted(order.tolist()) == starts
+        whole = [joined[s:] + bytes(99) for s in order]
+        assert [w[:length] for w in whole] == sorted(w[:length] for w in whole)
+        for one, two, n in zip(whole[:-1], whole[1:], lcp[1:], strict=True):
+            assert n >= length and one[:length] == two[:length] or one[:n] == two[:n] and one[n] != two[n]
+        lpf, source = suffix_dedup.previous_factors(order, lcp, length)
+        first, count = {}, {}
+        for s in starts:
             first.setdefault(joined[s:s + length], s)
-        assert {int(s) for s, n in zip(order, lpf, strict=True) if n >= length} == {s for s in starts if first[joined[s:s + length]] != s}
+            count[joined[s:s + length]] = count.get(joined[s:s + length], 0) + 1
+        again = {s for s in starts if first[joined[s:s + length]] != s}
+        assert {int(s) for s, n in zip(order, lpf, strict=True) if n >= length} == again
+        assert {int(s) for s, n, is_source in zip(order, lpf, source, strict=True) if n >= length or is_source} == {
+            s for s in starts if count[joined[s:s + length]] > 1}
+
+
+def test_smaller_positions_decide_what_is_removed(spark, monkeypatch):
+    """Equal windows stand in the order of what follows them, so neither the neighbour in suffix order
+    nor one of the two passes alone finds the earlier match."""
+    word = bytes(range(97, 117)) * 3
+    contexts = [word + tail for tail in (b"mm", b"zz", b"aa", b"pp", b"cc")]
+    order, lcp = suffix_dedup.suffix_order(contexts, 60)
+    want = {62 * n for n in range(1, 5)}
+    found = lambda: {int(s) for s, n in zip(order, suffix_dedup.previous_factors(order, lcp, 60)[0], strict=True) if n >= 60}
+    neighbour = {int(b) for a, b, n in zip(order[:-1], order[1:], lcp[1:], strict=True) if n >= 60 and a < b}
+    assert found() == want != neighbour
+    real = suffix_dedup.nearest_smaller
+    for broken in (0, 1):
+        calls = iter(range(2))
+
+        def one_pass(start, shared, least):
+            place, common = real(start, shared, least)
+            return (place, common) if next(calls) != broken else (np.full(len(start), -1), np.zeros(len(start), np.int64))
+        monkeypatch.setattr(suffix_dedup, "nearest_smaller", one_pass)
+        assert found() < want
+    monkeypatch.setattr(suffix_dedup, "nearest_smaller", real)
+
+
+def test_nearest_smaller_matches_a_plain_walk():
+    rng = random.Random(4)
+    for _ in range(60):
+        n = rng.randint(1, 40)
+        order = np.array(rng.sample(range(100), n))
+        lcp = np.array([0] + [rng.choice((0, 3, 5, 9)) for _ in range(n - 1)])
+        place, common = suffix_dedup.nearest_smaller(order, lcp, 3)
+        for i in range(n):
+            j = next((j for j in range(i - 1, -1, -1) if order[j] < order[i]), -1)
+            low = int(lcp[j + 1:i + 1].min()) if j >= 0 else 0
+            assert (place[i], common[i]) == ((j, low) if low >= 3 else (-1, 0))
+
+
+def test_suffix_dedup_on_the_given_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()))
+    raws = [t.encode() for _, t in rows]
+    got = {r["doc_id"]: r for r in suffix_dedup.remove_repeats(docs, keep="none", with_text=False).collect()}
+    assert len(got) == len(rows) and any(r["n_removed"] for r in got.values())
+    for (i, _), raw, mask in zip(rows, raws, removed_by_force(raws, 400, "none"), strict=True):
+        left = bytes(np.frombuffer(raw, np.uint8)[~mask])
+        spans = int((np.diff(np.concatenate([[0], mask.astype(int)])) == 1).sum())
+        assert (got[i]["n_bytes"], got[i]["n_removed"], got[i]["n_spans"], got[i]["kept_sha256"]) == (
+            len(raw), int(mask.sum()), spans, hashlib.sha256(left).hexdigest())
 
 
 def test_previous_factors_without_ties():
