@@ -1,37 +1,38 @@
 """Exact deduplication by an extendible-hash index on shared files.
 
-1. Every text gets a 64-bit key.  The directory starts with one bucket and
-   doubles as long as some bucket holds more keys than its capacity; only the
-   overfull buckets split, the others keep their shorter prefix.  It is built
-   from the key counts of its finest slots (at most ``2**max_depth`` rows), so
-   it stays bounded at every input size; beyond that depth, entries of a
-   bucket are chained.
-2. The index (bucket, key, digest, id) is written to the shared folder as
-   Parquet, range-partitioned by (bucket, key, id): each owner task writes one
-   key range, and a key held by a third of the rows is spread by id.
-3. Texts meet per (bucket, key) and are compared as whole strings by the
-   grouping itself: texts that collide on a key form separate chain entries.
-   Copies are combined map-side, so a group of any size ships one row a task.
-4. Index entries look up their chain entry by an equi-join (AQE splits hot keys).
-
-The grouping of step 3 decides which texts are equal.  The bucket is a function
-of the key and changes no row: no owner task works through a key range, and the
-index serves only as the list of ids.
+1. Every row gets a 64-bit key of its text.  The entries (key, id) are written
+   without texts and counted.  A key that occurs once has no copy: its text is
+   never moved.
+2. The directory starts with one bucket and doubles as long as some bucket holds
+   more rows with repeated keys than its capacity; only overfull buckets split,
+   the others keep their shorter prefix.  It is built from the row counts of its
+   finest slots (at most ``2**max_depth`` rows), so it stays bounded at every
+   input size.  Prefixes cannot split one hot key: its n rows are dealt by id to
+   about sqrt(n) / 2 slices of the bucket.
+3. Texts under repeated keys go to the owner of their range of (bucket, slice).
+   The owner sorts each of them by key and bytes and compares neighbours: the
+   same key and bytes belong to one link, the same key with other bytes starts
+   the next link of the key's chain.  One text per link stays.
+4. Links of a sliced key meet again, one per slice and text, and are chained the
+   same way; the members take the largest id and the size of their whole chain.
+
+Where the repeated keys are small enough Spark broadcasts them for step 3; beyond
+that all texts are joined with them by key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basalt.llm.common import materialize, text_of
 
-#: Distinct keys that a bucket holds before it splits, and the finest directory.
-CAPACITY, MAX_DEPTH = 50_000, 14
+#: Rows that a slice of a bucket holds before the bucket splits, and the finest directory.
+CAPACITY, MAX_DEPTH = 1_000, 14
 
 
 def grow_directory(counts: dict[int, int], capacity: int, max_depth: int) -> list[tuple[int, int]]:
-    """Leaf buckets (depth, prefix) from the key counts of the finest slots.
+    """Leaf buckets (depth, prefix) from the row counts of the finest slots.
 
     Doubling: at each depth the overfull buckets split in two and the rest stay.
     """
@@ -62,6 +63,38 @@ def bucket_of(key: Column, leaves: list[tuple[int, int]], max_depth: int) -> Col
     return F.get(directory, F.shiftrightunsigned(key, 64 - depth).cast("int"))
 
 
+def text_key(text: Column) -> Column:
+    """64-bit hash key of a text; different texts may share it."""
+    return F.xxhash64(text)
+
+
+def chain_links(held: DataFrame, where: list[str], order: list[str]) -> DataFrame:
+    """Compare neighbours within ``where``, in order of key, bytes and ``order``: ``starts``
+    marks the first row of each text, ``link`` numbers the texts."""
+    w = Window.partitionBy(*where).orderBy("key", "t", *order)
+    same = (F.lag("key").over(w) == F.col("key")) & (F.lag("t").over(w) == F.col("t"))
+    marked = held.withColumn("starts", ~F.coalesce(same, F.lit(False)))
+    return marked.withColumn("link", F.sum(F.col("starts").cast("long")).over(w))
+
+
+def chained_entries(docs: DataFrame, repeated: DataFrame, capacity: int, max_depth: int) -> DataFrame:
+    """Index entries of the rows whose key repeats: bucket, slice, link, key, slices, doc_id,
+    text_sha256, and the text ``t`` at the first row of each link (else null).
+
+    ``docs`` has doc_id, t, key; ``repeated`` has key and its number of rows n.
+    """
+    slices = F.ceil(F.sqrt("n") / 2).alias("slices")
+    loads = (repeated.select(F.shiftrightunsigned("key", 64 - max_depth).alias("slot"), F.ceil(F.col("n") / slices).alias("rows"))
+             .groupBy("slot").agg(F.sum("rows").alias("rows")))
+    leaves = grow_directory({r["slot"]: r["rows"] for r in loads.toLocalIterator()}, capacity, max_depth)
+    held = docs.join(repeated.select("key", slices), "key").select(
+        bucket_of(F.col("key"), leaves, max_depth).alias("bucket"),
+        F.pmod(F.xxhash64("doc_id"), "slices").alias("slice"), "key", "slices", "doc_id", "t")
+    linked = chain_links(held.repartitionByRange("bucket", "slice"), ["bucket", "slice"], ["doc_id"])
+    return linked.select("bucket", "slice", "link", "key", "slices", "doc_id", F.sha2("t", 256).alias("text_sha256"),
+                         F.when(F.col("starts"), F.col("t")).alias("t"))
+
+
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
                 max_depth: int = MAX_DEPTH) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
@@ -71,22 +104,24 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     and are all kept when it stays (all null ids: keep_id is null, kept).  An
     empty table gives an empty result.
     """
-    docs = df.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("t"))
-    keyed = docs.select("doc_id", "t", F.xxhash64("t").alias("key"))
-    entries = materialize(keyed.select("doc_id", "key", F.sha2("t", 256).alias("text_sha256")), "exact-entries")
-    slots = (entries.groupBy("key").agg(F.lit(1).alias("one"))
-             .groupBy(F.shiftrightunsigned("key", 64 - max_depth).alias("slot")).count())
-    leaves = grow_directory({r["slot"]: r["count"] for r in slots.toLocalIterator()}, capacity, max_depth)
-    bucket = bucket_of(F.col("key"), leaves, max_depth).alias("bucket")
-    index = materialize(entries.select(bucket, "key", "doc_id", "text_sha256")
-                        .repartitionByRange("bucket", "key", "doc_id").sortWithinPartitions("bucket", "key", "doc_id"),
-                        "exact-index")
-    chains = (keyed.select(bucket, "key", "doc_id", "t").groupBy("bucket", "key", "t")
-              .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-              .select("bucket", "key", F.sha2("t", 256).alias("text_sha256"), "keep_id", "group_size"))
-    return (index.join(chains, ["bucket", "key", "text_sha256"])
-            .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-                    "text_sha256"))
+    docs = df.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("t")).withColumn("key", text_key(F.col("t")))
+    entries = materialize(docs.select("doc_id", "key", F.sha2("t", 256).alias("text_sha256")), "exact-entries")
+    repeated = materialize(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "exact-keys")
+    index = materialize(chained_entries(docs, repeated, capacity, max_depth), "exact-index")
+    place = ["bucket", "slice", "link"]
+    sums = index.groupBy(*place).agg(F.max("doc_id").alias("top"), F.count("*").alias("rows"))
+    heads = index.where("t IS NOT NULL")
+    met = chain_links(heads.where("slices > 1").withColumnRenamed("link", "first_link"), ["bucket", "key"], ["slice"])
+    chains = materialize(
+        heads.where("slices = 1").select(*place, "key", F.col("link").alias("chain")).unionByName(
+            met.select("bucket", "slice", F.col("first_link").alias("link"), "key", F.col("link").alias("chain")))
+        .join(sums, place), "exact-chains")
+    totals = chains.groupBy("key", "chain").agg(F.max("top").alias("keep_id"), F.sum("rows").alias("group_size"))
+    members = index.select(*place, "doc_id", "text_sha256").join(
+        chains.select(*place, "key", "chain").join(totals, ["key", "chain"]).drop("key", "chain"), place)
+    alone = entries.join(repeated, "key", "left_anti").withColumns({"keep_id": F.col("doc_id"), "group_size": F.lit(1).cast("long")})
+    return alone.select("doc_id", "keep_id", "group_size", "text_sha256").unionByName(members.drop(*place)).select(
+        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def keep_exact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:

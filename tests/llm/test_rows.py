@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from basalt.llm import bpe, exact_dedup, mixing, token_output
@@ -34,6 +35,44 @@ def test_exact_dedup_matches_grouping(odd):
         assert (r["keep_id"], r["group_size"], r["kept"]) == (keep, n, r["doc_id"] == keep)
 
 
+def test_exact_dedup_chains_texts_that_share_a_key(spark, monkeypatch):
+    """Only the comparison of bytes tells texts with one key apart, within a slice and across slices."""
+    monkeypatch.setattr(exact_dedup, "text_key", lambda t: F.xxhash64(F.length(t) % 3))
+    rows = [(i, ("x" * (i % 5)) + "ab"[i % 2]) for i in range(300)] + [(900, "alone" * 7), (901, None), (902, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t or ""].append(i)
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.exact_dedup(df, capacity=4).collect()}
+    assert got == {i: (max(groups[t or ""]), len(groups[t or ""]), i == max(groups[t or ""])) for i, t in rows}
+    whole = exact_dedup.chain_links
+    monkeypatch.setattr(exact_dedup, "chain_links", lambda held, where, order: whole(held, where, order).withColumn("link", F.lit(1)))
+    assert {r["group_size"] for r in exact_dedup.exact_dedup(df, capacity=4).collect()} != {n for _, n, _ in got.values()}
+
+
+def test_exact_index_buckets_hold_their_capacity_and_only_repeated_keys(spark):
+    rows = [(i, f"text {i % 400}") for i in range(800)] + [(1000 + i, "hot") for i in range(2500)] + [(5000 + i, f"u{i}") for i in range(500)]
+    docs = (spark.createDataFrame(rows, "doc_id long, t string").withColumn("key", exact_dedup.text_key(F.col("t"))))
+    repeated = docs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    index = exact_dedup.chained_entries(docs, repeated, capacity=150, max_depth=10)
+    plan = index._jdf.queryExecution().toString()
+    assert "rangepartitioning(bucket" in plan and "Python" not in plan and "Arrow" not in plan
+    kept = index.collect()
+    assert len(kept) == 3300 and sum(r["t"] is not None for r in kept) == 400 + 25  # a text per link; the hot one per slice
+    held = Counter((r["bucket"], r["slice"]) for r in kept)
+    assert max(held.values()) <= 2 * 150 and len({b for b, _ in held}) > 4  # slices of a hot key differ a little by chance
+    assert len({r["key"] for r in kept}) == 401
+
+
+def test_exact_dedup_on_the_given_documents(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    groups = defaultdict(list)
+    for i, t in texts_of(df):
+        groups[t].append(i)
+    want = sorted((i, max(v), len(v), i == max(v), hashlib.sha256(t.encode()).hexdigest()) for t, v in groups.items() for i in v)
+    assert sorted(tuple(r) for r in exact_dedup.exact_dedup(df).collect()) == want
+
+
 def test_keep_exact_drops_copies_and_repeated_rows(odd):
     out = exact_dedup.keep_exact(odd)
     assert out.columns == odd.columns
