@@ -13,8 +13,8 @@ node, and the other bits are centred on the sample's leaf; so a topic that holds
 a large share of the rows is cut as finely as the rest.  The number of passes
 follows from the rows: sampled vectors and partners at just the threshold are
 sent through passes over the real number of blocks until at most ``MISS`` of
-these pairs have met in none.  Where that takes more comparisons than all pairs
-of blocks, all pairs of blocks are compared, which is exact.
+these pairs have met in none.  This is so at every size; ``exact=True`` compares
+all pairs of blocks instead, whose work grows with the square of the rows.
 
 Equal vectors are collapsed first (a map-side combine) and count with their
 multiplicity, so a vector that a third of all rows share is one row here.
@@ -91,12 +91,12 @@ def _key(unit, planes, cuts, centres):
 
 
 def forest_for(sample, n: int, block: int, threshold: float, miss: float, seed: int, first: int = 0,
-               passes: int | None = None) -> Forest | None:
-    """Passes for ``n`` vectors of which ``sample`` is a sample (unit rows), or None if
-    comparing all pairs of blocks is less work.  ``passes`` fixes their number instead."""
+               passes: int | None = None) -> Forest:
+    """Passes for ``n`` vectors of which ``sample`` is a sample (unit rows), as many as the
+    model needs for ``miss``.  ``passes`` fixes their number instead."""
     import numpy as np
 
-    dim, blocks = sample.shape[1], -(-n // block)
+    dim = sample.shape[1]
     rng = np.random.default_rng([seed, dim])
     x = sample[rng.permutation(len(sample))[:PROBES]]
     side = rng.standard_normal(x.shape)
@@ -105,8 +105,6 @@ def forest_for(sample, n: int, block: int, threshold: float, miss: float, seed:
     y = threshold * x + np.sqrt(max(0.0, 1 - threshold * threshold)) * side
     apart, out = np.ones(len(x), bool), Forest(first, [], [], [])
     while apart.mean() > miss if passes is None else len(out.planes) < passes:
-        if passes is None and (len(out.planes) + 1) * (2 * blocks - 1) > blocks * (blocks + 1) // 2:
-            return None
         planes = rng.standard_normal((dim, KEY_BITS))
         one = (planes, *_tree(sample, planes))
         for kept, part in zip(out[1:], one, strict=True):
@@ -238,12 +236,14 @@ def _samples(reps: DataFrame, sizes: dict[int, int], single: bool) -> dict:
 
 
 def near_dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95,
-               passes: int | None = None, block: int = BLOCK, seed: int = SEED, miss: float = MISS) -> DataFrame:
+               passes: int | None = None, block: int = BLOCK, seed: int = SEED, miss: float = MISS,
+               exact: bool = False) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept.
 
     Vectors are linked when a pass brings them together and their cosine is at
     least ``threshold``; by the model of the passes, at most ``miss`` of the pairs
     at just the threshold never meet (``passes`` fixes the number of passes instead).
+    ``exact`` compares all pairs and misses none, at a cost that grows with the square of the rows.
     Vectors that are null, empty, zero, or hold null or non-finite components,
     vectors without an id, and vectors of different length link with nothing.  Rows that repeat an id are the same vector only
     if they hold the same numbers; else they all link under that id.
@@ -260,13 +260,12 @@ def near_dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
     reps = materialize(member.where("vec_id = cid").dropDuplicates(["digest"]), "vec-reps")
     sizes = {r["dim"]: r["count"] for r in reps.groupBy("dim").count().where(F.col("count") > block).collect()}
     forests, whole, number = {}, {}, 1
-    for dim, sample in _samples(reps, sizes, single).items():
-        forest = forest_for(sample, sizes[dim], block, threshold, miss, seed, number, passes)
-        if forest is None:
-            whole[dim] = number
-        else:
-            forests[dim] = forest
-        number += 1 if forest is None else len(forest.planes)
+    if exact:
+        whole = {dim: number for number, dim in enumerate(sorted(sizes), 1)}
+    else:
+        for dim, sample in _samples(reps, sizes, single).items():
+            forests[dim] = forest_for(sample, sizes[dim], block, threshold, miss, seed, number, passes)
+            number += len(forests[dim].planes)
     keyed = materialize(_keyed(reps, forests, whole, single), "vec-keyed")
     deal = keyed.select("digest", "cid", "dim", F.inline(F.arrays_zip(F.col("passes").alias("pass"), F.col("keys").alias("key"))))
     ordered = deal.repartitionByRange("pass", "dim", "key", "cid").sortWithinPartitions("pass", "dim", "key", "cid")
