@@ -3,22 +3,26 @@
 Texts become words and the words 5-word shingles.  Templates are grouped into
 classes by length; a class of up to c words is looked for in windows of 2c words
 that start every c words, so any copy of a template lies in a window as a whole.
-Windows and templates meet in equal MinHash values (bands of one row); the number
-of bands follows from the least similarity that a window with enough of a
-template can have, so that a match is missed with a probability below ``MISS``.
-Matches are confirmed by the share of the template's shingles that the window
-holds, on the shingles' words.
 
-A window without any template shingle cannot share a MinHash value with a
-template, so such windows are dropped before the samples are drawn.  Templates
-are a parameter: their number and size do not depend on the data, and they are
-the only broadcast.
+The MinHash sample of a window are its k smallest shingle hashes, and each is a
+band of one row: a window and a template meet if they share a band.  The k
+smallest hashes of both together that both hold are in both samples, so a window
+with s of u different shingles in common misses with a probability of at most
+C(u - s, k) / C(u, k).  k is the least number that brings this below ``MISS`` for
+every template of the class at the wanted containment.  Nothing else retrieves;
+for notices of a few words k reaches the whole window and nothing can be missed.
+
+Matches are confirmed by the share of the template's shingles that the window
+holds, on the shingles' words.  Every text is read and hashed once for all
+classes.  Templates are a parameter: their number and size do not depend on the
+data, and they are the only broadcast.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +32,7 @@ SHINGLE, CONTAINMENT, MISS = 5, 0.8, 1e-6
 CLASSES = (8, 16, 128)
 
 #: Fixed texts: notices as they are commonly written.
-TEMPLATES = {
+NOTICES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-header": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
@@ -47,6 +51,9 @@ TEMPLATES = {
         "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
         "Software, and to permit persons to whom the Software is furnished to do so"),
 }
+#: Fixed texts: whole licenses, one file each in the folder ``licenses``.
+BODIES = {f"{p.stem}-text": p.read_text(encoding="utf-8") for p in sorted(Path(__file__).with_name("licenses").glob("*.txt"))}
+TEMPLATES = NOTICES | BODIES
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -66,14 +73,28 @@ def classes_for(longest: int, classes: tuple[int, ...] = CLASSES) -> tuple[int,
     return classes
 
 
-def bands_for(size: int, templates: list[str]) -> int:
-    """Bands that a class of ``size`` words needs to miss a match with probability MISS."""
-    least = 1.0
+def shared_least(text: str, containment: float = CONTAINMENT) -> int:
+    """Shingles of a template that a window must hold, one at least."""
+    return max(math.ceil(containment * len(template_shingles(text)) - 1e-9), 1)
+
+
+def bands_for(size: int, templates: list[str], containment: float = CONTAINMENT) -> int:
+    """Bands that a class of ``size`` words needs to miss a match with a probability of at most MISS."""
+    most = 1
     for t in templates:
-        n = len(template_shingles(t))
-        shared = math.ceil(CONTAINMENT * n)
-        least = min(least, shared / (2 * size - SHINGLE + 1 + n - shared))
-    return math.ceil(math.log(MISS) / math.log(1 - least)) if least < 1 else 1
+        shared = shared_least(t, containment)
+        either = 2 * size - SHINGLE + 1 + len(template_shingles(t)) - shared
+        miss, bands = 1.0, 0
+        while miss > MISS:
+            miss *= max(either - shared - bands, 0) / (either - bands)
+            bands += 1
+        most = max(most, bands)
+    return most
+
+
+def _words(text: Column) -> Column:
+    lowered = F.translate(F.coalesce(text.cast("string"), F.lit("")), _UPPER, _LOWER)
+    return F.regexp_extract_all(lowered, F.lit("[a-z0-9]+"), F.lit(0))
 
 
 def _hashes(words: Column) -> Column:
@@ -83,10 +104,9 @@ def _hashes(words: Column) -> Column:
         lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE)]))).otherwise(F.array().cast("array<bigint>"))
 
 
-def _samples(hashes: Column, bands: int) -> Column:
-    """MinHash samples: band j holds the smallest hash under seed j."""
-    return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
-                       lambda j: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, j))))
+def _sample(hashes: Column, bands: Column) -> Column:
+    """MinHash sample: the ``bands`` smallest different hashes."""
+    return F.slice(F.sort_array(F.array_distinct(hashes)), F.lit(1), bands)
 
 
 def _phrases(words: Column) -> Column:
@@ -99,10 +119,19 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(value)))
 
 
-def _template_frame(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    rows = [F.struct(F.lit(name).alias("license"), F.lit(template_words(text)).alias("words"),
-                     F.lit(template_shingles(text)).alias("phrases")) for name, text in sorted(templates.items())]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+def _template_frame(spark: SparkSession, classes: list[tuple[int, int, list[str]]], templates: dict[str, str]) -> DataFrame:
+    """license, words, size and bands of its class."""
+    rows = [F.struct(F.lit(name).alias("license"), F.lit(templates[name]).alias("body"), F.lit(size).alias("size"),
+                     F.lit(bands).alias("bands")) for size, bands, names in classes for name in names]
+    return _once(spark.range(1).select(F.inline(F.array(*rows))), "words", _words(F.col("body"))).drop("body")
+
+
+def _starts(size: int, bands: int, least: int) -> Column:
+    """Windows of a class as structs (first_word, size, bands); those with fewer than ``least`` shingles cannot match."""
+    last = F.size("hashes") - least
+    windows = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(size)), lambda at: F.struct(
+        at.alias("first_word"), F.lit(size).alias("size"), F.lit(bands).alias("bands")))
+    return F.when(last >= 0, windows).otherwise(F.slice(windows, 1, 0))
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None,
@@ -115,45 +144,43 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lower-casing A-Z.  Null, empty and short texts match nothing; rows that repeat
     an id are the same document and are reported together.  Templates need at
     least five words; those longer than the largest class get classes of their own.
+    No templates find nothing.
     """
     spark = df.sparkSession
     templates = TEMPLATES if templates is None else templates
     sizes = {name: len(template_words(text)) for name, text in templates.items()}
     if any(n < SHINGLE for n in sizes.values()):
         raise ValueError(f"templates must have at least {SHINGLE} words")
-    classes = classes_for(max(sizes.values(), default=0), tuple(classes))
-    docs = df.select(F.col(id_col).alias("doc_id"),
-                     F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _UPPER, _LOWER).alias("t"))
-    docs = _once(docs, "words", F.regexp_extract_all("t", F.lit("[a-z0-9]+"), F.lit(0))).drop("t")
+    bounds = classes_for(max(sizes.values(), default=0), tuple(classes))
+    used, starts = [], []
+    for low, size in zip((0, *bounds[:-1]), bounds, strict=True):
+        own = sorted(n for n in templates if low < sizes[n] <= size)
+        if own:
+            texts = [templates[n] for n in own]
+            used.append((size, bands_for(size, texts, containment), own))
+            starts.append(_starts(size, used[-1][1], min(shared_least(t, containment) for t in texts)))
+    found = "doc_id", "license", "containment", "first_word", "n_windows"
+    docs = _once(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t")), "words", _words(F.col("t"))).drop("t")
+    if not used:
+        empty = docs.where("1 = 0").selectExpr("doc_id", "'' license", "0D containment", "0 first_word", "0L n_windows")
+        return empty.select(*found)
+    notices = _template_frame(spark, used, templates)
+    samples = (_once(_once(notices, "hashes", _hashes(F.col("words"))), "wanted", _sample(F.col("hashes"), F.col("bands")))
+               .select("license", "size", "wanted", F.explode("wanted").alias("band")))
     docs = _once(docs, "hashes", _hashes(F.col("words")))
-    notices = _once(_template_frame(spark, templates), "hashes", _hashes(F.col("words")))
-    known = {r["license"]: r["hashes"] for r in notices.select("license", "hashes").collect()}
-    anywhere = sorted({h for hashes in known.values() for h in hashes})
-    docs = docs.where(F.arrays_overlap("hashes", F.lit(anywhere)))
-    parts = []
-    for low, size in zip((0, *classes[:-1]), classes, strict=True):
-        own = {n: t for n, t in templates.items() if low < sizes[n] <= size}
-        if not own:
-            continue
-        bands = bands_for(size, list(own.values()))
-        wanted = sorted({h for n in own for h in known[n]})
-        starts = docs.select("doc_id", "words", "hashes",
-                             F.explode(F.sequence(F.lit(0), F.size("words") - 1, F.lit(size))).alias("first_word"))
-        windows = _once(starts, "own", F.slice("hashes", F.col("first_word") + 1, 2 * size - SHINGLE + 1))
-        windows = (windows.where(F.arrays_overlap("own", F.lit(wanted)))
-                   .select("doc_id", "first_word", F.slice("words", F.col("first_word") + 1, 2 * size).alias("window"),
-                           F.posexplode(_samples(F.col("own"), bands)).alias("band", "low")))
-        known_bands = (notices.where(F.col("license").isin(list(own)))
-                       .select("license", "phrases", F.posexplode(_samples(F.col("hashes"), bands)).alias("band", "low")))
-        met = (windows.join(F.broadcast(known_bands), ["band", "low"])
-               .select("doc_id", "first_word", "license", "window", "phrases")
-               .dropDuplicates(["doc_id", "first_word", "license"]))
-        parts.append(_once(met, "share", F.size(F.array_intersect(_phrases(F.col("window")), F.col("phrases")))
-                           / F.size("phrases")).where(F.col("share") >= containment)
-                     .select("doc_id", "license", "share", "first_word"))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    return found.groupBy("doc_id", "license").agg(F.max("share").alias("containment"),
-                                                  F.min("first_word").alias("first_word"),
-                                                  F.count("*").alias("n_windows"))
+    # the starts are a column first: a generator over a plain column stays in generated code and does not copy the texts
+    docs = _once(docs, "starts", F.concat(*starts))
+    windows = docs.select("doc_id", "words", "hashes", F.inline("starts"))
+    windows = _once(windows, "sample", _sample(
+        F.slice("hashes", F.col("first_word") + 1, 2 * F.col("size") - SHINGLE + 1), F.col("bands")))
+    # of the bands that a window shares with a template, the smallest speaks for it
+    met = (windows.select("doc_id", "words", "first_word", "size", "sample", F.explode("sample").alias("band"))
+           .join(F.broadcast(samples), ["size", "band"])
+           .where(F.col("band") == F.array_min(F.array_intersect("sample", "wanted")))
+           .select("doc_id", "license", "first_word", F.slice("words", F.col("first_word") + 1, 2 * F.col("size")).alias("window")))
+    phrases = notices.select("license", F.array_distinct(_phrases(F.col("words"))).alias("phrases"))
+    shares = _once(met.join(F.broadcast(phrases), "license"), "share",
+                   F.size(F.array_intersect(_phrases(F.col("window")), F.col("phrases"))) / F.size("phrases"))
+    return (shares.where(F.col("share") >= containment).groupBy("doc_id", "license")
+            .agg(F.max("share").alias("containment"), F.min("first_word").alias("first_word"),
+                 F.count_distinct("first_word").alias("n_windows")).select(*found))

@@ -102,26 +102,31 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _license_oracle() -> str:
     """Every window against every template, by the exact containment."""
-    rows = ", ".join(f"('{n}', {len(license_scan.template_words(t))}, {license_scan.template_shingles(t)!r})"
-                     for n, t in sorted(license_scan.TEMPLATES.items()))
-    sizes = license_scan.CLASSES
+    rows = ", ".join(f"('{n}', '{' '.join(license_scan.template_words(t))}')" for n, t in sorted(license_scan.TEMPLATES.items()))
+    longest = max(len(license_scan.template_words(t)) for t in license_scan.TEMPLATES.values())
+    sizes = license_scan.classes_for(longest)
     bounds = ", ".join(f"({low}, {size})" for low, size in zip((0, *sizes[:-1]), sizes, strict=True))
+    k = license_scan.SHINGLE
+    later = ", ".join(f"w[{i}:]" for i in range(2, k + 1))
+    phrases = f"[concat_ws(' ', {', '.join(f'x[{i}]' for i in range(1, k + 1))}) FOR x IN list_zip(w, {later}, true)]"
     return rf"""
-    WITH notices(license, n_words, phrases) AS (VALUES {rows}),
+    WITH notices(license, body) AS (VALUES {rows}),
     classes(low, size) AS (VALUES {bounds}),
+    n AS (
+      SELECT license, size, list_distinct({phrases}) AS phrases
+      FROM (SELECT license, string_split(body, ' ') AS w FROM notices) JOIN classes ON len(w) > low AND len(w) <= size),
+    t AS (SELECT license, size, len(phrases) AS n_phrases, unnest(phrases) AS phrase FROM n),
     d AS (
       SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{license_scan._UPPER}', '{license_scan._LOWER}'),
                                         '[a-z0-9]+') AS w
       FROM documents),
-    s AS (SELECT doc_id, w, size, low, unnest(range(0, len(w), size)) AS first_word FROM d, classes),
-    g AS (
-      SELECT doc_id, size, low, first_word,
-             list_distinct([array_to_string(list_slice(w, i, i + {license_scan.SHINGLE - 1}), ' ') FOR i IN
-                            range(first_word + 1, least(first_word + 2 * size, len(w)) - {license_scan.SHINGLE - 2})]) AS have
-      FROM s),
+    p AS (SELECT doc_id, unnest({phrases}) AS phrase, unnest(range(0, len(w) - {k - 1})) AS place FROM d),
+    h AS (
+      SELECT doc_id, license, size, n_phrases, phrase, place, unnest([place // size, place // size - 1]) * size AS first_word
+      FROM p JOIN t USING (phrase)),
     m AS (
-      SELECT doc_id, license, first_word, len(list_intersect(have, phrases))::DOUBLE / len(phrases) AS share
-      FROM g JOIN notices ON n_words > low AND n_words <= size)
+      SELECT doc_id, license, first_word, count(DISTINCT phrase)::DOUBLE / n_phrases AS share
+      FROM h WHERE first_word >= 0 AND place <= first_word + 2 * size - {k} GROUP BY doc_id, license, first_word, n_phrases)
     SELECT doc_id, license, max(share) AS containment, min(first_word)::INTEGER AS first_word, count(*) AS n_windows
     FROM m WHERE share >= {license_scan.CONTAINMENT} GROUP BY ALL"""
 

@@ -1,9 +1,12 @@
 """URL filters, license scans, the quality classifier and the pipeline."""
 
+import math
+import random
 import re
 import zlib
 from collections import Counter
 
+import duckdb
 import pytest
 
 import corpus_pipeline
@@ -94,6 +97,62 @@ def test_license_scan_of_whole_licenses(spark):
                                  (7, "129"), (7, "600"), (7, "1500"), (8, "129"), (8, "600")], 1.0)
 
 
+def test_license_bodies_equal_the_exact_scan(spark, tmp_path):
+    """Whole licenses, cut, edited and buried in text: the bands lose no window that the exact SQL finds."""
+    rng = random.Random(3)
+    filler = "some words that are no notice at all " * 60
+    rows = [(None, license_scan.BODIES["mit-text"]), (0, None), (1, "")]
+    for body in license_scan.BODIES.values():
+        words = body.split()
+        for share in (1.0, 0.85, 0.81, 0.79, 0.6):
+            rows.append((len(rows), filler[:rng.randrange(2000)] + " ".join(words[:int(share * len(words))]) + filler))
+        for every in (20, 30, 60):
+            edited = ["edited" if rng.randrange(every) == 0 else w for w in words]
+            rows.append((len(rows), f"{filler} {' '.join(edited).upper()} {filler}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    got = license_scan.scan_licenses(df)
+    wanted = con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLE['op2_license_scan']})").fetchall()
+    assert sorted(map(str, wanted)) == sorted(str(tuple(r)) for r in got.collect())
+    assert {r[1] for r in wanted} >= set(license_scan.BODIES)
+    assert max(len(license_scan.template_words(t)) for t in license_scan.BODIES.values()) > 5000
+
+
+def test_license_bands_at_the_threshold(spark):
+    """Made templates of every length, copies with just the share that counts: all of them are found."""
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(300)]
+    templates, rows, wanted = {}, [], set()
+    for n in (*range(5, 30), 60, 100, 129, 200, 300, 500):
+        templates[f"t{n}"] = " ".join(rng.choices(vocabulary, k=n))
+    for name, text in templates.items():
+        words, least = text.split(), license_scan.shared_least(text)
+        for _ in range(12):
+            # the first shingles only, in text that fills the windows around them
+            before, after = (rng.choices(vocabulary, k=rng.randrange(600)) for _ in range(2))
+            wanted.add((len(rows), name))
+            rows.append((len(rows), " ".join([*before, *words[:least + 4], *after])))
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), templates=templates)
+    found = {(r["doc_id"], r["license"]) for r in got.collect()}
+    assert wanted <= found
+
+
+def test_license_bands_bound_the_misses():
+    for size, text in ((8, license_scan.TEMPLATES["mit"]), (16, license_scan.TEMPLATES["gpl-3.0"]), (8192, license_scan.BODIES["gpl-3.0-text"])):
+        bands = license_scan.bands_for(size, [text])
+        shared = license_scan.shared_least(text)
+        either = 2 * size - 4 + len(license_scan.template_shingles(text)) - shared
+        assert math.comb(either - shared, bands) / math.comb(either, bands) <= license_scan.MISS
+        assert math.comb(either - shared, bands - 1) / math.comb(either, bands - 1) > license_scan.MISS
+
+
+def test_license_scan_without_templates(spark, odd):
+    found = license_scan.scan_licenses(odd, templates={})
+    assert found.columns == ["doc_id", "license", "containment", "first_word", "n_windows"] and found.collect() == []
+
+
 def test_tree_rules_are_the_paths_of_the_tree():
     text = ("DecisionTreeClassificationModel: uid=x, depth=2\n  If (feature 0 <= 1.5)\n   If (feature 1 <= 2.0)\n    Predict: 0.0\n"
             "   Else (feature 1 > 2.0)\n    Predict: 1.0\n  Else (feature 0 > 1.5)\n   Predict: 1.0\n")
