@@ -125,9 +125,12 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
 
 
 def keep_exact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``df`` that stay, with all their columns; of rows that repeat an
-    id and its text one stays."""
-    marks = materialize(exact_dedup(df, id_col, text_col, **kw).where("kept").select("doc_id"), "exact-kept")
-    out = df.join(marks.withColumnRenamed("doc_id", "__kept"), F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi")
-    repeated = not marks.groupBy("doc_id").count().where("count > 1").isEmpty()
-    return out.dropDuplicates([id_col, text_col]) if repeated else out
+    """The rows of ``df`` that stay, with all their columns.  A row stays when both its id
+    and its text do, so an id that repeats with other texts (or is null) keeps only those of
+    its texts that stay with it; of rows that repeat an id and its text one stays."""
+    marks = materialize(exact_dedup(df, id_col, text_col, **kw).where("kept")
+                        .select(F.col("doc_id").alias("__kept"), F.col("text_sha256").alias("__kept_digest")), "exact-kept")
+    rows = df.withColumn("__digest", F.sha2(text_of(text_col).cast("binary"), 256))
+    out = rows.join(marks, F.col(id_col).eqNullSafe(F.col("__kept")) & (F.col("__digest") == F.col("__kept_digest")), "left_semi")
+    repeated = not marks.groupBy("__kept", "__kept_digest").count().where("count > 1").isEmpty()
+    return (out.dropDuplicates([id_col, "__digest"]) if repeated else out).drop("__digest")
