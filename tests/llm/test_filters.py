@@ -1,5 +1,7 @@
 """URL filters, license scans, the quality classifier and the pipeline."""
 
+import base64
+import hashlib
 import math
 import random
 import re
@@ -7,7 +9,10 @@ import zlib
 from collections import Counter
 
 import duckdb
+import public_tokenizers
 import pytest
+import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from basalt.llm import license_scan, mixing, quality, queries, url_filter
@@ -221,6 +226,70 @@ def test_stages_keep_the_columns(spark, sf_dir):
         assert stage(spark, docs, sf_dir).columns == docs.columns
 
 
+def test_compiled_rules_equal_their_plain_reading(spark, sf_dir):
+    """Every document's score, from its statistics and the fitted rules read one by one in Python."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    stats = quality.statistics(F.col("text"))
+    rows = docs.select("doc_id", *[c.alias(n) for n, c in stats.items()])
+    train = (rows.join(labels, "doc_id").where(~quality.is_held_out(F.col("doc_id"))).where("quality in (0, 1)")
+             .select(F.col("quality").alias("label"), *stats))
+    intercept, rules = quality.fit_rules(train, list(stats))
+    assert rules and any(len(r) > 1 for r, _ in rules)
+    scored = rows.select("*", quality.score_expression(intercept, rules).alias("score")).collect()
+    assert len(scored) == docs.count()
+    for r in scored:
+        total = intercept + sum(w for rule, w in rules
+                                if all(r[n] <= v if op == "<=" else r[n] > v for n, op, v in rule))
+        assert math.isclose(r["score"], 1 / (1 + math.exp(-total)), rel_tol=1e-9)
+
+
+def test_statistics_equal_their_plain_reading(spark, odd):
+    """The counts behind the rules, for odd texts too, in plain Python."""
+    stats = quality.statistics(quality.text_of("text"))
+    for r in odd.select("text", *[c.alias("s_" + n) for n, c in stats.items()]).collect():
+        t = r["text"] or ""
+        words = max(len(re.findall(r"[^ \t\n\x0b\f\r]+", t)), 1)
+        assert r["s_words"] == words and r["s_word_length"] == len(t) / words
+        assert r["s_digits"] == len(re.findall("[0-9]", t)) / max(len(t), 1)
+        assert (r["s_bangs"], r["s_bars"], r["s_stops"], r["s_commas"], r["s_lines"]) == tuple(t.count(c) / words for c in "!|.,\n")
+
+
+def plain_ids(texts):
+    ranks = {base64.b64decode(a): int(b) for a, b in
+             (line.split() for line in open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb").read().splitlines() if line)}
+    encoding = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return {t: encoding.encode_ordinary(t) for t in texts}
+
+
+def test_last_stage_holds_the_ids_of_the_kept_texts(spark, sf_dir):
+    text = {r["doc_id"]: r["text"] or "" for r in table(spark, sf_dir, "documents").collect()}
+    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    ids = plain_ids({text[r["doc_id"]] for r in rows})
+    assert rows
+    for r in rows:
+        own = ids[text[r["doc_id"]]]
+        assert r["n_tokens"] == len(own)
+        assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, own)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(text[r["doc_id"]].encode()).hexdigest()
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, odd, empty, tmp_path):
+    """Nulls, empty and long texts, repeated rows and clashing columns through all stages."""
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for name, docs in (("odd", odd), ("empty", empty)):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        labels.write.parquet(str(tmp_path / name / "labels.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, odd, str(tmp_path / "odd")).columns == odd.columns
+    assert corpus_pipeline.run(spark, str(tmp_path / "empty")).collect() == []
+    given = {(r["doc_id"], hashlib.sha256((r["text"] or "").encode()).hexdigest()) for r in odd.select("doc_id", "text").collect()}
+    got = Counter((r["doc_id"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, str(tmp_path / "odd")).collect())
+    assert got and set(got) <= given
+    # of equal texts one stays, as often as the mix says
+    assert len({digest for _, digest in got}) == len(got)
+    assert max(got.values()) <= mixing.MAX_EPOCHS
+
+
 def test_native_plans_hold_no_python(spark, sf_dir):
     for name in ("op1_url_filter", "op2_license_scan", "op4_exact_dedup"):
         plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
