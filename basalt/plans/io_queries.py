@@ -197,21 +197,30 @@ def io_log_files_last(spark, sf_dir):
     return L.last_errors(dated, 5, ["log_ts", "line"]).select("line", "n")
 
 
-@register("io_text_previews", oracle="""
-SELECT doc_id // 1000 AS folder, string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id) AS text, 'utf-8' AS encoding,
-       CAST(sum(strlen(coalesce(text, ''))) + count(*) - 1 AS BIGINT) AS size
-FROM documents GROUP BY 1""")
+TEXT_FOLDERS = 256  # folders that are written and listed side by side
+
+
+@register("io_text_previews", oracle="SELECT doc_id, text, 'utf-8' AS encoding, CAST(strlen(text) AS BIGINT) AS size FROM documents")
 def io_text_previews(spark, sf_dir):
-    """A text file per thousand documents, read whole with its encoding and size."""
+    """One text file per document, read whole with its encoding and size.
+
+    The first line of a file names its document and tells a missing text from an empty one.  Each
+    folder is written by one task and moved as a whole, and folders are listed side by side."""
     out = scratch_dir(spark, "texts")
-    docs = V.table(spark, sf_dir, "documents").select(
-        F.expr("doc_id div 1000").alias("folder"), "doc_id", F.coalesce("text", F.lit("")).alias("value"))
-    (docs.repartition("folder").sortWithinPartitions("folder", "doc_id").drop("doc_id")
-     .write.partitionBy("folder").option("lineSep", "\n").text(out))
-    files = readers.read_text_files(spark, f"{out}/*")
-    one = F.expr("substr(preview, 1, length(preview) - 1)")  # without the line end that the writer adds
-    return files.select(F.regexp_extract("path", "folder=([0-9]+)", 1).cast("bigint").alias("folder"), one.alias("text"),
-                        "encoding", (F.col("size") - 1).alias("size"))
+    docs = V.table(spark, sf_dir, "documents")
+    line = F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")),
+                       F.when(F.col("text").isNull(), "null").otherwise("text"))
+    (docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(TEXT_FOLDERS)).alias("folder"),
+                 F.concat_ws("\n", line, F.coalesce("text", F.lit(""))).alias("value"))
+     .repartition(TEXT_FOLDERS, "folder").write.partitionBy("folder").option("maxRecordsPerFile", 1).option("lineSep", "\n").text(out))
+    files = readers.read_text_files(spark, out)
+    shown = F.coalesce("preview", F.unhex("hex_head").cast("string"))  # of a text with NUL bytes only its hex is shown
+    first = F.substring_index(shown, "\n", 1)
+    doc_id, kind = F.split_part(first, F.lit(" "), F.lit(1)), F.split_part(first, F.lit(" "), F.lit(2))
+    text = F.expr("substr(preview, instr(preview, '\n') + 1, length(preview) - instr(preview, '\n') - 1)")
+    has_text = kind == "text"  # sizes without the first line and the line end that the writer adds
+    return files.select(doc_id.try_cast("bigint").alias("doc_id"), F.when(has_text, text).alias("text"), "encoding",
+                        F.when(has_text, F.col("size") - F.octet_length(first) - 2).alias("size"))
 
 
 SNAPSHOT_SQL = V.with_views(f"""
