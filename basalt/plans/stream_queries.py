@@ -18,12 +18,19 @@ from basalt.session import scratch_dir
 from basalt.streaming import streams as STR
 
 
-def _events_stream(spark, sf_dir, files=6):
-    """``events`` as a stream of files that are not in time order, one per micro-batch."""
-    events = V.table(spark, sf_dir, "events")
-    folder = scratch_dir(spark, "events-files")
-    events.repartition(files, F.xxhash64("event_id")).write.parquet(folder)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+def _as_stream(spark, rows, by, folder, batches=6):
+    """``rows`` as a stream of ``batches`` micro-batches that are not in time order.
+
+    Each micro-batch holds a file per core: a file of this size is one row group, which one task
+    reads and works on alone."""
+    files = spark.sparkContext.defaultParallelism
+    rows.repartition(batches * files, F.xxhash64(*by)).write.parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
+def _events_stream(spark, sf_dir):
+    """``events`` as a stream of files that are not in time order."""
+    return _as_stream(spark, V.table(spark, sf_dir, "events"), ["event_id"], scratch_dir(spark, "events-files"))
 
 
 @register("stream_ingest_action_counts", oracle="""

@@ -2,7 +2,12 @@
 second run over the same files adds nothing, a new file is picked up, and
 the streamed table equals the batch ingest of the same files."""
 
+import datetime as dt
+
+import pytest
+
 from basalt.operators import ingest
+from basalt.plans import stream_queries
 from basalt.streaming import streams
 
 
@@ -51,3 +56,30 @@ def test_handler_rejection_fails_the_batch(spark, tmp_path):
     except Exception:
         failed = True
     assert failed
+
+
+def _batches(stream, checkpoint):
+    """(rows, tasks) of every micro-batch of a stream."""
+    seen = []
+
+    def handler(batch, epoch_id):
+        seen.append((batch.count(), batch.rdd.getNumPartitions()))
+        return True
+
+    streams.start_with_handler(stream, handler, str(checkpoint)).awaitTermination()
+    return seen
+
+
+@pytest.fixture
+def events(spark, tmp_path):
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(seconds=i), i % 7, "view", float(i % 50), None) for i in range(2000)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .write.parquet(str(tmp_path / "events.parquet"))
+    return str(tmp_path)
+
+
+def test_a_micro_batch_of_events_is_shared_by_tasks(spark, events, tmp_path):
+    seen = _batches(stream_queries._events_stream(spark, events), tmp_path / "ck")
+    assert sum(rows for rows, _ in seen) == 2000 and len(seen) == 6
+    assert min(tasks for _, tasks in seen) > 1
