@@ -123,9 +123,7 @@ def stream_worker_outcomes(spark, sf_dir):
 
 def _alarm_stream(spark, sf_dir):
     root = scratch_dir(spark, "stream-alarms")
-    points = all_points(spark, sf_dir)  # as 6 files that are not in time order
-    points.repartition(6, F.xxhash64("event_id", "metric")).write.parquet(f"{root}/points")
-    stream = spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/points")
+    stream = _as_stream(spark, all_points(spark, sf_dir), ["event_id", "metric"], f"{root}/points")
     rules = A.rules(spark, TEST_RULES)
     STR.start_alarms(stream, rules, f"{root}/alarms", f"{root}/_ck").awaitTermination()
     return STR.read_alarm_history(spark, f"{root}/alarms").withColumn("value", F.round("value", 6)), rules

@@ -83,3 +83,17 @@ def test_a_micro_batch_of_events_is_shared_by_tasks(spark, events, tmp_path):
     seen = _batches(stream_queries._events_stream(spark, events), tmp_path / "ck")
     assert sum(rows for rows, _ in seen) == 2000 and len(seen) == 6
     assert min(tasks for _, tasks in seen) > 1
+
+
+def test_a_micro_batch_of_points_is_shared_by_tasks(spark, events, tmp_path, monkeypatch):
+    seen = []
+    start = streams.start_alarms
+
+    def watched(points, *rest):
+        seen.extend(_batches(points, tmp_path / "ck"))
+        return start(points, *rest)
+
+    monkeypatch.setattr(stream_queries.STR, "start_alarms", watched)
+    history = stream_queries.stream_alarm_history(spark, events)
+    assert history.count() > 0 and len(seen) == 6
+    assert min(tasks for _, tasks in seen) > 1
