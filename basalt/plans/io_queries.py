@@ -197,22 +197,16 @@ def io_log_files_last(spark, sf_dir):
     return L.last_errors(dated, 5, ["log_ts", "line"]).select("line", "n")
 
 
-TEXT_FOLDERS = 256  # folders that are written and listed side by side
-
-
 @register("io_text_previews", oracle="SELECT doc_id, text, 'utf-8' AS encoding, CAST(strlen(text) AS BIGINT) AS size FROM documents")
 def io_text_previews(spark, sf_dir):
     """One text file per document, read whole with its encoding and size.
 
-    The first line of a file names its document and tells a missing text from an empty one.  Each
-    folder is written by one task and moved as a whole, and folders are listed side by side."""
+    The first line of a file names its document and tells a missing text from an empty one."""
     out = scratch_dir(spark, "texts")
     docs = V.table(spark, sf_dir, "documents")
     line = F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")),
                        F.when(F.col("text").isNull(), "null").otherwise("text"))
-    (docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(TEXT_FOLDERS)).alias("folder"),
-                 F.concat_ws("\n", line, F.coalesce("text", F.lit(""))).alias("value"))
-     .repartition(TEXT_FOLDERS, "folder").write.partitionBy("folder").option("maxRecordsPerFile", 1).option("lineSep", "\n").text(out))
+    sinks.write_text_files(docs.select(F.concat_ws("\n", line, F.coalesce("text", F.lit(""))).alias("value")), out)
     files = readers.read_text_files(spark, out)
     shown = F.coalesce("preview", F.unhex("hex_head").cast("string"))  # of a text with NUL bytes only its hex is shown
     first = F.substring_index(shown, "\n", 1)

@@ -7,6 +7,8 @@ on the driver.  Partitioned writes sort by partition columns inside each task
 
 from __future__ import annotations
 
+import os
+import shutil
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -14,6 +16,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from basalt.session import local_path
 from basalt.sources.readers import CSV_DIALECT
 
 PARTITION_COLUMNS = ["year", "month", "day"]
@@ -70,6 +73,51 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+TEXT_FOLDERS = 256  # folders of a store that only Spark reaches, each written by one task
+
+
+def write_text_files(texts: DataFrame, path: str) -> None:
+    """One text file per row of the only column, a line end after it, in a new folder ``path``.
+
+    On a local file system Hadoop starts a process for the mode of every file and another for its checksum
+    file; there each task writes plain files into a hidden folder of its own attempt, and the folders of the
+    attempts that counted are moved into place when all have ended.  Other stores get the files from Spark's writer."""
+    name = texts.columns[0]
+    root = local_path(texts.sparkSession, path)
+    if root is None:
+        (texts.withColumn("folder", F.pmod(F.monotonically_increasing_id(), F.lit(TEXT_FOLDERS)))
+         .repartition(TEXT_FOLDERS, "folder").write.partitionBy("folder").option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path))
+        return
+    staging = f"{root}/_temporary"
+
+    def run(batches):
+        import os
+
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        part, n = f"part-{task.partitionId():05d}", 0
+        folder = f"{staging}/{part}-{task.taskAttemptId()}"
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if not n:
+                    os.mkdir(folder)
+                with open(f"{folder}/{n:08d}.txt", "xb") as f:
+                    f.write((text or b"") + b"\n")
+                n += 1
+        if n:
+            yield pa.RecordBatch.from_pydict({"folder": [folder], "part": [part]})
+
+    os.makedirs(root)
+    os.mkdir(staging)
+    try:
+        for folder, part in texts.select(F.col(name).cast("binary")).mapInArrow(run, "folder string, part string").collect():
+            os.rename(folder, f"{root}/{part}")
+    finally:
+        shutil.rmtree(staging, ignore_errors=True)
+
+
 def export_filtered_csv(full: DataFrame, filtered: DataFrame, path: str) -> str | None:
     """K4: export the filtered frame; None when the filter removed no row.
 

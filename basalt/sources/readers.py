@@ -2,15 +2,22 @@
 
 All readers are lazy ``DataFrameReader`` calls: the files are split into
 tasks by Spark (``spark.sql.files.maxPartitionBytes``), nothing passes
-through the driver, and only the selected columns are read.
+through the driver, and only the selected columns are read.  Whole files (S6)
+of a local folder are listed and read by tasks without Spark's file index.
 """
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basalt.session import local_path, written
+
 CORRUPT = "_corrupt"
 
 # Raw event line of the ingest path: ISO-8601 time text, user, action.
@@ -107,6 +114,109 @@ def read_parquet(spark: SparkSession, path, nanos_columns: list[str] | tuple = (
     return df
 
 
+#: What opening a file counts as besides its bytes, file names handed over at once, and bytes of files handed over at once.
+OPEN_BYTES, LIST_ROWS, BATCH_BYTES = 4096, 10_000, 8 << 20
+
+
+def _whole_files(spark: SparkSession, path, recursive: bool) -> DataFrame:
+    """path, length, modificationTime, content of every file that is not empty, as ``binaryFile`` has them.
+
+    Spark's index keeps all names on the driver and its scan puts a few dozen files into a task, however
+    small they are.  Below a local folder tasks list the folders, the list is written, and its files are dealt
+    to tasks by their number and bytes.  Other stores and patterns go through ``binaryFile``."""
+    root = local_path(spark, path) if recursive and isinstance(path, str) and not set(path) & set("*?[]{}\\") else None
+    if root is None or not os.path.isdir(root):
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
+                .select("path", "length", "modificationTime", "content"))
+    listed = written(_list_files(spark, root), "file-list")
+    n, size = listed.agg(F.count("path"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    at_once = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    tasks = max(ceil((size + n * OPEN_BYTES) / at_once), min(n, spark.sparkContext.defaultParallelism), 1)
+    most = BATCH_BYTES
+
+    def run(batches):
+        import os
+        import zlib
+
+        import pyarrow as pa
+
+        def verify(path: str, content: bytes) -> None:
+            """Against the checksums that Hadoop's local writers leave beside a file."""
+            folder, name = os.path.split(path)
+            try:
+                with open(f"{folder}/.{name}.crc", "rb") as f:
+                    kept = f.read()
+            except FileNotFoundError:
+                return
+            if kept[:4] != b"crc\0":
+                return
+            step, view = int.from_bytes(kept[4:8], "big"), memoryview(content)
+            if kept[8:] != b"".join(zlib.crc32(view[i:i + step]).to_bytes(4, "big") for i in range(0, len(view), step)):
+                raise OSError(f"checksum error: {path}")
+
+        def batch_of(rows):
+            path, length, ms, content = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(path, pa.string()), pa.array(length, pa.int64()), pa.array(ms, pa.int64()),
+                                               pa.array(content, pa.binary())], names=["path", "length", "ms", "content"])
+
+        for batch in batches:
+            rows, held = [], 0
+            for path in batch.column(0).to_pylist():
+                with open(path, "rb") as f:
+                    content, status = f.read(), os.fstat(f.fileno())
+                verify(path, content)
+                rows.append((f"file:{path}", len(content), status.st_mtime_ns // 1_000_000, content))
+                held += len(content)
+                if held >= most:
+                    yield batch_of(rows)
+                    rows, held = [], 0
+            if rows:
+                yield batch_of(rows)
+
+    files = listed.select("path").repartition(tasks, "path").mapInArrow(run, "path string, length long, ms long, content binary")
+    return files.select("path", "length", F.timestamp_millis("ms").alias("modificationTime"), "content")
+
+
+def _list_files(spark: SparkSession, root: str) -> DataFrame:
+    """path, length of the files below a local folder that Spark's readers would see; each of its folders is listed by a task."""
+    at_once = LIST_ROWS
+
+    def hidden(name: str, is_folder: bool) -> bool:  # as Spark's listing has it
+        return (name.startswith(".") or name.endswith("._COPYING_") or name.startswith("_") and "=" not in name
+                and not (is_folder and name.startswith(("_metadata", "_common_metadata"))))
+
+    def entries(folder: str) -> Iterator[os.DirEntry]:
+        with os.scandir(folder) as found:
+            yield from (e for e in found if not hidden(e.name, e.is_dir()))
+
+    def run(batches):
+        import pyarrow as pa
+
+        def batch_of(rows):
+            path, length = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(path, pa.string()), pa.array(length, pa.int64())], names=["path", "length"])
+
+        rows = []
+        for batch in batches:
+            for top, deep in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                pending = [top]
+                while pending:
+                    for e in entries(pending.pop()):
+                        if e.is_dir():
+                            if deep:
+                                pending.append(e.path)
+                        elif e.is_file() and (size := e.stat().st_size):
+                            rows.append((e.path, size))
+                            if len(rows) == at_once:
+                                yield batch_of(rows)
+                                rows = []
+        if rows:
+            yield batch_of(rows)
+
+    tops = [(root, False), *((e.path, True) for e in entries(root) if e.is_dir())]
+    return spark.createDataFrame(tops, "folder string, deep boolean").mapInArrow(run, "path string, length long")
+
+
 def read_text_files(spark: SparkSession, path, preview_chars: int | None = None, hex_bytes: int | None = None,
                     recursive: bool = True) -> DataFrame:
     """One row per file: byte length, encoding used, text or hex dump, whole
@@ -115,8 +225,7 @@ def read_text_files(spark: SparkSession, path, preview_chars: int | None = None,
     UTF-8 first, then latin-1 (D13: latin-1 accepts any byte, so it is the last
     text option); files with NUL bytes are shown as hex of their first bytes.
     """
-    raw = (spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
-           .select("path", "length", "modificationTime", "content"))
+    raw = _whole_files(spark, path, recursive)
     as_text = F.col("content").cast("string")
     encoding = (F.when(F.instr(as_text, "\x00") > 0, F.lit("binary"))
                 .when(F.is_valid_utf8(as_text), F.lit("utf-8"))
